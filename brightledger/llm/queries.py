@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from brightledger.llm import exact_dedup, line_dedup
+from brightledger.llm import decontaminate, exact_dedup, html_extract, line_dedup, simhash, warc
 
-MODULES = (line_dedup, exact_dedup)
+MODULES = (simhash, line_dedup, html_extract, decontaminate, exact_dedup, warc)
 
 
 def queries() -> dict:
