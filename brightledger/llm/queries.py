@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from brightledger.llm import decontaminate, exact_dedup, html_extract, line_dedup, simhash, warc
+from brightledger.llm import decontaminate, exact_dedup, html_extract, line_dedup, packing, quality, simhash, warc
 
-MODULES = (simhash, line_dedup, html_extract, decontaminate, exact_dedup, warc)
+MODULES = (quality, simhash, line_dedup, html_extract, packing, decontaminate, exact_dedup, warc)
 
 
 def queries() -> dict:
