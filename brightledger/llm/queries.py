@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from brightledger.llm import decontaminate, exact_dedup, html_extract, line_dedup, packing, quality, simhash, warc
+from brightledger.llm import (
+    decontaminate, exact_dedup, html_extract, line_dedup, packing, quality, simhash, substring_dedup, suffix_dedup, warc,
+)
 
-MODULES = (quality, simhash, line_dedup, html_extract, packing, decontaminate, exact_dedup, warc)
+MODULES = (suffix_dedup, quality, simhash, line_dedup, html_extract, packing, substring_dedup, decontaminate, exact_dedup, warc)
 
 
 def queries() -> dict:
