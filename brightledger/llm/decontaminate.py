@@ -184,6 +184,22 @@ def contamination(
     return out
 
 
+def uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has no window of an item; no shuffle."""
+    spark, at = docs.sparkSession, docs.columns.index(text_col)
+    small_batches(spark)
+    for block in item_blocks(items, block_words=block_words):
+        sent = spark.sparkContext.broadcast(ItemAutomaton(block, window))
+
+        def run(batches, sent=sent):
+            for batch in batches:
+                clean = [not sent.value.matches(words_of(t.as_py()))[0] for t in batch.column(at)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def word_counts(spans: str = "spans"):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 

@@ -25,12 +25,17 @@ from brightledger.llm.common import WHITE, read, stored, texts
 CHUNK_END = " (?<=[cgkosw][dhlptx][cgkosw] )"
 
 
+def normalised(text):
+    """The text with each run of white space as one blank; null as empty."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), f"{WHITE}+", " ")
+
+
 def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_end: str = CHUNK_END) -> DataFrame:
     """``(row_id, doc_id, sha, pos, h, chunk)``; ``sha`` (of the normalised text) only at position 0."""
     normal = (
         texts(docs, id_col, text_col)
         .withColumn("row_id", F.monotonically_increasing_id())
-        .select("row_id", "doc_id", F.regexp_replace("text", f"{WHITE}+", " ").alias("normal"))
+        .select("row_id", "doc_id", normalised("text").alias("normal"))
     )
     cut = normal.select("row_id", "doc_id", F.sha2("normal", 256).alias("sha"), F.split("normal", chunk_end).alias("chunks"))
     rows = cut.select("row_id", "doc_id", "sha", F.posexplode("chunks").alias("pos", "chunk"))

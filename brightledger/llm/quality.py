@@ -45,8 +45,7 @@ def figures(text: str | None) -> list[float]:
     letters = counts[LETTERS].sum()
     words = data.split()
     m = max(1, len(words))
-    # UTF-8 lead bytes 0xC3 0x80-0x9E are upper case too; the lower-cased text tells how many letters changed.
-    changed = sum(map(str.isupper, text or ""))
+    upper = counts[UPPER].sum()
     repeats = sum(a == b for a, b in zip(words, words[1:]))
     distinct = len(set(words))
     bare = [w.lower().strip(b".,;:!?") for w in words]
@@ -54,7 +53,7 @@ def figures(text: str | None) -> list[float]:
     lines = data.count(b"\n") + 1
     return [
         np.log1p(len(words)),
-        changed / max(1, letters),
+        upper / max(1, letters),
         counts[DIGITS].sum() / n,
         counts[SYMBOLS].sum() / n,
         counts[STOPS].sum() / n,
@@ -64,7 +63,7 @@ def figures(text: str | None) -> list[float]:
         distinct / m**0.8,
         sum(w in STOP_BYTES for w in bare) / m,
         odd / m,
-        sum(not any(LETTERS[w[:1][0]] for _ in (0,)) for w in words) / m if words else 1.0,
+        sum(not LETTERS[w[0]] for w in words) / m if words else 1.0,
         np.log1p(m / lines),
         float(not words),
     ]
@@ -146,8 +145,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     return {"prior": prior} | fit_nnpu(expanded(xs[0]), expanded(xs[1]), prior)
 
 
-def scored(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and the ``score`` of its ``text``."""
+def scored(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the ``score`` of its ``text_col``."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches):
@@ -157,7 +156,7 @@ def scored(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
             yield pa.record_batch([*batch.columns[:-1], pa.array(s)], [*keep, "score"])
 
     small_batches(docs.sparkSession)
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{fields}, score double")
+    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -104,9 +104,24 @@ def forest(n: int, links: np.ndarray) -> np.ndarray:
     return links[kept]
 
 
-def tile_links(points: DataFrame, offsets: list[int], radius: int, tile: int = TILE) -> DataFrame:
+def nearest(links: np.ndarray, most: int) -> np.ndarray:
+    """Which of ``links`` (best first) are among the first ``most`` of one of their ends."""
+    chosen = np.zeros(len(links), bool)
+    ends = np.concatenate([links[:, 0], links[:, 1]])
+    at = np.concatenate([np.arange(len(links))] * 2)
+    order = np.lexsort((at, ends))
+    ends, at = ends[order], at[order]
+    begins = np.concatenate([[True], ends[1:] != ends[:-1]]) if len(ends) else np.zeros(0, bool)
+    rank = np.arange(len(ends)) - np.nonzero(begins)[0][np.cumsum(begins) - 1] if len(ends) else ends
+    chosen[at[rank < most]] = True
+    return chosen
+
+
+def tile_links(points: DataFrame, offsets: list[int], radius: int, tile: int = TILE, more: int = 0) -> DataFrame:
     """Links ``(u, v)`` of ``points(node, fp, cell)`` within the radius, as forests of tile pairs.
 
+    ``more`` links of each point, the closest ones, come on top: for callers that verify them one by one.
+
     A point of cell ``c`` is compared with those of the cells ``c + offset``; ``offsets`` holds one of each
     pair of opposite neighbours.
     """
@@ -137,7 +152,8 @@ def tile_links(points: DataFrame, offsets: list[int], radius: int, tile: int = T
                     found.append(np.column_stack([far[r, c][keep], r[keep] + at, c[keep] + (0 if same else len(x))]))
                 pairs = np.concatenate(found).astype(np.int64)
                 pairs = pairs[np.argsort(pairs[:, 0], kind="stable"), 1:]
-                pairs = forest(len(nodes), pairs)
+                trees = forest(len(nodes), pairs)
+                pairs = np.unique(np.concatenate([trees, pairs[nearest(pairs, more)]]), axis=0) if more else trees
                 us.append(nodes[pairs[:, 0]])
                 vs.append(nodes[pairs[:, 1]])
             yield pa.record_batch([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
