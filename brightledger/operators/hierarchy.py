@@ -39,7 +39,7 @@ def label_paths(
                 alive = alive & F.coalesce(F.col(f"__l{k + 1}.{pos}") > F.col(f"__l{k}.{pos}"), F.lit(False))
             chain = F.concat(F.when(alive, F.array(F.col(f"__l{k}.{name}"))).otherwise(F.array().cast("array<string>")), chain)
         path = F.when(F.col(level) == depth, F.concat(F.array(F.lit(root)), chain, F.array(F.col(name)))).otherwise(path)
-    return out.withColumn("category_path", F.array_join(path, ">")).drop(*at.keys(), *[f"__l{k}" for k in at])
+    return out.withColumn("category_path", F.array_join(path, ">")).drop(*[f"__l{k}" for k in at])
 
 
 def fill_labels(df: DataFrame, table: str, pos: str, name: str) -> DataFrame:

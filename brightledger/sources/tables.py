@@ -101,17 +101,12 @@ def cells(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("l_linenumber") % 5 == 3, F.concat(F.lit("- "), whole))
         .otherwise(whole)
     )
-    row = l.select(
-        F.col("l_orderkey").alias("table_id"), F.col("l_linenumber").alias("row_index"), "l_shipdate",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("col_index"), F.lit("과 목").alias("column_name"), F.concat(F.col("l_linenumber").cast("string"), F.lit(". "), F.col("l_returnflag"), F.lit("항목")).alias("text")),
-                F.struct(F.lit(1), F.lit("주석"), F.concat((F.col("l_partkey") % 30).cast("string"), F.lit(", "), (F.col("l_suppkey") % 30).cast("string"))),
-                F.struct(F.lit(2), F.lit("제 56 (당) 기"), printed),
-                F.struct(F.lit(3), F.lit("제 55 (전) 기.1"), F.floor("l_quantity").cast("long").cast("string")),
-            )
-        ).alias("c"),
-    )
+    label = F.concat(F.col("l_linenumber").cast("string"), F.lit(". "), F.col("l_returnflag"), F.lit("항목"))
+    notes_ = F.concat((F.col("l_partkey") % 30).cast("string"), F.lit(", "), (F.col("l_suppkey") % 30).cast("string"))
+    before = F.floor("l_quantity").cast("long").cast("string")
+    columns = (("과 목", label), ("주석", notes_), ("제 56 (당) 기", printed), ("제 55 (전) 기.1", before))
+    made = [F.struct(F.lit(i).alias("col_index"), F.lit(name).alias("column_name"), text.alias("text")) for i, (name, text) in enumerate(columns)]
+    row = l.select(F.col("l_orderkey").alias("table_id"), F.col("l_linenumber").alias("row_index"), F.explode(F.array(*made)).alias("c"))
     return row.select("table_id", "row_index", "c.col_index", "c.column_name", "c.text")
 
 
