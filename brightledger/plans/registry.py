@@ -5,7 +5,9 @@ from __future__ import annotations
 import importlib
 
 #: Modules with queries; each uses ``query`` below.
-MODULES = ("trend_queries", "graph_queries", "hierarchy_queries", "relation_queries", "text_queries")
+MODULES = (
+    "trend_queries", "graph_queries", "hierarchy_queries", "relation_queries", "text_queries", "note_queries", "summary_queries", "report_queries",
+)
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
 
