@@ -25,7 +25,7 @@ from brightledger.llm.common import ASCII_LOWER, read, small_batches, stored, te
 from brightledger.llm.components import connected_components
 
 SEED = 42
-TILE = 1024
+TILE, STRIP = 1024, 64
 #: Part counts are 0 to 16; with 2 added on both sides, neighbours' codes never carry over in base 32.
 BASE = 32
 ROUND = 1 << 16
@@ -85,36 +85,70 @@ def part_offsets(radius: int) -> list[int]:
     return sorted(x for x in codes if x >= 0)
 
 
-def forest(n: int, links: np.ndarray) -> np.ndarray:
-    """Of ``links`` (pairs of row numbers, best first), those that join two parts."""
-    root = list(range(n))
+class Forest:
+    """Parts of ``n`` points that links have joined so far."""
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    def __init__(self, n: int):
+        self.root = np.arange(n)
 
-    kept = []
-    for at, (a, b) in enumerate(links.tolist()):
-        a, b = find(a), find(b)
-        if a != b:
-            root[a] = b
-            kept.append(at)
-    return links[kept]
+    def add(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Numbers of the links, in order, that join two parts."""
+        open_ = np.nonzero(self.root[a] != self.root[b])[0]
+        moved: dict[int, int] = {}
 
+        def find(x: int) -> int:
+            while (up := moved.get(x, x)) != x:
+                moved[x] = moved.get(up, up)
+                x = up
+            return x
 
-def nearest(links: np.ndarray, most: int) -> np.ndarray:
-    """Which of ``links`` (best first) are among the first ``most`` of one of their ends."""
-    chosen = np.zeros(len(links), bool)
-    ends = np.concatenate([links[:, 0], links[:, 1]])
-    at = np.concatenate([np.arange(len(links))] * 2)
-    order = np.lexsort((at, ends))
-    ends, at = ends[order], at[order]
-    begins = np.concatenate([[True], ends[1:] != ends[:-1]]) if len(ends) else np.zeros(0, bool)
-    rank = np.arange(len(ends)) - np.nonzero(begins)[0][np.cumsum(begins) - 1] if len(ends) else ends
-    chosen[at[rank < most]] = True
-    return chosen
+        kept = []
+        for at, x, y in zip(open_.tolist(), self.root[a[open_]].tolist(), self.root[b[open_]].tolist()):
+            x, y = find(x), find(y)
+            if x != y:
+                moved[max(x, y)] = min(x, y)
+                kept.append(at)
+        for x in moved:
+            self.root[x] = find(x)
+        self.root = self.root[self.root]
+        return np.array(kept, np.int64)
+
+
+def ranks(ends: np.ndarray) -> np.ndarray:
+    """How many earlier links have the same end."""
+    order = np.argsort(ends, kind="stable")
+    ends = ends[order]
+    begins = np.ones(len(ends), bool)
+    begins[1:] = ends[1:] != ends[:-1]
+    out = np.empty(len(ends), np.int64)
+    out[order] = np.arange(len(ends)) - np.nonzero(begins)[0][np.cumsum(begins) - 1] if len(ends) else 0
+    return out
+
+
+def linked(x: np.ndarray, y: np.ndarray, same: bool, radius: int, more: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two tiles' fingerprints, by number: a spanning forest and ``more`` of the closest of each.
+
+    ``x`` is taken in strips, so what is held stays small however dense the links are.
+    """
+    parts = Forest(len(x) if same else len(x) + len(y))
+    taken = np.zeros(len(y), np.int64)
+    out_a, out_b = [], []
+    for at in range(0, len(x), STRIP):
+        far = np.bitwise_count(x[at : at + STRIP, None] ^ y[None, :])
+        a, b = np.nonzero(far <= radius)
+        if same:
+            after = b > a + at
+            a, b = a[after], b[after]
+        order = np.argsort(far[a, b], kind="stable")
+        a, b = a[order] + at, b[order]
+        keep = np.zeros(len(a), bool)
+        keep[parts.add(a, b if same else b + len(x))] = True
+        if more:
+            keep |= (ranks(a) < more) | (ranks(b) + taken[b] < more)
+            taken += np.bincount(b[keep], minlength=len(y))
+        out_a.append(a[keep])
+        out_b.append(b[keep])
+    return np.concatenate(out_a), np.concatenate(out_b)
 
 
 def tile_links(points: DataFrame, offsets: list[int], radius: int, tile: int = TILE, more: int = 0) -> DataFrame:
@@ -126,8 +160,8 @@ def tile_links(points: DataFrame, offsets: list[int], radius: int, tile: int = T
     pair of opposite neighbours.
     """
     cells = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("long").alias("cuts"))
-    # Cells are few by their making (at most 17 ** 4), whatever the rows, so the planner may broadcast them.
-    cut = points.join(cells, "cell").withColumn("cut", F.pmod(F.xxhash64("fp"), "cuts"))
+    # Cells are few by their making, whatever the rows: at most 17 ** 4 of part counts, a few hundred of size bands.
+    cut = points.join(F.broadcast(cells), "cell").withColumn("cut", F.pmod(F.xxhash64("fp"), "cuts"))
     tiles = stored(cut.groupBy("cell", "cut").agg(F.collect_list(F.struct("fp", "node")).alias("rows")))
     left = tiles.select(
         F.col("rows").alias("a"), F.col("cell").alias("own"), F.col("cut").alias("cut_a"),
@@ -143,22 +177,13 @@ def tile_links(points: DataFrame, offsets: list[int], radius: int, tile: int = T
             for i in range(batch.num_rows):
                 a, b = batch.column(0)[i].values, batch.column(1)[i].values
                 x, y = (t.field("fp").to_numpy(zero_copy_only=False).view(np.uint64) for t in (a, b))
-                nodes = np.concatenate([t.field("node").to_numpy(zero_copy_only=False) for t in (a, b)])
-                same, found = batch.column(2)[i].as_py(), []
-                for at in range(0, len(x), 256):
-                    far = np.bitwise_count(x[at : at + 256, None] ^ y[None, :])
-                    r, c = np.nonzero(far <= radius)
-                    keep = c > r + at if same else slice(None)
-                    found.append(np.column_stack([far[r, c][keep], r[keep] + at, c[keep] + (0 if same else len(x))]))
-                pairs = np.concatenate(found).astype(np.int64)
-                pairs = pairs[np.argsort(pairs[:, 0], kind="stable"), 1:]
-                trees = forest(len(nodes), pairs)
-                pairs = np.unique(np.concatenate([trees, pairs[nearest(pairs, more)]]), axis=0) if more else trees
-                us.append(nodes[pairs[:, 0]])
-                vs.append(nodes[pairs[:, 1]])
+                nodes = [t.field("node").to_numpy(zero_copy_only=False) for t in (a, b)]
+                p, q = linked(x, y, batch.column(2)[i].as_py(), radius, more)
+                us.append(nodes[0][p])
+                vs.append(nodes[1][q])
             yield pa.record_batch([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
 
-    small_batches(points.sparkSession, 64)
+    small_batches(points.sparkSession, 16)
     return met.mapInArrow(run, "u long, v long")
 
 
