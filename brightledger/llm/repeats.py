@@ -22,6 +22,8 @@ Equality is decided by 64-bit hashes of whole phrases or windows. A null id is l
 
 from __future__ import annotations
 
+import gc
+import time
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -31,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from brightledger.llm.common import shuffle_parts, small_batches, stored, texts
 from brightledger.llm.spans import Hashed, mixed
@@ -43,8 +46,7 @@ NO_ID = np.iinfo(np.int64).max
 WITNESS = np.uint32(2**32 - 1)
 
 ANCHOR, SETTLED, NEEDED, WINDOW = 0, 1, 2, 3  # what a packed row holds
-ROWS = "part int, shard int, kind int, doc binary, version binary, pos binary, gram binary, phrase binary"
-NAMES = [f.split()[0] for f in ROWS.split(", ")]
+ROWS = "part int, shard int, kind int, columns binary"
 KINDS = {"doc": np.int64, "version": np.uint32, "pos": np.uint32, "gram": np.uint32, "phrase": np.uint64}
 TEXT_ROWS = "shard int, doc binary, size binary, packed binary"
 
@@ -59,43 +61,69 @@ class Rule:
     anchors: Callable  # (Hashed, bounds) -> positions, gram hashes
 
 
-# --- packed rows
+# --- packed rows: columns byte by byte, ids as differences, so that what repeats compresses
+
+
+def _encoded(columns: dict[str, np.ndarray], at: np.ndarray) -> bytes:
+    planes = []
+    for name, values in columns.items():
+        v = values[at].astype(KINDS[name])
+        if name == "doc":
+            v = np.diff(v, prepend=np.int64(0))  # wraps for far ids, and back when they are summed
+        planes.append(np.ascontiguousarray(v.view(np.uint8).reshape(len(v), -1).T).tobytes())
+    return len(at).to_bytes(4, "little") + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _decoded(data: bytes, names: list[str]) -> dict[str, np.ndarray]:
+    n = int.from_bytes(data[:4], "little")
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[4:]), np.uint8)
+    out, at = {}, 0
+    for name in names:
+        width = np.dtype(KINDS[name]).itemsize
+        out[name] = np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).view(KINDS[name]).reshape(n)
+        at += n * width
+    out["doc"] = np.cumsum(out["doc"])
+    return out
 
 
 def _cells(columns: dict[str, np.ndarray], order: np.ndarray, key: np.ndarray):
-    """Slices of ``order`` with equal ``key`` (already in that order), as ``(key, {name: bytes})``."""
+    """Slices of ``order`` with equal ``key`` (already in that order), as ``(key, packed columns)``."""
     if not len(order):
         return
     cuts = np.concatenate([[0], np.nonzero(np.diff(key))[0] + 1, [len(key)]])
     for a, b in zip(cuts[:-1], cuts[1:]):
-        at = order[a:b]
-        yield int(key[a]), {name: values[at].tobytes() for name, values in columns.items()}
+        yield int(key[a]), _encoded(columns, order[a:b])
 
 
-def _batch(rows: list[dict]) -> pa.RecordBatch:
-    kinds = [pa.int32()] * 3 + [pa.binary()] * 5
-    return pa.record_batch([pa.array([r.get(n, b"") for r in rows], k) for n, k in zip(NAMES, kinds)], NAMES)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    part, shard, kind, columns = zip(*rows) if rows else ((),) * 4
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    return pa.record_batch([pa.array(c, k) for c, k in zip((part, shard, kind, columns), kinds)], ["part", "shard", "kind", "columns"])
 
 
 def _shards_of(doc: np.ndarray, shards: int) -> np.ndarray:
     return (mixed(doc.view(np.uint64)) % np.uint64(shards)).astype(np.int32)
 
 
-def _by_shard(kind: int, columns: dict[str, np.ndarray], shards: int, parts: int) -> list[dict]:
+PLACE = ["doc", "version", "pos"]
+
+
+def _by_shard(kind: int, columns: dict[str, np.ndarray], shards: int, parts: int) -> list[tuple]:
     """Rows of positions for the documents' shards; they pass through part ``shard % parts``."""
     shard = _shards_of(columns["doc"], shards)
     order = np.lexsort((columns["pos"], columns["doc"], shard))
-    return [cell | {"shard": s, "part": s % parts, "kind": kind} for s, cell in _cells(columns, order, shard[order])]
+    return [(s % parts, s, kind, packed) for s, packed in _cells({k: columns[k] for k in PLACE}, order, shard[order])]
 
 
-def _by_part(kind: int, columns: dict[str, np.ndarray], part: np.ndarray) -> list[dict]:
+def _by_part(kind: int, columns: dict[str, np.ndarray], part: np.ndarray) -> list[tuple]:
     order = np.lexsort((columns["pos"], columns["doc"], part))
-    return [cell | {"part": p, "shard": 0, "kind": kind} for p, cell in _cells(columns, order, part[order])]
+    return [(p, 0, kind, packed) for p, packed in _cells(columns, order, part[order])]
 
 
 def _joined(table: pa.Table, kind: int, names: list[str]) -> dict[str, np.ndarray]:
     table = table.filter(pc.equal(table.column("kind"), kind))
-    return {n: np.frombuffer(b"".join(table.column(n).to_pylist()), KINDS[n]) for n in names}
+    found = [_decoded(data, names) for data in table.column("columns").to_pylist()]
+    return {n: np.concatenate([f[n] for f in found]) if found else np.zeros(0, KINDS[n]) for n in names}
 
 
 def _firsts(*keys: np.ndarray) -> np.ndarray:
@@ -120,8 +148,10 @@ def text_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return ids.fill_null(NO_ID).to_numpy().astype(np.int64), data, at - at[0]
 
 
-def _versions(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Tells rows of one id apart."""
+def _versions(data: np.ndarray, bounds: np.ndarray, unique: bool) -> np.ndarray:
+    """Tells rows of one id apart; all alike where ids are unique."""
+    if unique:
+        return np.zeros(len(bounds) - 1, np.uint32)
     view = memoryview(np.ascontiguousarray(data))
     return np.array([zlib.crc32(view[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], np.uint32)
 
@@ -170,7 +200,7 @@ def _unpacked(table: pa.Table):
 # --- step 1
 
 
-def _dealt_anchors(rule: Rule, parts: int, shards: int):
+def _dealt_anchors(rule: Rule, parts: int, shards: int, unique: bool, many: int = MANY_PHRASES):
     def flush(held):
         doc, version, pos, gram, phrase = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((doc, phrase, gram))
@@ -182,10 +212,10 @@ def _dealt_anchors(rule: Rule, parts: int, shards: int):
         place = {"doc": doc, "version": version, "pos": pos}
         rows = _by_shard(SETTLED, {k: v[settled] for k, v in place.items()}, shards, parts)
         at = np.cumsum(new_gram) - 1
-        many = np.bincount(at[new_phrase], minlength=at[-1] + 1)[at] > MANY_PHRASES
-        rows += _by_shard(NEEDED, {k: v[many & ~settled] for k, v in place.items()}, shards, parts)
-        witness = many & new_gram
-        sent = ~settled & ~many | witness
+        hot = np.bincount(at[new_phrase], minlength=at[-1] + 1)[at] > many
+        rows += _by_shard(NEEDED, {k: v[hot & ~settled] for k, v in place.items()}, shards, parts)
+        witness = hot & new_gram
+        sent = ~settled & ~hot | witness
         pos = np.where(witness, WITNESS, pos)
         part = (gram >> np.uint64(32)) % np.uint64(parts)
         columns = place | {"pos": pos, "gram": gram.astype(np.uint32), "phrase": phrase}
@@ -196,7 +226,7 @@ def _dealt_anchors(rule: Rule, parts: int, shards: int):
         held, n = [], 0
         for batch in batches:
             ids, data, text_bounds = text_arrays(batch)
-            versions = _versions(data, text_bounds)
+            versions = _versions(data, text_bounds, unique)
             tokens, bounds = rule.tokens(data, text_bounds)
             if not len(tokens):
                 continue
@@ -226,7 +256,7 @@ def _settled_phrases(parts: int, shards: int):
     def run(table: pa.Table) -> pa.Table:
         rows = []
         for kind in (SETTLED, NEEDED):
-            passing = _joined(table, kind, ["doc", "version", "pos"])
+            passing = _joined(table, kind, PLACE)
             rows += _by_shard(kind, passing, shards, parts)
         a = _joined(table, ANCHOR, ["doc", "version", "pos", "gram", "phrase"])
         order = np.lexsort((a["doc"], a["phrase"], a["gram"]))
@@ -244,7 +274,7 @@ def _settled_phrases(parts: int, shards: int):
             settled = (doc > least) & ~witness
             needed = ~settled & several[at] & ~witness
             for kind, chosen in ((SETTLED, settled), (NEEDED, needed)):
-                rows += _by_shard(kind, {k: a[k][chosen] for k in ("doc", "version", "pos")}, shards, parts)
+                rows += _by_shard(kind, {k: a[k][chosen] for k in PLACE}, shards, parts)
         return pa.Table.from_batches([_batch(rows)])
 
     return run
@@ -257,7 +287,7 @@ class Places:
     """Positions of a shard, by document."""
 
     def __init__(self, table: pa.Table, kinds: tuple[int, ...]):
-        found = {kind: _joined(table, kind, ["doc", "version", "pos"]) for kind in kinds}
+        found = {kind: _joined(table, kind, PLACE) for kind in kinds}
         self.found = {}
         for kind, c in found.items():
             order = np.lexsort((c["version"], c["doc"]))
@@ -279,7 +309,7 @@ def _starts(rule: Rule, anchors: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
-def _dealt_windows(rule: Rule, parts: int, shards: int):
+def _dealt_windows(rule: Rule, parts: int, shards: int, unique: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         places = Places(right, (SETTLED, NEEDED))
         held = []
@@ -289,7 +319,7 @@ def _dealt_windows(rule: Rule, parts: int, shards: int):
                 if int(ids[i]) not in wanted:
                     continue
                 text = data[text_bounds[i] : text_bounds[i + 1]]
-                version = zlib.crc32(text)
+                version = 0 if unique else zlib.crc32(text)
                 need = places.of(NEEDED, ids[i], version)
                 if not len(need):
                     continue
@@ -323,11 +353,11 @@ def _settled_windows(doc: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, n
 
 def _least_windows(parts: int, shards: int):
     def run(table: pa.Table) -> pa.Table:
-        rows = _by_shard(WINDOW, _joined(table, WINDOW, ["doc", "version", "pos"]), shards, parts)
+        rows = _by_shard(WINDOW, _joined(table, WINDOW, PLACE), shards, parts)
         w = _joined(table, ANCHOR, ["doc", "version", "pos", "phrase"])
         settled, order = _settled_windows(w["doc"], w["phrase"])
         chosen = order[settled]
-        rows += _by_shard(WINDOW, {k: w[k][chosen] for k in ("doc", "version", "pos")}, shards, parts)
+        rows += _by_shard(WINDOW, {k: w[k][chosen] for k in PLACE}, shards, parts)
         return pa.Table.from_batches([_batch(rows)])
 
     return run
@@ -336,7 +366,7 @@ def _least_windows(parts: int, shards: int):
 # --- step 5
 
 
-def _written(rule: Rule, names: list[str], kinds: list, finish: Callable):
+def _written(rule: Rule, unique: bool, names: list[str], kinds: list, finish: Callable):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         places = Places(right, (SETTLED, WINDOW))
         ids_out, out = [], []
@@ -345,7 +375,7 @@ def _written(rule: Rule, names: list[str], kinds: list, finish: Callable):
                 text = data[bounds[i] : bounds[i + 1]]
                 covered = None
                 if int(ids[i]) in places.known:
-                    version = zlib.crc32(text)
+                    version = 0 if unique else zlib.crc32(text)
                     phrases, windows = places.of(SETTLED, ids[i], version), places.of(WINDOW, ids[i], version)
                     if len(phrases) or len(windows):
                         n = len(rule.tokens(text, np.array([0, len(text)]))[0])
@@ -370,20 +400,32 @@ def without_repeats(docs: DataFrame, rule: Rule, schema: str, names: list[str],
     ``covered`` tells for each token whether a window that a smaller document has too holds it; None: none.
     """
     spark = docs.sparkSession
-    parts = shards = 4 * shuffle_parts(spark)
+    parts = shards = 2 * shuffle_parts(spark)
     rows = texts(docs, id_col, text_col)
+    unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     small_batches(spark, 200)
-    anchors = rows.mapInArrow(_dealt_anchors(rule, parts, shards), ROWS)
-    phrases = stored(anchors.groupBy("part").applyInArrow(_settled_phrases(parts, shards), ROWS))
+
+    def dealt() -> DataFrame:
+        anchors = rows.mapInArrow(_dealt_anchors(rule, parts, shards, unique), ROWS)
+        return stored(anchors.groupBy("part").applyInArrow(_settled_phrases(parts, shards), ROWS))
+
+    def compared(phrases: DataFrame) -> DataFrame:
+        sides = packed_texts(rows, shards).groupBy("shard"), phrases.groupBy("shard")
+        windows = sides[0].cogroup(sides[1]).applyInArrow(_dealt_windows(rule, parts, shards, unique), ROWS)
+        return stored(windows.groupBy("part").applyInArrow(_least_windows(parts, shards), ROWS))
+
+    phrases = dealt()
     release(spark)
-    packed = packed_texts(rows, shards)
-    windows = packed.groupBy("shard").cogroup(phrases.groupBy("shard")).applyInArrow(_dealt_windows(rule, parts, shards), ROWS)
-    least = stored(windows.groupBy("part").applyInArrow(_least_windows(parts, shards), ROWS))
+    least = compared(phrases)
     release(spark)
     settled = phrases.where(f"kind = {SETTLED}").unionByName(least)
-    return packed.groupBy("shard").cogroup(settled.groupBy("shard")).applyInArrow(_written(rule, names, kinds, finish), schema)
+    sides = packed_texts(rows, shards).groupBy("shard"), settled.groupBy("shard")
+    return sides[0].cogroup(sides[1]).applyInArrow(_written(rule, unique, names, kinds, finish), schema)
 
 
 def release(spark) -> None:
-    """Lets Spark's cleaner drop the shuffle files of finished steps, rather than at its next full collection."""
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark's cleaner drop the shuffle files of finished steps now, rather than at a later full collection."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

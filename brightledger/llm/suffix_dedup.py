@@ -27,7 +27,7 @@ from brightledger.llm.repeats import Rule, without_repeats
 from brightledger.llm.spans import BYTE_TOKENS, local_minima, mixed, stretches
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 
 
 def _tokens(data, bounds):
