@@ -391,3 +391,25 @@ def text_issues(col: Column | str, terms: Sequence[str] = tuple(TERMS)) -> Colum
             F.when(t.rlike(r"(?U)[^\w\s.,;:()\-%]"), "special_characters"),
         )
     )
+
+
+#: Words of the item buckets that a statement is looked through for (fixed values).
+ITEM_BUCKETS = {"revenue": ("매출", "수익"), "assets": ("자산",), "liabilities": ("부채",), "equity": ("자본",), "profit": ("이익", "순이익")}
+
+
+def item_bucket(col: Column | str, buckets: dict[str, Sequence[str]] = ITEM_BUCKETS) -> Column:
+    """The first bucket one of whose words a label has."""
+    found = F.when(F.lit(False), "")
+    for name, words in buckets.items():
+        found = found.when(any_of(_c(col), words), name)
+    return found
+
+
+def without_continued(col: Column | str, markers: Sequence[str]) -> Column:
+    """Text without "continued" markers: null where it is nothing else, else with the marker taken out."""
+    c = _c(col)
+    whole = F.lit(False)
+    for m in markers:
+        whole = whole | c.rlike(rf"^\s*(?:{m})\s*$")
+        c = F.regexp_replace(c, m, "")
+    return F.when(~whole, stripped(c))

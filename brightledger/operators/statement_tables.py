@@ -112,3 +112,42 @@ def section_scores(tables: DataFrame, indicators: dict[str, Sequence[str]], key:
     scores = [F.struct(sum((low.contains(w).cast("int") for w in words), F.lit(0)).alias("score"), F.lit(-i).alias("order"), F.lit(code).alias("code")) for i, (code, words) in enumerate(indicators.items())]
     best = F.array_max(F.array(*scores))
     return tables.select(key, F.when(best["score"] > 0, best["code"]).alias("section_code"), best["score"].alias("score"))
+
+
+def row_units(cells: DataFrame) -> DataFrame:
+    """Per row: the unit of the first cell that carries a unit remark."""
+    unit = F.regexp_extract("text", r"\(\s*단위\s*[:：]\s*([^)]+)\)", 1)
+    marked = cells.withColumn("__unit", F.when(unit != "", F.trim(unit)))
+    return marked.groupBy(*ROW).agg(F.min_by("__unit", F.when(F.col("__unit").isNotNull(), F.col("col_index"))).alias("unit")).where("unit is not null")
+
+
+def table_units(cells: DataFrame, most_rows: int = 6, most_columns: int = 4, most_numbers: float = 0.2) -> DataFrame:
+    """Per table: the unit of its first row, else, for small tables with few numbers, of its body."""
+    unit = F.regexp_extract("text", r"\(\s*단위\s*[:：]\s*([^)]+)\)", 1)
+    at = F.struct("row_index", "col_index")
+    marked = cells.withColumn("__unit", F.when(unit != "", F.trim(unit)))
+    has = F.col("__unit").isNotNull()
+    out = marked.groupBy("table_id").agg(
+        F.min_by("__unit", F.when(has & (F.col("row_index") == 0), at)).alias("head"), F.min_by("__unit", F.when(has, at)).alias("body"),
+        F.count_distinct("row_index").alias("rows"), F.count_distinct("col_index").alias("columns"), F.avg(financial_value("text").isNotNull().cast("int")).alias("numbers"),
+    )
+    anchor = (F.col("rows") <= most_rows) & (F.col("columns") <= most_columns) & (F.col("numbers") < most_numbers)
+    return out.select("table_id", F.coalesce("head", F.when(anchor, F.col("body"))).alias("unit"))
+
+
+def table_summary(meta: DataFrame) -> DataFrame:
+    """Totals, averages and the largest of all tables (one row per status)."""
+    return meta.groupBy("status").agg(
+        F.count(F.lit(1)).alias("tables"), F.sum("row_count").alias("rows"), F.round(F.avg("column_count"), 6).alias("avg_columns"), F.max(F.struct("row_count", (-F.col("table_id")).alias("t"))).alias("__m")
+    ).withColumn("largest", -F.col("__m.t")).drop("__m")
+
+
+def note_link_statistics(links: DataFrame, section: str, note: str) -> DataFrame:
+    """Links by section: how many, and to how many notes."""
+    return links.groupBy(section).agg(F.count(F.lit(1)).alias("links"), F.count_distinct(note).alias("notes"))
+
+
+def out_of_order(df: DataFrame, key: str, pos: str, number: str) -> DataFrame:
+    """Numbered sections whose number is smaller than that before it."""
+    before = F.lag(number).over(W.partitionBy(key).orderBy(pos))
+    return df.withColumn("previous_number", before).where(F.col("previous_number") > F.col(number))

@@ -6,7 +6,7 @@ import importlib
 
 #: Modules with queries; each uses ``query`` below.
 MODULES = (
-    "trend_queries", "graph_queries", "hierarchy_queries", "relation_queries", "text_queries", "note_queries", "summary_queries", "report_queries",
+    "trend_queries", "graph_queries", "hierarchy_queries", "relation_queries", "text_queries", "note_queries", "summary_queries", "report_queries", "coverage_queries",
 )
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
