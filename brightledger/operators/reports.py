@@ -110,6 +110,7 @@ def blocks(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataF
                 out += [(key, *r) for r in reader.rows]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in BLOCKS.split(", ")]).astype({"table_index": "Int32", "row_index": "Int32", "col_index": "Int32"})
 
+    pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")  # pages can be long
     return pages.select(F.col(page).cast("long").alias("page_id"), F.col(html).alias("html")).mapInPandas(run, BLOCKS)
 
 
