@@ -400,7 +400,7 @@ def without_repeats(docs: DataFrame, rule: Rule, schema: str, names: list[str],
     ``covered`` tells for each token whether a window that a smaller document has too holds it; None: none.
     """
     spark = docs.sparkSession
-    parts = shards = 2 * shuffle_parts(spark)
+    parts = shards = shuffle_parts(spark)
     rows = texts(docs, id_col, text_col)
     unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     small_batches(spark, 200)
