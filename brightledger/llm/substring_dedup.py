@@ -64,3 +64,25 @@ def repeated_words(
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_words(read(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50
+), k AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS key FROM s
+), m AS (
+  SELECT key, min(doc_id) AS first FROM k GROUP BY key
+), c AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM k JOIN m USING (key) WHERE doc_id > first
+), t AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d
+), kept AS (
+  SELECT t.doc_id, count(c.p) AS n_removed, string_agg(t.word, ' ' ORDER BY t.p) FILTER (WHERE c.p IS NULL) AS left
+  FROM t LEFT JOIN c ON t.doc_id = c.doc_id AND t.p = c.p GROUP BY t.doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.left, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""

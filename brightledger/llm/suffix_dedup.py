@@ -64,3 +64,32 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(read(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents
+), b AS (
+  SELECT doc_id, n, o, substring(h, 2 * o + 1, 2098) AS h FROM (SELECT doc_id, n, h, unnest(range(0, n, 1000)) AS o FROM d)
+), s AS (
+  SELECT doc_id, o, h, unnest(range(1, least(1000, n - 49 - o) + 1)) AS i FROM b WHERE n - o >= 50
+), k AS (
+  SELECT doc_id, o + i AS i, md5(substring(h, 2 * i - 1, 100)) AS key FROM s
+), m AS (
+  SELECT key, min(doc_id) AS first FROM k GROUP BY key
+), c AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM k JOIN m USING (key) WHERE doc_id > first
+), r AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE p <> before + 1 OR before IS NULL) AS n_spans
+  FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM c) GROUP BY doc_id
+), t AS (
+  SELECT doc_id, o + i AS p, substring(h, 2 * i - 1, 2) AS byte
+  FROM (SELECT doc_id, o, h, unnest(range(1, least(1000, n - o) + 1)) AS i FROM b WHERE doc_id IN (SELECT doc_id FROM r))
+), kept AS (
+  SELECT t.doc_id, string_agg(t.byte, '' ORDER BY t.p) AS left
+  FROM t LEFT JOIN c ON t.doc_id = c.doc_id AND t.p = c.p WHERE c.p IS NULL GROUP BY t.doc_id
+)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(r.n_removed, 0) AS n_removed, coalesce(r.n_spans, 0) AS n_spans,
+       sha256(CASE WHEN r.doc_id IS NULL THEN unhex(d.h) ELSE unhex(coalesce(kept.left, '')) END) AS kept_sha256
+FROM d LEFT JOIN r ON d.doc_id = r.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
