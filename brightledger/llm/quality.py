@@ -145,18 +145,18 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     return {"prior": prior} | fit_nnpu(expanded(xs[0]), expanded(xs[1]), prior)
 
 
-def scored(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``docs`` and the ``score`` of its ``text_col``."""
+def scored(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text", out: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the score of its ``text_col``, as ``out``."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches):
         for batch in batches:
             x = np.array([figures(t.as_py()) for t in batch.column(batch.num_columns - 1)], float).reshape(-1, FIGURES)
             s = score(model, x) if "w" in model else np.full(len(x), model["prior"])
-            yield pa.record_batch([*batch.columns[:-1], pa.array(s)], [*keep, "score"])
+            yield pa.record_batch([*batch.columns[:-1], pa.array(s)], [*keep, out])
 
     small_batches(docs.sparkSession)
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, score double")
+    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, `{out}` double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -193,7 +193,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             yield pa.record_batch([pa.array(v, k) for v, k in zip(rows.values(), kinds)], list(rows))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path)
-    small_batches(spark, 1)
+    small_batches(spark, 8)
     return files.select("content").mapInArrow(run, RESULT)
 
 
