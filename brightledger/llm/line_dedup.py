@@ -70,6 +70,16 @@ class LineRuns:
             rows = rows.unionByName(run)
         return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
+    def fresh(self, lines: DataFrame) -> DataFrame:
+        """Lines of a batch whose key no run has yet: merge-anti-joins with the sorted runs, newest level first.
+
+        For corpora that are deduplicated as they arrive: keep the fresh lines, then ``add`` the batch.
+        """
+        for level in self.levels:
+            for run in level:
+                lines = lines.join(run.select(*KEY), KEY, "left_anti")
+        return lines
+
     def repeated(self, min_docs: int) -> DataFrame:
         """Keys that at least ``min_docs`` documents hold, over all levels."""
         runs = [run for level in self.levels for run in level]

@@ -100,3 +100,5 @@ def test_runs_take_later_batches(spark):
     found = runs.repeated(3).collect()
     assert len(found) == 1 and found[0].last_doc == 4
     assert runs.repeated(3).where(F.col("last_doc") == 4).count() == 1
+    later = lines([(200, text), (201, "a line that no earlier batch has had")])
+    assert [r.doc_id for r in runs.fresh(later).collect()] == [201]
