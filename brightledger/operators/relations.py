@@ -74,3 +74,26 @@ def company_rows_from_cells(df: DataFrame, row: list[str], column_name: str, tex
         F.min_by(text, F.when(F.col(text).rlike(r"^\d+(\.\d+)?\s*%$"), F.col(col_index))).alias("percent"),
         F.min_by(text, F.when(is_amount(text), F.col(col_index))).alias("amount"),
     )
+
+
+def all_relations(parts: list[DataFrame], generic: tuple[str, ...] = ()) -> DataFrame:
+    """Relations of several extractions in one table, generic targets left out, merged by pair, type and kind."""
+    from brightledger.operators.upsert import merged_edges
+
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    for column in ("transaction_type", "direction", "ownership_percentage"):
+        if column not in rows.columns:
+            rows = rows.withColumn(column, F.lit(None).cast("double" if column == "ownership_percentage" else "string"))
+    named = rows.where(~F.col("dst_id").cast("string").isin(*generic)) if generic else rows
+    return merged_edges(named, ["src_id", "dst_id", "rel_type", "transaction_type"], "amount", ["direction", "ownership_percentage"], "seq")
+
+
+def company_graph(companies_: DataFrame, parent: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Company nodes with ids by class, and the typed ownership edges from the parent."""
+    from brightledger.functions.ids import sha1_id
+
+    nodes = companies_.select(sha1_id(F.lit(parent), "company_type", name).alias("id"), F.col(name).cast("string").alias("name"), "company_type", "ownership_percentage")
+    edges = nodes.select(sha1_id(F.lit(parent)).alias("src_id"), F.col("id").alias("dst_id"), F.concat(F.lit("has_"), F.lower("company_type")).alias("rel_type"), "ownership_percentage")
+    return nodes, edges.dropDuplicates(["src_id", "dst_id", "rel_type", "ownership_percentage"])

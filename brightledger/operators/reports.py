@@ -145,3 +145,28 @@ def quality_score(sections_: DataFrame, issues: DataFrame, required: int) -> Dat
     section = F.least(F.col("found") / required, F.lit(1.0))
     clean = F.greatest(F.lit(0.0), 1 - 0.05 * F.col("n_issues"))
     return both.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.9 * section + 0.1 * clean)))
+
+
+def subsections(numbered: DataFrame, numbered_heading: Column, section: str = "section_index") -> DataFrame:
+    """Numbers the numbered headings within each section, 0 before the first."""
+    w = W.partitionBy("page_id", section).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    return numbered.withColumn("subsection_index", F.sum(numbered_heading.cast("int")).over(w).cast("int"))
+
+
+def structure_issues(reports_: DataFrame, required: Sequence[str], key: str) -> DataFrame:
+    """``(key, issue)``: required fields that are missing from the schema or null in a row."""
+    missing = [F.lit(f"no_{c}") for c in required if c not in reports_.columns]
+    null = [F.when(F.col(c).isNull(), f"null_{c}") for c in required if c in reports_.columns]
+    return reports_.select(key, F.explode(F.array_compact(F.array(*missing, *null))).alias("issue"))
+
+
+def report_validation(sections_: DataFrame, tables: DataFrame, required: int) -> DataFrame:
+    """Per page: sections found, valid tables, issues, and the score 0.6 sections + 0.3 tables + 0.1 cleanness."""
+    issues = section_issues(sections_).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_issues"))
+    found = sections_.groupBy("page_id").agg(F.count_if(F.col("title").isNotNull()).alias("found"))
+    valid = tables.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_tables"), F.count_if(F.col("status") == "valid").alias("n_valid"))
+    both = found.join(issues, "page_id", "left").join(valid, "page_id", "left").na.fill(0, ["n_issues", "n_tables", "n_valid"])
+    share = F.when(F.col("n_tables") > 0, F.col("n_valid") / F.col("n_tables")).otherwise(0.0)
+    clean = F.greatest(F.lit(0.0), 1 - 0.05 * F.col("n_issues"))
+    score = 0.6 * F.least(F.col("found") / required, F.lit(1.0)) + 0.3 * share + 0.1 * clean
+    return both.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))

@@ -151,3 +151,20 @@ def out_of_order(df: DataFrame, key: str, pos: str, number: str) -> DataFrame:
     """Numbered sections whose number is smaller than that before it."""
     before = F.lag(number).over(W.partitionBy(key).orderBy(pos))
     return df.withColumn("previous_number", before).where(F.col("previous_number") > F.col(number))
+
+
+def inherits_unit(cells: DataFrame, currency: Sequence[str], keywords: Sequence[str], first_rows: int = 5, share: float = 0.15) -> DataFrame:
+    """Whether a table without a unit should take the one before: it has numbers, a currency word near its top, or is financial."""
+    top = F.col("row_index") < first_rows
+    word = any_of(F.lower(F.concat_ws(" ", "column_name", "text")), currency)
+    out = cells.groupBy("table_id").agg(
+        F.avg(financial_value("text").isNotNull().cast("int")).alias("numbers"), F.bool_or(top & word).alias("currency"), F.bool_or(F.coalesce(any_of(F.col("text"), keywords), F.lit(False))).alias("financial")
+    )
+    return out.select("table_id", ((F.col("numbers") >= share) | F.col("currency") | F.col("financial")).alias("inherits"))
+
+
+def extraction_statistics(tables: DataFrame, title: str, is_financial: str, references: str, code: str) -> DataFrame:
+    """Per section title: tables, financial tables, note references and distinct statements."""
+    return tables.groupBy(title).agg(
+        F.count(F.lit(1)).alias("tables"), F.count_if(is_financial).alias("financial_tables"), F.sum(references).alias("references"), F.count_distinct(code).alias("codes")
+    )

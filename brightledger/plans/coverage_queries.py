@@ -276,3 +276,95 @@ def load_counts(spark, d):
     made = build(statements(spark, d))
     frames = [made[t].agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("n")) for t in ("data", "years", "sections")]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+@query(
+    "d5_all_relations",
+    f"""WITH b AS (SELECT l_suppkey AS p, o_custkey AS c, CAST(l_quantity AS DOUBLE) AS a, l_orderkey * 10 + l_linenumber AS seq, l_linenumber AS line FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+r AS (SELECT p AS src_id, c AS dst_id, 'trades_with' AS rel_type, 'sales' AS transaction_type, a AS amount FROM b WHERE line % 2 = 0 UNION ALL SELECT c, p, 'trades_with', 'purchase', a FROM b WHERE line % 2 = 1
+  UNION ALL SELECT c, p, 'owes_to', 'receivable', a FROM b WHERE line = 3)
+SELECT src_id, dst_id, rel_type, transaction_type, max(amount) AS amount FROM r GROUP BY 1, 2, 3, 4""",
+)
+def all_relations(spark, d):
+    """Relations of all kinds, merged by pair and kind."""
+    from brightledger.operators import relations
+    from brightledger.plans.relation_queries import base
+
+    rows = base(spark, d)
+    odd = F.col("line") % 2 == 1
+    trades = relations.trade_relations(rows.withColumns({"s": F.when(~odd, F.col("a")), "b": F.when(odd, F.col("a"))}), "parent", "company", "s", "b")
+    debts = relations.debt_relations(rows.withColumns({"r": F.when(F.col("line") == 3, F.col("a")), "q": F.lit(0.0)}), "parent", "company", "r", "q")
+    return relations.all_relations([trades, debts]).select("src_id", "dst_id", "rel_type", "transaction_type", "amount")
+
+
+@query("d7_company_graph", "SELECT 'has_' || CASE WHEN s_suppkey % 100 >= 50 THEN 'subsidiary' WHEN s_suppkey % 100 >= 20 THEN 'affiliate' ELSE 'special_relation' END AS rel_type, count(*) AS n FROM supplier GROUP BY 1")
+def company_graph(spark, d):
+    """Company nodes and typed ownership edges, by type."""
+    from brightledger.operators import relations
+
+    s = table(spark, d, "supplier").select(F.col("s_name").alias("name"), (F.col("s_suppkey") % 100).cast("double").alias("p"), F.lit("x").alias("k"), F.col("s_suppkey").alias("seq"))
+    _, edges = relations.company_graph(relations.companies(s, "name", "p", "k", "seq"), "parent", "name")
+    return edges.groupBy("rel_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("d13_note_nodes", f"WITH {NOTES_SQL}, k AS (SELECT DISTINCT company, year, note_number FROM notes WHERE length(trim(content)) >= 20) SELECT sha1(lower(company) || '|' || CAST(year AS VARCHAR) || '|' || CAST(note_number AS VARCHAR)) AS id, year, note_number FROM k")
+def note_nodes(spark, d):
+    """Note nodes of merged notes, with their ids."""
+    from brightledger.operators import notes as N
+
+    merged = N.merge_notes(notes(spark, d), ["company", "year"], "note_number", "seq", "content")
+    return merged.select(node_id("note").alias("id"), "year", "note_number")
+
+
+@query("d12_audit_nodes", "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CASE o_orderkey % 2 WHEN 0 THEN '한정의견' ELSE '적정의견' END AS opinion, count(*) AS n FROM orders GROUP BY 1, 2")
+def audit_nodes(spark, d):
+    """Audit sections by year and opinion."""
+    t = F.concat_ws(" ", F.date_format("o_orderdate", "yyyy-MM-dd"), F.when(F.col("o_orderkey") % 2 == 0, "한정의견").otherwise("감사의견"))
+    o = table(spark, d, "orders").select(t.alias("content"))
+    g = o.groupBy(F.substring(T.iso_date("content"), 1, 4).cast("int").alias("year"), T.audit_opinion("content").alias("opinion"))
+    return g.agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("h21_inherits_unit", f"WITH {CELLS_SQL} SELECT DISTINCT table_id, true AS inherits FROM cells")
+def inherits_unit(spark, d):
+    """Tables that should take the unit before them."""
+    return statement_tables.inherits_unit(cells(spark, d), ("기", "krw"), ("자산",))
+
+
+@query("a21_extraction_statistics", "SELECT o_orderpriority AS title, count(*) AS tables, count(*) FILTER (WHERE o_orderstatus = 'F') AS financial_tables, CAST(sum(o_custkey % 3) AS BIGINT) AS \"references\", count(DISTINCT o_orderstatus) AS codes FROM orders GROUP BY 1")
+def extraction_statistics(spark, d):
+    """What was found under each section title."""
+    o = table(spark, d, "orders").select(F.col("o_orderpriority").alias("title"), (F.col("o_orderstatus") == "F").alias("is_financial"), (F.col("o_custkey") % 3).alias("n_references"), F.col("o_orderstatus").alias("code"))
+    return statement_tables.extraction_statistics(o, "title", "is_financial", "n_references", "code")
+
+
+@query("v9_structure_issues", "SELECT o_orderkey, 'null_priority' AS issue FROM orders WHERE o_orderkey % 11 = 0 UNION ALL SELECT o_orderkey, 'no_sections' FROM orders")
+def structure_issues(spark, d):
+    """Reports that lack a field."""
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")).alias("priority"))
+    return reports.structure_issues(o, ["priority", "sections"], "o_orderkey")
+
+
+@query("v11_report_validation")
+def report_validation(spark, d):
+    """A score for every page from its sections and tables."""
+    heading = F.col("tag").isin("h1", "h2", "h3")
+    b = reports.blocks(table(spark, d, "pages"))
+    s = reports.section_contents(reports.sections(b, heading), heading)
+    t = b.where("table_index is not null").select("page_id", "table_index", F.lit("valid").alias("status")).distinct()
+    return reports.report_validation(s, t, 2).select("page_id", F.round("score", 6).alias("score"))
+
+
+@query("p7_conditional_projection", "SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 'large' WHEN o_totalprice > 50000 THEN 'middle' ELSE 'small' END AS size, o_orderstatus IN ('F', 'O') AND o_totalprice > 1000 AS chosen FROM orders")
+def conditional_projection(spark, d):
+    """Cases and predicates in a projection."""
+    v = F.col("o_totalprice")
+    return table(spark, d, "orders").select("o_orderkey", F.when(v > 200000, "large").when(v > 50000, "middle").otherwise("small").alias("size"), (F.col("o_orderstatus").isin("F", "O") & (v > 1000)).alias("chosen"))
+
+
+@query("h7_subsections", "SELECT page_id, len(regexp_extract_all(html, '<p>')) AS paragraphs FROM pages")
+def page_subsections(spark, d):
+    """Paragraphs counted as subsections of their page."""
+    b = reports.sections(reports.blocks(table(spark, d, "pages")), F.col("tag") == "article")
+    n = reports.subsections(b.where("tag = 'p'"), F.lit(True)).groupBy("page_id").agg(F.max("subsection_index").alias("paragraphs"))
+    return table(spark, d, "pages").select("page_id").join(n, "page_id", "left").na.fill(0, ["paragraphs"]).withColumn("paragraphs", F.col("paragraphs").cast("long"))
