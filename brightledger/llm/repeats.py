@@ -40,6 +40,8 @@ from brightledger.llm.spans import Hashed, mixed
 
 FLUSH_ANCHORS = 1_000_000
 FLUSH_BYTES = 16_000_000
+#: Texts of so many bytes are hashed at once (or a single longer one); a byte takes about 60 while it is.
+SLICE_BYTES = 2_000_000
 #: A gram with more phrases than this in one task is witnessed only, and all its windows are compared.
 MANY_PHRASES = 32
 NO_ID = np.iinfo(np.int64).max
@@ -190,6 +192,15 @@ def packed_texts(docs: DataFrame, shards: int) -> DataFrame:
     return docs.mapInArrow(run, TEXT_ROWS)
 
 
+def _slices(ids: np.ndarray, data: np.ndarray, bounds: np.ndarray):
+    """``(ids, bytes, bounds)`` of runs of texts, each of bounded size."""
+    first = 0
+    while first < len(ids):
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + SLICE_BYTES, "right")) - 1)
+        yield ids[first:last], data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
+        first = last
+
+
 def _unpacked(table: pa.Table):
     """``(ids, bytes, bounds)`` of each packed row."""
     for doc, size, packed in zip(*(table.column(c).to_pylist() for c in ("doc", "size", "packed"))):
@@ -224,8 +235,7 @@ def _dealt_anchors(rule: Rule, parts: int, shards: int, unique: bool, many: int
 
     def run(batches):
         held, n = [], 0
-        for batch in batches:
-            ids, data, text_bounds = text_arrays(batch)
+        for ids, data, text_bounds in (part for batch in batches for part in _slices(*text_arrays(batch))):
             versions = _versions(data, text_bounds, unique)
             tokens, bounds = rule.tokens(data, text_bounds)
             if not len(tokens):
