@@ -30,6 +30,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return linked.where("u > v").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one link to a smaller one at most, and none goes on from there."""
+    if not edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return False
+    return edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node with a link; ``edges`` has two long columns ``u`` and ``v``.
 
@@ -38,12 +45,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = stored(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
-    seen = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
+    while not _are_stars(now):
         now = stored(_star(_star(now, large=True), large=False))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
