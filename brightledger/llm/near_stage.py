@@ -1,14 +1,22 @@
-"""Near-duplicate groups for the corpus pipeline: SimHash candidates, verified on word shingles.
+"""Near-duplicate groups for the corpus pipeline: an exact join of shingle sets, candidates by prefixes.
 
-Fingerprints over five-word shingles that agree in 80 % of their bits, give or take two (14 of 64 may differ), are
-candidates, found by the tiled comparison; a link counts when the documents' sets of shingles have a Jaccard similarity of
-0.8 or more. Two sets as alike differ in size by at most that factor, so tiles are also cut by size, and only
-neighbouring sizes meet. Candidates are the eight closest links of each document in a pair of tiles and a forest,
-closest fingerprints first, of all others: linear in the documents, however many copies a group has.
+A text is its set of distinct five-word shingles; two documents are near copies when their sets have a Jaccard
+similarity of 0.8 or more, and groups are the connected components of these pairs. No such pair is missed, but for
+clashes of 64-bit shingle hashes. Under one order of all shingles, sets of n and m shingles as alike share a shingle
+among the first ``n - ceil(0.8 n) + 1`` and ``m - ceil(0.8 m) + 1`` of each (prefixes); so documents meet only at the
+shingles of their prefixes. The order puts shingles that a sample of documents repeats last: it decides how many
+documents meet in vain, never which pairs are found.
+
+1. Equal sets (by SHA-256) are one node; nothing is left to verify there.
+2. At each prefix shingle, documents of about one size are linked to the smallest of them, and the links verified: copies
+   of one text are joined by links that are linear in their number.
+3. All other pairs that meet and that no verified links join yet are verified too, unless their sizes or the number of
+   prefix shingles that they share rule out 0.8. At a shingle, pairs within its largest group are never formed.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -18,22 +26,13 @@ from pyspark.sql import functions as F
 
 from brightledger.llm.common import small_batches, stored, texts
 from brightledger.llm.components import connected_components
-from brightledger.llm.simhash import fingerprints, shingle_hashes, tile_links
+from brightledger.llm.simhash import shingle_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
-MARGIN, CLOSEST = 2, 8
-BITS = 13  # population counts of neighbouring tiles
-SIZES = 1 << 20
-
-
-def size_cells(radius: int) -> tuple:
-    """The cell of a fingerprint (band of its set's size, band of its population count), and the half of its neighbours."""
-    # A pair within the similarity lies in the same band of sizes or in the next one; one band more covers rounding.
-    band = F.floor(F.log(F.greatest("n_shingles", F.lit(1)).cast("double")) / F.lit(-math.log(SIMILARITY)) + F.lit(1e-9)).cast("long")
-    count = F.floor(F.bit_count("fp") / F.lit(BITS)).cast("long")
-    steps = math.ceil(radius / BITS)
-    half = [b * SIZES + c for b in (0, 1) for c in range(-steps, steps + 1)]
-    return band * SIZES + count, sorted(x for x in half if x >= 0)
+#: Documents sampled for the order of shingles, and shingles that are put last at most; results do not depend on them.
+SAMPLE, FREQUENT = 8_000, 100_000
+#: Covers rounding where a bound on whole numbers is computed in doubles; it only lets more pairs be verified.
+ROUNDING = 1e-6
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -48,22 +47,114 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """``(doc_id, component)`` of every document with a near copy; the component is the smallest doc_id of its group."""
-    radius = int(64 * (1 - similarity) + 1e-9) + MARGIN
-    rows = texts(docs).where("doc_id is not null")
-    prints = stored(fingerprints(rows, size))
-    # Documents with equal fingerprints and sets of one size stand for each other until verified against their first.
-    nodes = stored(prints.groupBy("fp", "n_shingles").agg(F.min("doc_id").alias("node")))
-    cell, offsets = size_cells(radius)
-    near = tile_links(nodes.withColumn("cell", cell), offsets, radius, more=CLOSEST)
-    same = prints.join(nodes, ["fp", "n_shingles"]).where("doc_id > node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    links = stored(near.unionByName(same).distinct())
+def frequent(docs: DataFrame, size: int, sample: int = SAMPLE, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a sample of the documents repeats, sorted, and how many of them have each."""
+    step = max(1, docs.count() // max(1, sample))
+    some = shingle_sets(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0), size)
+    counts = some.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    rows = counts.orderBy(F.desc("n"), "s").limit(most).collect()
+    keys = np.array([r.s for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.array([r.n for r in rows], np.int64)[order]
+
+
+def prefix_length(n: int, similarity: float) -> int:
+    return n - math.ceil(similarity * n - ROUNDING) + 1 if n else 0
+
+
+def prefixes(docs: DataFrame, size: int, similarity: float, last: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``(doc_id, n, digest, prefix)`` of each text's set of shingles."""
+    keys, counts = last
+
+    def run(batches):
+        for batch in batches:
+            ns, digests, firsts = [], [], []
+            for text in batch.column(1):
+                own = np.unique(shingle_hashes(text.as_py() or "", size))
+                ns.append(len(own))
+                digests.append(hashlib.sha256(own.astype("<u8").tobytes()).digest())
+                k = prefix_length(len(own), similarity)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                    own = own[np.argsort(np.where(keys[at] == own, counts[at], 0), kind="stable")]
+                firsts.append(own[:k].view(np.int64))
+            columns = [batch.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, ["doc_id", "n", "digest", "prefix"])
+
+    small_batches(docs.sparkSession, 200)
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, digest binary, prefix array<long>")
+
+
+def possible(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Distinct ``(u, v)`` of rows ``(u, v, n_u, n_v)``, one for each shared prefix shingle, that can be alike."""
+    counted = pairs.groupBy("u", "v", "n_u", "n_v").agg(F.count(F.lit(1)).alias("shared"))
+    # What sets share is in both prefixes, or past the prefix that ends first.
+    rest = F.ceil(F.lit(similarity) * F.greatest("n_u", "n_v") - F.lit(ROUNDING)) - 1
+    needed = F.lit(similarity / (1 + similarity)) * (F.col("n_u") + F.col("n_v"))
+    return counted.where(F.col("shared") + rest >= needed - F.lit(ROUNDING)).select("u", "v").distinct()
+
+
+def sizes_agree(similarity: float):
+    return F.least("n_u", "n_v") >= F.lit(similarity) * F.greatest("n_u", "n_v") - F.lit(ROUNDING)
+
+
+def verified(links: DataFrame, rows: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The links ``(u, v)`` whose documents' sets are as alike."""
     ends = links.select(F.col("u").alias("doc_id")).unionByName(links.select(F.col("v").alias("doc_id"))).distinct()
     sets = stored(shingle_sets(rows.join(stored(ends), "doc_id", "left_semi"), size))
     one, two = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
     both = links.join(one, "u").join(two, "v")
     common = F.size(F.array_intersect("a", "b"))
     alike = (common >= F.lit(similarity) * (F.size("a") + F.size("b") - common)) & (F.size("a") + F.size("b") > 0)
-    verified = stored(both.where(alike).select("u", "v"))
-    return connected_components(verified).select(F.col("node").alias("doc_id"), "component")
+    return stored(both.where(alike).select("u", "v").distinct())
+
+
+def centre_links(met: DataFrame, similarity: float) -> DataFrame:
+    """Links of each node to the smallest one of about its size at each of its shingles."""
+    at = F.log(F.col("n").cast("double")) / F.lit(-math.log(similarity))
+    found = []
+    # Bands of sizes and the same half a band on, so that copies on both sides of an edge meet as well.
+    for shift in (0.0, 0.5):
+        banded = met.withColumn("band", F.floor(at + F.lit(shift)))
+        least = banded.groupBy("shingle", "band").agg(F.min(F.struct("node", "n")).alias("first"))
+        joined = banded.join(least, ["shingle", "band"]).where("node <> first.node")
+        found.append(joined.select(F.col("node").alias("u"), F.col("first.node").alias("v"), F.col("n").alias("n_u"), F.col("first.n").alias("n_v")))
+    # A pair that both bandings give is counted twice; that only lets it be verified sooner.
+    return possible(found[0].unionByName(found[1]).where(sizes_agree(similarity)), similarity)
+
+
+def open_pairs(met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """All pairs that meet at a shingle, are of different groups, and can be alike."""
+    grouped = met.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+    counts = grouped.groupBy("shingle", "group").agg(F.count(F.lit(1)).alias("c"))
+    mixed = counts.groupBy("shingle").agg(F.max(F.struct("c", "group")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    every = stored(grouped.join(mixed.select("shingle", F.col("top.group").alias("largest")), "shingle"))
+    # Of two groups at a shingle, one is not the largest: its rows meet all others.
+    small = every.where("group <> largest").select("shingle", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("group").alias("g"))
+    other = every.select("shingle", F.col("node").alias("v"), F.col("n").alias("n_v"), "group", "largest")
+    pairs = small.join(other, "shingle").where("g <> group and (group = largest or u < v)").where(sizes_agree(similarity))
+    by_id = F.col("u") < F.col("v")
+    ends = [F.when(by_id, F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (("u", "v"), ("v", "u"), ("n_u", "n_v"), ("n_v", "n_u"))]
+    return possible(pairs.select(*ends), similarity)
+
+
+def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """``(doc_id, component)`` of every document with a near copy; the component is the smallest doc_id of its group."""
+    rows = texts(docs).where("doc_id is not null")
+    prints = stored(prefixes(rows, size, similarity, frequent(rows, size)).where("n > 0"))
+    nodes = stored(prints.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")))
+    same = prints.select("digest", F.col("doc_id").alias("u")).join(nodes.where("copies > 1").select("digest", F.col("node").alias("v")), "digest")
+    same = stored(same.where("u > v").select("u", "v").distinct())
+    first = prints.join(nodes.where("copies > 1"), "digest", "left").where("node is null or node = doc_id")
+    first = first.select("digest", F.col("doc_id").alias("node"), "n", "prefix")
+    tokens = first.select("node", "n", F.explode("prefix").alias("shingle"))
+    shared = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle")
+    met = stored(tokens.join(shared, "shingle").distinct())
+    tried = stored(centre_links(met, similarity))
+    found = same.unionByName(verified(tried, rows, size, similarity))
+    links = open_pairs(met, connected_components(found), similarity)
+    either = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    links = stored(links.join(either, ["u", "v"], "left_anti"))
+    if not links.isEmpty():
+        found = found.unionByName(verified(links, rows, size, similarity))
+    return connected_components(found).select(F.col("node").alias("doc_id"), "component")
