@@ -45,6 +45,30 @@ def test_pairs_in_a_template_group(spark):
     assert found(spark, rows) == want
 
 
+def test_no_pair_at_the_threshold_is_missed(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(150):
+        n = r.choice((30, 64, 204))
+        base, k = words(r, n), r.randint(round(0.85 * n), n)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:k] + words(r, n - k)))]
+    want = components(rows)
+    assert 50 < len(want) < 300
+    assert found(spark, rows) == want
+
+
+def test_repeated_passages_do_not_count(spark):
+    """A paragraph that one copy repeats leaves the set, and so the similarity, as it is."""
+    r = random.Random(9)
+    rows = []
+    for i in range(20):
+        body, line = words(r, 120), words(r, 12)
+        rows += [(2 * i, " ".join(body + line)), (2 * i + 1, " ".join(body + line * 60))]
+    want = components(rows)
+    assert len(want) == 40
+    assert found(spark, rows) == want
+
+
 def test_order_of_shingles_changes_nothing(spark, monkeypatch):
     r = random.Random(11)
     shared = words(r, 30)
