@@ -69,6 +69,18 @@ def test_repeated_passages_do_not_count(spark):
     assert found(spark, rows) == want
 
 
+def test_copies_that_their_first_is_not_like(spark):
+    """One shingle makes most of every text, so fingerprints and sizes are equal, but only some tails are alike."""
+    r = random.Random(10)
+    tail, other = words(r, 60), words(r, 60)
+    rows = [(0, " ".join(["na"] * 400 + words(r, 60)))]
+    rows += [(i, " ".join(["na"] * 400 + (tail if i % 2 else other)[:-1] + words(r, 1))) for i in range(1, 9)]
+    assert len({simhash.fingerprint(simhash.shingle_hashes(t, 5)) for _, t in rows}) == 1
+    want = components(rows)
+    assert len(want) == 8 and len(set(want.values())) == 2
+    assert found(spark, rows) == want
+
+
 def test_order_of_shingles_changes_nothing(spark, monkeypatch):
     r = random.Random(11)
     shared = words(r, 30)
