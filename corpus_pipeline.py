@@ -21,22 +21,35 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal normalised texts, the row with the smallest doc_id."""
-    copies = stored(exact_dedup.exact_duplicates(docs).where("not kept").select("doc_id", "keep_id"))
-    left = docs.join(copies.where("doc_id <> keep_id"), "doc_id", "left_anti").select(*docs.columns)
+    """Of equal normalised texts, the row with the smallest doc_id; one without a doc_id only where no row has one."""
+    copies = stored(exact_dedup.exact_duplicates(docs.where("doc_id is not null")).where("not kept").select("doc_id", "keep_id"))
+    left = docs.where("doc_id is not null").join(copies.where("doc_id <> keep_id"), "doc_id", "left_anti").select(*docs.columns)
     twice = copies.where("doc_id <=> keep_id").select(F.col("doc_id").alias("id")).distinct()
-    if twice.isEmpty():
+    if not twice.isEmpty():
+        # Rows that repeat with their own doc_id: one of each text stays.
+        own = left["doc_id"].eqNullSafe(twice["id"])
+        once = left.join(twice, own, "left_semi").withColumn("__normal", exact_dedup.normalised("text"))
+        left = left.join(twice, own, "left_anti").unionByName(once.dropDuplicates(["doc_id", "__normal"]).drop("__normal"))
+    nameless = docs.where("doc_id is null")
+    if nameless.isEmpty():
         return left
-    # Rows that repeat with their own doc_id: one of each text stays.
-    own = left["doc_id"].eqNullSafe(twice["id"])
-    once = left.join(twice, own, "left_semi").withColumn("__normal", exact_dedup.normalised("text"))
-    return left.join(twice, own, "left_anti").unionByName(once.dropDuplicates(["doc_id", "__normal"]).drop("__normal"))
+    key = F.sha2(exact_dedup.normalised("text"), 256)
+    once = nameless.withColumn("__sha", key).dropDuplicates(["__sha"])
+    return left.unionByName(once.join(left.select(key.alias("__sha")), "__sha", "left_anti").select(*docs.columns))
 
 
 def near_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies, the document with the smallest doc_id of each group."""
-    gone = near_stage.near_copies(docs).where("doc_id <> component").select("doc_id")
-    return docs.join(stored(gone), "doc_id", "left_anti").select(*docs.columns)
+    """Of near copies, the document with the smallest doc_id of each group; one without a doc_id only where none has one."""
+    if docs.where("doc_id is null").isEmpty():
+        gone = near_stage.near_copies(docs).where("doc_id <> component").select("doc_id")
+        return docs.join(stored(gone), "doc_id", "left_anti").select(*docs.columns)
+    # Rows without an id can be told apart by a number only, so all rows are numbered.
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
+    groups = stored(near_stage.near_copies(rows.select(F.col("__row").alias("doc_id"), "text")))
+    members = groups.select(F.col("doc_id").alias("__row"), "component").join(rows.select("__row", "doc_id"), "__row")
+    first = members.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "__row")).alias("first"))
+    gone = members.select("__row").join(first.select(F.col("first.__row").alias("__row")), "__row", "left_anti")
+    return rows.join(stored(gone), "__row", "left_anti").select(*docs.columns)
 
 
 def clean_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
