@@ -7,7 +7,8 @@ round gains nothing more; then they are closed as they are. A bin carries its me
 to know where a piece went.
 
 Defined cases: a null text is an empty document, which is its end token alone; repeated rows are packed each;
-null doc_ids are kept; an empty table gives no rows; special tokens' names in a text are ordinary text.
+null doc_ids are kept; an empty table gives no rows; the name of an added token in a text (``<|endoftext|>``) is that
+token's id, as the ``tokenizers`` file of the vocabulary has it.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
+import json
 import math
+import re
 import zlib
 
 import numpy as np
@@ -85,6 +88,34 @@ def default_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@functools.cache
+def added_tokens(path: str) -> dict[str, int]:
+    """Names and ids of the tokens that a ``tokenizers`` file adds to its vocabulary; they are found before words are cut."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    odd = [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens that take more than their own name: {odd}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def default_added() -> dict[str, int]:
+    import public_tokenizers
+
+    return added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def text_ids(encoder: WordIds, text: str, added: dict[str, int]) -> np.ndarray:
+    """Ids of a text in which the names of added tokens may occur."""
+    if not any(name in text for name in added):
+        return encoder.of(text)
+    # Of names that begin at the same place, the longest one.
+    names = "|".join(re.escape(name) for name in sorted(added, key=len, reverse=True))
+    parts = re.split(f"({names})", text)
+    ids = [np.array([added[p]], "<u4") if i % 2 else encoder.of(p) for i, p in enumerate(parts) if p]
+    return np.concatenate(ids)
+
+
 def cuts(n: int, length: int) -> list[tuple[int, int]]:
     """``(start, length)`` of a document's pieces; only the first may be shorter."""
     first = n % length or length
@@ -93,9 +124,13 @@ def cuts(n: int, length: int) -> list[tuple[int, int]]:
 
 def token_pieces(
     docs: DataFrame, length: int = LENGTH, vocabulary: tuple[str, str] | None = None,
-    id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False,
+    id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, added: dict[str, int] | None = None,
 ) -> DataFrame:
-    """A row per piece: ``doc_id, piece, start, length, ids_crc32``, and the ids where asked for."""
+    """A row per piece: ``doc_id, piece, start, length, ids_crc32``, and the ids where asked for.
+
+    ``added`` has the added tokens of a ``vocabulary`` of the caller's own; the default one brings its own.
+    """
+    added = (added or {}) if vocabulary else default_added()
     vocabulary = vocabulary or default_vocabulary()
 
     def run(batches):
@@ -104,7 +139,7 @@ def token_pieces(
         for batch in batches:
             rows, ids_out = [], []
             for at, text in enumerate(batch.column(1)):
-                ids = np.concatenate([encoder.of(text.as_py() or ""), end])
+                ids = np.concatenate([text_ids(encoder, text.as_py() or "", added), end])
                 for piece, (start, n) in enumerate(cuts(len(ids), length)):
                     part = ids[start : start + n]
                     rows.append((at, piece, start, n, zlib.crc32(part.tobytes())))
