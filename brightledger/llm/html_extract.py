@@ -7,8 +7,13 @@ text's share of stop words and few links are in. Pass two gives each ambiguous b
 headings, mostly) the label of the nearest decided neighbour, in its own container before the page at large;
 between two at the same distance a heading takes the one below it and any other block the one above.
 
+Words of a class, id or role mark a container as a sidebar, comments and so on, but do not decide alone: a container is
+not out when it holds the only articles of the page, when just a part of each of its names is such a word (``has-sidebar``)
+and it holds most of the page's running text, or when all running text of the page would be out.
+
 Defined cases: null and empty pages give an empty text; unclosed and crossed tags are closed as browsers do
-for paragraphs and list items; character references are decoded, also without their semicolon; a page of
+for paragraphs and list items; a head ends at the first tag or text that cannot be in it; a hidden element (but
+``script`` and ``style``) without an end tag of its own hides nothing; character references are decoded, also without their semicolon; a page of
 which nothing can be decided keeps its ambiguous blocks; repeated page_ids each keep their row.
 """
 
@@ -40,6 +45,10 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their text is never shown, or is no text.
 HIDDEN_TAGS = frozenset("head script style noscript template svg math iframe object canvas audio video select textarea button datalist".split())
+#: What may be in a head; any other tag, and text, ends it.
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Their end tags may be left out, or they end with their parent.
+OPTION_TAGS = frozenset("option optgroup".split())
 OUTER_TAGS = frozenset("nav header footer aside form menu dialog".split())
 BODY_TAGS = frozenset("article main".split())
 SECTION_TAGS = BODY_TAGS | OUTER_TAGS | frozenset("section div body html td".split())
@@ -64,6 +73,7 @@ class Block:
     outer: bool
     body: bool
     heading: bool
+    marks: tuple = ()
     text: str = ""
     linked: int = 0
     label: bool | None = None
@@ -76,6 +86,18 @@ class Open:
     body: bool
     hidden: bool
     container: int
+    marks: tuple = ()
+    number: int = -1
+
+
+@dataclass
+class Mark:
+    """A container that words of its class, id or role mark; ``whole`` where they make up one of its names."""
+
+    whole: bool
+    bodies: int = 0
+    main: bool = False
+    released: bool = False
 
 
 @dataclass
@@ -83,6 +105,8 @@ class Blocks(HTMLParser):
     """Cuts a page into blocks."""
 
     found: list[Block] = field(default_factory=list)
+    #: Numbers of hidden elements that have no end tag; they hide nothing.
+    plain: frozenset = frozenset()
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
@@ -91,6 +115,10 @@ class Blocks(HTMLParser):
         self.linked = 0
         self.links = 0
         self.containers = 0
+        self.marks: list[Mark] = []
+        self.bodies = 0
+        self.hiding = 0
+        self.unclosed: set[int] = set()
 
     def flush(self) -> None:
         if self.parts:
@@ -98,39 +126,66 @@ class Blocks(HTMLParser):
             if text:
                 at = self.stack[-1]
                 heading = any(re.fullmatch("h[1-6]", o.tag) for o in self.stack[-3:])
-                self.found.append(Block(at.container, at.outer, at.body, heading, text, self.linked))
+                self.found.append(Block(at.container, at.outer, at.body, heading, at.marks, text, self.linked))
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD_TAGS:
+            self._end_head(tag == "body")
         if tag == "br":
             self.parts.append(" ")
         if tag in BLOCK_TAGS:
             self.flush()
+            while tag not in OPTION_TAGS and self.stack[-1].tag in OPTION_TAGS:
+                self._pop(len(self.stack) - 1)
             for closed in (CLOSES.get(tag, set()), {"p"}):
                 self._close_any(closed, SECTION_TAGS | {"ul", "ol", "table", "dl"} if tag != "p" else SECTION_TAGS)
         if tag in VOID_TAGS:
             return
         at = self.stack[-1]
-        words = set(re.split(r"[^a-z]+", " ".join(v or "" for k, v in attrs if k in ("class", "id", "role")).lower()))
-        hidden = tag in HIDDEN_TAGS or any(k == "hidden" for k, _ in attrs)
-        outer = tag in OUTER_TAGS or tag not in ("html", "body", *BODY_TAGS) and bool(words & OUTER_WORDS)
+        number = -1
+        if tag in HIDDEN_TAGS and tag != "head":
+            number = self.hiding
+            self.hiding += 1
+        hidden = (tag in HIDDEN_TAGS and number not in self.plain) or tag in OPTION_TAGS or any(k == "hidden" for k, _ in attrs)
+        marks = at.marks
+        if tag in BODY_TAGS:
+            self.bodies += 1
+            for m in marks:
+                self.marks[m].bodies += 1
+                self.marks[m].main |= tag == "main"
+        elif tag not in ("html", "body"):
+            names = [set(re.findall("[a-z]+", name)) for k, v in attrs if k in ("class", "id", "role") for name in (v or "").lower().split()]
+            if any(name & OUTER_WORDS for name in names):
+                marks = (*marks, len(self.marks))
+                self.marks.append(Mark(any(name and name <= OUTER_WORDS for name in names)))
         container = at.container
         if tag in SECTION_TAGS:
             self.containers += 1
             container = self.containers
         self.links += tag == "a"
-        self.stack.append(Open(tag, at.outer or outer, at.body or tag in BODY_TAGS, at.hidden or hidden, container))
+        self.stack.append(Open(tag, at.outer or tag in OUTER_TAGS, at.body or tag in BODY_TAGS, at.hidden or hidden, container, marks, number))
 
     def _close_any(self, tags: set[str], within: frozenset | set) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
             tag = self.stack[i].tag
+            if self.stack[i].number >= 0 and self.stack[i].number not in self.plain:
+                return
             if tag in tags:
                 self._pop(i)
                 return
             if tag in within:
                 return
 
-    def _pop(self, i: int) -> None:
+    def _end_head(self, anywhere: bool) -> None:
+        """Closes an open head: where it is what is open, or at a body ``anywhere`` in it."""
+        for i in range(len(self.stack) - 1 if not anywhere else 1, len(self.stack)):
+            if self.stack[i].tag == "head":
+                self._pop(i)
+                return
+
+    def _pop(self, i: int, closed: bool = False) -> None:
+        self.unclosed |= {o.number for o in self.stack[i + closed :] if o.number >= 0}
         self.links -= sum(o.tag == "a" for o in self.stack[i:])
         del self.stack[i:]
 
@@ -139,25 +194,57 @@ class Blocks(HTMLParser):
             self.flush()
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                self._pop(i)
+                self._pop(i, closed=True)
                 return
 
+    def end(self) -> None:
+        self.close()
+        self.flush()
+        self._pop(1)
+
     def handle_data(self, data):
+        if data.strip():
+            self._end_head(False)
         if not self.stack[-1].hidden:
             self.parts.append(data)
             if self.links:
                 self.linked += len(data.strip())
 
 
+def running(b: Block) -> bool:
+    """Whether the block reads as running text, wherever it stands."""
+    words = WORD.findall(b.text.lower())
+    share = sum(w in STOP_WORDS for w in words) >= RUNNING * max(1, len(words))
+    return len(b.text) >= SHORT and not b.heading and share and b.linked <= FEW_LINKS * len(b.text)
+
+
+def weigh_marks(page: Blocks) -> None:
+    """Puts out the blocks of marked containers, but of those that are or hold the article."""
+    if not page.marks:
+        return
+    texts = [b for b in page.found if not b.outer and running(b)]
+    size = sum(len(b.text) for b in texts)
+    inside = [0] * len(page.marks)
+    for b in texts:
+        for m in b.marks:
+            inside[m] += len(b.text)
+    for mark, n in zip(page.marks, inside):
+        alone = mark.bodies == page.bodies
+        mark.released = mark.main or alone and (mark.bodies > 0 or not mark.whole and 2 * n > size)
+    if texts and not any(all(page.marks[m].released for m in b.marks) for b in texts):
+        for mark, n in zip(page.marks, inside):
+            mark.released |= 2 * n > size
+    for b in page.found:
+        b.outer |= not all(page.marks[m].released for m in b.marks)
+
+
 def first_pass(b: Block) -> bool | None:
     """In, out, or not decided yet."""
     if b.outer or b.linked > LINKED * len(b.text):
         return False
     if len(b.text) < SHORT or b.heading:
         return None
-    words = WORD.findall(b.text.lower())
-    running = sum(w in STOP_WORDS for w in words) >= RUNNING * max(1, len(words))
-    return True if running and b.linked <= FEW_LINKS * len(b.text) else None
+    return True if running(b) else None
 
 
 def second_pass(blocks: list[Block]) -> None:
@@ -200,8 +287,12 @@ def second_pass(blocks: list[Block]) -> None:
 def main_text(html: str | None) -> str:
     parser = Blocks()
     parser.feed(html or "")
-    parser.close()
-    parser.flush()
+    parser.end()
+    if parser.unclosed:
+        parser = Blocks(plain=frozenset(parser.unclosed))
+        parser.feed(html or "")
+        parser.end()
+    weigh_marks(parser)
     for b in parser.found:
         b.label = first_pass(b)
     second_pass(parser.found)
