@@ -25,25 +25,50 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is set, as in tests."""
+    """The cluster's shared folder. One of our own only on a single machine where none is set, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not folder:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="brightledger-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def stored(df: DataFrame, *partition_by: str) -> DataFrame:
-    """The rows of ``df``, written once to the shared folder and read back from there."""
+def stored(df: DataFrame, *partition_by: str, within: list[str] | None = None) -> DataFrame:
+    """The rows of ``df``, written once to the shared folder and read back from there.
+
+    ``within`` collects the paths of what a stage writes, for ``dropped``.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/brightledger-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    if within is not None:
+        within.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bounds what a Python worker holds at once; texts can be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables that a finished step no longer needs."""
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    paths.clear()
+
+
+def slices(batches, rows: int = 200):
+    """Arrow batches in slices of few rows. Spark bounds a batch by its bytes; this bounds what a worker makes of it."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def by_id(rows: DataFrame, ids: DataFrame, how: str, most: int = 2_000_000) -> DataFrame:
+    """Semi or anti join of wide rows with a stored table of ``doc_id``s, which is broadcast where its count is small.
+
+    Up to ``most`` ids (16 MB) the rows stay where they are; beyond, both sides meet in a shuffle.
+    """
+    return rows.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", how)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import read, small_batches
+from brightledger.llm.common import read, slices
 
 #: Common function words of English, French, German and Spanish.
 STOP_WORDS = frozenset(
@@ -303,11 +303,10 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """``(page_id, url, text)``, a row for every input row; no shuffle."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = pa.array([main_text(h.as_py()) for h in batch.column(2)], pa.string())
             yield pa.record_batch([batch.column(0), batch.column(1), out], ["page_id", "url", "text"])
 
-    small_batches(pages.sparkSession)
     kept = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
     return kept.mapInArrow(run, "page_id long, url string, text string")
 

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import shuffle_parts, small_batches, stored, texts
+from brightledger.llm.common import shuffle_parts, stored, texts
 from brightledger.llm.spans import Hashed, mixed
 
 FLUSH_ANCHORS = 1_000_000
@@ -413,7 +413,6 @@ def without_repeats(docs: DataFrame, rule: Rule, schema: str, names: list[str],
     parts = shards = shuffle_parts(spark)
     rows = texts(docs, id_col, text_col)
     unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-    small_batches(spark, 200)
 
     def dealt() -> DataFrame:
         anchors = rows.mapInArrow(_dealt_anchors(rule, parts, shards, unique), ROWS)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import read, shared_folder, small_batches, stored
+from brightledger.llm.common import read, shared_folder, stored
 
 MIN_BYTES = 1000
 RECORDS_PER_FILE = 2000
@@ -167,7 +167,6 @@ def write_warc(
             out = [warc_record(r, *about).decode() for r, about in zip(parse_arc(arc), zip(ids, refers))]
             yield pa.record_batch([pa.array(out, pa.string())], ["value"])
 
-    small_batches(pages.sparkSession, 200)
     records = rows.mapInArrow(run, "value string")
     records.write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path, compression="gzip")
 
@@ -193,7 +192,6 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             yield pa.record_batch([pa.array(v, k) for v, k in zip(rows.values(), kinds)], list(rows))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path)
-    small_batches(spark, 8)
     return files.select("content").mapInArrow(run, RESULT)
 
 
