@@ -1,17 +1,22 @@
-"""Near-duplicate groups for the corpus pipeline: an exact join of shingle sets, candidates by prefixes.
+"""Near-duplicate groups for the corpus pipeline: SimHash candidates, verified.
 
 A text is its set of distinct five-word shingles; two documents are near copies when their sets have a Jaccard
-similarity of 0.8 or more, and groups are the connected components of these pairs. No such pair is missed, but for
-clashes of 64-bit shingle hashes. Under one order of all shingles, sets of n and m shingles as alike share a shingle
-among the first ``n - ceil(0.8 n) + 1`` and ``m - ceil(0.8 m) + 1`` of each (prefixes); so documents meet only at the
-shingles of their prefixes. The order puts shingles that a sample of documents repeats last: it decides how many
-documents meet in vain, never which pairs are found.
+similarity of 0.8 or more, and groups are the connected components of these pairs.
 
 1. Equal sets (by SHA-256) are one node; nothing is left to verify there.
-2. At each prefix shingle, documents of about one size are linked to the smallest of them, and the links verified: copies
-   of one text are joined by links that are linear in their number.
-3. All other pairs that meet and that no verified links join yet are verified too, unless their sizes or the number of
-   prefix shingles that they share rule out 0.8. At a shingle, pairs within its largest group are never formed.
+2. A node's fingerprint has the majority bits of its shingles' hashes, in 3 words of 64 bits. Sets as alike are of sizes
+   as alike, so nodes are cut into bands of sizes, and the tiles of a band meet those of their own and the next one as in
+   the SimHash operator: all their pairs are compared by exclusive-or and bit counts. The radius of 52 bits is so far that
+   a pair at 0.8 is beyond it about once in 100,000 (by the binomial odds of a bit that differs, 0.152; once in 1,000 for
+   texts of 8 or 9 words); pairs that are more alike are missed more rarely still.
+3. Links are verified on the sets, in rounds: first each node's closest partner in each pair of tiles, then more of those
+   that are not of its group yet, at last all of them. Nodes without any candidate leave after the first round, and the
+   others get fingerprints of 16 words, which tell near copies from mere relatives better. So copies of one text cost links
+   that are linear in their number, no pair of different groups is left untried, and pairs within a group are never formed.
+
+Defined cases: null and empty texts and texts without words are near copies of none; texts of fewer words than a shingle are
+one shingle; rows without a doc_id are left out (the stage numbers its rows where there are any); rows that repeat a
+doc_id count once for each of their texts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,137 +29,156 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import small_batches, stored, texts
+from brightledger.llm.common import by_id, slices, stored, texts
 from brightledger.llm.components import connected_components
-from brightledger.llm.simhash import shingle_hashes
+from brightledger.llm.repeats import text_arrays
+from brightledger.llm.simhash import LOWER, STRIP, TILE, fingerprint, tile_pairs
+from brightledger.llm.spans import mixed, shingles
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Documents sampled for the order of shingles, and shingles that are put last at most; results do not depend on them.
-SAMPLE, FREQUENT = 8_000, 100_000
+#: Bits that may differ in fingerprints of so many words, and in the first word, which is compared first.
+RADIUS, FIRST = {3: 52, 16: 212}, 25
+#: Partners of a node that a round tries in each pair of tiles; the last round tries all.
+ROUNDS = (1, 4, None)
 #: Covers rounding where a bound on whole numbers is computed in doubles; it only lets more pairs be verified.
 ROUNDING = 1e-6
 
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, shingles)``: the sorted distinct hashes of each text's shingles."""
+def print_names(words: int) -> list[str]:
+    return [f"w{i}" for i in range(words)]
 
-    def run(batches):
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py() or "", size)).view(np.int64) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
-
-    small_batches(docs.sparkSession, 200)
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
-
-
-def frequent(docs: DataFrame, size: int, sample: int = SAMPLE, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that a sample of the documents repeats, sorted, and how many of them have each."""
-    step = max(1, docs.count() // max(1, sample))
-    some = shingle_sets(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0), size)
-    counts = some.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
-    rows = counts.orderBy(F.desc("n"), "s").limit(most).collect()
-    keys = np.array([r.s for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.array([r.n for r in rows], np.int64)[order]
 
+def fingerprint_words(own: np.ndarray, words: int) -> list[int]:
+    """The fingerprint of a set of shingle hashes, word by word; each word takes its bits from other hashes of them."""
+    found = []
+    for i in range(words):
+        found.append(fingerprint(own))
+        own = mixed(own + np.uint64(i + 1))
+    return found
 
-def prefix_length(n: int, similarity: float) -> int:
-    return n - math.ceil(similarity * n - ROUNDING) + 1 if n else 0
 
+def shingle_sets(docs: DataFrame, size: int, words: int, keep: bool) -> DataFrame:
+    """``(doc_id, n, digest, shingles, w0, ...)`` of each text's set of shingles; the set itself only where it is to be kept."""
 
-def prefixes(docs: DataFrame, size: int, similarity: float, last: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``(doc_id, n, digest, prefix)`` of each text's set of shingles."""
-    keys, counts = last
+    def run(batches):
+        for batch in slices(batches):
+            ids, data, bounds = text_arrays(batch)
+            sets = shingles(LOWER[data], bounds, size)
+            prints = np.array([fingerprint_words(own, words) for own in sets], np.uint64).reshape(-1, words).view(np.int64)
+            kept = pa.array([own.view(np.int64) for own in sets] if keep else [None] * len(sets), pa.list_(pa.int64()))
+            digests = pa.array([hashlib.sha256(own.astype("<u8").tobytes()).digest() for own in sets], pa.binary())
+            columns = [pa.array(ids), pa.array([len(own) for own in sets], pa.int64()), digests, kept]
+            yield pa.record_batch([*columns, *(pa.array(w) for w in prints.T)], ["doc_id", "n", "digest", "shingles", *print_names(words)])
+
+    schema = "doc_id long, n long, digest binary, shingles array<long>, " + ", ".join(f"{w} long" for w in print_names(words))
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def _closest(ends: np.ndarray, far: np.ndarray, most: int) -> np.ndarray:
+    """Which links are among the ``most`` closest of their end."""
+    order = np.lexsort((far, ends))
+    sorted_ = ends[order]
+    begins = np.ones(len(ends), bool)
+    begins[1:] = sorted_[1:] != sorted_[:-1]
+    rank = np.empty(len(ends), np.int64)
+    rank[order] = np.arange(len(ends)) - np.nonzero(begins)[0][np.cumsum(begins) - 1]
+    return rank < most
+
+
+def candidates(a: dict, b: dict, same: bool, similarity: float, most: int | None, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the points of two tiles that may be near copies: all pairs, or the ``most`` closest of each point.
+
+    Both are in the order of sizes, and ``a`` is taken in strips, so a strip meets only the sizes of ``b`` that can agree;
+    what stays between strips is bounded by ``most`` links of each point (or is the result).
+    """
+    found = []
+    for at in range(0, len(a["n"]), STRIP):
+        here = slice(at, at + STRIP)
+        sizes = a["n"][here]
+        low, high = np.searchsorted(b["n"], [similarity * sizes[0] - ROUNDING, sizes[-1] / similarity + ROUNDING])
+        if same:
+            low = max(low, at)
+        p, q = np.nonzero(np.bitwise_count(a["w0"][here, None] ^ b["w0"][None, low:high]) <= FIRST)
+        p, q = p + at, q + low
+        n, m = a["n"][p], b["n"][q]
+        keep = (np.minimum(n, m) >= similarity * np.maximum(n, m) - ROUNDING) & (a["component"][p] != b["component"][q])
+        if same:
+            keep &= q > p
+        p, q = p[keep], q[keep]
+        far = sum(np.bitwise_count(a[w][p] ^ b[w][q]).astype(np.int64) for w in print_names(words))
+        keep = far <= RADIUS[words]
+        found.append((p[keep], q[keep], far[keep]))
+        if most and at // STRIP % 16 == 15:
+            found = [_kept(found, most)]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return (_kept(found, most) if most else tuple(np.concatenate(c) for c in zip(*found)))[:2]
+
+
+def _kept(found: list, most: int) -> tuple:
+    p, q, far = (np.concatenate(c) for c in zip(*found))
+    keep = _closest(p, far, most) | _closest(q, far, most) if len(p) else np.zeros(0, bool)
+    return p[keep], q[keep], far[keep]
+
+
+def band_links(points: DataFrame, similarity: float, most: int | None, words: int, tile: int = TILE, within: list[str] | None = None) -> DataFrame:
+    """``(u, v)``, the smaller first, of points ``(node, n, w0, ..., component)`` that may be near copies."""
 
     def run(batches):
-        for batch in batches:
-            ns, digests, firsts = [], [], []
-            for text in batch.column(1):
-                own = np.unique(shingle_hashes(text.as_py() or "", size))
-                ns.append(len(own))
-                digests.append(hashlib.sha256(own.astype("<u8").tobytes()).digest())
-                k = prefix_length(len(own), similarity)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                    own = own[np.argsort(np.where(keys[at] == own, counts[at], 0), kind="stable")]
-                firsts.append(own[:k].view(np.int64))
-            columns = [batch.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, ["doc_id", "n", "digest", "prefix"])
-
-    small_batches(docs.sparkSession, 200)
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, digest binary, prefix array<long>")
-
-
-def possible(pairs: DataFrame, similarity: float) -> DataFrame:
-    """Distinct ``(u, v)`` of rows ``(u, v, n_u, n_v)``, one for each shared prefix shingle, that can be alike."""
-    counted = pairs.groupBy("u", "v", "n_u", "n_v").agg(F.count(F.lit(1)).alias("shared"))
-    # What sets share is in both prefixes, or past the prefix that ends first.
-    rest = F.ceil(F.lit(similarity) * F.greatest("n_u", "n_v") - F.lit(ROUNDING)) - 1
-    needed = F.lit(similarity / (1 + similarity)) * (F.col("n_u") + F.col("n_v"))
-    return counted.where(F.col("shared") + rest >= needed - F.lit(ROUNDING)).select("u", "v").distinct()
-
-
-def sizes_agree(similarity: float):
-    return F.least("n_u", "n_v") >= F.lit(similarity) * F.greatest("n_u", "n_v") - F.lit(ROUNDING)
-
-
-def verified(links: DataFrame, rows: DataFrame, size: int, similarity: float) -> DataFrame:
+        for batch in slices(batches, 1):
+            tiles = [batch.column(i)[0].values for i in (0, 1)]
+            a, b = ({f.name: t.field(f.name).to_numpy(zero_copy_only=False) for f in t.type} for t in tiles)
+            for t in (a, b):
+                order = np.argsort(t["n"], kind="stable")
+                t |= {k: v[order] for k, v in t.items()}
+                t |= {w: t[w].view(np.uint64) for w in print_names(words)}
+            p, q = candidates(a, b, batch.column(2)[0].as_py(), similarity, most, words)
+            u, v = a["node"][p], b["node"][q]
+            yield pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(similarity)) + F.lit(ROUNDING)).cast("long")
+    return tile_pairs(points.withColumn("cell", band), [0, 1], tile, within).mapInArrow(run, "u long, v long")
+
+
+def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The links ``(u, v)`` whose documents' sets are as alike."""
-    ends = links.select(F.col("u").alias("doc_id")).unionByName(links.select(F.col("v").alias("doc_id"))).distinct()
-    sets = stored(shingle_sets(rows.join(stored(ends), "doc_id", "left_semi"), size))
     one, two = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
     both = links.join(one, "u").join(two, "v")
     common = F.size(F.array_intersect("a", "b"))
-    alike = (common >= F.lit(similarity) * (F.size("a") + F.size("b") - common)) & (F.size("a") + F.size("b") > 0)
-    return stored(both.where(alike).select("u", "v").distinct())
+    alike = (common >= F.lit(similarity) * (F.size("a") + F.size("b") - common) - F.lit(ROUNDING)) & (F.size("a") + F.size("b") > 0)
+    return both.where(alike).select("u", "v")
 
 
-def centre_links(met: DataFrame, similarity: float) -> DataFrame:
-    """Links of each node to the smallest one of about its size at each of its shingles."""
-    at = F.log(F.col("n").cast("double")) / F.lit(-math.log(similarity))
-    found = []
-    # Bands of sizes and the same half a band on, so that copies on both sides of an edge meet as well.
-    for shift in (0.0, 0.5):
-        banded = met.withColumn("band", F.floor(at + F.lit(shift)))
-        least = banded.groupBy("shingle", "band").agg(F.min(F.struct("node", "n")).alias("first"))
-        joined = banded.join(least, ["shingle", "band"]).where("node <> first.node")
-        found.append(joined.select(F.col("node").alias("u"), F.col("first.node").alias("v"), F.col("n").alias("n_u"), F.col("first.n").alias("n_v")))
-    # A pair that both bandings give is counted twice; that only lets it be verified sooner.
-    return possible(found[0].unionByName(found[1]).where(sizes_agree(similarity)), similarity)
-
-
-def open_pairs(met: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
-    """All pairs that meet at a shingle, are of different groups, and can be alike."""
-    grouped = met.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-    counts = grouped.groupBy("shingle", "group").agg(F.count(F.lit(1)).alias("c"))
-    mixed = counts.groupBy("shingle").agg(F.max(F.struct("c", "group")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    every = stored(grouped.join(mixed.select("shingle", F.col("top.group").alias("largest")), "shingle"))
-    # Of two groups at a shingle, one is not the largest: its rows meet all others.
-    small = every.where("group <> largest").select("shingle", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("group").alias("g"))
-    other = every.select("shingle", F.col("node").alias("v"), F.col("n").alias("n_v"), "group", "largest")
-    pairs = small.join(other, "shingle").where("g <> group and (group = largest or u < v)").where(sizes_agree(similarity))
-    by_id = F.col("u") < F.col("v")
-    ends = [F.when(by_id, F.col(a)).otherwise(F.col(b)).alias(a) for a, b in (("u", "v"), ("v", "u"), ("n_u", "n_v"), ("n_v", "n_u"))]
-    return possible(pairs.select(*ends), similarity)
-
-
-def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, within: list[str] | None = None) -> DataFrame:
     """``(doc_id, component)`` of every document with a near copy; the component is the smallest doc_id of its group."""
     rows = texts(docs).where("doc_id is not null")
-    prints = stored(prefixes(rows, size, similarity, frequent(rows, size)).where("n > 0"))
-    nodes = stored(prints.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")))
-    same = prints.select("digest", F.col("doc_id").alias("u")).join(nodes.where("copies > 1").select("digest", F.col("node").alias("v")), "digest")
-    same = stored(same.where("u > v").select("u", "v").distinct())
-    first = prints.join(nodes.where("copies > 1"), "digest", "left").where("node is null or node = doc_id")
-    first = first.select("digest", F.col("doc_id").alias("node"), "n", "prefix")
-    tokens = first.select("node", "n", F.explode("prefix").alias("shingle"))
-    shared = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle")
-    met = stored(tokens.join(shared, "shingle").distinct())
-    tried = stored(centre_links(met, similarity))
-    found = same.unionByName(verified(tried, rows, size, similarity))
-    links = open_pairs(met, connected_components(found), similarity)
-    either = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    links = stored(links.join(either, ["u", "v"], "left_anti"))
-    if not links.isEmpty():
-        found = found.unionByName(verified(links, rows, size, similarity))
-    return connected_components(found).select(F.col("node").alias("doc_id"), "component")
+    words, fine = RADIUS
+    prints = stored(shingle_sets(rows, size, words, keep=False).where("n > 0").drop("shingles"), within=within)
+    nodes = prints.groupBy("digest", "n", *print_names(words)).agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    nodes = stored(nodes, within=within)
+    copied = nodes.where("copies > 1").select("digest", F.col("node").alias("v"))
+    same = prints.select("digest", F.col("doc_id").alias("u")).join(stored(copied, within=within), "digest")
+    found = stored(same.where("u > v").select("u", "v").distinct(), within=within)
+    groups, tried, sets = connected_components(found), None, None
+    points = nodes.drop("digest", "copies")
+    for most in ROUNDS:
+        labelled = points.join(groups.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
+        labelled = labelled.withColumn("component", F.coalesce("component", "node")).drop("member")
+        links = band_links(labelled, similarity, most, words, within=within).distinct()
+        links = stored(links if tried is None else links.join(tried, ["u", "v"], "left_anti"), within=within)
+        if links.isEmpty():
+            if tried is None:
+                break  # no node has a candidate
+            continue
+        if sets is None:
+            ends = links.select(F.col("u").alias("doc_id")).unionByName(links.select(F.col("v").alias("doc_id"))).distinct()
+            ends, words = stored(ends, within=within), fine
+            sets = stored(shingle_sets(by_id(rows, ends, "left_semi"), size, words, keep=True), within=within)
+            points = sets.drop("digest", "shingles").withColumnRenamed("doc_id", "node")
+        more = stored(verified(links, sets, similarity), within=within)
+        tried = links if tried is None else tried.unionByName(links)
+        if not more.isEmpty():
+            # What is joined already is a star for each group: few links for the next round.
+            stars = groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+            groups = connected_components(stars.unionByName(more))
+    return groups.select(F.col("node").alias("doc_id"), "component")

@@ -21,14 +21,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import ASCII_LOWER, read, small_batches, stored, texts
+from brightledger.llm.common import ASCII_LOWER, read, slices, stored, texts
 from brightledger.llm.components import connected_components
 
 SEED = 42
-TILE, STRIP = 1024, 64
+LOWER = np.frombuffer(ASCII_LOWER, np.uint8)
+TILE, STRIP = 16_384, 64
 #: Part counts are 0 to 16; with 2 added on both sides, neighbours' codes never carry over in base 32.
 BASE = 32
-ROUND = 1 << 16
+#: Hashes counted at once: as many as a byte can count.
+ROUND = 255
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -49,28 +51,22 @@ def shingle_hashes(text: str, size: int) -> np.ndarray:
 def fingerprint(hashes: np.ndarray) -> int:
     """Bits set in more than half of the hashes, as an unsigned number; long texts are taken in rounds."""
     counts = np.zeros(64, np.int64)
+    data = np.ascontiguousarray(hashes, "<u8").view(np.uint8).reshape(-1, 8)
     for at in range(0, len(hashes), ROUND):
-        part = hashes[at : at + ROUND].astype("<u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        counts += np.add.reduce(np.unpackbits(data[at : at + ROUND], axis=1, bitorder="little"), axis=0, dtype=np.uint8)
     bits = (2 * counts > len(hashes)).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, fp, n_shingles)`` of ``(doc_id, text)`` rows; ``fp`` as a signed long."""
+    """``(doc_id, fp)`` of ``(doc_id, text)`` rows; ``fp`` as a signed long."""
 
     def run(batches):
-        for batch in batches:
-            fps, counts = [], []
-            for text in batch.column(1):
-                h = shingle_hashes(text.as_py() or "", size)
-                fps.append(fingerprint(h))
-                counts.append(len(np.unique(h)))
-            fp = pa.array(np.array(fps, np.uint64).view(np.int64))
-            yield pa.record_batch([batch.column(0), fp, pa.array(counts, pa.int64())], ["doc_id", "fp", "n_shingles"])
+        for batch in slices(batches):
+            fps = [fingerprint(shingle_hashes(text.as_py() or "", size)) for text in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
 
-    small_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long, n_shingles long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def part_counts(fp: str = "fp") -> list:
@@ -114,24 +110,12 @@ class Forest:
         return np.array(kept, np.int64)
 
 
-def ranks(ends: np.ndarray) -> np.ndarray:
-    """How many earlier links have the same end."""
-    order = np.argsort(ends, kind="stable")
-    ends = ends[order]
-    begins = np.ones(len(ends), bool)
-    begins[1:] = ends[1:] != ends[:-1]
-    out = np.empty(len(ends), np.int64)
-    out[order] = np.arange(len(ends)) - np.nonzero(begins)[0][np.cumsum(begins) - 1] if len(ends) else 0
-    return out
-
-
-def linked(x: np.ndarray, y: np.ndarray, same: bool, radius: int, more: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between two tiles' fingerprints, by number: a spanning forest and ``more`` of the closest of each.
+def linked(x: np.ndarray, y: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two tiles' fingerprints, by number: a spanning forest.
 
     ``x`` is taken in strips, so what is held stays small however dense the links are.
     """
     parts = Forest(len(x) if same else len(x) + len(y))
-    taken = np.zeros(len(y), np.int64)
     out_a, out_b = [], []
     for at in range(0, len(x), STRIP):
         far = np.bitwise_count(x[at : at + STRIP, None] ^ y[None, :])
@@ -139,57 +123,53 @@ def linked(x: np.ndarray, y: np.ndarray, same: bool, radius: int, more: int) ->
         if same:
             after = b > a + at
             a, b = a[after], b[after]
-        order = np.argsort(far[a, b], kind="stable")
-        a, b = a[order] + at, b[order]
-        keep = np.zeros(len(a), bool)
-        keep[parts.add(a, b if same else b + len(x))] = True
-        if more:
-            keep |= (ranks(a) < more) | (ranks(b) + taken[b] < more)
-            taken += np.bincount(b[keep], minlength=len(y))
+        a = a + at
+        keep = parts.add(a, b if same else b + len(x))
         out_a.append(a[keep])
         out_b.append(b[keep])
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def tile_links(points: DataFrame, offsets: list[int], radius: int, tile: int = TILE, more: int = 0) -> DataFrame:
-    """Links ``(u, v)`` of ``points(node, fp, cell)`` within the radius, as forests of tile pairs.
-
-    ``more`` links of each point, the closest ones, come on top: for callers that verify them one by one.
+def tile_pairs(points: DataFrame, offsets: list[int], tile: int = TILE, within: list[str] | None = None) -> DataFrame:
+    """``(a, b, same)``: the tiles that are to be compared, as arrays of the points' columns.
 
-    A point of cell ``c`` is compared with those of the cells ``c + offset``; ``offsets`` holds one of each
-    pair of opposite neighbours.
+    A point of cell ``c`` is compared with those of the cells ``c + offset``; ``offsets`` holds one of each pair of
+    opposite neighbours. Cells are cut into tiles of about ``tile`` points by a hash of the node; every pair of tiles
+    has a key of its own, so that those of a dense cell spread over the tasks.
     """
-    cells = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("long").alias("cuts"))
+    cells = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("cuts"))
     # Cells are few by their making, whatever the rows: at most 17 ** 4 of part counts, a few hundred of size bands.
-    cut = points.join(F.broadcast(cells), "cell").withColumn("cut", F.pmod(F.xxhash64("fp"), "cuts"))
-    tiles = stored(cut.groupBy("cell", "cut").agg(F.collect_list(F.struct("fp", "node")).alias("rows")))
+    cells = F.broadcast(stored(cells, within=within))
+    columns = [c for c in points.columns if c != "cell"]
+    cut = points.join(cells, "cell").withColumn("cut", F.pmod(F.xxhash64("node"), "cuts").cast("int"))
+    tiles = stored(cut.groupBy("cell", "cut").agg(F.collect_list(F.struct(*columns)).alias("rows")), within=within)
     left = tiles.select(
         F.col("rows").alias("a"), F.col("cell").alias("own"), F.col("cut").alias("cut_a"),
         F.explode(F.array(*[F.col("cell") + F.lit(x) for x in offsets])).alias("cell"),
-    )
-    right = tiles.select(F.col("rows").alias("b"), F.col("cut").alias("cut_b"), "cell")
-    met = left.join(right, "cell").where("cell <> own or cut_b >= cut_a")
-    met = met.select("a", "b", ((F.col("cell") == F.col("own")) & (F.col("cut_a") == F.col("cut_b"))).alias("same"))
+    ).join(cells, "cell")
+    first = F.when(F.col("cell") == F.col("own"), F.col("cut_a")).otherwise(0)
+    left = left.withColumn("cut", F.explode(F.sequence(first, F.col("cuts") - 1)))
+    met = left.join(tiles.withColumnRenamed("rows", "b"), ["cell", "cut"])
+    return met.select("a", "b", ((F.col("cell") == F.col("own")) & (F.col("cut_a") == F.col("cut"))).alias("same"))
+
+
+def tile_links(points: DataFrame, offsets: list[int], radius: int, tile: int = TILE) -> DataFrame:
+    """Links ``(u, v)`` of ``points(node, fp, cell)`` within the radius, as forests of tile pairs."""
 
     def run(batches):
-        for batch in batches:
-            us, vs = [], []
-            for i in range(batch.num_rows):
-                a, b = batch.column(0)[i].values, batch.column(1)[i].values
-                x, y = (t.field("fp").to_numpy(zero_copy_only=False).view(np.uint64) for t in (a, b))
-                nodes = [t.field("node").to_numpy(zero_copy_only=False) for t in (a, b)]
-                p, q = linked(x, y, batch.column(2)[i].as_py(), radius, more)
-                us.append(nodes[0][p])
-                vs.append(nodes[1][q])
-            yield pa.record_batch([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+        for batch in slices(batches, 1):
+            a, b = batch.column(0)[0].values, batch.column(1)[0].values
+            x, y = (t.field("fp").to_numpy(zero_copy_only=False).view(np.uint64) for t in (a, b))
+            p, q = linked(x, y, batch.column(2)[0].as_py(), radius)
+            nodes = [t.field("node").to_numpy(zero_copy_only=False) for t in (a, b)]
+            yield pa.record_batch([pa.array(nodes[0][p]), pa.array(nodes[1][q])], ["u", "v"])
 
-    small_batches(points.sparkSession, 16)
-    return met.mapInArrow(run, "u long, v long")
+    return tile_pairs(points, offsets, tile).mapInArrow(run, "u long, v long")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
     """``(doc_id, fp, component_id)``, a row for every input row."""
-    prints = stored(fingerprints(texts(docs, id_col, text_col), size).select("doc_id", "fp"))
+    prints = stored(fingerprints(texts(docs, id_col, text_col), size))
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
     a, b, c, d = part_counts()
     cell = (((a + 2) * BASE + b + 2) * BASE + c + 2) * BASE + d + 2

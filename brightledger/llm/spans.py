@@ -8,7 +8,10 @@ subtraction and a product, wherever it lies.
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
+#: Words of more bytes are hashed by XXH64: a polynomial modulo a power of two gives some longer strings equal hashes whatever its base.
+LONG_WORD = 64
 BASE = np.uint64(0x9E3779B97F4A7C15 | 5)  # odd, and 5 modulo 8: powers repeat as late as they can
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
@@ -54,9 +57,30 @@ def word_tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     words = ~white[starts] if len(data) else np.zeros(0, bool)
     starts, ends = starts[words], ends[words]
     tokens = mixed(Hashed(BYTE_TOKENS[data]).of(starts, ends) + (ends - starts).astype(np.uint64))
+    long = np.nonzero(ends - starts > LONG_WORD)[0]
+    if len(long):
+        view = memoryview(np.ascontiguousarray(data))
+        tokens[long] = [xxhash.xxh64_intdigest(view[starts[i] : ends[i]]) for i in long.tolist()]
     return tokens, np.searchsorted(starts, bounds), starts, ends
 
 
+def shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's shingles of ``size`` words; fewer words are one shingle, none are none."""
+    tokens, at, _, _ = word_tokens(data, bounds)
+    weights = mixed(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)
+    n = len(tokens) - size + 1
+    every = mixed(sum(tokens[j : j + n] * weights[j] for j in range(size))) if n > 0 else np.zeros(0, np.uint64)
+    found = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        if b - a >= size:
+            own = np.sort(every[a : b - size + 1])
+            found.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
+        else:
+            own = tokens[a:b] * weights[: b - a]
+            found.append(mixed(np.array([own.sum(dtype=np.uint64) + np.uint64(b - a)])) if b > a else own)
+    return found
+
+
 def sliding(x: np.ndarray, width: int, take) -> np.ndarray:
     """``take`` (minimum or maximum) over each ``width`` neighbours, by doubling."""
     have = 1

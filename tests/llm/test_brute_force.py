@@ -131,9 +131,8 @@ def test_near_copies(spark):
     sets = {r.doc_id: set(simhash.shingle_hashes(r.text, 5).tolist()) for r in rows}
     alike = {(a, b) for a in sets for b in sets if a < b and sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     got = {r.doc_id: r.component for r in near_stage.near_copies(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()}
-    missed = {(a, b) for a, b in alike if got.get(a) is None or got.get(a) != got.get(b)}
-    assert len(missed) <= 0.1 * len(alike)
-    assert set(got) <= {x for p in alike for x in p}
+    assert alike and not {(a, b) for a, b in alike if got.get(a) is None or got.get(a) != got.get(b)}
+    assert set(got) == {x for p in alike for x in p}
 
 
 def test_components(spark):

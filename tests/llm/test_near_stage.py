@@ -81,12 +81,32 @@ def test_copies_that_their_first_is_not_like(spark):
     assert found(spark, rows) == want
 
 
-def test_order_of_shingles_changes_nothing(spark, monkeypatch):
+def test_short_texts(spark):
+    """Sets of 1 to 40 shingles at and about the threshold."""
     r = random.Random(11)
-    shared = words(r, 30)
-    rows = [(i, " ".join(shared + words(r, r.randint(1, 12)))) for i in range(60)]
+    rows = []
+    for i in range(200):
+        base = words(r, r.randint(3, 44))
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base + words(r, r.randint(0, 1 + len(base) // 5))))]
     want = components(rows)
-    assert want and found(spark, rows) == want
-    run = near_stage.frequent
-    monkeypatch.setattr(near_stage, "frequent", lambda docs, size: run(docs, size, most=0))
+    assert 100 < len(want) < 400
     assert found(spark, rows) == want
+
+
+def test_tiles_and_rounds_change_nothing(spark, monkeypatch):
+    """A group of copies without a common original, in tiles of a few points and with rounds of all partners only."""
+    r = random.Random(12)
+    shared = words(r, 80)
+    rows = [(i, " ".join(shared[: r.randint(70, 80)] + words(r, r.randint(1, 12)))) for i in range(90)]
+    want = components(rows)
+    assert len(set(want.values())) >= 1 and found(spark, rows) == want
+    run = near_stage.tile_pairs
+    monkeypatch.setattr(near_stage, "tile_pairs", lambda points, offsets, tile, within: run(points, offsets, 8, within))
+    assert found(spark, rows) == want
+    monkeypatch.setattr(near_stage, "ROUNDS", (None,))
+    assert found(spark, rows) == want
+
+
+def test_no_texts(spark):
+    assert found(spark, [(1, None), (2, ""), (3, " \n"), (4, "a b c d e f")]) == {}
+    assert near_stage.near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
