@@ -1,14 +1,18 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives (rows labelled good) and unlabelled web text train a logistic model over figures of the
-text's form; the class prior is the share of good rows among the labels that may be learnt from. The risk is
-the non-negative unbiased one (Kiryo et al. 2017): the unlabelled risk less the positives' part of it may
-not fall below zero. The model is fitted on at most ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows, chosen by
-a hash of the doc_id, which is a documented bound of the fit alone; every whole text is scored.
+Trusted positives (rows labelled good) and unlabelled web text train a logistic model over figures of the text's form and
+over its content: hashed words and hashed triples of bytes, as shares of the text. The risk is the non-negative unbiased
+one (Kiryo et al. 2017): the unlabelled risk less the positives' part of it may not fall below zero. Its class prior
+is estimated from positives and unlabelled text alone: no set of texts can hold a smaller share of the unlabelled texts than
+the prior times its share of the positives, so the least such ratio over the sets above a score bounds the prior from above,
+and reaches it where some set is almost pure. Bad labels are never used.
+
+The model is fitted on at most ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows, chosen by a hash of the doc_id, which is a
+documented bound of the fit alone; every whole text is scored.
 
 Defined cases: null and empty texts have figures of their own and get a score; without any positives every
-score is the prior (0.5 where there are no labels at all); a doc_id labelled twice counts with its lower label;
-repeated rows score alike; null doc_ids are scored and never learnt from; an empty table gives an empty result.
+score is 0.5; a doc_id labelled twice counts with its lower label; repeated rows score alike; null doc_ids are scored and never
+learnt from; texts may be of any length; other columns, whatever their names, are left alone; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import read, small_batches, texts
+from brightledger.llm.common import read, slices, texts
 from brightledger.llm.html_extract import STOP_WORDS
+from brightledger.llm.spans import word_tokens
 
 MOST_POSITIVE = 10_000
 MOST_UNLABELLED = 30_000
@@ -34,7 +39,11 @@ STOPS = np.zeros(256, bool)
 STOPS[[ord(c) for c in ".,;:'\"-()?"]] = True
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[b for b in range(33, 127) if not (chr(b).isalnum() or STOPS[b])]] = True
-FIGURES = 14
+FIGURES, WORD_BINS, BYTE_BINS = 14, 64, 64
+#: How strongly weights are held to zero: those of the figures hardly, those of the many content features more.
+DECAY, CONTENT_DECAY = 1e-4, 3e-2
+#: Part of the positives that a set of the prior's estimate must hold: small sets' shares are noise.
+LEAST_SHARE = 0.3
 
 
 def figures(text: str | None) -> list[float]:
@@ -69,19 +78,50 @@ def figures(text: str | None) -> list[float]:
     ]
 
 
+def content(text: str | None) -> np.ndarray:
+    """Hashed words and hashed triples of bytes, as square roots of their shares of the text."""
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    tokens = word_tokens(data, np.array([0, len(data)]))[0]
+    words = np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=WORD_BINS)
+    wide = data.astype(np.uint32)
+    triples = (wide[:-2] * np.uint32(0x9E3779B1) ^ wide[1:-1] * np.uint32(0x85EBCA77) ^ wide[2:] * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)
+    parts = np.bincount((triples >> np.uint32(26)).astype(np.int64), minlength=BYTE_BINS)
+    return np.concatenate([np.sqrt(words / max(1, words.sum())), np.sqrt(parts / max(1, parts.sum()))])
+
+
+def features(text: str | None) -> np.ndarray:
+    return np.concatenate([figures(text), content(text)]).astype(np.float32)
+
+
 def expanded(x: np.ndarray) -> np.ndarray:
-    """The figures, their squares and capped values: bends that a linear model needs."""
-    return np.hstack([x, x**2, np.minimum(x, 0.05) * 20])
+    """All features, with squares and capped values of the figures: bends that a linear model needs."""
+    form = x[:, :FIGURES]
+    return np.hstack([x, form**2, np.minimum(form, 0.05) * 20]).astype(np.float32)
+
+
+def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
+    """The non-negative risk of positives' and unlabelled texts' raw scores, by the logistic loss."""
+    as_negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    return float(prior * np.logaddexp(0, -zp).mean() + max(0.0, as_negative))
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> dict:
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = LEAST_SHARE) -> float:
+    """The share of positives in the unlabelled texts, from scores of texts that the scoring model has not seen."""
+    cuts = np.quantile(positive, np.linspace(0, 1 - least, 50))
+    above = [((unlabelled >= c).mean(), (positive >= c).mean()) for c in cuts]
+    return float(np.clip(min(u / p for u, p in above if p > 0), 0.01, 0.99))
+
+
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05) -> dict:
     """Weights of the logistic model that minimises the non-negative risk; a plain numpy fit by Adam."""
     both = np.vstack([positive, unlabelled])
     mean, scale = both.mean(0), both.std(0) + 1e-6
-    p = np.hstack([(positive - mean) / scale, np.ones((len(positive), 1))])
-    u = np.hstack([(unlabelled - mean) / scale, np.ones((len(unlabelled), 1))])
-    p, u = np.clip(p, -8, 8), np.clip(u, -8, 8)
-    w = np.zeros(p.shape[1])
+    one = np.float32(1)
+    p = np.hstack([np.clip((positive - mean) / scale, -8, 8), np.full((len(positive), 1), one)])
+    u = np.hstack([np.clip((unlabelled - mean) / scale, -8, 8), np.full((len(unlabelled), 1), one)])
+    w = np.zeros(p.shape[1], np.float32)
+    decay = np.full_like(w, DECAY)
+    decay[FIGURES : FIGURES + WORD_BINS + BYTE_BINS] = CONTENT_DECAY
     first, second = np.zeros_like(w), np.zeros_like(w)
 
     def sigmoid(z):
@@ -89,12 +129,10 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
 
     for t in range(1, steps + 1):
         zp, zu = p @ w, u @ w
-        # Logistic losses: of a positive called positive, called negative, and of the unlabelled called negative.
         as_negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        pull = -prior * (p.T @ sigmoid(-zp)) / len(p)
-        push = (u.T @ sigmoid(zu)) / len(u) - prior * (p.T @ sigmoid(zp)) / len(p)
-        gradient = pull + push if as_negative >= 0 else -push
-        gradient = gradient + decay * w
+        pull = -prior * (sigmoid(-zp) @ p) / len(p)
+        push = (sigmoid(zu) @ u) / len(u) - prior * (sigmoid(zp) @ p) / len(p)
+        gradient = (pull + push if as_negative >= 0 else -push) + decay * w
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         step = rate * (0.5 * (1 + np.cos(np.pi * t / steps)) + 0.01)
@@ -102,21 +140,37 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
     return {"mean": mean, "scale": scale, "w": w}
 
 
+def fit(positive: np.ndarray, unlabelled: np.ndarray) -> dict:
+    """The model of the estimated prior: halves score each other for the estimate, then all rows are fitted."""
+    halves = [(positive[i::2], unlabelled[i::2]) for i in (0, 1)]
+    seen = [[], []]
+    if min(len(x) for half in halves for x in half) >= 20:
+        for (p, u), other in zip(halves, reversed(halves)):
+            model = fit_nnpu(p, u, 0.5, steps=200)
+            for k in (0, 1):
+                seen[k].append(raw(model, other[k]))
+        prior = class_prior(*(np.concatenate(s) for s in seen))
+    else:
+        prior = 0.5
+    return {"prior": prior} | fit_nnpu(positive, unlabelled, prior)
+
+
+def raw(model: dict, x: np.ndarray) -> np.ndarray:
+    return np.clip((x - model["mean"]) / model["scale"], -8, 8) @ model["w"][:-1] + model["w"][-1]
+
+
 def score(model: dict, x: np.ndarray) -> np.ndarray:
-    z = np.clip((expanded(x) - model["mean"]) / model["scale"], -8, 8) @ model["w"][:-1] + model["w"][-1]
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    return 1 / (1 + np.exp(-np.clip(raw(model, expanded(x)).astype(float), -30, 30)))
 
 
-def figure_rows(docs: DataFrame) -> DataFrame:
-    """``(doc_id, x)`` of ``(doc_id, text)``."""
+def feature_rows(docs: DataFrame) -> DataFrame:
+    """``(x)`` of ``(doc_id, text)``: the features as packed 32-bit floats."""
 
     def run(batches):
-        for batch in batches:
-            x = [figures(t.as_py()) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
+        for batch in slices(batches):
+            yield pa.record_batch([pa.array([features(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["x"])
 
-    small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, "doc_id long, x array<double>")
+    return docs.select("doc_id", "text").mapInArrow(run, "x binary")
 
 
 def learnable(id_col: str = "doc_id"):
@@ -127,36 +181,38 @@ def learnable(id_col: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame) -> dict:
     """The model; ``docs`` has ``doc_id, text``, ``labels`` ``doc_id, quality``."""
     known = labels.where(learnable() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    n_known, n_good = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("quality"), F.lit(0))).first()
-    prior = min(0.99, max(0.01, n_good / n_known)) if n_known else 0.5
+    good = known.where("quality = 1").select("doc_id")
+    n_good = good.count()
     if not n_good:
-        return {"prior": prior}
+        return {"prior": 0.5}
 
     def chosen(df: DataFrame, n: int, most: int, salt: int) -> DataFrame:
+        # A part of all hashes in 62 bits, so that the smallest of shares still chooses rows.
         share = min(1.0, 0.9 * most / max(1, n))
-        return df.where(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        return df.where(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(2**62)) < int(share * 2**62))
 
-    good = chosen(known.where("quality = 1"), n_good, MOST_POSITIVE, 1).select("doc_id")
-    unlabelled = chosen(docs.where("doc_id is not null"), docs.count(), MOST_UNLABELLED, 2)
-    positive = figure_rows(docs.join(good, "doc_id", "left_semi").select("doc_id", "text")).select("x").limit(MOST_POSITIVE)
-    xs = [np.array([r[0] for r in df.collect()], float).reshape(-1, FIGURES) for df in (positive, figure_rows(unlabelled.select("doc_id", "text")).select("x").limit(MOST_UNLABELLED))]
+    some = chosen(good, n_good, MOST_POSITIVE, 1)
+    positive = docs.join(F.broadcast(some), "doc_id", "left_semi").limit(MOST_POSITIVE)  # at most so many ids
+    unlabelled = chosen(docs.where("doc_id is not null"), docs.count(), MOST_UNLABELLED, 2).limit(MOST_UNLABELLED)
+    width = FIGURES + WORD_BINS + BYTE_BINS
+    xs = [np.frombuffer(b"".join(r.x for r in feature_rows(df).collect()), np.float32).reshape(-1, width) for df in (positive, unlabelled)]
     if not (len(xs[0]) and len(xs[1])):
-        return {"prior": prior}
-    return {"prior": prior} | fit_nnpu(expanded(xs[0]), expanded(xs[1]), prior)
+        return {"prior": 0.5}
+    return fit(expanded(xs[0]), expanded(xs[1]))
 
 
 def scored(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text", out: str = "score") -> DataFrame:
     """The columns ``keep`` of ``docs`` and the score of its ``text_col``, as ``out``."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    rows = docs.select(*keep) if at < len(keep) else docs.select(*keep, text_col)
 
     def run(batches):
-        for batch in batches:
-            x = np.array([figures(t.as_py()) for t in batch.column(batch.num_columns - 1)], float).reshape(-1, FIGURES)
+        for batch in slices(batches):
+            x = np.array([features(t.as_py()) for t in batch.column(at)], np.float32).reshape(batch.num_rows, -1)
             s = score(model, x) if "w" in model else np.full(len(x), model["prior"])
-            yield pa.record_batch([*batch.columns[:-1], pa.array(s)], [*keep, out])
+            yield pa.record_batch([*batch.columns[: len(keep)], pa.array(s, pa.float64())], [*keep, out])
 
-    small_batches(docs.sparkSession)
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, f"{fields}, `{out}` double")
+    return rows.mapInArrow(run, docs.select(*keep, F.lit(0.0).alias(out)).schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
