@@ -2,9 +2,10 @@
 
 Documents are tokenised once; what is longer than a sequence is cut. Every partition packs its pieces by
 best fit, longest first, in blocks of bounded size, and lets go of the bins that are nearly full. The
-underfull ones are the next round's items, merged into fewer partitions, until one block holds them all or a
-round gains nothing more; then they are closed as they are. A bin carries its members, so no join is needed
-to know where a piece went.
+underfull ones are the next round's items, merged into fewer partitions, until one block holds them all. Before each
+round the bins leave that cannot take the smallest item of all, and no item can take: those of long pieces mostly. While more
+than a block is left, rounds deal the items anew, at random; only when ``STALLED`` rounds on end have joined no two items in
+any block are they closed as they are. A bin carries its members, so no join is needed to know where a piece went.
 
 Defined cases: a null text is an empty document, which is its end token alone; repeated rows are packed each;
 null doc_ids are kept; an empty table gives no rows; the name of an added token in a text (``<|endoftext|>``) is that
@@ -26,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import read, small_batches, stored, texts
+from brightledger.llm.common import read, slices, stored, texts
 
 LENGTH = 2048
 END_ID = 0
 BLOCK = 100_000
 #: A bin with no more room than this is closed at once.
 NEARLY = 16
+#: Rounds without any two items joined, each with the items dealt anew, after which no more are tried.
+STALLED = 3
 CACHED = 200_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 MEMBER = "doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint"
@@ -136,7 +139,7 @@ def token_pieces(
     def run(batches):
         encoder = word_ids(*vocabulary)
         end = np.array([END_ID], "<u4")
-        for batch in batches:
+        for batch in slices(batches):
             rows, ids_out = [], []
             for at, text in enumerate(batch.column(1)):
                 ids = np.concatenate([text_ids(encoder, text.as_py() or "", added), end])
@@ -153,7 +156,6 @@ def token_pieces(
                 names.append("ids")
             yield pa.record_batch(columns, names)
 
-    small_batches(docs.sparkSession)
     return texts(docs, id_col, text_col).mapInArrow(run, PIECE + (", ids array<int>" if keep_ids else ""))
 
 
@@ -227,24 +229,27 @@ def pack(pieces: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFra
     items = pieces.select(F.col("length").alias("fill"), F.array(F.struct(*columns, F.lit(0).cast("long").alias("offset"))).alias("members"))
     closed = [items.where(F.col("fill") >= length)]
     rest = items.where(F.col("fill") < length)
-    before, parts = None, None
-    small_batches(spark, 10_000)
+    before, parts, stalled = None, None, 0
     while True:
         last = parts == 1
         done = stored(rest.mapInArrow(functools.partial(run, last=last), schema))
         closed.append(done.where("not open").select("fill", "members"))
         rest = done.where("open").select("fill", "members")
-        n = rest.count()
+        n, least = rest.agg(F.count(F.lit(1)), F.min("fill")).first()
         if n == 0:
             break
-        if before is not None and n > 0.9 * before:
-            closed.append(rest)
-            break
-        before, parts = n, max(1, math.ceil(n / block)) if parts is None else max(1, min(math.ceil(n / block), parts // 2))
-        if parts == 1 and n > block:
+        # A bin without room for the smallest item takes none, and is too large for any other's room.
+        closed.append(rest.where(F.col("fill") > length - least))
+        rest = rest.where(F.col("fill") <= length - least)
+        n = rest.count()
+        stalled = stalled + 1 if n == before else 0
+        before = n
+        least_parts = math.ceil(n / block)
+        if n < 2 or stalled == STALLED:
             closed.append(rest)
             break
-        rest = rest.coalesce(1) if parts == 1 else rest.repartition(parts)
+        parts = max(1, least_parts) if parts is None else max(1, least_parts, parts // 2)
+        rest = rest.coalesce(1) if parts == 1 else rest.repartition(parts, F.rand(parts + stalled))
     bins = functools.reduce(DataFrame.unionByName, closed)
     bins = bins.withColumn("sequence_id", F.monotonically_increasing_id())
     rows = bins.select("sequence_id", F.explode("members").alias("m"))
