@@ -1,10 +1,11 @@
 """Benchmark decontamination with a generalised suffix automaton of the test items.
 
-The items' normalised words build one automaton (per block of at most ``BLOCK_WORDS`` words, so what is sent
-to the executors is bounded whatever the benchmark's size; several blocks are several passes of the same
-map). Documents stream through it word by word: at each word the automaton gives the longest match that ends
+The items' normalised words build one automaton per block of at most ``BLOCK_WORDS`` words. Blocks are passes of the
+same map, one after the other, with the hits so far stored between them: one automaton at a time is built, sent to the
+executors and dropped, so memory is bounded whatever the benchmark's size, and time grows with the number of blocks. Documents stream through it word by word: at each word the automaton gives the longest match that ends
 there, and where it covers a whole window of an item, the window's words are hit. Stretches of words that
-no item has cannot match and are stepped over. Nothing is shuffled.
+no item has cannot match and are stepped over. Nothing is shuffled. ``without_spans`` removes what is hit: spans of a
+length or more lose their words, and documents that are hit beyond a share go.
 
 Defined cases: null texts have no words, and neither hit nor are hit; an item shorter than a window is one
 window; repeated items and rows count as they stand; items without an id count as an empty id; an empty
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import read, small_batches, texts
+from brightledger.llm.common import read, slices, stored, texts
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -155,7 +156,6 @@ def contamination(
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     rest = "n_words long, spans array<struct<start: long, end: long>>, items array<string>"
     out = texts(docs, id_col, text_col)
-    small_batches(spark)
     blocks = item_blocks(items, item_id, item_text, block_words)
     block = next(blocks)
     while block is not None:
@@ -164,7 +164,7 @@ def contamination(
 
         def run(batches, sent=sent, with_text=with_text):
             automaton = sent.value
-            for batch in batches:
+            for batch in slices(batches):
                 n_words, spans, found = [], [], []
                 before = batch.select(["spans", "items"]).to_pylist() if batch.num_columns > 2 else None
                 for i, text in enumerate(batch.column(1)):
@@ -181,25 +181,65 @@ def contamination(
                 yield pa.record_batch(list(columns.values()), list(columns))
 
         out = out.mapInArrow(run, ("doc_id long, text string, " if with_text else "doc_id long, ") + rest)
+        if block is not None:
+            out = stored(out)
+            sent.destroy()
     return out
 
 
 def uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has no window of an item; no shuffle."""
     spark, at = docs.sparkSession, docs.columns.index(text_col)
-    small_batches(spark)
-    for block in item_blocks(items, block_words=block_words):
+    blocks = item_blocks(items, block_words=block_words)
+    block = next(blocks)
+    while block is not None:
         sent = spark.sparkContext.broadcast(ItemAutomaton(block, window))
 
         def run(batches, sent=sent):
-            for batch in batches:
+            for batch in slices(batches):
                 clean = [not sent.value.matches(words_of(t.as_py()))[0] for t in batch.column(at)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs, block = docs.mapInArrow(run, docs.schema), next(blocks, None)
+        if block is not None:
+            docs = stored(docs)
+            sent.destroy()
     return docs
 
 
+def _word_places(text: str) -> list[tuple[int, int]]:
+    """Where the words of ``words_of`` stand in the text's bytes."""
+    data = np.frombuffer(b" " + text.encode().translate(WORD_BYTES) + b" ", np.uint8) != 32
+    edges = np.diff(data.astype(np.int8))
+    return list(zip(np.nonzero(edges == 1)[0].tolist(), np.nonzero(edges == -1)[0].tolist()))
+
+
+def without_words(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words of the spans ``[start, end)`` and what stands between them; what is left meets at a blank."""
+    data, places, parts, at = text.encode(), _word_places(text), [], 0
+    for start, end in spans:
+        parts.append(data[at : places[start][0]].rstrip())
+        at = places[end - 1][1]
+    parts.append(data[at:].lstrip() if spans else data)
+    return b" ".join(p for p in parts if p).decode() if spans else text
+
+
+def without_spans(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, max_share: float = 0.5, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``(doc_id, text)``: without hit spans of ``min_words`` words or more; documents hit beyond ``max_share`` of their words go."""
+    hit = contamination(docs, items, window, block_words=block_words, keep_text=True)
+    hit = hit.where(word_counts() <= F.lit(max_share) * F.col("n_words")).select("doc_id", "text", "spans")
+
+    def run(batches):
+        for batch in slices(batches):
+            out = []
+            for text, spans in zip(batch.column(1), batch.column(2)):
+                long = [(x["start"], x["end"]) for x in spans.as_py() if x["end"] - x["start"] >= min_words]
+                out.append(without_words(text.as_py(), long))
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], ["doc_id", "text"])
+
+    return hit.mapInArrow(run, "doc_id long, text string")
+
+
 def word_counts(spans: str = "spans"):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
