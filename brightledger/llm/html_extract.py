@@ -2,9 +2,9 @@
 
 A page is read as a stream of tags into blocks (the text between block-level tags, with its link characters
 and the containers around it). Pass one decides what it can: blocks in menus, headers, footers, sidebars,
-forms, notices, adverts and comments, and blocks made of links, are out; blocks of some length with a running
-text's share of stop words and few links are in. Pass two gives each ambiguous block (short ones and
-headings, mostly) the label of the nearest decided neighbour, in its own container before the page at large;
+forms, notices, adverts and comments, and blocks made of links, are out; longer blocks are in where they have a running
+text's share of stop words, or few links, whatever their language. Pass two gives each ambiguous block (short ones and
+headings) the label of the nearest decided neighbour, in its own container before the page at large;
 between two at the same distance a heading takes the one below it and any other block the one above.
 
 Words of a class, id or role mark a container as a sidebar, comments and so on, but do not decide alone: a container is
@@ -20,6 +20,7 @@ which nothing can be decided keeps its ambiguous blocks; repeated page_ids each
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -29,13 +30,17 @@ from pyspark.sql import functions as F
 
 from brightledger.llm.common import read, slices
 
-#: Common function words of English, French, German and Spanish.
+#: Common function words of English, French, German, Spanish, Italian, Portuguese, Dutch and Polish.
 STOP_WORDS = frozenset(
     "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which "
     "one you were all her she there would their we him been has when who will no more if out so up said what its about "
     "le la les de des du un une et à en est que qui dans pour pas sur au aux ce cette il elle ne se par plus avec sont "
     "der die das den dem des und ist von zu mit sich auf für nicht ein eine als auch es an er aus bei im sie werden "
-    "el los las y en del al que un una por con para es no se su lo como más o pero sus le ya este".split()
+    "el los las y en del al que un una por con para es no se su lo como más o pero sus le ya este "
+    "il lo gli di che è per non si con da sono nel della dei alla anche come più ma ed questo essere "
+    "os as em do da dos das não uma com se na no por mais ao foi como mas são "
+    "het een van en dat niet zijn op te aan met voor door er maar ook bij naar deze wordt "
+    "w i z na do nie się jest to że od po przez jak ale oraz jego który są dla".split()
 )
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -59,6 +64,8 @@ OUTER_WORDS = frozenset(
     "comments disqus replies share sharing social related recommended newsletter subscribe subscription login signup "
     "search widget complementary contentinfo pagination".split()
 )
+#: Elements that decide where blocks begin, what is hidden and what is a link; others pass by without a trace.
+KEPT_TAGS = BLOCK_TAGS | SECTION_TAGS | HIDDEN_TAGS | OPTION_TAGS
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 SHORT = 70
 LINKED, FEW_LINKS = 0.5, 0.2
@@ -88,6 +95,7 @@ class Open:
     container: int
     marks: tuple = ()
     number: int = -1
+    link: bool = False
 
 
 @dataclass
@@ -111,6 +119,8 @@ class Blocks(HTMLParser):
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
         self.stack = [Open("", False, False, False, 0)]
+        #: How many elements of each name are open: what is not open need not be looked for.
+        self.open: Counter = Counter()
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
@@ -142,6 +152,8 @@ class Blocks(HTMLParser):
                 self._close_any(closed, SECTION_TAGS | {"ul", "ol", "table", "dl"} if tag != "p" else SECTION_TAGS)
         if tag in VOID_TAGS:
             return
+        if tag == "a":
+            self._end("a")
         at = self.stack[-1]
         number = -1
         if tag in HIDDEN_TAGS and tag != "head":
@@ -163,10 +175,16 @@ class Blocks(HTMLParser):
         if tag in SECTION_TAGS:
             self.containers += 1
             container = self.containers
-        self.links += tag == "a"
-        self.stack.append(Open(tag, at.outer or tag in OUTER_TAGS, at.body or tag in BODY_TAGS, at.hidden or hidden, container, marks, number))
+        link = tag == "a" and any(k == "href" for k, _ in attrs)
+        if not (link or hidden or tag in KEPT_TAGS or marks is not at.marks):
+            return
+        self.links += link
+        self.open[tag] += 1
+        self.stack.append(Open(tag, at.outer or tag in OUTER_TAGS, at.body or tag in BODY_TAGS, at.hidden or hidden, container, marks, number, link))
 
     def _close_any(self, tags: set[str], within: frozenset | set) -> None:
+        if not any(self.open[tag] for tag in tags):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             tag = self.stack[i].tag
             if self.stack[i].number >= 0 and self.stack[i].number not in self.plain:
@@ -179,6 +197,8 @@ class Blocks(HTMLParser):
 
     def _end_head(self, anywhere: bool) -> None:
         """Closes an open head: where it is what is open, or at a body ``anywhere`` in it."""
+        if not self.open["head"]:
+            return
         for i in range(len(self.stack) - 1 if not anywhere else 1, len(self.stack)):
             if self.stack[i].tag == "head":
                 self._pop(i)
@@ -186,13 +206,17 @@ class Blocks(HTMLParser):
 
     def _pop(self, i: int, closed: bool = False) -> None:
         self.unclosed |= {o.number for o in self.stack[i + closed :] if o.number >= 0}
-        self.links -= sum(o.tag == "a" for o in self.stack[i:])
+        self.links -= sum(o.link for o in self.stack[i:])
+        self.open.subtract(o.tag for o in self.stack[i:])
         del self.stack[i:]
 
     def handle_endtag(self, tag):
         if tag in BLOCK_TAGS:
             self.flush()
-        for i in range(len(self.stack) - 1, 0, -1):
+        self._end(tag)
+
+    def _end(self, tag: str) -> None:
+        for i in range(len(self.stack) - 1, 0, -1) if self.open[tag] else ():
             if self.stack[i].tag == tag:
                 self._pop(i, closed=True)
                 return
@@ -211,18 +235,23 @@ class Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
-def running(b: Block) -> bool:
-    """Whether the block reads as running text, wherever it stands."""
+def dense(b: Block) -> bool:
+    """Whether stop words make up a running text's share of the block."""
     words = WORD.findall(b.text.lower())
-    share = sum(w in STOP_WORDS for w in words) >= RUNNING * max(1, len(words))
-    return len(b.text) >= SHORT and not b.heading and share and b.linked <= FEW_LINKS * len(b.text)
+    return sum(w in STOP_WORDS for w in words) >= RUNNING * max(1, len(words))
+
+
+def long_text(b: Block) -> bool:
+    return len(b.text) >= SHORT and not b.heading and b.linked <= FEW_LINKS * len(b.text)
 
 
 def weigh_marks(page: Blocks) -> None:
     """Puts out the blocks of marked containers, but of those that are or hold the article."""
     if not page.marks:
         return
-    texts = [b for b in page.found if not b.outer and running(b)]
+    texts = [b for b in page.found if not b.outer and long_text(b)]
+    # Stop words tell the article from other text where the page's language is a known one.
+    texts = [b for b in texts if dense(b)] or texts
     size = sum(len(b.text) for b in texts)
     inside = [0] * len(page.marks)
     for b in texts:
@@ -244,7 +273,7 @@ def first_pass(b: Block) -> bool | None:
         return False
     if len(b.text) < SHORT or b.heading:
         return None
-    return True if running(b) else None
+    return b.linked <= FEW_LINKS * len(b.text) or dense(b)
 
 
 def second_pass(blocks: list[Block]) -> None:

@@ -39,3 +39,30 @@ def test_comments_longer_than_the_article_are_out():
     assert main_text(f"<body>{ARTICLE}<div id='comments'>{comments}</div>") == f"{ONE} {TWO}"
     several = f"<article class='comment-body'><p>{SIDE}</p></article>" * 20
     assert main_text(f"<body><article>{ARTICLE}</article><div id='comment-list'>{several}</div>") == f"{ONE} {TWO}"
+
+
+CHINESE = "这是一篇关于城市历史的长文章，" * 12
+ITALIAN = "La storia della città comincia nel medioevo e continua fino ai giorni nostri con molte vicende che gli abitanti ricordano ancora oggi."
+POLISH = "Historia miasta zaczyna się w średniowieczu i trwa do dziś, a wiele wydarzeń mieszkańcy pamiętają jeszcze teraz bardzo dokładnie."
+
+
+def test_articles_in_any_language():
+    for text in (CHINESE, ITALIAN, POLISH):
+        page = f"<nav><a href=x>Home</a></nav><div><p>{text}</p><p>{text}</p></div><footer>Contact</footer>"
+        assert main_text(page) == f"{text} {text}"
+
+
+def test_anchors_without_a_target_are_no_links():
+    text = "The first paragraph of the article is long enough to be running text with the words of it."
+    assert main_text(f'<div><a name="s1"><p>{text}</p><p>{text}</p></div>') == f"{text} {text}"
+    assert main_text(f'<div><p>{text}</p><p><a href="x">one<a href="y">two</a> {text}</p></div>') == f"{text} onetwo {text}"
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    text = "the words of the article that is here and long enough to be of the running kind of text "
+    page = "<div>" + f"<b><i><span>{text}</u>" * 8000 + "</div>"
+    began = time.time()
+    assert len(page) > 800_000 and main_text(page).startswith(text.strip())
+    assert time.time() - began < 5
