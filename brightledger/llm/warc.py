@@ -5,8 +5,8 @@ file says which). The converter parses the header line by its version, takes the
 length, and synthesises what WARC wants and ARC lacks: a record identifier, an ISO timestamp, a record type
 and a payload digest. Of pages with equal payloads of at least ``MIN_BYTES``, the one with the largest id is
 a response and the others revisit it. Archives are written by Spark's text sink, whose line separator is the
-end of a WARC record, and read back with ``binaryFile``: each part holds a bounded number of records and is
-parsed as a stream by the declared lengths.
+end of a WARC record, and read back with ``binaryFile``: each part holds records of ``PART_BYTES`` (and one more of any
+length) and is parsed as a stream by the declared lengths. Every record has an identifier of its own.
 
 Defined cases: a null html is an empty payload, a null url an empty one; a null page_id is kept as such and
 never becomes the response of a group that has another; repeated page_ids with equal payloads are all
@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import read, shared_folder, stored
+from brightledger.llm.common import read, shared_folder, slices, stored
 
 MIN_BYTES = 1000
-RECORDS_PER_FILE = 2000
+PART_BYTES = 64_000_000
 CRLF = "\r\n"
 END = CRLF + CRLF
 #: Header fields of the two ARC versions (fixed values of the format).
@@ -41,12 +41,14 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RESULT = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-# --- identifiers: a page_id travels in the free bits of a version 8 UUID, so a reader gets it back
+# --- identifiers: a page_id and the number of its row travel in the free bits of a version 8 UUID, so a reader gets the page back
 
 
-def record_id(page_id: int | None) -> str:
+def record_id(page_id: int | None, serial: int = 0) -> str:
+    """``serial`` has 57 bits: 2 ** 24 tasks of 2 ** 33 rows, as Spark numbers rows."""
     bits = 0 if page_id is None else page_id & (2**64 - 1)
     value = (bits >> 32 << 80) | (8 << 76) | (int(page_id is None) << 64) | (2 << 62) | (bits & (2**32 - 1))
+    value |= (serial & (2**30 - 1)) << 32 | (serial >> 30 & 0x7FF) << 65 | (serial >> 41 & 0xFFFF) << 112
     return f"<urn:uuid:{uuid.UUID(int=value)}>"
 
 
@@ -54,7 +56,7 @@ def page_of(identifier: str) -> int | None:
     value = uuid.UUID(identifier.strip("<>").rpartition(":")[2]).int
     if value >> 64 & 1:
         return None
-    bits = (value >> 80) << 32 | value & (2**32 - 1)
+    bits = (value >> 80 & (2**32 - 1)) << 32 | value & (2**32 - 1)
     return bits - 2**64 if bits >> 63 else bits
 
 
@@ -105,7 +107,7 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
 # --- WARC
 
 
-def warc_record(arc: ArcRecord, page_id: int | None, refers_to: int | None) -> bytes:
+def warc_record(arc: ArcRecord, identifier: str, refers_to: str | None) -> bytes:
     """The equivalent WARC record without its end; a revisit keeps the HTTP header, not the payload."""
     day = arc.header["date"]
     http = f"HTTP/1.1 {arc.header.get('status', '200')} OK{CRLF}Content-Type: {arc.header['mime']}; charset=utf-8{CRLF}Content-Length: {len(arc.payload)}{END}"
@@ -113,7 +115,7 @@ def warc_record(arc: ArcRecord, page_id: int | None, refers_to: int | None) -> b
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: {record_id(page_id)}",
+        f"WARC-Record-ID: {identifier}",
         f"WARC-Date: {day[:4]}-{day[4:6]}-{day[6:8]}T{day[8:10]}:{day[10:12]}:{day[12:14]}Z",
         f"WARC-Target-URI: {arc.header['url']}",
         f"WARC-Payload-Digest: sha1:{hashlib.sha1(arc.payload).hexdigest()}",
@@ -121,7 +123,7 @@ def warc_record(arc: ArcRecord, page_id: int | None, refers_to: int | None) -> b
         f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
-        lines[5:5] = [f"WARC-Refers-To: {record_id(refers_to)}", f"WARC-Profile: {REVISIT_PROFILE}"]
+        lines[5:5] = [f"WARC-Refers-To: {refers_to}", f"WARC-Profile: {REVISIT_PROFILE}"]
     return CRLF.join(lines).encode() + END.encode() + block
 
 
@@ -144,38 +146,48 @@ def write_warc(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     version: str = "2", date: str = "20240101000000", min_bytes: int = MIN_BYTES,
 ) -> None:
-    """Converts pages, as ARC records, to gzipped WARC parts under ``path``."""
+    """Converts pages, as ARC records, to gzipped WARC parts under ``path``.
+
+    Rows are numbered as they are read, twice: pages come from a table, or from a plan that gives the same rows in the same order.
+    """
     html = F.coalesce(pages[html_col], F.lit(""))
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), F.coalesce(pages[url_col], F.lit("")).alias("url"), html.alias("html"))
-    rows = rows.withColumns({"n": F.octet_length("html"), "digest": F.sha2("html", 256)})
+    rows = rows.withColumns({"serial": F.monotonically_increasing_id(), "n": F.octet_length("html"), "digest": F.sha2("html", 256)})
     groups = stored(
         rows.where(F.col("n") >= min_bytes)
         .groupBy("digest", "n")
-        .agg(F.count(F.lit(1)).alias("copies"), F.max("page_id").alias("last"))
-        .where("copies > 1 and last is not null")
+        .agg(F.count(F.lit(1)).alias("copies"), F.max(F.struct("page_id", "serial")).alias("last"))
+        .where("copies > 1 and last.page_id is not null")
         .select("digest", "n", "last")
     )
-    rows = rows.join(groups, ["digest", "n"], "left").select(
-        "page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to")
-    )
+    copy = ~F.col("page_id").eqNullSafe(F.col("last.page_id")) & F.col("last.page_id").isNotNull()
+    rows = rows.join(groups, ["digest", "n"], "left").select("page_id", "serial", "url", "html", F.when(copy, F.col("last")).alias("refers_to"))
 
     def run(batches):
-        for batch in batches:
-            ids, urls, htmls, refers = (c.to_pylist() for c in batch.columns)
+        archive, size = 0, 0
+        for batch in slices(batches, 50):
+            ids, serials, urls, htmls, refers = (c.to_pylist() for c in batch.columns)
             urls = [u.replace("\n", "%0A").replace("\r", "%0D") for u in urls]
             arc = arc_block(version, [(u, h.encode()) for u, h in zip(urls, htmls)], date)
-            out = [warc_record(r, *about).decode() for r, about in zip(parse_arc(arc), zip(ids, refers))]
-            yield pa.record_batch([pa.array(out, pa.string())], ["value"])
+            out, archives = [], []
+            for record, page, serial, to in zip(parse_arc(arc), ids, serials, refers):
+                value = warc_record(record, record_id(page, serial), to and record_id(to["page_id"], to["serial"]))
+                out.append(value.decode())
+                archives.append(archive)
+                size += len(value)
+                if size >= PART_BYTES:
+                    archive, size = archive + 1, 0
+            yield pa.record_batch([pa.array(out, pa.string()), pa.array(archives, pa.int32())], ["value", "archive"])
 
-    records = rows.mapInArrow(run, "value string")
-    records.write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path, compression="gzip")
+    records = rows.mapInArrow(run, "value string, archive int")
+    records.write.option("lineSep", END).partitionBy("archive").text(path, compression="gzip")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             rows = {"page_id": [], "payload_bytes": [], "payload_digest": [], "record_type": [], "refers_to": []}
             for content in batch.column(0):
                 for headers, block in parse_warc(gzip.GzipFile(fileobj=io.BytesIO(content.as_py()))):
@@ -191,7 +203,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
             yield pa.record_batch([pa.array(v, k) for v, k in zip(rows.values(), kinds)], list(rows))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz").load(path)
     return files.select("content").mapInArrow(run, RESULT)
 
 
