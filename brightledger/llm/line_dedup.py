@@ -1,24 +1,27 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-Documents are taken in batches. Each batch adds a run: its distinct line keys (128 bits of hash), sorted,
-with the number of documents that hold the key and the largest such doc_id. When a level holds ``fanout``
-runs they are merged into one run of the next level. A line is repeated when the runs together hold its key
-in ``min_docs`` documents; what stays is the merge-anti-join of the lines with the repeated keys, except
-that the largest doc_id keeps its lines. A later batch can be added to the same runs without reading
-earlier texts again, which is what makes the runs worth having.
+Documents are taken in batches. A batch's distinct line keys (128 bits of hash), with the number of documents that hold
+each and the largest such doc_id, are merge-anti-joined with the runs: keys that no run has become the batch's own run, and
+keys that are known already are noted apart. So a key is in one run only. A run is bucketed and sorted by its key, as are the
+keys of a batch, so neither is shuffled again when they meet. When a level holds ``fanout`` runs they are merged, bucket
+by bucket, into one run of the next level. A line is repeated when its run and its notes together count ``min_docs``
+documents; all its lines go but those of the largest doc_id that holds it. A later batch can be added to the same
+runs without reading earlier texts again.
 
 Only DataFrame functions run here; texts move once, to meet the positions of their dropped lines, and hot
-keys are combined before each shuffle. Defined cases: a null or empty text is one empty line; rows alike
-in doc_id and text count as one document, each still gets its row in the result; a null doc_id is smaller
-than any other, as far as the largest is concerned; an empty table gives an empty result.
+keys are combined before each shuffle. Defined cases: a null or empty text is one empty line; rows that share a doc_id
+are one document, and each still gets its row in the result; a null doc_id is a document smaller
+than any other; lines and texts may be of any length; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import read, stored, texts
+from brightledger.llm.common import read, shared_folder, shuffle_parts, stored, texts
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,49 +45,67 @@ def hashed_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
 
 
 class LineRuns:
-    """Levelled runs of ``(h1, h2, n_docs, last_doc)``."""
+    """Levelled runs of ``(h1, h2, n_docs, last_doc)`` with distinct keys, and notes of keys that came again."""
 
-    def __init__(self, fanout: int = 4):
-        self.fanout = fanout
+    def __init__(self, spark: SparkSession, fanout: int = 2):
+        self.spark, self.fanout = spark, fanout
+        self.buckets = shuffle_parts(spark)
         self.levels: list[list[DataFrame]] = [[]]
+        self.notes: list[DataFrame] = []
+
+    def _sorted(self, keys: DataFrame) -> DataFrame:
+        """The keys as a table that is bucketed and sorted by key; Spark reads it without a shuffle when it meets another one."""
+        name = f"line_run_{uuid.uuid4().hex}"
+        files = keys.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{shared_folder(self.spark)}/{name}")
+        files.saveAsTable(name)
+        return self.spark.table(name)
+
+    def fresh(self, keys: DataFrame) -> DataFrame:
+        """Rows whose key no run has yet: merge-anti-joins with the sorted runs, newest level first."""
+        for level in self.levels:
+            for run in level:
+                keys = keys.join(run.select(*KEY), KEY, "left_anti")
+        return keys
 
     def add(self, lines: DataFrame) -> None:
-        """Adds the run of one batch; its documents must not be in the runs already."""
-        run = lines.groupBy(*KEY).agg(
-            F.count_distinct(F.struct("doc_id", "version")).alias("n_docs"), F.max("doc_id").alias("last_doc")
-        )
-        self._put(stored(run.sortWithinPartitions(*KEY)), 0)
+        """Adds one batch of lines; its documents must not be in the runs already."""
+        keys = lines.groupBy(*KEY).agg(F.count_distinct(F.struct("doc_id")).alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        keys = self._sorted(keys.repartition(self.buckets, *KEY))
+        first = not any(self.levels)
+        run = keys if first else self._sorted(self.fresh(keys))
+        if not first:
+            self.notes.append(stored(keys.join(run.select(*KEY), KEY, "left_anti")))
+        self._put(run, 0)
 
     def _put(self, run: DataFrame, level: int) -> None:
         if level == len(self.levels):
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
-            merged, self.levels[level] = self._merged(self.levels[level]), []
-            self._put(stored(merged.sortWithinPartitions(*KEY)), level + 1)
+            runs, self.levels[level] = self.levels[level], []
+            merged = runs[0]
+            for other in runs[1:]:
+                # Keys are distinct, so an outer join merges the sorted buckets.
+                other = other.select(*KEY, F.col("n_docs").alias("n"), F.col("last_doc").alias("last"))
+                merged = merged.join(other, KEY, "full_outer").select(*KEY, F.coalesce("n_docs", "n").alias("n_docs"), F.coalesce("last_doc", "last").alias("last_doc"))
+            self._put(self._sorted(merged), level + 1)
 
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
-            rows = rows.unionByName(run)
-        return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
-
-    def fresh(self, lines: DataFrame) -> DataFrame:
-        """Lines of a batch whose key no run has yet: merge-anti-joins with the sorted runs, newest level first.
-
-        For corpora that are deduplicated as they arrive: keep the fresh lines, then ``add`` the batch.
-        """
+    def repeated(self, min_docs: int) -> DataFrame:
+        """Keys that at least ``min_docs`` documents hold, over all levels, with the largest doc_id."""
+        again = None
+        for note in self.notes:
+            again = note if again is None else again.unionByName(note)
+        found = []
         for level in self.levels:
             for run in level:
-                lines = lines.join(run.select(*KEY), KEY, "left_anti")
-        return lines
-
-    def repeated(self, min_docs: int) -> DataFrame:
-        """Keys that at least ``min_docs`` documents hold, over all levels."""
-        runs = [run for level in self.levels for run in level]
-        merged = runs[0] if len(runs) == 1 else self._merged(runs)
-        return stored(merged.where(F.col("n_docs") >= min_docs).select(*KEY, "last_doc").sortWithinPartitions(*KEY))
+                if again is not None:
+                    more = again.groupBy(*KEY).agg(F.sum("n_docs").alias("n"), F.max("last_doc").alias("last"))
+                    run = run.join(more, KEY, "left").select(*KEY, (F.col("n_docs") + F.coalesce("n", F.lit(0))).alias("n_docs"), F.greatest("last_doc", "last").alias("last_doc"))
+                found.append(run.where(F.col("n_docs") >= min_docs).select(*KEY, "last_doc"))
+        every = found[0]
+        for more in found[1:]:
+            every = every.unionByName(more)
+        return stored(every)
 
 
 def drop_repeated_lines(
@@ -99,7 +120,7 @@ def drop_repeated_lines(
     rows = texts(docs, id_col, text_col)
     lines = hashed_lines(rows, min_chars).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
     lines = stored(lines, "batch")
-    runs = LineRuns()
+    runs = LineRuns(docs.sparkSession)
     for batch in range(batches):
         runs.add(lines.where(F.col("batch") == batch))
     found = lines.join(runs.repeated(min_docs), KEY).where("doc_id is null or doc_id < last_doc")

@@ -93,12 +93,58 @@ def test_runs_take_later_batches(spark):
         return line_dedup.hashed_lines(spark.createDataFrame(rows, "doc_id long, text string"))
 
     text = "a line that is long enough to count"
-    runs = line_dedup.LineRuns(fanout=2)
+    runs = line_dedup.LineRuns(spark, fanout=2)
     for i in range(5):
         runs.add(lines([(i, text), (i + 100, f"{text} {i}")]))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
+    assert sum(run.count() for level in runs.levels for run in level) == 6  # every key is in one run
     found = runs.repeated(3).collect()
     assert len(found) == 1 and found[0].last_doc == 4
-    assert runs.repeated(3).where(F.col("last_doc") == 4).count() == 1
     later = lines([(200, text), (201, "a line that no earlier batch has had")])
     assert [r.doc_id for r in runs.fresh(later).collect()] == [201]
+
+
+def test_runs_meet_without_a_shuffle(spark):
+    def lines(i):
+        return line_dedup.hashed_lines(spark.createDataFrame([(i, f"the line of number {i} that is long enough")], "doc_id long, text string"))
+
+    runs = line_dedup.LineRuns(spark, fanout=9)
+    runs.add(lines(1))
+    runs.add(lines(2))
+    one, two = runs.levels[0]
+    plan = one.hint("merge").join(two.select(*line_dedup.KEY), line_dedup.KEY, "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    line = "a line of more than twenty letters"
+    got = line_dedup.drop_repeated_lines(docs(spark, [(1, line), (1, line + "\nx"), (2, line)])).collect()
+    assert [r.n_dropped for r in got] == [0, 0, 0]
+    got = line_dedup.drop_repeated_lines(docs(spark, [(1, line), (1, line + "\nx"), (2, line), (3, line), (None, line)])).collect()
+    assert sorted((r.doc_id or 0, r.n_dropped) for r in got) == [(0, 1), (1, 1), (1, 1), (2, 1), (3, 0)]
+
+
+def test_record_ids_are_unique(spark):
+    """Rows that repeat a page_id have records of their own, and revisits refer to a response that is there."""
+    import gzip
+    import io
+
+    rows = [(i % 3, "u", "<p>" + LONG) for i in range(9)] + [(7, "u", "<p>x"), (7, "u", "<p>x")]
+    folder = spark.conf.get("spark.checkpoint.dir") + "/warc-ids"
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).write.parquet(folder + "-pages")
+    warc.write_warc(spark.read.parquet(folder + "-pages"), folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(folder).collect()
+    records = [h for f in files for h, _ in warc.parse_warc(gzip.GzipFile(fileobj=io.BytesIO(bytes(f.content))))]
+    ids = [h["warc-record-id"] for h in records]
+    assert len(set(ids)) == len(rows)
+    responses = {h["warc-record-id"] for h in records if h["warc-type"] == "response"}
+    assert {h["warc-refers-to"] for h in records if h["warc-type"] == "revisit"} <= responses
+
+
+def test_small_archives(spark, monkeypatch):
+    monkeypatch.setattr(warc, "PART_BYTES", 3000)
+    rows = [(i, "u", f"<p>{i} " + "long " * 300) for i in range(40)]
+    folder = spark.conf.get("spark.checkpoint.dir") + "/warc-small"
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    back = warc.read_warc(spark, folder).collect()
+    assert sorted(r.page_id for r in back) == list(range(40)) and {r.record_type for r in back} == {"response"}
