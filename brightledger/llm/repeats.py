@@ -7,9 +7,10 @@ equal windows are bound to share at the same place within the window. Then, in f
    smaller document of the task has too is settled on the spot; the rest is dealt by the anchor's hash.
 2. Each part sorts its anchors. A phrase that a smaller document has settles all windows around the anchor; what
    is left of a gram with several phrases, one document for each phrase, needs its single windows compared.
-3. Documents meet the settled and the needed positions, and the needed windows are hashed and dealt by hash;
-   again a task settles what it can.
-4. Each part finds the smallest document of each window, which settles the others.
+3. Documents meet the settled and the needed positions. What is needed is dealt to the parts again: as the strings of
+   the phrases, dealt by gram, where the rule works on bytes, and else as 128-bit hashes of windows.
+4. Each part finds the smallest document of each window, which settles the others. Of strings it does so by a suffix
+   array of its phrases, on their bytes (``suffix_order``).
 5. Documents meet all settled positions and are written out.
 
 What is dealt lies in packed arrays, a row for each task and part, so Spark moves few and large rows. The
@@ -17,13 +18,12 @@ numbers of parts and shards follow ``spark.sql.shuffle.partitions``, which is ho
 of its work. Copies are merged in each task before anything is dealt, and grams with very many phrases
 are not dealt but only witnessed, so a task's share of a hot passage does not grow with its copies.
 
-Equality is decided by 64-bit hashes of whole phrases or windows. A null id is larger than any other.
+Phrases are told apart by 64-bit hashes among those of one gram (of 64 bits too): chance equals one out of some 2 ** 64 pairs
+of different phrases with the same gram. A null id is larger than any other.
 """
 
 from __future__ import annotations
 
-import gc
-import time
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -49,7 +49,9 @@ WITNESS = np.uint32(2**32 - 1)
 
 ANCHOR, SETTLED, NEEDED, WINDOW = 0, 1, 2, 3  # what a packed row holds
 ROWS = "part int, shard int, kind int, columns binary"
-KINDS = {"doc": np.int64, "version": np.uint32, "pos": np.uint32, "gram": np.uint32, "phrase": np.uint64}
+KINDS = {"doc": np.int64, "version": np.uint32, "pos": np.uint32, "gram": np.uint32, "phrase": np.uint64, "check": np.uint64, "size": np.uint16}
+#: Bytes of phrases whose suffixes are sorted at once (or those of one gram).
+SORTED_BYTES = 1_000_000
 TEXT_ROWS = "shard int, doc binary, size binary, packed binary"
 
 
@@ -61,6 +63,7 @@ class Rule:
     gram: int
     tokens: Callable  # (bytes, bounds) -> tokens, bounds
     anchors: Callable  # (Hashed, bounds) -> positions, gram hashes
+    strings: bool = False  # tokens are bytes, and windows are compared as such
 
 
 # --- packed rows: columns byte by byte, ids as differences, so that what repeats compresses
@@ -171,21 +174,22 @@ def packed_texts(docs: DataFrame, shards: int) -> DataFrame:
             press = zstandard.ZstdCompressor(level=1)
             for a, b in zip(cuts[:-1], cuts[1:]):
                 some = [held[i] for i in order[a:b]]
-                size = np.array([len(t) for t in some], np.int64).tobytes()
+                size = np.array([~len(t) if nulls[i] else len(t) for i, t in zip(order[a:b], some)], np.int64).tobytes()
                 rows.append((int(shard[a]), ids[order[a:b]].tobytes(), size, press.compress(b"".join(some))))
             kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
             return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["shard", "doc", "size", "packed"])
 
-        held_ids, held, n = [], [], 0
+        held_ids, held, nulls, n = [], [], [], 0
         for batch in batches:
             ids, data, bounds = text_arrays(batch)
             raw = data.tobytes()
             held_ids.append(ids)
+            nulls += batch.column(0).is_null().to_pylist()
             held += [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
             n += len(raw)
             if n >= FLUSH_BYTES:
                 yield flush()
-                held_ids, held, n = [], [], 0
+                held_ids, held, nulls, n = [], [], [], 0
         if held:
             yield flush()
 
@@ -202,10 +206,10 @@ def _slices(ids: np.ndarray, data: np.ndarray, bounds: np.ndarray):
 
 
 def _unpacked(table: pa.Table):
-    """``(ids, bytes, bounds)`` of each packed row."""
+    """``(ids, bytes, bounds, which ids are null)`` of each packed row; the size of a text without an id is its complement."""
     for doc, size, packed in zip(*(table.column(c).to_pylist() for c in ("doc", "size", "packed"))):
-        data = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-        yield np.frombuffer(doc, np.int64), data, np.concatenate([[0], np.cumsum(np.frombuffer(size, np.int64))])
+        data, size = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8), np.frombuffer(size, np.int64)
+        yield np.frombuffer(doc, np.int64), data, np.concatenate([[0], np.cumsum(np.where(size < 0, ~size, size))]), size < 0
 
 
 # --- step 1
@@ -242,6 +246,7 @@ def _dealt_anchors(rule: Rule, parts: int, shards: int, unique: bool, many: int
                 continue
             hashed = Hashed(tokens)
             pos, gram = rule.anchors(hashed, bounds)
+            gram = mixed(gram)
             at = np.searchsorted(bounds, pos, "right") - 1
             begin = np.maximum(pos - (rule.window - rule.gram), bounds[at])
             end = np.minimum(pos + rule.window, bounds[at + 1])
@@ -324,7 +329,7 @@ def _dealt_windows(rule: Rule, parts: int, shards: int, unique: bool):
         places = Places(right, (SETTLED, NEEDED))
         held = []
         wanted = set(places.found[NEEDED]["doc"].tolist())
-        for ids, data, text_bounds in _unpacked(left):
+        for ids, data, text_bounds, _ in _unpacked(left):
             for i in range(len(ids)):
                 if int(ids[i]) not in wanted:
                     continue
@@ -337,35 +342,35 @@ def _dealt_windows(rule: Rule, parts: int, shards: int, unique: bool):
                 n = len(tokens)
                 open_ = _starts(rule, need, n) & ~_starts(rule, places.of(SETTLED, ids[i], version), n)
                 at = np.nonzero(open_)[0]
-                window = mixed(Hashed(tokens).of(at, at + rule.window))
-                held.append((np.full(len(at), ids[i]), np.full(len(at), version, np.uint32), at.astype(np.uint32), window))
+                window, check = (mixed(Hashed(t).of(at, at + rule.window)) for t in (tokens, mixed(tokens)))
+                held.append((np.full(len(at), ids[i]), np.full(len(at), version, np.uint32), at.astype(np.uint32), window, check))
         rows = []
         if held:
-            doc, version, pos, window = (np.concatenate(c) for c in zip(*held))
-            settled, order = _settled_windows(doc, window)
+            doc, version, pos, window, check = (np.concatenate(c) for c in zip(*held))
+            settled, order = _settled_windows(doc, window, check)
             place = {"doc": doc[order], "version": version[order], "pos": pos[order]}
             rows = _by_shard(WINDOW, {k: v[settled] for k, v in place.items()}, shards, parts)
-            window = window[order]
+            window, check = window[order], check[order]
             part = ((window >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-            rows += _by_part(ANCHOR, {k: v[~settled] for k, v in (place | {"phrase": window}).items()}, part[~settled])
+            rows += _by_part(ANCHOR, {k: v[~settled] for k, v in (place | {"phrase": window, "check": check}).items()}, part[~settled])
         return pa.Table.from_batches([_batch(rows)])
 
     return run
 
 
-def _settled_windows(doc: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of windows in hash order: which start in a smaller document too; and the order."""
-    order = np.lexsort((doc, window))
-    doc, window = doc[order], window[order]
-    new = _firsts(window)
+def _settled_windows(doc: np.ndarray, *window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of windows in their order: which start in a smaller document too; and the order."""
+    order = np.lexsort((doc, *window[::-1]))
+    doc = doc[order]
+    new = _firsts(*(w[order] for w in window))
     return (doc > doc[new][np.cumsum(new) - 1] if len(doc) else np.zeros(0, bool)), order
 
 
 def _least_windows(parts: int, shards: int):
     def run(table: pa.Table) -> pa.Table:
         rows = _by_shard(WINDOW, _joined(table, WINDOW, PLACE), shards, parts)
-        w = _joined(table, ANCHOR, ["doc", "version", "pos", "phrase"])
-        settled, order = _settled_windows(w["doc"], w["phrase"])
+        w = _joined(table, ANCHOR, [*PLACE, "phrase", "check"])
+        settled, order = _settled_windows(w["doc"], w["phrase"], w["check"])
         chosen = order[settled]
         rows += _by_shard(WINDOW, {k: w[k][chosen] for k in PLACE}, shards, parts)
         return pa.Table.from_batches([_batch(rows)])
@@ -373,6 +378,145 @@ def _least_windows(parts: int, shards: int):
     return run
 
 
+# --- steps 3 and 4 on strings: a dictionary of phrases, its suffix array, and the parse that says where phrases stand
+
+STRING = [*PLACE, "gram", "size"]
+
+
+def _own_windows(anchors: np.ndarray, grams: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last start of the windows in which each anchor's gram is the smallest, and the first of its kind."""
+    low, high = anchors - reach, anchors.copy()
+    k = 1
+    while k < len(anchors) and (anchors[k:] - anchors[:-k]).min() <= reach:
+        at = np.nonzero(grams[:-k] <= grams[k:])[0]
+        low[at + k] = np.maximum(low[at + k], anchors[at] + 1)
+        at = np.nonzero(grams[k:] < grams[:-k])[0]
+        high[at] = np.minimum(high[at], anchors[at + k] - reach - 1)
+        k += 1
+    return low, high
+
+
+def _dealt_strings(rule: Rule, parts: int, shards: int, unique: bool):
+    """Needed phrases as bytes. A window belongs to its smallest anchor alone: equal windows have equal ones."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        places = Places(right, (SETTLED, NEEDED))
+        wanted = set(places.found[NEEDED]["doc"].tolist())
+        held, strings = [], []
+        for ids, data, text_bounds, _ in _unpacked(left):
+            for i in range(len(ids)):
+                if int(ids[i]) not in wanted:
+                    continue
+                text = data[text_bounds[i] : text_bounds[i + 1]]
+                version = 0 if unique else zlib.crc32(text)
+                need = places.of(NEEDED, ids[i], version)
+                if not len(need):
+                    continue
+                tokens, bounds = rule.tokens(text, np.array([0, len(text)]))
+                n = len(tokens)
+                anchors, grams = rule.anchors(Hashed(tokens), bounds)
+                low, high = _own_windows(anchors, grams, rule.window - rule.gram)
+                low, high = np.maximum(low, 0), np.minimum(high, n - rule.window)
+                settled = np.concatenate([[0], np.cumsum(_starts(rule, places.of(SETTLED, ids[i], version), n))])
+                keep = np.isin(anchors, need) & (low <= high)
+                keep[keep] = settled[high[keep] + 1] - settled[low[keep]] < high[keep] + 1 - low[keep]
+                low, size, grams = low[keep], (high - low)[keep] + rule.window, mixed(grams[keep])
+                ends = np.cumsum(size)
+                at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - size), size)
+                strings.append(text[at])
+                held.append((np.full(len(low), ids[i]), np.full(len(low), version, np.uint32), low.astype(np.uint32), grams, size.astype(np.uint16)))
+        rows = []
+        if held:
+            doc, version, pos, gram, size = (np.concatenate(c) for c in zip(*held))
+            data, ends = np.concatenate(strings), np.cumsum(size.astype(np.int64))
+            part = ((gram >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            columns = {"doc": doc, "version": version, "pos": pos, "gram": gram.astype(np.uint32), "size": size}
+            cuts = np.concatenate([[0], np.nonzero(np.diff(part[order]))[0] + 1, [len(order)]])
+            press = zstandard.ZstdCompressor(level=1)
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                own = order[a:b]
+                if len(own):
+                    of = size[own].astype(np.int64)
+                    at = np.arange(of.sum()) + np.repeat(ends[own] - of - (np.cumsum(of) - of), of)
+                    packed = _encoded(columns, own)
+                    rows.append((int(part[own[0]]), 0, ANCHOR, len(packed).to_bytes(4, "little") + packed + press.compress(data[at].tobytes())))
+        return pa.Table.from_batches([_batch(rows)])
+
+    return run
+
+
+def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    rank = np.empty(len(keys), np.uint64)
+    rank[order] = np.cumsum(_firsts(keys[order]))
+    return rank, order
+
+
+def suffix_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array of ``data`` as far as ``length`` bytes, at ``starts``: the order of these suffixes, and where
+    in it a suffix has fewer than ``length`` bytes in common with the one before it.
+
+    By prefix doubling: ranks of 8 bytes make those of 16, and so on; the last step overlaps.
+    """
+    n, have = len(data), min(8, length)
+    padded = np.concatenate([data, np.zeros(have, np.uint8)]).astype(np.uint64)
+    keys = np.zeros(n, np.uint64)
+    for j in range(have):
+        keys = keys << np.uint64(8) | padded[j : j + n]
+    while have < length:
+        rank = np.concatenate([_ranks(keys)[0], np.zeros(length, np.uint64)])
+        step = min(have, length - have)
+        keys = rank[:n] << np.uint64(32) | rank[step : step + n]
+        have += step
+        if have == length:
+            keys = keys[starts]
+    if len(keys) != len(starts):
+        keys = keys[starts]
+    order = np.argsort(keys, kind="stable")
+    return order, _firsts(keys[order])
+
+
+def _least_strings(rule: Rule, parts: int, shards: int):
+    def run(table: pa.Table) -> pa.Table:
+        found, texts_ = [], []
+        for packed in table.filter(pc.equal(table.column("kind"), ANCHOR)).column("columns").to_pylist():
+            n = 4 + int.from_bytes(packed[:4], "little")
+            found.append(_decoded(packed[4:n], STRING))
+            texts_.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[n:]), np.uint8))
+        rows = []
+        if found:
+            c = {name: np.concatenate([f[name] for f in found]) for name in STRING}
+            data, size = np.concatenate(texts_), c["size"].astype(np.int64)
+            at = np.cumsum(size) - size
+            order = np.lexsort((c["doc"], c["gram"]))
+            filled = np.cumsum(size[order])
+            new = np.nonzero(_firsts(c["gram"][order]))[0]
+            # Runs of whole grams of a bounded size.
+            group = (filled[new] - size[order][new]) // SORTED_BYTES
+            cuts = np.concatenate([new[_firsts(group)], [len(order)]])
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                rows += _by_shard(WINDOW, _settled_strings(rule, data, {k: c[k][order[a:b]] for k in PLACE}, at[order[a:b]], size[order[a:b]]), shards, parts)
+        return pa.Table.from_batches([_batch(rows)])
+
+    return run
+
+
+def _settled_strings(rule: Rule, data: np.ndarray, place: dict, at: np.ndarray, size: np.ndarray) -> dict:
+    """Positions of the dictionary's windows that a smaller document of the parse has too."""
+    ends = np.cumsum(size)
+    text = data[np.arange(ends[-1]) + np.repeat(at - (ends - size), size)]
+    windows = size - rule.window + 1
+    of = np.repeat(np.arange(len(size)), windows)
+    shift = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+    order, new = suffix_order(text, (ends - size)[of] + shift, rule.window)
+    doc = place["doc"][of][order]
+    group = np.cumsum(new) - 1
+    least = np.minimum.reduceat(doc, np.nonzero(new)[0])
+    settled = order[doc > least[group]]
+    return {"doc": place["doc"][of[settled]], "version": place["version"][of[settled]], "pos": (place["pos"][of[settled]] + shift[settled]).astype(np.uint32)}
+
+
 # --- step 5
 
 
@@ -380,7 +524,7 @@ def _written(rule: Rule, unique: bool, names: list[str], kinds: list, finish: Ca
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         places = Places(right, (SETTLED, WINDOW))
         ids_out, out = [], []
-        for ids, data, bounds in _unpacked(left):
+        for ids, data, bounds, nulls in _unpacked(left):
             for i in range(len(ids)):
                 text = data[bounds[i] : bounds[i + 1]]
                 covered = None
@@ -396,7 +540,7 @@ def _written(rule: Rule, unique: bool, names: list[str], kinds: list, finish: Ca
                         change[at] += 1
                         np.add.at(change, at + rule.window, -1)
                         covered = np.cumsum(change[:n]) > 0
-                ids_out.append(None if ids[i] == NO_ID else int(ids[i]))
+                ids_out.append(None if nulls[i] else int(ids[i]))
                 out.append(finish(text.tobytes(), covered))
         columns = [pa.array(ids_out, pa.int64()), *(pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * len(kinds), kinds))]
         return pa.table(columns, ["doc_id", *names])
@@ -419,22 +563,13 @@ def without_repeats(docs: DataFrame, rule: Rule, schema: str, names: list[str],
         return stored(anchors.groupBy("part").applyInArrow(_settled_phrases(parts, shards), ROWS))
 
     def compared(phrases: DataFrame) -> DataFrame:
+        deal = _dealt_strings if rule.strings else _dealt_windows
+        least = _least_strings(rule, parts, shards) if rule.strings else _least_windows(parts, shards)
         sides = packed_texts(rows, shards).groupBy("shard"), phrases.groupBy("shard")
-        windows = sides[0].cogroup(sides[1]).applyInArrow(_dealt_windows(rule, parts, shards, unique), ROWS)
-        return stored(windows.groupBy("part").applyInArrow(_least_windows(parts, shards), ROWS))
+        windows = sides[0].cogroup(sides[1]).applyInArrow(deal(rule, parts, shards, unique), ROWS)
+        return stored(windows.groupBy("part").applyInArrow(least, ROWS))
 
     phrases = dealt()
-    release(spark)
-    least = compared(phrases)
-    release(spark)
-    settled = phrases.where(f"kind = {SETTLED}").unionByName(least)
+    settled = phrases.where(f"kind = {SETTLED}").unionByName(compared(phrases))
     sides = packed_texts(rows, shards).groupBy("shard"), settled.groupBy("shard")
     return sides[0].cogroup(sides[1]).applyInArrow(_written(rule, unique, names, kinds, finish), schema)
-
-
-def release(spark) -> None:
-    """Lets Spark's cleaner drop the shuffle files of finished steps now, rather than at a later full collection."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)

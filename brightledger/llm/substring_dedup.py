@@ -3,7 +3,7 @@
 Only positions whose number modulo ``PERIOD`` lies in a difference cover are hashed. For any two places of a
 match there is a shift below the period that brings both onto cover positions, so two equal windows of
 ``WINDOW`` words share an aligned anchor of ``WINDOW - PERIOD + 1`` words; the match is extended from there
-to the windows around the anchor.
+to the windows around the anchor. Words are told apart by 64-bit hashes (long ones by XXH64), windows by 128-bit ones.
 
 Defined cases: null texts have no words; texts of fewer words than a window keep them all; windows are
 judged on the input; rows alike in doc_id and text are one document, and rows that share only the doc_id do

@@ -3,11 +3,12 @@
 A rolling hash triggers at the locally smallest gram of every window's length of text, so any two equal
 strings of ``LENGTH`` bytes trigger at the same place within. The text between the furthest ends that a
 trigger's strings can reach is its phrase; phrases overlap by more than a trigger, as prefix-free parsing
-asks, and the distinct phrases are the dictionary, each with the smallest document that has it. The parse
-(which phrase stands where) settles all strings of phrases that a smaller document has. For the strings of
-the phrases that are left, the dictionary's suffixes are brought in order by the fingerprint of their first
-``LENGTH`` bytes: suffixes that agree in as many bytes are neighbours in it, which is all that this operator
-asks of a suffix array.
+asks. The parse says which document has which phrase where. A phrase that a smaller document has too settles all its
+strings at once, which is what makes repetitive text cheap. The phrases that are left are the dictionary, dealt by
+trigger. Each part sorts its dictionary's suffixes by their bytes (prefix doubling), which with the parse is the order of
+the corpus: suffixes of the order with ``LENGTH`` bytes in common are occurrences of one string, and the smallest
+document among them keeps it. Since phrases overlap by a whole string, no string goes beyond its phrase, so ranks of the
+parse need not break ties.
 
 Defined cases: null texts are empty; texts shorter than a string keep every byte; strings are judged on the
 input; rows alike in doc_id and text are one document, and rows that share only the doc_id do not remove
@@ -42,7 +43,7 @@ def _triggers(length: int, gram: int):
         at = np.arange(n - gram + 1)
         h = mixed(hashed.of(at, at + gram)) | np.uint64(1)  # zero stands for "no window here"
         pos = local_minima(h, bounds, gram, length)
-        return pos, mixed(h[pos])
+        return pos, h[pos]
 
     return anchors
 
@@ -56,7 +57,7 @@ def _finish(text: bytes, covered):
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, a row for every input row."""
-    rule = Rule(length, gram, _tokens, _triggers(length, gram))
+    rule = Rule(length, gram, _tokens, _triggers(length, gram), strings=True)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     kinds = [pa.int64()] * 3 + [pa.string()]
     return without_repeats(docs, rule, schema, ["n_bytes", "n_removed", "n_spans", "kept_sha256"], kinds, _finish, id_col, text_col)

@@ -86,6 +86,37 @@ def test_hot_grams_are_witnessed(spark, monkeypatch):
     assert sorted(map(tuple, suffix_dedup.repeated_bytes(df).collect())) == want
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(b"ab\x00\xff"), min_size=1, max_size=120), st.integers(1, 60))
+def test_suffix_order(data, length):
+    from brightledger.llm.repeats import suffix_order
+
+    starts = np.arange(max(0, len(data) - length + 1))
+    order, new = suffix_order(np.array(data, np.uint8), starts, length)
+    strings = [bytes(data[i : i + length]) for i in order]
+    assert strings == sorted(strings) and sorted(order.tolist()) == starts.tolist()
+    assert new.tolist() == [i == 0 or strings[i] != strings[i - 1] for i in range(len(strings))]
+
+
+def test_small_runs_of_suffixes(spark, monkeypatch):
+    from brightledger.llm import repeats
+
+    df = spark.createDataFrame(corpus(seed=6), "doc_id long, text string")
+    want = sorted(map(tuple, suffix_dedup.repeated_bytes(df).collect()))
+    monkeypatch.setattr(repeats, "SORTED_BYTES", 300)
+    assert sorted(map(tuple, suffix_dedup.repeated_bytes(df).collect())) == want
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    """Two words of 1,024 bytes, a Thue-Morse word and its complement, are not the same."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, two = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    other = [f"w{i}" for i in range(49)]
+    rows = [(1, " ".join([one, *other])), (2, " ".join([two, *other])), (3, " ".join([one, *other]))]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.repeated_words(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}
+
+
 def test_cover_is_a_difference_cover():
     differences = {(a - b) % substring_dedup.PERIOD for a in substring_dedup.COVER for b in substring_dedup.COVER}
     assert differences == set(range(substring_dedup.PERIOD))

@@ -148,3 +148,9 @@ def test_small_archives(spark, monkeypatch):
     warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
     back = warc.read_warc(spark, folder).collect()
     assert sorted(r.page_id for r in back) == list(range(40)) and {r.record_type for r in back} == {"response"}
+
+
+def test_largest_id_is_not_null(spark):
+    last = 2**63 - 1
+    got = suffix_dedup.repeated_bytes(docs(spark, [(1, LONG), (last, LONG + " tail"), (None, "none")])).collect()
+    assert sorted(((r.doc_id, r.n_removed) for r in got), key=str) == sorted([(1, 0), (last, len(LONG)), (None, 0)], key=str)
