@@ -556,7 +556,7 @@ def without_repeats(docs: DataFrame, rule: Rule, schema: str, names: list[str],
     spark = docs.sparkSession
     parts = shards = shuffle_parts(spark)
     rows = texts(docs, id_col, text_col)
-    unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty()
 
     def dealt() -> DataFrame:
         anchors = rows.mapInArrow(_dealt_anchors(rule, parts, shards, unique), ROWS)
