@@ -9,10 +9,12 @@ similarity of 0.8 or more, and groups are the connected components of these pair
    the SimHash operator: all their pairs are compared by exclusive-or and bit counts. The radius of 52 bits is so far that
    a pair at 0.8 is beyond it about once in 100,000 (by the binomial odds of a bit that differs, 0.152; once in 1,000 for
    texts of 8 or 9 words); pairs that are more alike are missed more rarely still.
-3. Links are verified on the sets, in rounds: first each node's closest partner in each pair of tiles, then more of those
-   that are not of its group yet, at last all of them. Nodes without any candidate leave after the first round, and the
-   others get fingerprints of 16 words, which tell near copies from mere relatives better. So copies of one text cost links
-   that are linear in their number, no pair of different groups is left untried, and pairs within a group are never formed.
+3. Links are verified on the sets. First each node's closest partner in each pair of tiles; nodes without any candidate
+   leave then, and the others get fingerprints of 16 words, which tell near copies from mere relatives better. Next the
+   ``PARTNERS`` closest of those that are not of its group yet. Pairs beyond that are between nodes that both have more, the
+   dense ones: their sets go with the tiles, and a task verifies all that is left of their pairs, closest ones first and none
+   within a group that has grown so far, and returns only the links that join two groups. So what moves is linear in the
+   nodes, and no pair of different groups is left untried.
 
 Defined cases: null and empty texts and texts without words are near copies of none; texts of fewer words than a shingle are
 one shingle; rows without a doc_id are left out (the stage numbers its rows where there are any); rows that repeat a
@@ -26,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +41,8 @@ from brightledger.llm.spans import mixed, shingles
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bits that may differ in fingerprints of so many words, and in the first word, which is compared first.
 RADIUS, FIRST = {3: 52, 16: 212}, 25
-#: Partners of a node that a round tries in each pair of tiles; the last round tries all.
-ROUNDS = (1, 4, None)
+#: Partners of a node that the second round tries in each pair of tiles, and shingles of a tile of dense nodes.
+PARTNERS, DENSE_TILE = 2, 2_000_000
 #: Covers rounding where a bound on whole numbers is computed in doubles; it only lets more pairs be verified.
 ROUNDING = 1e-6
 
@@ -85,13 +88,11 @@ def _closest(ends: np.ndarray, far: np.ndarray, most: int) -> np.ndarray:
     return rank < most
 
 
-def candidates(a: dict, b: dict, same: bool, similarity: float, most: int | None, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the points of two tiles that may be near copies: all pairs, or the ``most`` closest of each point.
+def candidate_strips(a: dict, b: dict, same: bool, similarity: float, words: int):
+    """``(p, q, far)`` of the points of two tiles that may be near copies and are of different groups, a strip of ``a`` at a time.
 
-    Both are in the order of sizes, and ``a`` is taken in strips, so a strip meets only the sizes of ``b`` that can agree;
-    what stays between strips is bounded by ``most`` links of each point (or is the result).
+    Both are in the order of sizes, so a strip meets only the sizes of ``b`` that can agree.
     """
-    found = []
     for at in range(0, len(a["n"]), STRIP):
         here = slice(at, at + STRIP)
         sizes = a["n"][here]
@@ -107,12 +108,22 @@ def candidates(a: dict, b: dict, same: bool, similarity: float, most: int | None
         p, q = p[keep], q[keep]
         far = sum(np.bitwise_count(a[w][p] ^ b[w][q]).astype(np.int64) for w in print_names(words))
         keep = far <= RADIUS[words]
-        found.append((p[keep], q[keep], far[keep]))
-        if most and at // STRIP % 16 == 15:
+        yield p[keep], q[keep], far[keep]
+
+
+def closest_links(a: dict, b: dict, same: bool, similarity: float, words: int, most: int) -> tuple[np.ndarray, ...]:
+    """The ``most`` closest candidates of each point, as pairs of nodes, and the nodes that have more."""
+    counts = np.zeros(len(a["n"]), np.int64), np.zeros(len(b["n"]), np.int64)
+    found = [(np.zeros(0, np.int64),) * 3]
+    for strip in candidate_strips(a, b, same, similarity, words):
+        for count, ends in zip(counts, strip):
+            count += np.bincount(ends, minlength=len(count))
+        found.append(strip)
+        if len(found) > 16:
             found = [_kept(found, most)]
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return (_kept(found, most) if most else tuple(np.concatenate(c) for c in zip(*found)))[:2]
+    p, q, _ = _kept(found, most)
+    more = np.concatenate([a["node"][counts[0] > most], b["node"][counts[1] > most]])
+    return a["node"][p], b["node"][q], np.unique(more)
 
 
 def _kept(found: list, most: int) -> tuple:
@@ -121,23 +132,70 @@ def _kept(found: list, most: int) -> tuple:
     return p[keep], q[keep], far[keep]
 
 
-def band_links(points: DataFrame, similarity: float, most: int | None, words: int, tile: int = TILE, within: list[str] | None = None) -> DataFrame:
-    """``(u, v)``, the smaller first, of points ``(node, n, w0, ..., component)`` that may be near copies."""
+def joining_links(a: dict, b: dict, same: bool, similarity: float, words: int) -> tuple[list, list]:
+    """Verified links that join two groups; pairs of one group, as far as it has grown here, are passed over."""
+    names, parts = np.unique(np.concatenate([a["component"], b["component"]]), return_inverse=True)
+    ours, theirs = parts[: len(a["n"])].tolist(), parts[len(a["n"]) :].tolist()
+    root = list(range(len(names)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    us, vs = [], []
+    for p, q, far in candidate_strips(a, b, same, similarity, words):
+        order = np.argsort(far, kind="stable")
+        for i, j in zip(p[order].tolist(), q[order].tolist()):
+            x, y = find(ours[i]), find(theirs[j])
+            if x != y and alike(a["shingles"][i], b["shingles"][j], similarity):
+                root[max(x, y)] = min(x, y)
+                us.append(int(a["node"][i]))
+                vs.append(int(b["node"][j]))
+    return us, vs
+
+
+def alike(one: np.ndarray, two: np.ndarray, similarity: float) -> bool:
+    common = int((two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one).sum())
+    return common >= similarity * (len(one) + len(two) - common) - ROUNDING
+
+
+def _tile(rows: pa.StructArray, words: int) -> dict:
+    """A tile's columns as arrays, in the order of sizes."""
+    order = np.argsort(rows.field("n").to_numpy(), kind="stable")
+    found = {}
+    for field in rows.type:
+        column = rows.field(field.name)
+        if field.name == "shingles":
+            ends = np.cumsum(column.value_lengths().to_numpy())
+            sets = np.split(column.flatten().to_numpy().view(np.uint64), ends[:-1])
+            found["shingles"] = [sets[i] for i in order.tolist()]
+        else:
+            found[field.name] = column.to_numpy(zero_copy_only=False)[order]
+    return found | {w: found[w].view(np.uint64) for w in print_names(words)}
+
+
+def band_links(points: DataFrame, similarity: float, words: int, most: int | None, tile: int = TILE, within: list[str] | None = None) -> DataFrame:
+    """``(u, v)`` of points ``(node, n, w0, ..., component)``: candidates, and ``(u, u)`` for nodes that have more than ``most``.
+
+    Without ``most``, points bring their ``shingles``, and the links are verified.
+    """
 
     def run(batches):
         for batch in slices(batches, 1):
-            tiles = [batch.column(i)[0].values for i in (0, 1)]
-            a, b = ({f.name: t.field(f.name).to_numpy(zero_copy_only=False) for f in t.type} for t in tiles)
-            for t in (a, b):
-                order = np.argsort(t["n"], kind="stable")
-                t |= {k: v[order] for k, v in t.items()}
-                t |= {w: t[w].view(np.uint64) for w in print_names(words)}
-            p, q = candidates(a, b, batch.column(2)[0].as_py(), similarity, most, words)
-            u, v = a["node"][p], b["node"][q]
-            yield pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+            a, b = (_tile(batch.column(i)[0].values, words) for i in (0, 1))
+            if most is None:
+                us, vs = joining_links(a, b, batch.column(2)[0].as_py(), similarity, words)
+            else:
+                u, v, more = closest_links(a, b, batch.column(2)[0].as_py(), similarity, words, most)
+                us, vs = np.concatenate([u, more]), np.concatenate([v, more])
+            us, vs = pa.array(us, pa.int64()), pa.array(vs, pa.int64())
+            yield pa.record_batch([pc.min_element_wise(us, vs), pc.max_element_wise(us, vs)], ["u", "v"])
 
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(similarity)) + F.lit(ROUNDING)).cast("long")
-    return tile_pairs(points.withColumn("cell", band), [0, 1], tile, within).mapInArrow(run, "u long, v long")
+    points = points.withColumn("cell", band)
+    pairs = tile_pairs(points, [0, 1], tile, within) if most else tile_pairs(points, [0, 1], tile, within, F.col("n"))
+    return pairs.mapInArrow(run, "u long, v long")
 
 
 def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -159,26 +217,30 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILA
     copied = nodes.where("copies > 1").select("digest", F.col("node").alias("v"))
     same = prints.select("digest", F.col("doc_id").alias("u")).join(stored(copied, within=within), "digest")
     found = stored(same.where("u > v").select("u", "v").distinct(), within=within)
-    groups, tried, sets = connected_components(found), None, None
-    points = nodes.drop("digest", "copies")
-    for most in ROUNDS:
-        labelled = points.join(groups.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "node")).drop("member")
-        links = band_links(labelled, similarity, most, words, within=within).distinct()
-        links = stored(links if tried is None else links.join(tried, ["u", "v"], "left_anti"), within=within)
-        if links.isEmpty():
-            if tried is None:
-                break  # no node has a candidate
-            continue
-        if sets is None:
-            ends = links.select(F.col("u").alias("doc_id")).unionByName(links.select(F.col("v").alias("doc_id"))).distinct()
-            ends, words = stored(ends, within=within), fine
-            sets = stored(shingle_sets(by_id(rows, ends, "left_semi"), size, words, keep=True), within=within)
-            points = sets.drop("digest", "shingles").withColumnRenamed("doc_id", "node")
-        more = stored(verified(links, sets, similarity), within=within)
-        tried = links if tried is None else tried.unionByName(links)
-        if not more.isEmpty():
-            # What is joined already is a star for each group: few links for the next round.
-            stars = groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-            groups = connected_components(stars.unionByName(more))
+    groups = connected_components(found)
+
+    def labelled(points: DataFrame) -> DataFrame:
+        rows = points.join(groups.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
+        return rows.withColumn("component", F.coalesce("component", "node")).drop("member")
+
+    def grown(more: DataFrame) -> DataFrame:
+        # What is joined already is a star for each group: few links for the next round.
+        stars = groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+        return connected_components(stars.unionByName(more))
+
+    first = stored(band_links(labelled(nodes.drop("digest", "copies")), similarity, words, 1, within=within).distinct(), within=within)
+    if not first.isEmpty():
+        # Nodes with a candidate: pairs of others are none.
+        ends = first.select(F.col("u").alias("doc_id")).unionByName(first.select(F.col("v").alias("doc_id"))).distinct()
+        ends = stored(ends, within=within)
+        sets = stored(shingle_sets(by_id(rows, ends, "left_semi"), size, fine, keep=True), within=within)
+        groups = grown(stored(verified(first.where("u <> v"), sets, similarity), within=within))
+        points = sets.drop("digest").withColumnRenamed("doc_id", "node")
+        next_ = stored(band_links(labelled(points.drop("shingles")), similarity, fine, PARTNERS, within=within).distinct(), within=within)
+        tried = next_.where("u <> v").join(first, ["u", "v"], "left_anti")
+        groups = grown(stored(verified(tried, sets, similarity), within=within))
+        dense = stored(next_.where("u = v").select(F.col("u").alias("node")), within=within)
+        if not dense.isEmpty():
+            left = labelled(points.join(dense, "node", "left_semi"))
+            groups = grown(stored(band_links(left, similarity, fine, None, DENSE_TILE, within=within), within=within))
     return groups.select(F.col("node").alias("doc_id"), "component")

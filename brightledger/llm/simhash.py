@@ -130,14 +130,14 @@ def linked(x: np.ndarray, y: np.ndarray, same: bool, radius: int) -> tuple[np.nd
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def tile_pairs(points: DataFrame, offsets: list[int], tile: int = TILE, within: list[str] | None = None) -> DataFrame:
+def tile_pairs(points: DataFrame, offsets: list[int], tile: int = TILE, within: list[str] | None = None, weight=None) -> DataFrame:
     """``(a, b, same)``: the tiles that are to be compared, as arrays of the points' columns.
 
     A point of cell ``c`` is compared with those of the cells ``c + offset``; ``offsets`` holds one of each pair of
-    opposite neighbours. Cells are cut into tiles of about ``tile`` points by a hash of the node; every pair of tiles
+    opposite neighbours. Cells are cut into tiles of about ``tile`` points (or so much ``weight``) by a hash of the node; every pair of tiles
     has a key of its own, so that those of a dense cell spread over the tasks.
     """
-    cells = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("cuts"))
+    cells = points.groupBy("cell").agg(F.ceil(F.sum(F.lit(1) if weight is None else weight) / F.lit(tile)).cast("int").alias("cuts"))
     # Cells are few by their making, whatever the rows: at most 17 ** 4 of part counts, a few hundred of size bands.
     cells = F.broadcast(stored(cells, within=within))
     columns = [c for c in points.columns if c != "cell"]

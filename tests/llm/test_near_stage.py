@@ -93,17 +93,19 @@ def test_short_texts(spark):
     assert found(spark, rows) == want
 
 
-def test_tiles_and_rounds_change_nothing(spark, monkeypatch):
-    """A group of copies without a common original, in tiles of a few points and with rounds of all partners only."""
+def test_dense_groups(spark, monkeypatch):
+    """Many relatives of one text, some of them near copies of each other but not of it; in tiles of any size."""
     r = random.Random(12)
-    shared = words(r, 80)
-    rows = [(i, " ".join(shared[: r.randint(70, 80)] + words(r, r.randint(1, 12)))) for i in range(90)]
+    base, rows = words(r, 150), []
+    for i in range(120):
+        own = list(base)
+        for at in r.sample(range(150), r.choice((1, 1, 2, 4))):
+            own[at] = words(r, 1)[0]
+        rows.append((i, " ".join(own)))
     want = components(rows)
-    assert len(set(want.values())) >= 1 and found(spark, rows) == want
+    assert len(want) > 60 and found(spark, rows) == want
     run = near_stage.tile_pairs
-    monkeypatch.setattr(near_stage, "tile_pairs", lambda points, offsets, tile, within: run(points, offsets, 8, within))
-    assert found(spark, rows) == want
-    monkeypatch.setattr(near_stage, "ROUNDS", (None,))
+    monkeypatch.setattr(near_stage, "tile_pairs", lambda points, offsets, tile, *more: run(points, offsets, tile // 1000, *more))
     assert found(spark, rows) == want
 
 
