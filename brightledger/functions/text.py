@@ -246,7 +246,7 @@ def hierarchy_level(col: Column | str) -> Column:
 
 def clean_label(col: Column | str) -> Column:
     """A label without numbering and bullets, brackets tidied, spaced-out syllables joined."""
-    bare = replaced(stripped(col), (rf"^[{ROMAN}]+\.?\s*", ""), (rf"^[{LETTERED}]\.\s+", ""), (r"\s+", " "))
+    bare = replaced(stripped(col), (rf"[{ROMAN}]+\.?\s*", ""), (rf"^[{LETTERED}]\.\s+", ""), (r"\s+", " "))
     dated = bare.rlike(r"^\d{4}\s*\.\s*\d{1,2}\s*\.\s*\d{1,2}")
     bare = F.when(dated, bare).otherwise(replaced(bare, (r"^\d+\.\s+", ""), (r"^\(\d+\)\s*", ""), (r"^\d+\)\s*", "")))
     return replaced(bare, (r"\(\s+", "("), (r"\s+\)", ")"), (r"\s+\(", "("), (r"(?<=(?:^|[\s(])[가-힣])\s+(?=[가-힣](?:[\s()]|$))", ""))
@@ -394,15 +394,12 @@ def text_issues(col: Column | str, terms: Sequence[str] = tuple(TERMS)) -> Colum
 
 
 #: Words of the item buckets that a statement is looked through for (fixed values).
-ITEM_BUCKETS = {"revenue": ("매출", "수익"), "assets": ("자산",), "liabilities": ("부채",), "equity": ("자본",), "profit": ("이익", "순이익")}
+ITEM_BUCKETS = {"revenue": ("매출",), "assets": ("자산",), "liabilities": ("부채",), "equity": ("자본",), "profit": ("손익", "이익")}
 
 
-def item_bucket(col: Column | str, buckets: dict[str, Sequence[str]] = ITEM_BUCKETS) -> Column:
-    """The first bucket one of whose words a label has."""
-    found = F.when(F.lit(False), "")
-    for name, words in buckets.items():
-        found = found.when(any_of(_c(col), words), name)
-    return found
+def item_buckets(col: Column | str, buckets: dict[str, Sequence[str]] = ITEM_BUCKETS) -> Column:
+    """All buckets one of whose words a text has."""
+    return F.array_compact(F.array(*[F.when(any_of(_c(col), words), name) for name, words in buckets.items()]))
 
 
 def without_continued(col: Column | str, markers: Sequence[str]) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from brightledger.sources.scratch import written
+
 
 def label_paths(
     df: DataFrame, table: str = "table_id", pos: str = "pos", level: str = "level", name: str = "name", root: str = "root", levels: int = 5
@@ -49,10 +51,9 @@ def fill_labels(df: DataFrame, table: str, pos: str, name: str) -> DataFrame:
     return df.withColumn(name, F.last(filled, ignorenulls=True).over(w))
 
 
-def path_rollup(df: DataFrame, path: str = "category_path", value: str = "value", most_levels: int = 16) -> DataFrame:
+def path_rollup(df: DataFrame, path: str = "category_path", value: str = "value") -> DataFrame:
     """Sum and count of every path prefix, with its parent: each row counts for all its ancestors."""
-    parts = F.slice(F.split(path, ">"), 1, most_levels)
-    rows = df.select(value, parts.alias("__parts")).select(value, "__parts", F.explode(F.sequence(F.lit(1), F.size("__parts"))).alias("depth"))
+    rows = df.select(value, F.split(path, ">").alias("__parts")).select(value, "__parts", F.explode(F.sequence(F.lit(1), F.size("__parts"))).alias("depth"))
     prefix = F.array_join(F.slice("__parts", F.lit(1), F.col("depth")), ">")
     rows = rows.select(value, "depth", prefix.alias("prefix"), F.element_at("__parts", F.col("depth")).alias("label"))
     parent = F.regexp_replace("prefix", ">[^>]*$", "")
@@ -76,16 +77,21 @@ def sharpened(df: DataFrame, keys: list[str], seq: str, level: str, has_notes: s
     return folded.select(*keys, held.alias("h")).select(*keys, "h.seq", "h.level", "h.notes", *[f"h.{k}" for k in keep])
 
 
-def descendants(spark, edges: DataFrame, roots: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """``(root, node, depth)``: everything that a path of edges leads to, by a recursive query."""
-    edges.createOrReplaceTempView("__edges")
-    roots.createOrReplaceTempView("__roots")
+def descendants(edges: DataFrame, roots: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(root, node, depth)``: everything that a path of edges leads to, and the length of the shortest one.
+
+    A round for each depth: what the last round found goes one edge on, and what is known already is left out, so cycles
+    end and several ways to a node count once.
+    """
     column = roots.columns[0]
-    return spark.sql(f"""
-        WITH RECURSIVE reach(root, node, depth) AS (
-          SELECT r.`{column}`, e.`{dst}`, 1 FROM __roots r JOIN __edges e ON e.`{src}` = r.`{column}`
-          UNION ALL
-          SELECT reach.root, e.`{dst}`, depth + 1 FROM reach JOIN __edges e ON e.`{src}` = reach.node WHERE depth < 16
-        )
-        SELECT root, node, min(depth) AS depth FROM reach GROUP BY root, node
-    """)
+    edges = written(edges.select(F.col(src).alias("__src"), F.col(dst).alias("__dst")).distinct())
+    last = roots.select(F.col(column).alias("root"), F.col(column).alias("node")).distinct()
+    known, depth = None, 1
+    while True:
+        onward = last.join(edges, F.col("node") == F.col("__src")).select("root", F.col("__dst").alias("node")).distinct()
+        fresh = onward if known is None else onward.join(known, ["root", "node"], "left_anti")
+        fresh = written(fresh.withColumn("depth", F.lit(depth)))
+        if known is not None and fresh.isEmpty():
+            return known
+        known = fresh if known is None else known.unionByName(fresh)
+        last, depth = fresh.select("root", "node"), depth + 1

@@ -77,14 +77,17 @@ def matched_names(refs: DataFrame, targets: DataFrame, key: str, clean: str, raw
     return both.groupBy(*refs.columns).agg(F.min(target_id).alias(target_id))
 
 
-def containing_names(items: DataFrame, names: DataFrame, item: str, name: str, most_names: int = 100_000) -> DataFrame:
+def containing_names(items: DataFrame, names: DataFrame, item: str, name: str, block: int = 100_000) -> DataFrame:
     """The first name, in order, that contains each item.
 
-    A containment has no key. Names are few (a vocabulary, which is checked), so they are broadcast, and each item
-    keeps only its smallest match: a match is combined before it is shuffled.
+    A containment has no key, so names are broadcast, in blocks of about ``block``: one pass over the items for each block.
+    An item keeps only its smallest match of a block, which is combined before it is shuffled.
     """
     vocabulary = names.select(name).distinct()
-    if vocabulary.limit(most_names + 1).count() > most_names:
-        raise ValueError(f"more than {most_names} names; match by a key instead")
-    met = items.select(item).distinct().join(F.broadcast(vocabulary), F.col(name).contains(F.col(item)))
+    blocks = max(1, -(-vocabulary.count() // block))
+    met = None
+    for i in range(blocks):
+        part = vocabulary.where(F.pmod(F.xxhash64(name), F.lit(blocks)) == i)
+        found = items.select(item).distinct().join(F.broadcast(part), F.col(name).contains(F.col(item)))
+        met = found if met is None else met.unionByName(found)
     return met.groupBy(item).agg(F.min(name).alias(name))

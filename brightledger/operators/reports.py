@@ -54,32 +54,62 @@ def cleaned(html: str) -> Column:
 
 
 class _Reader(HTMLParser):
-    """Text of block tags in page order, with the place of table cells."""
+    """Text of block tags in page order, with the place of the table cell that it is in, however deep."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.rows, self.parts, self.open, self.skip = [], [], [], 0
-        self.table, self.row, self.col = -1, -1, -1
+        self.rows, self.parts, self.skip, self.count = [], [], 0, 0
+        #: Open tags: name, class, place of the cell that they are in.
+        self.open = [("", "", None)]
+        #: Open tables: number, row, column, and the columns that cells from above still fill, by row.
+        self.tables = []
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            tag, cls = self.open[-1] if self.open else ("", "")
-            cell = tag in ("td", "th")
-            self.rows.append((len(self.rows), tag, cls, text, *((self.table, self.row, self.col) if cell else (None,) * 3)))
+            tag, cls, place = self.open[-1]
+            self.rows.append((len(self.rows), tag, cls, text, *(place or (None,) * 3)))
         self.parts = []
 
+    def _close(self, names, stop=()):
+        """Closes the innermost open tag of a name, and what is in it; not beyond a tag of ``stop``."""
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i][0] in names:
+                del self.tables[sum(o[0] == "table" for o in self.open[:i]) :]
+                del self.open[i:]
+                return
+            if self.open[i][0] in stop:
+                return
+
+    def _next_cell(self, attrs):
+        table = self.tables[-1]
+        taken = table[3].setdefault(table[1], set())
+        col = table[2] + 1
+        while col in taken:
+            col += 1
+        wide, high = (int(v) if (v := attrs.get(k) or "").isdigit() and 0 < int(v) <= 1000 else 1 for k in ("colspan", "rowspan"))
+        for below in range(1, high):
+            table[3].setdefault(table[1] + below, set()).update(range(col, col + wide))
+        table[2] = col + wide - 1
+        return table[0], table[1], col
+
     def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
         self.skip += tag in HIDDEN
         if tag in ENDS:
             self.flush()
-            self.open.append((tag, dict(attrs).get("class") or ""))
+            place = self.open[-1][2]
             if tag == "table":
-                self.table, self.row = self.table + 1, -1
-            elif tag == "tr":
-                self.row, self.col = self.row + 1, -1
-            elif tag in ("td", "th"):
-                self.col += 1
+                self.tables.append([self.count, -1, -1, {}])
+                self.count, place = self.count + 1, None
+            elif tag == "tr" and self.tables:
+                self._close({"tr"}, {"table"})
+                self.tables[-1][1:3] = self.tables[-1][1] + 1, -1
+                place = None
+            elif tag in ("td", "th") and self.tables:
+                self._close({"td", "th"}, {"table", "tr"})
+                place = self._next_cell(attrs)
+            self.open.append((tag, attrs.get("class") or "", place))
         elif tag == "br":
             self.parts.append("\n")
 
@@ -87,9 +117,7 @@ class _Reader(HTMLParser):
         self.skip -= tag in HIDDEN and self.skip > 0
         if tag in ENDS:
             self.flush()
-            at = max((i for i, o in enumerate(self.open) if o[0] == tag), default=None)
-            if at is not None:
-                del self.open[at:]
+            self._close({tag})
 
     def handle_data(self, data):
         if not self.skip:
@@ -110,7 +138,6 @@ def blocks(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataF
                 out += [(key, *r) for r in reader.rows]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in BLOCKS.split(", ")]).astype({"table_index": "Int32", "row_index": "Int32", "col_index": "Int32"})
 
-    pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")  # pages can be long
     return pages.select(F.col(page).cast("long").alias("page_id"), F.col(html).alias("html")).mapInPandas(run, BLOCKS)
 
 
@@ -136,15 +163,23 @@ def section_issues(sections_: DataFrame, least: int = 50) -> DataFrame:
     return sections_.select("page_id", "section_index", F.explode(issues).alias("issue"))
 
 
-def quality_score(sections_: DataFrame, issues: DataFrame, required: int) -> DataFrame:
-    """Per page: sections found against those required, less a little for each issue; between 0 and 1."""
-    found = sections_.where("title is not null").groupBy("page_id").agg(F.count(F.lit(1)).alias("found"))
-    pages = sections_.select("page_id").distinct()
-    counted = issues.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_issues"))
-    both = pages.join(found, "page_id", "left").join(counted, "page_id", "left").na.fill(0, ["found", "n_issues"])
-    section = F.least(F.col("found") / required, F.lit(1.0))
+def quality_score(sections_: DataFrame, issues: DataFrame, required: int, tables: DataFrame | None = None) -> DataFrame:
+    """Per page: 0.6 for the sections found against those required, 0.3 for the share of valid tables, 0.1 less a little for each issue.
+
+    A page without tables has all of their share.
+    """
+    found = sections_.groupBy("page_id").agg(F.count_if(F.col("title").isNotNull()).alias("found"))
+    both = found.join(issues.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_issues")), "page_id", "left")
+    if tables is None:
+        both = both.withColumns({"n_tables": F.lit(0).cast("long"), "n_valid": F.lit(0).cast("long")})
+    else:
+        valid = tables.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_tables"), F.count_if(F.col("status") == "valid").alias("n_valid"))
+        both = both.join(valid, "page_id", "left")
+    both = both.na.fill(0, ["n_issues", "n_tables", "n_valid"])
+    share = F.when(F.col("n_tables") > 0, F.col("n_valid") / F.col("n_tables")).otherwise(1.0)
     clean = F.greatest(F.lit(0.0), 1 - 0.05 * F.col("n_issues"))
-    return both.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.9 * section + 0.1 * clean)))
+    score = 0.6 * F.least(F.col("found") / required, F.lit(1.0)) + 0.3 * share + 0.1 * clean
+    return both.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
 
 
 def subsections(numbered: DataFrame, numbered_heading: Column, section: str = "section_index") -> DataFrame:
@@ -161,12 +196,12 @@ def structure_issues(reports_: DataFrame, required: Sequence[str], key: str) ->
 
 
 def report_validation(sections_: DataFrame, tables: DataFrame, required: int) -> DataFrame:
-    """Per page: sections found, valid tables, issues, and the score 0.6 sections + 0.3 tables + 0.1 cleanness."""
-    issues = section_issues(sections_).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_issues"))
-    found = sections_.groupBy("page_id").agg(F.count_if(F.col("title").isNotNull()).alias("found"))
-    valid = tables.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_tables"), F.count_if(F.col("status") == "valid").alias("n_valid"))
-    both = found.join(issues, "page_id", "left").join(valid, "page_id", "left").na.fill(0, ["n_issues", "n_tables", "n_valid"])
-    share = F.when(F.col("n_tables") > 0, F.col("n_valid") / F.col("n_tables")).otherwise(0.0)
-    clean = F.greatest(F.lit(0.0), 1 - 0.05 * F.col("n_issues"))
-    score = 0.6 * F.least(F.col("found") / required, F.lit(1.0)) + 0.3 * share + 0.1 * clean
-    return both.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
+    """Per page: sections found, valid tables, issues, and the quality score."""
+    return quality_score(sections_, section_issues(sections_), required, tables)
+
+
+def table_status(cells: DataFrame, key: Sequence[str] = ("page_id", "table_index")) -> DataFrame:
+    """``status`` of each table of cells: empty, mostly empty, or valid."""
+    blank = F.count_if(F.trim("text") == "") / F.count(F.lit(1))
+    status = F.when(F.max(F.trim("text")) == "", "empty").when(blank > 0.5, "mostly_empty").otherwise("valid")
+    return cells.groupBy(*key).agg(status.alias("status"))

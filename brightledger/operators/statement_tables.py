@@ -17,12 +17,13 @@ def period_values(cells: DataFrame) -> DataFrame:
     """One row per table row: its label, the last value of each period, its note numbers, and all values as a map."""
     key = period("column_name")
     read = cells.select(*ROW, "col_index", "column_name", "text", key.alias("period"), financial_value("text").alias("v"))
-    label = F.min_by("text", F.when(F.col("period").isNull() & ~is_note_column("column_name"), F.col("col_index")))
+    # Ties, as of rows that repeat, go to the smaller text and the larger value.
+    label = F.min(F.when(F.col("period").isNull() & ~is_note_column("column_name"), F.struct("col_index", "text")))["text"]
     out = [label.alias("item_name")]
     for p in ("current", "previous"):
         hit = (F.col("period") == p) & F.col("v").isNotNull()
-        out.append(F.max_by("v", F.when(hit, F.col("col_index"))).alias(f"values_{p}"))
-    out.append(F.max(F.when(is_note_column("column_name"), note_reference("text"))).alias("note_numbers"))
+        out.append(F.max(F.when(hit, F.struct("col_index", "v")))["v"].alias(f"values_{p}"))
+    out.append(note_reference(F.min(F.when(is_note_column("column_name"), F.col("text")))).alias("note_numbers"))
     return read.groupBy(*ROW).agg(*out)
 
 
@@ -168,3 +169,17 @@ def extraction_statistics(tables: DataFrame, title: str, is_financial: str, refe
     return tables.groupBy(title).agg(
         F.count(F.lit(1)).alias("tables"), F.count_if(is_financial).alias("financial_tables"), F.sum(references).alias("references"), F.count_distinct(code).alias("codes")
     )
+
+
+#: Words of columns and contents that mark a table as financial (fixed values).
+FINANCIAL_WORDS = (
+    "과 목", "계정과목", "항목", "구분", "당기", "전기", "기말", "기초", "금액", "원", "백만원", "천원", "자산", "부채", "자본", "수익", "비용", "이익",
+    "매출", "현금", "투자", "차입", "포괄손익", "기타포괄손익", "자본변동", "이익잉여금", "주식발행", "영업활동", "투자활동", "재무활동", "현금흐름", "손익계산", "포괄손익계산",
+)
+
+
+def looks_financial(cells: DataFrame, words: Sequence[str] = FINANCIAL_WORDS, key: Sequence[str] = ("table_id",)) -> DataFrame:
+    """Per table: whether a column or a cell has one of the words, or more than a fifth of the cells have figures."""
+    named = F.bool_or(any_of(F.col("column_name"), words) | any_of(F.lower("text"), words))
+    figures = F.avg(F.coalesce(F.col("text").rlike("[0-9,()]"), F.lit(False)).cast("int")) > 0.2
+    return cells.groupBy(*key).agg((F.coalesce(named, F.lit(False)) | figures).alias("financial"))

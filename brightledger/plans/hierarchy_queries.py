@@ -78,7 +78,7 @@ def descendants(spark, d):
     c = categories(spark, d)
     roots = c.where("level = 1").select(F.col("category_path").alias("root"))
     edges = c.where("parent_path is not null").select(F.col("parent_path").alias("src"), F.col("category_path").alias("dst"))
-    return hierarchy.descendants(spark, edges, roots)
+    return hierarchy.descendants(edges, roots)
 
 
 @query(

@@ -173,21 +173,21 @@ def multi_relations(spark, d):
     return e.groupBy("src_id").agg(F.count(F.lit(1)).alias("pairs"))
 
 
-@query("d19_network_edges", f"WITH {EDGES_SQL} SELECT DISTINCT 's' || CAST(src_id AS VARCHAR) AS source, 'c' || CAST(dst_id AS VARCHAR) AS target, rel_type FROM edges WHERE amount > 90000")
+@query("d19_network_edges", f"WITH {EDGES_SQL} SELECT DISTINCT 's' || CAST(src_id AS VARCHAR) AS source, 'c' || CAST(dst_id AS VARCHAR) AS target, rel_type FROM edges")
 def network_edges(spark, d):
     """The distinct edges of a network drawing."""
-    e = company_edges(spark, d).where("amount > 90000")
+    e = company_edges(spark, d)
     return e.select(F.concat(F.lit("s"), F.col("src_id").cast("string")).alias("source"), F.concat(F.lit("c"), F.col("dst_id").cast("string")).alias("target"), "rel_type").distinct()
 
 
 @query(
     "d18_graph_elements",
-    f"""WITH {EDGES_SQL}, t AS (SELECT * FROM edges WHERE amount > 95000), n AS (
+    f"""WITH {EDGES_SQL}, t AS (SELECT * FROM edges), n AS (
   SELECT 'company' AS kind, CAST(src_id AS VARCHAR) AS id FROM t UNION ALL SELECT 'partner', CAST(dst_id AS VARCHAR) FROM t UNION ALL SELECT 'year', CAST(year AS VARCHAR) FROM t)
 SELECT DISTINCT kind, id FROM n""",
 )
 def graph_elements(spark, d):
     """Records taken apart into distinct graph nodes."""
-    e = company_edges(spark, d).where("amount > 95000")
+    e = company_edges(spark, d)
     parts = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("id")) for k, c in (("company", "src_id"), ("partner", "dst_id"), ("year", "year"))]
     return e.select(F.explode(F.array(*parts)).alias("n")).select("n.kind", "n.id").distinct()

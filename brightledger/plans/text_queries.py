@@ -23,12 +23,11 @@ def financial_values(spark, d):
 @query(
     "w6_period_rows",
     f"""WITH {CELLS_SQL} SELECT table_id, row_index, min(text) FILTER (WHERE col_index = 0) AS item_name, max({PARSED}) FILTER (WHERE col_index = 2) AS values_current,
-  max({PARSED}) FILTER (WHERE col_index = 3) AS values_previous, min(text) FILTER (WHERE col_index = 1) AS note_numbers FROM cells WHERE table_id IN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) = count(DISTINCT l_linenumber)) GROUP BY 1, 2""",
+  max({PARSED}) FILTER (WHERE col_index = 3) AS values_previous, min(text) FILTER (WHERE col_index = 1) AS note_numbers FROM cells GROUP BY 1, 2""",
 )
 def period_rows(spark, d):
     """Statement rows: label, current and previous value, note numbers."""
-    once = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("table_id")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_linenumber").alias("m")).where("n = m")
-    out = ST.period_values(cells(spark, d).join(once, "table_id", "left_semi"))
+    out = ST.period_values(cells(spark, d))
     return out.withColumn("note_numbers", F.array_join(F.transform("note_numbers", lambda x: x.cast("string")), ", "))
 
 
@@ -167,10 +166,10 @@ def statement_scores(spark, d):
     return ST.section_scores(table(spark, d, "documents"), words, "doc_id", "text")
 
 
-@query("f7_percentages", "SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '([0-9]+(?:\\.[0-9]+)?)[ \\t\\n]*%', 1), lambda x: CAST(CAST(x AS DOUBLE) AS VARCHAR)), ',') AS percentages FROM documents WHERE regexp_matches(text, '[0-9][ \\t\\n]*%')")
+@query("f7_percentages", "SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '([0-9]+(?:\\.[0-9]+)?)[ \\t\\n]*%', 1), lambda x: CAST(CAST(x AS DOUBLE) AS VARCHAR)), ',') AS percentages FROM documents")
 def percentages(spark, d):
     """Percentages in texts."""
-    t = table(spark, d, "documents").where(F.col("text").rlike(r"[0-9][ \t\n]*%"))
+    t = table(spark, d, "documents")
     return t.select("doc_id", F.array_join(F.transform(T.percentages("text"), lambda x: x.cast("string")), ",").alias("percentages"))
 
 
@@ -220,11 +219,12 @@ def amounts(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.explode(T.amounts(t)).alias("a")).select("o_orderkey", "a.value", "a.unit", "a.negative")
 
 
-@query("f31_currency", "SELECT o_orderkey, CASE WHEN v >= 1e12 THEN printf('%.1f조원', v / 1e12) WHEN v >= 1e8 THEN printf('%.1f억원', v / 1e8) WHEN v >= 1e4 THEN printf('%.1f만원', v / 1e4) ELSE 'small' END AS printed FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS DOUBLE) * 1024 AS v FROM orders)")
+@query("f31_currency", "SELECT o_orderkey, CASE WHEN v >= 1e12 THEN printf('%.1f조원', v / 1e12) WHEN v >= 1e8 THEN printf('%.1f억원', v / 1e8) WHEN v >= 1e4 THEN printf('%.1f만원', v / 1e4) WHEN v = 0 THEN '0원' ELSE format('{:,.0f}원', v) END AS printed FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(floor(o_totalprice / 100) AS DOUBLE) ELSE CAST(floor(o_totalprice) AS DOUBLE) * CASE o_orderkey % 3 WHEN 1 THEN 1024 ELSE 16777216 END END AS v FROM orders)")
 def currency(spark, d):
     """Money as displayed."""
-    v = F.floor("o_totalprice").cast("double") * 1024
-    return table(spark, d, "orders").select("o_orderkey", F.when(v >= 1e4, T.currency_text(v)).otherwise("small").alias("printed"))
+    k, price = F.col("o_orderkey") % 3, F.col("o_totalprice")
+    v = F.when(k == 0, F.floor(price / 100).cast("double")).otherwise(F.floor(price).cast("double") * F.when(k == 1, 1024).otherwise(16777216))
+    return table(spark, d, "orders").select("o_orderkey", T.currency_text(v).alias("printed"))
 
 
 RULES = (("greeting", ("the", "hello")), ("number", ("ing",)), ("place", ("que", "der")))
@@ -248,7 +248,8 @@ def limited_by_intent(spark, d):
     q = question_intents(spark, d)
     most = F.coalesce(F.create_map(F.lit("greeting"), F.lit(20), F.lit("number"), F.lit(10))[F.col("intent")], F.lit(50))
     ranked = q.withColumn("r", F.row_number().over(W.partitionBy("intent").orderBy("conv_id", "turn")))
-    return ranked.where(F.col("r") <= most).drop("r")
+    # The first bound is a plain number, so rows beyond it are dropped before the shuffle.
+    return ranked.where("r <= 50").where(F.col("r") <= most).drop("r")
 
 
 @query("f33_read_only_guard", "SELECT conv_id, turn, regexp_matches(text, '(?i)\\b(CREATE|MERGE|SET|DELETE|REMOVE|LOAD\\s+CSV|CALL\\s|APOC\\.|DROP|DETACH|INDEX|CONSTRAINT|PROCEDURE|FUNCTION)\\b') AS writes FROM conversations")
@@ -285,3 +286,23 @@ def year_of_name(spark, d):
     """The year in a file's name."""
     name = F.concat(F.lit("report_"), F.year("o_orderdate").cast("string"), F.lit(".htm"))
     return table(spark, d, "orders").select("o_orderkey", F.regexp_extract(name, r"(\d{4})", 1).try_cast("int").alias("year"))
+
+
+@query("f35_looks_financial", f"WITH {CELLS_SQL} SELECT table_id, bool_or(contains(lower(text), 'r항목')) OR avg(CAST(regexp_matches(text, '[0-9,()]') AS INT)) > 0.2 AS financial FROM cells WHERE col_index = 0 OR row_index % 5 = 0 AND col_index = 2 GROUP BY 1")
+def looks_financial(spark, d):
+    """Which tables have a financial word, or figures in some of their cells."""
+    c = cells(spark, d).where("col_index = 0 or row_index % 5 = 0 and col_index = 2")
+    return ST.looks_financial(c.withColumn("column_name", F.lit("x")), ("r항목",))
+
+
+@query(
+    "s7_statement_index",
+    f"""WITH t AS (SELECT o_custkey AS file, CAST(o_orderkey % 9 AS INTEGER) AS table_index, o_orderkey AS seq, o_orderpriority AS section_code FROM orders)
+SELECT file, table_index, max_by(section_code, seq) AS section_code FROM t GROUP BY 1, 2""",
+)
+def statement_index_map(spark, d):
+    """The stored index of statement tables: of sections that name one table, the later one has it."""
+    from brightledger.sources.store import statement_index_map as later
+
+    o = table(spark, d, "orders")
+    return later(o.select(F.col("o_custkey").alias("file"), (F.col("o_orderkey") % 9).cast("int").alias("table_index"), F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("section_code")))

@@ -140,13 +140,13 @@ def year_grid(spark, d):
 @query(
     "u3_missing_years",
     f"""WITH {STATEMENTS_SQL}, g AS (SELECT DISTINCT s.section_code, y.year FROM statements s, (SELECT DISTINCT year FROM statements) y)
-SELECT section_code, year FROM g EXCEPT SELECT section_code, year FROM statements WHERE value > 200000""",
+SELECT section_code, year FROM g EXCEPT SELECT section_code, year FROM statements WHERE year % 7 <> ascii(section_code) % 7""",
 )
 def missing_years(spark, d):
-    """Years that a section should have and has not (a value of some size)."""
+    """Years that a section should have and has not (each section skips some years here)."""
     s = statements(spark, d)
     expected = s.select("section_code").distinct().crossJoin(s.select("year").distinct())
-    return expected.join(s.where("value > 200000").select("section_code", "year").distinct(), ["section_code", "year"], "left_anti")
+    return expected.join(s.where("year % 7 <> ascii(section_code) % 7").select("section_code", "year").distinct(), ["section_code", "year"], "left_anti")
 
 
 @query(

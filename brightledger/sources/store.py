@@ -1,7 +1,7 @@
 """Reports and stores on disk: reading, writing, versions, backups, summaries.
 
-A store is a folder of versions; each version holds a Parquet table per name. A load never overwrites what it
-reads: it writes the next version, and readers take the last complete one.
+A store is a folder of versions; each version holds the Parquet tables that it changed, and a manifest of all. A load never
+overwrites what it reads: it writes the next version, and readers take the last complete one.
 """
 
 from __future__ import annotations
@@ -60,43 +60,59 @@ def flattened_sections(reports: DataFrame, key: str, sections: str = "sections",
 
 
 class Store:
-    """Node and edge tables in numbered versions under one path."""
+    """Node and edge tables in numbered versions under one path, for one writer at a time.
+
+    A version's manifest says which version each table was last written in: tables that a load does not touch stay as they are.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _folder(self):
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(self.path)
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def _path(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def _fs(self):
+        return self._path("").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def versions(self) -> list[int]:
-        path, fs = self._folder()
-        if not fs.exists(path):
+        fs = self._fs()
+        if not fs.exists(self._path("")):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        done = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
-        new = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        return sorted(v for v in done if fs.exists(new(f"{self.path}/v{v}/_COMPLETE")))
+        names = [s.getPath().getName() for s in fs.listStatus(self._path(""))]
+        known = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
+        return sorted(v for v in known if fs.exists(self._path(f"v{v}/_COMPLETE")))
+
+    def tables(self, version: int | None = None) -> dict[str, int]:
+        """The tables of a version, and the version that each was written in."""
+        known = self.versions()
+        if not known:
+            return {}
+        rows = self.spark.read.text(f"{self.path}/v{version or known[-1]}/_COMPLETE/manifest").collect()
+        return {name: int(at) for name, at in (r.value.rsplit(" ", 1) for r in rows)}
 
     def write(self, tables: dict[str, DataFrame], replace: bool = False, confirm: bool = False) -> int:
-        """Writes the next version, marked complete when all its tables are; starting over needs ``confirm``."""
+        """Writes the next version, marked complete when all its tables are; starting over needs ``confirm``, and deletes all others."""
         if replace and not confirm:
             raise ValueError("starting a store over needs confirm=True")
-        version = (self.versions() or [0])[-1] + 1
+        fs, known = self._fs(), self.versions()
+        version = (known or [0])[-1] + 1
+        manifest = ({} if replace else self.tables()) | dict.fromkeys(tables, version)
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(f"{self.path}/v{version}/{name}")
-        _, fs = self._folder()
-        fs.create(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}/_COMPLETE")).close()
+        # The manifest appears whole: it is written aside and moved.
+        out = fs.create(self._path(f"v{version}/_writing/manifest"))
+        out.write(bytearray("".join(f"{name} {at}\n" for name, at in sorted(manifest.items())).encode()))
+        out.close()
+        fs.rename(self._path(f"v{version}/_writing"), self._path(f"v{version}/_COMPLETE"))
+        for old in known if replace else ():
+            fs.delete(self._path(f"v{old}"), True)
         return version
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v{version or self.versions()[-1]}/{name}")
+        return self.spark.read.parquet(f"{self.path}/v{self.tables(version)[name]}/{name}")
 
     def has(self, name: str) -> bool:
-        path, fs = self._folder()
-        known = self.versions()
-        return bool(known) and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{known[-1]}/{name}"))
+        return name in self.tables()
 
 
 def backup(tables: dict[str, DataFrame], path: str) -> None:
@@ -119,3 +135,28 @@ def write_issues(issues: DataFrame, path: str) -> None:
     """Issues as JSON, with their counts by severity."""
     issues.write.mode("overwrite").json(f"{path}/issues")
     issues.groupBy("severity").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(f"{path}/summary")
+
+
+def write_statement_index(index: DataFrame, path: str) -> None:
+    """Which table of a file holds which statement: ``(file, table_index, section_code)`` in the order ``seq`` of the sections."""
+    index.select("file", "table_index", "section_code", "seq").write.mode("overwrite").parquet(path)
+
+
+def statement_index_map(index: DataFrame) -> DataFrame:
+    """``(file, table_index, section_code)``: where sections name the same table, the later one has it."""
+    return index.groupBy("file", "table_index").agg(F.max_by("section_code", F.struct("seq", "section_code")).alias("section_code"))
+
+
+def read_statement_index(spark: SparkSession, path: str) -> DataFrame:
+    """The stored index; an empty one where there is none."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException:
+        stored = spark.createDataFrame([], "file string, table_index int, section_code string, seq int")
+    return statement_index_map(stored)
+
+
+def write_classified_notes(notes: DataFrame, summary: DataFrame, path: str, year: str = "year") -> None:
+    """Classified notes as JSON, a folder per year, and the summary over all of them."""
+    notes.write.mode("overwrite").partitionBy(year).json(f"{path}/notes")
+    summary.write.mode("overwrite").json(f"{path}/summary")

@@ -1,7 +1,7 @@
 """Incremental loads: a stream of files upserted into a store, batch by batch.
 
 Ids are deterministic and an upsert of the same rows changes nothing, so a batch that runs again after a
-failure leaves the store as it was.
+failure leaves the store as it was. Other tables of the store are carried along.
 """
 
 from __future__ import annotations
