@@ -192,10 +192,12 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
         return df.where(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(2**62)) < int(share * 2**62))
 
     some = chosen(good, n_good, MOST_POSITIVE, 1)
-    positive = docs.join(F.broadcast(some), "doc_id", "left_semi").limit(MOST_POSITIVE)  # at most so many ids
-    unlabelled = chosen(docs.where("doc_id is not null"), docs.count(), MOST_UNLABELLED, 2).limit(MOST_UNLABELLED)
+    positive = docs.join(F.broadcast(some), "doc_id", "left_semi")  # at most so many ids
+    unlabelled = chosen(docs.where("doc_id is not null"), docs.count(), MOST_UNLABELLED, 2)
     width = FIGURES + WORD_BINS + BYTE_BINS
-    xs = [np.frombuffer(b"".join(r.x for r in feature_rows(df).collect()), np.float32).reshape(-1, width) for df in (positive, unlabelled)]
+    # The bound comes after the features: texts stay where they are.
+    rows = [feature_rows(df).limit(most).collect() for df, most in ((positive, MOST_POSITIVE), (unlabelled, MOST_UNLABELLED))]
+    xs = [np.frombuffer(b"".join(r.x for r in some), np.float32).reshape(-1, width) for some in rows]
     if not (len(xs[0]) and len(xs[1])):
         return {"prior": 0.5}
     return fit(expanded(xs[0]), expanded(xs[1]))
