@@ -1,12 +1,15 @@
 """Column functions over statement text: normalising, numbers, labels, units, dates, intents.
 
-All are compositions of built-in functions, so they stay in the JVM and inside generated code.
+All are compositions of built-in functions, so they stay in the JVM and inside generated code; only positions of matches,
+which no built-in function tells, come from a Pandas UDF.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,6 +54,7 @@ AUDIT_TYPES = (("내부회계", "내부회계관리제도"), ("검토", "검토
 OPINIONS = ("무한정적정의견", "부적정의견", "한정의견", "의견거절", "적정의견")
 DATES = (r"(\d{4})년\s*(\d{1,2})월\s*(\d{1,2})일", r"(\d{4})\.\s*(\d{1,2})\.\s*(\d{1,2})", r"(\d{4})-(\d{1,2})-(\d{1,2})")
 AUDITORS = ("삼정회계법인", "삼일회계법인", "딜로이트안진회계법인", "안진회계법인", "EY한영회계법인", "한영회계법인", "삼정KPMG")
+AMOUNT_UNITS = "백만원|억원|조원|천원|만원"
 MONEY_UNITS = (("백만원", 1_000_000), ("천원", 1_000), ("억원", 100_000_000), ("원", 1))
 
 
@@ -159,9 +163,31 @@ def ownership_percentage(col: Column | str) -> Column:
     return F.when(p.between(0, 100), p)
 
 
+def matches(col: Column | str, patterns: Sequence[tuple[str, str]]) -> Column:
+    """``array<struct<label, original, position, length>>`` of all matches of labelled patterns, by position; case does not count."""
+    compiled = [(label, re.compile(pattern, re.IGNORECASE)) for label, pattern in patterns]
+
+    @F.pandas_udf("array<struct<label:string,original:string,position:int,length:int>>")
+    def found(texts: pd.Series) -> pd.Series:
+        def one(text):
+            if text is None:
+                return None
+            hits = [(label, m.group(), m.start(), m.end() - m.start()) for label, p in compiled for m in p.finditer(text)]
+            return sorted(hits, key=lambda h: h[2])
+
+        return texts.map(one)
+
+    return found(_c(col))
+
+
+def amount_positions(col: Column | str) -> Column:
+    """Where the amounts of a text are, labelled ``negative`` and ``positive``."""
+    return matches(col, (("negative", rf"\(\d+(?:,\d{{3}})*\)\s*(?:{AMOUNT_UNITS})"), ("positive", rf"(?<![\d(,])\d+(?:,\d{{3}})*\s*(?:{AMOUNT_UNITS})")))
+
+
 def amounts(col: Column | str) -> Column:
     """Amounts with their unit: ``array<struct<value, unit, negative>>``, bracketed ones first."""
-    unit = "백만원|억원|조원|천원|만원"
+    unit = AMOUNT_UNITS
     negative = F.regexp_extract_all(_c(col), F.lit(rf"\(\d+(?:,\d{{3}})*\)\s*(?:{unit})"), 0)
     plain = F.regexp_extract_all(_c(col), F.lit(rf"(?<![\d(,])\d+(?:,\d{{3}})*\s*(?:{unit})"), 0)
 
@@ -370,6 +396,11 @@ def term_counts(col: Column | str, terms: dict[str, str] = TERMS) -> Column:
     return F.filter(F.array(*counted), lambda x: x["n"] > 0)
 
 
+def term_positions(col: Column | str, terms: dict[str, str] = TERMS) -> Column:
+    """Where the terms of a text are, labelled with their codes."""
+    return matches(col, [(code, re.escape(term)) for term, code in terms.items()])
+
+
 def richness(text: Column | str, n_terms: Column, n_numbers: Column) -> Column:
     """How much a text has to say: terms and numbers per word, and length; at most 1."""
     t = stripped(text)

@@ -49,6 +49,25 @@ def classify(df: DataFrame, text: str, patterns: dict[str, Sequence[str]]) -> Da
     return out.withColumns({"category": F.col("__best.category"), "confidence": share, "keywords": F.col("__best.keywords")}).drop("__best")
 
 
+def subclassify(df: DataFrame, text: str, patterns: dict[str, dict[str, Sequence[str]]], default: str = "기타") -> DataFrame:
+    """Adds ``subcategory``: of the row's category, the one most of whose words occur, the earlier of equals; ``default`` if none does."""
+    chosen = F.when(F.lit(False), "")
+    for category, parts in patterns.items():
+        scores = []
+        for i, (name, words) in enumerate(parts.items()):
+            hits = sum((F.when(F.col(text).contains(w), 1).otherwise(0) for w in words), F.lit(0))
+            scores.append(F.struct(hits.alias("hits"), F.lit(-i).alias("order"), F.lit(name).alias("name")))
+        best = F.array_max(F.array(*scores))
+        chosen = chosen.when(F.col("category") == category, F.when(best["hits"] > 0, best["name"]).otherwise(default))
+    return df.withColumn("subcategory", chosen.otherwise(default))
+
+
+def category_names(df: DataFrame) -> DataFrame:
+    """All categories and subcategories, each once."""
+    names = df.select(F.explode(F.array_distinct(F.array("category", "subcategory"))).alias("note_category"))
+    return names.where(F.col("note_category").isNotNull()).distinct()
+
+
 def classification_summary(df: DataFrame, category: str, year: str, confidence: str) -> DataFrame:
     """Counts and confidence by category, by year, by both and in all."""
     return df.groupingSets([[category], [year], [category, year], []], category, year).agg(

@@ -5,7 +5,83 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightledger.functions.text import is_amount, loose_amount, ownership_class
+from brightledger.functions.text import any_of, is_amount, loose_amount, ownership_class, stripped
+
+# --- fixed values: a field of a row, what it takes, and the words of its columns, in the order in which they are tried
+
+INVESTMENT_FIELDS = (
+    ("company", "name", ("기업명", "회사명", "기업 명", "company")),
+    ("ownership_percentage", "figure", ("지분", "ownership")),
+    ("amount", "figure", ("당기", "current")),
+    ("previous_amount", "figure", ("전기", "previous")),
+    ("book_value", "figure", ("장부금액", "장부가액", "book", "취득원가")),
+    ("market_value", "figure", ("시장가치", "시장가액", "market")),
+    ("nature", "text", ("관계의 성격", "업종", "business", "nature")),
+    ("region", "text", ("지역", "region", "area")),
+)
+GUARANTEE_FIELDS = (
+    ("company", "name", ("해외종속기업", "보증처", "기업명", "회사명", "subsidiary")),
+    ("guarantee_limit", "figure", ("보증한도", "guarantee limit")),
+    ("related_debt", "figure", ("차입금", "related debt")),
+    ("end_date", "text", ("종료일", "end date", "만료일")),
+    ("guarantor", "text", ("guarantor", "보증기관")),
+)
+GUARANTEE_WORDS = ("보증", "담보", "guarantee")
+GUARANTEE_TYPES = (("debt_guarantee", ("채무보증", "debt guarantee")), ("payment_guarantee", ("지급보증", "payment guarantee")), ("collateral", ("담보", "collateral")))
+NO_COMPANY = "subsidiaries_general"
+
+
+def routed_rows(cells: DataFrame, row: list[str], fields=INVESTMENT_FIELDS, known: tuple[str, ...] = (), column_name: str = "column_name", text: str = "text", seq: str = "col_index") -> DataFrame:
+    """Rows of cells by field, with ``row_text``: a cell goes to the first field that its column's name has a word of and that it fits.
+
+    Figures fit cells that hold a number. A field's last cell wins; of names, the last that has one of the ``known`` words, any
+    if none are given. Empty cells are passed over; a row of such cells only is left out.
+    """
+    value, column = stripped(text), F.lower(F.coalesce(F.col(column_name), F.lit("")))
+    field = F.when(F.lit(False), "")
+    for name, kind, words in fields:
+        fits = any_of(column, words)
+        field = field.when(fits & is_amount(text) if kind == "figure" else fits, name)
+    placed = cells.where(value != "").select(*row, F.col(seq).alias("__seq"), value.alias("__text"), field.alias("__field"))
+    aggregates = []
+    for name, kind, _ in fields:
+        chosen = F.col("__field") == name
+        if kind == "name" and known:
+            chosen = chosen & any_of(F.col("__text"), known)
+        last = F.max_by("__text", F.when(chosen, F.col("__seq")))
+        aggregates.append((loose_amount(last) if kind == "figure" else last).alias(name))
+    parts = F.array_sort(F.collect_list(F.struct("__seq", "__text")))
+    return placed.groupBy(*row).agg(*aggregates, F.lower(F.array_join(F.transform(parts, lambda x: x["__text"]), " ")).alias("row_text"))
+
+
+def investments_of_cells(cells: DataFrame, row: list[str], parent: str, known: tuple[str, ...] = (), **columns) -> DataFrame:
+    """An ``invests_in`` relation for each row that names a known company, whatever else it says; ``parent`` is one of ``row``."""
+    found = routed_rows(cells, row, INVESTMENT_FIELDS, known, **columns).where(F.col("company").isNotNull())
+    figures = [name for name, _, _ in INVESTMENT_FIELDS if name != "company"]
+    return found.select(*row, F.col(parent).alias("src_id"), F.col("company").alias("dst_id"), F.lit("invests_in").alias("rel_type"), *figures)
+
+
+def guarantees_of_cells(cells: DataFrame, row: list[str], parent: str, known: tuple[str, ...] = (), **columns) -> DataFrame:
+    """A ``guarantees_for`` relation for each row that speaks of a guarantee (and of a known company) and has an amount.
+
+    Without a limit and a debt, the limit is the largest number of six digits or more in the row.
+    """
+    found = routed_rows(cells, row, GUARANTEE_FIELDS, known, **columns)
+    spoken = any_of(F.col("row_text"), GUARANTEE_WORDS)
+    if known:
+        spoken = spoken & any_of(F.col("row_text"), tuple(k.lower() for k in known))
+    digits = F.transform(F.regexp_extract_all("row_text", F.lit("[0-9,]+"), 0), lambda x: F.regexp_replace(x, ",", ""))
+    largest = F.array_max(F.transform(F.filter(digits, lambda x: F.length(x) >= 6), lambda x: x.cast("double")))
+    limit, debt = (F.when(F.col(c) != 0, F.col(c)) for c in ("guarantee_limit", "related_debt"))
+    kind = F.when(F.lit(False), "")
+    for name, words in GUARANTEE_TYPES:
+        kind = kind.when(any_of(F.col("row_text"), words), name)
+    rows = found.where(spoken).withColumns({"related_debt": debt, "guarantee_limit": F.when(limit.isNull() & debt.isNull(), largest).otherwise(limit), "guarantee_type": kind.otherwise("guarantee")})
+    rows = rows.where(F.col("guarantee_limit").isNotNull() | F.col("related_debt").isNotNull())
+    return rows.select(
+        *row, F.col(parent).alias("src_id"), F.coalesce("company", F.lit(NO_COMPANY)).alias("dst_id"), F.lit("guarantees_for").alias("rel_type"),
+        F.col("guarantee_limit").alias("amount"), "related_debt", "end_date", "guarantor", "guarantee_type",
+    )
 
 
 def investment_relations(df: DataFrame, parent: str, company: str, percent: str, book: str | None = None, seq: str = "seq") -> DataFrame:
@@ -44,7 +120,7 @@ def _fanned(df: DataFrame, facts: list, kind: str, seq: str) -> DataFrame:
     return rows.select("f.src_id", "f.dst_id", F.lit(kind).alias("rel_type"), "f.transaction_type", "f.direction", "f.amount", "seq")
 
 
-def guarantee_relations(df: DataFrame, parent: str, company: str, row_text: str, limit: str | None = None, words=("보증", "guarantee"), seq: str = "seq") -> DataFrame:
+def guarantee_relations(df: DataFrame, parent: str, company: str, row_text: str, limit: str | None = None, words=GUARANTEE_WORDS, seq: str = "seq") -> DataFrame:
     """Rows that speak of a guarantee; the limit, else the largest number of six digits or more in the row."""
     t = F.lower(F.col(row_text))
     spoken = F.lit(False)

@@ -47,6 +47,26 @@ def note_classes(spark, d):
     return _classified(spark, d)
 
 
+PARTS = {"law": {"article": ("the", "a "), "ending": ("ing", "ed "), "noun": ("tion",)}, "trade": {"case": ("der", "dem"), "prefix": ("ver", "ge")}}
+PART_HITS = {category: {name: _hits(words) for name, words in parts.items()} for category, parts in PARTS.items()}
+
+
+def _best_part(hits: dict[str, str]) -> str:
+    top = f"greatest({', '.join(hits.values())})"
+    return f"CASE WHEN {top} = 0 THEN 'general' " + " ".join(f"WHEN {h} = {top} THEN '{name}'" for name, h in hits.items()) + " END"
+
+
+@query(
+    "a8_note_subcategories",
+    f"""WITH {NOTES_SQL}, {SCORED} SELECT c.seq, c.category, CASE c.category {' '.join(f"WHEN '{c}' THEN {_best_part(h)}" for c, h in PART_HITS.items())} ELSE 'general' END AS subcategory
+FROM classified c JOIN notes n ON c.seq = n.seq""",
+)
+def note_subcategories(spark, d):
+    """Notes by category and, within it, by the subcategory most of whose words they have."""
+    c = N.classify(notes(spark, d), "content", PATTERNS)
+    return N.subclassify(c, "content", PARTS, "general").select("seq", "category", "subcategory")
+
+
 @query(
     "a9_classification_summary",
     f"""WITH {NOTES_SQL}, {SCORED} SELECT category, year, CAST(grouping(category, year) AS BIGINT) AS "grouping", count(*) AS n, round(avg(confidence), 6) AS avg_confidence, min(confidence) AS min_confidence, max(confidence) AS max_confidence

@@ -219,6 +219,26 @@ def amounts(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.explode(T.amounts(t)).alias("a")).select("o_orderkey", "a.value", "a.unit", "a.negative")
 
 
+@query("f6_amount_positions", "SELECT o_orderkey, 'positive' AS label, 3 AS position, length(CAST(o_orderkey AS VARCHAR)) + 3 AS length FROM orders UNION ALL SELECT o_orderkey, 'negative', 3 + length(CAST(o_orderkey AS VARCHAR)) + 3 + 5, length(CAST(o_custkey AS VARCHAR)) + 4 FROM orders")
+def amount_positions(spark, d):
+    """Where the amounts of running text are."""
+    t = F.concat(F.lit("매출 "), F.col("o_orderkey").cast("string"), F.lit("백만원, 손실 ("), F.col("o_custkey").cast("string"), F.lit(")천원"))
+    return table(spark, d, "orders").select("o_orderkey", F.explode(T.amount_positions(t)).alias("a")).select("o_orderkey", "a.label", "a.position", "a.length")
+
+
+@query(
+    "f8_term_positions",
+    "WITH w AS (" + " UNION ALL ".join(f"SELECT doc_id, '{c}' AS label, {len(t)} AS length, string_split(lower(text), '{t}') AS p FROM documents" for t, c in TERMS.items()) + """), q AS (
+  SELECT doc_id, label, length, generate_subscripts(p, 1) AS i, len(p) AS k, length(unnest(p)) AS n FROM w
+), r AS (SELECT doc_id, label, length, i, k, sum(n) OVER (PARTITION BY doc_id, label ORDER BY i) + (i - 1) * length AS position FROM q)
+SELECT doc_id, label, CAST(position AS INTEGER) AS position, length FROM r WHERE i < k""",
+)
+def term_positions(spark, d):
+    """Where the dictionary terms of each text are."""
+    t = table(spark, d, "documents").select("doc_id", F.explode(T.term_positions("text", TERMS)).alias("t"))
+    return t.select("doc_id", "t.label", "t.position", "t.length")
+
+
 @query("f31_currency", "SELECT o_orderkey, CASE WHEN v >= 1e12 THEN printf('%.1f조원', v / 1e12) WHEN v >= 1e8 THEN printf('%.1f억원', v / 1e8) WHEN v >= 1e4 THEN printf('%.1f만원', v / 1e4) WHEN v = 0 THEN '0원' ELSE format('{:,.0f}원', v) END AS printed FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(floor(o_totalprice / 100) AS DOUBLE) ELSE CAST(floor(o_totalprice) AS DOUBLE) * CASE o_orderkey % 3 WHEN 1 THEN 1024 ELSE 16777216 END END AS v FROM orders)")
 def currency(spark, d):
     """Money as displayed."""

@@ -128,3 +128,17 @@ def test_cleaning(spark):
     html = "<h3 x>a<P>b</h3></P><span>c</span><script>d</script><p> <br/> </p>e<br><br/>f"
     df = spark.createDataFrame([(html,)], "h string")
     assert df.select(reports.cleaned("h")).first()[0] == "<h3 x>ab</h3>ce<br>f"
+
+
+def test_routed_cells(spark):
+    cells = spark.createDataFrame(
+        [
+            (1, 0, "회사명", " Korea A "), (1, 1, "회사명", "elsewhere"), (1, 2, "지분율", "12.5"), (1, 3, "당기말", "-"), (1, 4, "당기말", "1,000"), (1, 5, "당기말", "2,000"), (1, 6, None, "x"),
+            (2, 0, "회사명", "elsewhere"), (3, 0, "회사명", None), (4, 0, "비고", "담보 Korea 1,234,567"), (4, 1, "보증처", "Korea B"), (5, 0, "비고", "담보 Korea 12,345"),
+        ],
+        "id int, col_index int, column_name string, text string",
+    )
+    found = relations.investments_of_cells(cells.where("id < 4"), ["id"], "id", ("Korea",)).collect()
+    assert [(r.dst_id, r.ownership_percentage, r.amount, r.book_value) for r in found] == [("Korea A", 12.5, 2000.0, None)]
+    found = relations.guarantees_of_cells(cells, ["id"], "id", ("Korea",)).collect()
+    assert [(r.id, r.dst_id, r.amount, r.guarantee_type) for r in found] == [(4, "Korea B", 1234567.0, "collateral")]

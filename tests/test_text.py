@@ -78,3 +78,11 @@ def test_richness_is_bounded(spark):
     df = spark.createDataFrame([("a b c",), ("",), ("word " * 500,)], "t string")
     got = [r[0] for r in df.select(T.richness("t", F.lit(5), F.lit(5))).collect()]
     assert got[1] == 0 and all(0 <= g <= 1 for g in got)
+
+
+def test_positions(spark):
+    df = spark.createDataFrame([("매출 1,000백만원 손실 (20)천원",), (None,), ("",)], "t string")
+    found = [r.p and [(x.label, x.position, x.length) for x in r.p] for r in df.select(T.amount_positions("t").alias("p")).collect()]
+    assert found == [[("positive", 3, 8), ("negative", 15, 6)], None, []]
+    found = df.select(T.term_positions("t", {"매출": "REV", "손실": "LOSS"}).alias("p")).first().p
+    assert [(x.label, x.position) for x in found] == [("REV", 0), ("LOSS", 12)]
