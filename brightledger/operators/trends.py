@@ -69,6 +69,13 @@ def recent(df: DataFrame, keys: Sequence[str], year: str = "year", value: str =
     return overall(newest, keys, year, value, last).withColumn("trend_type", F.lit("recent"))
 
 
+def all_trends(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Changes from year to year, the overall and the recent trends of every key in one table."""
+    yearly = year_over_year(df, keys).withColumnRenamed("year", "current_year")
+    parts = [yearly, overall(df, keys), recent(df, keys)]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+
+
 def statistics(trends: DataFrame) -> DataFrame:
     """Counts by type and direction."""
     return trends.groupBy("trend_type").agg(

@@ -1,7 +1,11 @@
 """Stores, the whole load, and the stream of upserts."""
 
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame
 
+from brightledger.operators import upsert
 from brightledger.plans.statement_pipeline import run_pipeline
 from brightledger.sources import store as S
 from brightledger.streaming.upsert_stream import upsert_stream
@@ -14,8 +18,15 @@ def test_pipeline_twice_is_once(spark, tmp_path):
     first = {r.table: r.n for r in run_pipeline(spark, FOLDER, path).collect()}
     assert first["data"] > 0 and first["edges"] > 0
     assert {r.table: r.n for r in run_pipeline(spark, FOLDER, path).collect()} == first
+    assert {"notes", "note_edges", "categories", "category_edges", "audits", "relations", "related_companies", "search_documents", "search_edges"} <= {t for t, n in first.items() if n}
     store = S.Store(spark, path)
     assert store.versions() == [1, 2]
+    nodes = reduce(DataFrame.union, [store.read(t).select("id") for t in ("companies", "sections", "years", "data", "categories", "notes", "note_categories", "audits", "auditors", "search_documents")])
+    assert nodes.count() == nodes.distinct().count()
+    for t in ("edges", "category_edges", "note_edges", "audit_edges", "search_edges"):
+        for end in ("src_id", "dst_id"):
+            assert upsert.dangling_edges(store.read(t), nodes, end).isEmpty(), (t, end)
+    assert {r.trend_type for r in store.read("trends").select("trend_type").distinct().collect()} == {"year_over_year", "overall", "recent"}
     assert store.read("edges", 1).exceptAll(store.read("edges", 2)).isEmpty()
     with pytest.raises(ValueError, match="confirm"):
         store.write({}, replace=True)
