@@ -9,7 +9,7 @@ from brightledger.functions import text as T
 from brightledger.functions.ids import node_id
 from brightledger.operators import graph, reports, search, statement_tables, upsert
 from brightledger.plans.registry import query
-from brightledger.sources.tables import CELLS_SQL, EDGES_SQL, NOTES_SQL, STATEMENT_ROWS_SQL, cells, company_edges, notes, statement_rows, table
+from brightledger.sources.tables import CELLS_SQL, EDGES_SQL, NOTES_SQL, STATEMENT_ROWS_SQL, STATEMENTS_SQL, cells, company_edges, notes, statement_rows, table
 
 KINDS = "CASE o_orderkey % 4 WHEN 0 THEN '종속기업 A' WHEN 1 THEN 'affiliate B' WHEN 2 THEN '공동지배 C' ELSE 'D' END"
 
@@ -278,6 +278,24 @@ def load_counts(spark, d):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
+@query(
+    "j18_structural_edges",
+    f"""WITH {STATEMENTS_SQL}, {NOTES_SQL}, k AS (SELECT DISTINCT company, year, note_number FROM notes WHERE length(trim(content)) >= 20), p AS (
+  SELECT year, sha1('company|' || lower(section_code)) AS section, sha1('company|' || lower(section_code) || '|' || lower(replace(item_name, ' ', '>'))) AS category,
+    sha1('company|' || CAST(year AS VARCHAR) || '|' || lower(item_name) || '|' || lower(section_code)) AS datum FROM statements)
+SELECT DISTINCT sha1('company') AS src_id, section AS dst_id, 'has_financial_statement' AS rel_type FROM p UNION ALL SELECT DISTINCT section, category, 'has_category' FROM p
+UNION ALL SELECT category, datum, 'related_to' FROM p UNION ALL SELECT sha1(lower(company)), sha1(lower(company) || '|' || CAST(year AS VARCHAR) || '|' || CAST(note_number AS VARCHAR)), 'has_note' FROM k""",
+)
+def structural_edges(spark, d):
+    """Edges of the whole load from companies to statements and notes, and down to categories and their data."""
+    from brightledger.plans.statement_pipeline import NOTE_CATEGORIES, NOTE_SUBCATEGORIES, load_tables
+    from brightledger.sources.tables import statements
+
+    made = load_tables(spark, d, statements(spark, d), None, NOTE_CATEGORIES, NOTE_SUBCATEGORIES)
+    edges = made["edges"].unionByName(made["category_edges"]).unionByName(made["note_edges"])
+    return edges.where(F.col("rel_type").isin("has_financial_statement", "has_category", "related_to", "has_note"))
+
+
 @query(
     "d5_all_relations",
     f"""WITH b AS (SELECT l_suppkey AS p, o_custkey AS c, CAST(l_quantity AS DOUBLE) AS a, l_orderkey * 10 + l_linenumber AS seq, l_linenumber AS line FROM lineitem JOIN orders ON l_orderkey = o_orderkey),

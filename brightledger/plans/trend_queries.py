@@ -227,6 +227,20 @@ def trend_nodes(spark, d):
     return rounded(t.select(key.alias("id"), "change_rate"), "change_rate")
 
 
+@query(
+    "d15_all_trends",
+    f"""WITH {STATEMENTS_SQL}, v AS (SELECT item_name, section_code, year, CAST(value AS DOUBLE) AS value, row_number() OVER (PARTITION BY item_name, section_code ORDER BY year DESC) AS back,
+  lag(CAST(value AS DOUBLE)) OVER (PARTITION BY item_name, section_code ORDER BY year) AS before FROM statements)
+SELECT item_name, section_code, 'year_over_year' AS trend_type, year AS current_year, round(value - before, 2) AS change_amount FROM v WHERE before IS NOT NULL
+UNION ALL SELECT item_name, section_code, 'overall', max(year), round(arg_max(value, year) - arg_min(value, year), 2) FROM v GROUP BY 1, 2 HAVING count(*) >= 3
+UNION ALL SELECT item_name, section_code, 'recent', max(year), round(arg_max(value, year) - arg_min(value, year), 2) FROM v WHERE back <= 3 GROUP BY 1, 2 HAVING count(*) >= 3""",
+)
+def all_trends(spark, d):
+    """Yearly, overall and recent trends in one table, as they are loaded."""
+    t = trends.all_trends(statements(spark, d), KEYS)
+    return t.select(*KEYS, "trend_type", "current_year", F.round("change_amount", 2).alias("change_amount"))
+
+
 @query(
     "j19_trend_data_edges",
     LAGGED + """ SELECT y.item_name, y.section_code, y.year AS trend_year, s.year AS data_year FROM yoy y JOIN statements s
