@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from brightledger.functions.text import any_of
+
 ENCODINGS = ("euc-kr", "utf-8", "cp949")
 BLOCKS = "page_id long, pos int, tag string, class string, text string, table_index int, row_index int, col_index int"
 ENDS = frozenset("p div h1 h2 h3 h4 h5 h6 li td th tr table ul ol article section nav header footer body title caption".split())
@@ -163,6 +165,16 @@ def section_issues(sections_: DataFrame, least: int = 50) -> DataFrame:
     return sections_.select("page_id", "section_index", F.explode(issues).alias("issue"))
 
 
+def required_sections(sections_: DataFrame, key: Sequence[str], title: str, required: dict[str, Sequence[str]], n_parts: Column) -> DataFrame:
+    """Per report: the required sections whose words no title has, and the score: those found, and one point for any subsection, of all points."""
+    found = {name: F.bool_or(F.coalesce(any_of(F.col(title), words), F.lit(False))) for name, words in required.items()}
+    missing = F.array_compact(F.array(*[F.when(~f, name) for name, f in found.items()]))
+    parts = F.coalesce(F.sum(n_parts), F.lit(0))
+    out = sections_.groupBy(*key).agg(F.count(F.lit(1)).alias("total_sections"), missing.alias("missing"), parts.alias("total_subsections"))
+    points = F.lit(len(required)) - F.size("missing") + F.when(F.col("total_subsections") > 0, 1).otherwise(0)
+    return out.withColumn("score", points / (len(required) + 1))
+
+
 def quality_score(sections_: DataFrame, issues: DataFrame, required: int, tables: DataFrame | None = None) -> DataFrame:
     """Per page: 0.6 for the sections found against those required, 0.3 for the share of valid tables, 0.1 less a little for each issue.
 

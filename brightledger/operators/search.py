@@ -20,6 +20,11 @@ def documents(df: DataFrame, doc_type: str, title: str, content: str, anchor: st
     return out.withColumns({"content_length": F.length("content"), "word_count": words})
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """Counts and average sizes by type."""
-    return docs.groupBy("doc_type").agg(F.count(F.lit(1)).alias("n"), F.avg("content_length").alias("avg_length"), F.avg("word_count").alias("avg_words"), F.max("content_length").alias("longest"))
+def statistics(docs: DataFrame, by: str = "doc_type") -> DataFrame:
+    """Counts and average sizes by type, or by another column."""
+    return docs.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.avg("content_length").alias("avg_length"), F.avg("word_count").alias("avg_words"), F.max("content_length").alias("longest"))
+
+
+def largest(docs: DataFrame, n: int = 5) -> DataFrame:
+    """The longest documents; of equals, those first in order of type and anchor."""
+    return docs.orderBy(F.desc("content_length"), "doc_type", "anchor").limit(n)

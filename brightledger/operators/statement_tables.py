@@ -148,6 +148,11 @@ def note_link_statistics(links: DataFrame, section: str, note: str) -> DataFrame
     return links.groupBy(section).agg(F.count(F.lit(1)).alias("links"), F.count_distinct(note).alias("notes"))
 
 
+def most_linked(links: DataFrame, column: str, n: int = 5) -> DataFrame:
+    """The ``n`` values of a column with most links; of equals, the smaller ones."""
+    return links.groupBy(column).agg(F.count(F.lit(1)).alias("links")).orderBy(F.desc("links"), column).limit(n)
+
+
 def out_of_order(df: DataFrame, key: str, pos: str, number: str) -> DataFrame:
     """Numbered sections whose number is smaller than that before it."""
     before = F.lag(number).over(W.partitionBy(key).orderBy(pos))

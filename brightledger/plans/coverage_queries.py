@@ -186,6 +186,22 @@ def link_statistics(spark, d):
     return statement_tables.note_link_statistics(links, "section", "note")
 
 
+@query("a16_most_linked_notes", f"WITH {CELLS_SQL} SELECT CAST(n AS INTEGER) AS note, count(*) AS links FROM (SELECT unnest(string_split(text, ', ')) AS n FROM cells WHERE col_index = 1) GROUP BY 1 ORDER BY links DESC, note LIMIT 5")
+def most_linked_notes(spark, d):
+    """The five notes that most rows refer to."""
+    links = cells(spark, d).where("col_index = 1").select(F.explode(T.note_reference("text")).alias("note"))
+    return statement_tables.most_linked(links, "note")
+
+
+@query("a16_most_linking_rows", f"WITH {CELLS_SQL}, l AS (SELECT table_id, row_index, unnest(string_split(text, ', ')) AS n FROM cells WHERE col_index = 1) SELECT c.text AS category, count(*) AS links FROM l JOIN cells c ON l.table_id = c.table_id AND l.row_index = c.row_index AND c.col_index = 0 GROUP BY 1 ORDER BY links DESC, category LIMIT 5")
+def most_linking_rows(spark, d):
+    """The five categories that refer to most notes."""
+    c = cells(spark, d)
+    links = c.where("col_index = 1").select("table_id", "row_index", F.explode(T.note_reference("text")).alias("note"))
+    names = c.where("col_index = 0").select("table_id", "row_index", F.col("text").alias("category"))
+    return statement_tables.most_linked(links.join(names, ["table_id", "row_index"]), "category")
+
+
 @query("a22_edge_sums", f"WITH {EDGES_SQL} SELECT src_id, CAST(sum(CASE WHEN rel_type = 'owes' THEN amount ELSE 0 END) AS DOUBLE) AS debt, count(*) FILTER (WHERE rel_type = 'invests' OR year = 1995) AS relevant FROM edges GROUP BY 1")
 def edge_sums(spark, d):
     """Sums and counts over edge properties under conditions."""

@@ -169,6 +169,15 @@ def numbered_notes(spark, d):
     return N.last_blocks(N.split_notes(o, "o_orderkey", "content"), "o_orderkey")
 
 
+# The first 10,000 characters, blanks collapsed, letters, digits and basic punctuation only.
+CLEAN = """trim(regexp_replace(regexp_replace(regexp_replace(substring({c}, 1, 10000), '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), '[^\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}\\p{{Pc}}\\p{{Z}}.,;:()\\-]', ' ', 'g'), ' +', ' ', 'g'))"""
+SEARCH_SQL = f"""{NOTES_SQL}, {CELLS_SQL}, whole AS (
+  SELECT 'note' AS doc_type, title, {CLEAN.format(c='content')} AS content, CAST(seq AS VARCHAR) AS anchor, year FROM notes
+  UNION ALL SELECT 'table', 'table ' || CAST(table_id AS VARCHAR), {CLEAN.format(c='content')}, CAST(table_id AS VARCHAR), NULL FROM (
+    SELECT table_id, string_agg(text, ' ' ORDER BY row_index, col_index, text) AS content FROM cells GROUP BY 1)
+), docs AS (SELECT *, length(content) AS content_length, len(list_filter(string_split(content, ' '), lambda w: w <> '')) AS word_count FROM whole WHERE length(content) >= 50)"""
+
+
 def _search_docs(spark, d):
     n = notes(spark, d)
     whole = search.documents(n, "note", "title", "content", "seq", "year", 50)
@@ -177,16 +186,57 @@ def _search_docs(spark, d):
     return whole.unionByName(search.documents(tables, "table", "title", "content", "table_id", "year", 50))
 
 
-@query("d11_search_documents")
+@query("d11_search_documents", f"WITH {SEARCH_SQL} SELECT * FROM docs")
 def search_documents(spark, d):
     """Search documents of notes and tables."""
     return _search_docs(spark, d)
 
 
-@query("a17_search_statistics")
+def _sizes(by: str) -> str:
+    return f"WITH {SEARCH_SQL} SELECT {by}, count(*) AS n, round(avg(content_length), 6) AS avg_length, round(avg(word_count), 6) AS avg_words, max(content_length) AS longest FROM docs GROUP BY 1"
+
+
+def _statistics(spark, d, by: str):
+    s = search.statistics(_search_docs(spark, d), by)
+    return s.withColumns({c: F.round(c, 6) for c in ("avg_length", "avg_words")})
+
+
+@query("a17_search_statistics", _sizes("doc_type"))
 def search_statistics(spark, d):
     """Search documents by type, with their sizes."""
-    return search.statistics(_search_docs(spark, d))
+    return _statistics(spark, d, "doc_type")
+
+
+@query("a17_search_years", _sizes("year"))
+def search_years(spark, d):
+    """Search documents by year, with their sizes."""
+    return _statistics(spark, d, "year")
+
+
+@query("a17_largest_documents", f"WITH {SEARCH_SQL} SELECT doc_type, anchor, content_length FROM docs ORDER BY content_length DESC, doc_type, anchor LIMIT 5")
+def largest_documents(spark, d):
+    """The five longest search documents."""
+    return search.largest(_search_docs(spark, d)).select("doc_type", "anchor", "content_length")
+
+
+REQUIRED = {"statements": ("the", "der"), "notes": ("el ", "los"), "opinion": ("que",)}
+
+
+@query(
+    "v6_required_sections",
+    f"""WITH {NOTES_SQL}, r AS (SELECT company, year, count(*) AS total_sections, {", ".join(f"bool_or({' OR '.join(f"contains(title, '{w}')" for w in words)}) AS {c}" for c, words in REQUIRED.items())},
+  CAST(sum(CASE WHEN note_number = 2 THEN 1 ELSE 0 END) AS BIGINT) AS total_subsections FROM notes GROUP BY 1, 2)
+SELECT company, year, total_sections, total_subsections, {" || ".join(f"CASE WHEN coalesce({c}, false) THEN '' ELSE '{c};' END" for c in REQUIRED)} AS missing,
+  round(({" + ".join(f"CAST(coalesce({c}, false) AS INTEGER)" for c in REQUIRED)} + CAST(total_subsections > 0 AS INTEGER)) / 4.0, 6) AS score FROM r""",
+)
+def required_sections(spark, d):
+    """What each report lacks of the required sections, with its score."""
+    from brightledger.operators import reports
+
+    part = F.when(F.col("note_number") == 2, 1).otherwise(0)
+    out = reports.required_sections(notes(spark, d), ["company", "year"], "title", REQUIRED, part)
+    missing = F.concat(F.array_join("missing", ";"), F.when(F.size("missing") > 0, ";").otherwise(""))
+    return out.withColumns({"missing": missing, "score": F.round("score", 6)})
 
 
 @query(
