@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space, as the contracts define it.
@@ -79,5 +79,24 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def numbered(df: DataFrame, *order: Column, only: Column, place: str = "place", count: str = "n_placed") -> DataFrame:
+    """Adds the place, from 1, of each row that is ``only`` among all such rows in an order, and how many those are; others have null places.
+
+    The rows are dealt by ranges of the order and sorted within, and written so once; a row's place is its number in its
+    part and the sizes of the parts before it, one number for each part. Rows that the order leaves equal are dealt over parts by a number of their own.
+    """
+    row = F.monotonically_increasing_id()
+    kept = F.coalesce(only, F.lit(False))
+    keys = [F.col("__only").desc(), *order, F.col("__row")]
+    placed = df.withColumn("__only", kept).withColumn("__row", row).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = stored(placed.drop("__row").withColumns({"__part": F.spark_partition_id(), "__at": row.bitwiseAND(F.lit(2**33 - 1))}))
+    sizes = placed.groupBy("__part").agg(F.count_if("__only").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")
+    parts = sizes.select("__part", before.alias("__before"), F.sum("__n").over(Window.partitionBy()).alias(count))
+    # A row for each part of a shuffle.
+    met = placed.join(F.broadcast(parts), "__part")
+    return met.withColumn(place, F.when(F.col("__only"), F.col("__before") + F.col("__at") + 1)).drop("__part", "__at", "__only", "__before")
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from brightledger.llm import (
-    decontaminate, exact_dedup, html_extract, line_dedup, packing, quality, simhash, substring_dedup, suffix_dedup, warc,
+    decontaminate, exact_dedup, fingerprints, html_extract, line_dedup, packing, quality, resampling, simhash, substring_dedup, suffix_dedup, warc, whitening,
 )
 
-MODULES = (suffix_dedup, quality, simhash, line_dedup, html_extract, packing, substring_dedup, decontaminate, exact_dedup, warc)
+MODULES = (suffix_dedup, quality, simhash, line_dedup, html_extract, packing, substring_dedup, decontaminate, exact_dedup, warc, fingerprints, whitening, resampling)
 
 
 def queries() -> dict:
