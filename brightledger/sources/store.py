@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from brightledger.operators.graph import samples
+from brightledger.sources.merge_table import MergeTable
 
 
 def raw_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -63,6 +64,7 @@ class Store:
     """Node and edge tables in numbered versions under one path, for one writer at a time.
 
     A version's manifest says which version each table was last written in: tables that a load does not touch stay as they are.
+    A table that is upserted becomes a merge-on-read table, of which a version of the store names a version.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -82,13 +84,13 @@ class Store:
         known = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
         return sorted(v for v in known if fs.exists(self._path(f"v{v}/_COMPLETE")))
 
-    def tables(self, version: int | None = None) -> dict[str, int]:
-        """The tables of a version, and the version that each was written in."""
+    def tables(self, version: int | None = None) -> dict[str, str]:
+        """The tables of a version, and where each is: the version that it was written in, or ``folder@version`` of a merge table."""
         known = self.versions()
         if not known:
             return {}
         rows = self.spark.read.text(f"{self.path}/v{version or known[-1]}/_COMPLETE/manifest").collect()
-        return {name: int(at) for name, at in (r.value.rsplit(" ", 1) for r in rows)}
+        return dict(r.value.rsplit(" ", 1) for r in rows)
 
     def write(self, tables: dict[str, DataFrame], replace: bool = False, confirm: bool = False) -> int:
         """Writes the next version, marked complete when all its tables are; starting over needs ``confirm``, and deletes all others."""
@@ -96,20 +98,52 @@ class Store:
             raise ValueError("starting a store over needs confirm=True")
         fs, known = self._fs(), self.versions()
         version = (known or [0])[-1] + 1
-        manifest = ({} if replace else self.tables()) | dict.fromkeys(tables, version)
+        manifest = ({} if replace else self.tables()) | dict.fromkeys(tables, str(version))
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(f"{self.path}/v{version}/{name}")
-        # The manifest appears whole: it is written aside and moved.
+        self._complete(version, manifest)
+        for old in (*(f"v{v}" for v in known), "merge") if replace else ():
+            fs.delete(self._path(old), True)
+        return version
+
+    def _complete(self, version: int, manifest: dict[str, str]) -> None:
+        """The manifest appears whole: it is written aside and moved."""
+        fs = self._fs()
         out = fs.create(self._path(f"v{version}/_writing/manifest"))
         out.write(bytearray("".join(f"{name} {at}\n" for name, at in sorted(manifest.items())).encode()))
         out.close()
         fs.rename(self._path(f"v{version}/_writing"), self._path(f"v{version}/_COMPLETE"))
-        for old in known if replace else ():
-            fs.delete(self._path(f"v{old}"), True)
+
+    def merge_table(self, name: str, keys: Sequence[str], seq: str, rule: str = "last") -> tuple[MergeTable, int | None]:
+        """The merge table that a table is upserted in, and the version of it that the store names, None before the first."""
+        at = self.tables().get(name, "")
+        folder, named, version = at.rpartition("@")
+        folder = folder if named else f"merge/{name}-{(self.versions() or [0])[-1] + 1}"
+        return MergeTable(self.spark, f"{self.path}/{folder}", keys, seq, rule), int(version) if named else None
+
+    def upsert(self, name: str, batch: DataFrame, keys: Sequence[str], seq: str = "seq", rule: str = "last", token: tuple[str, int] | None = None) -> int:
+        """The next version, with a batch upserted into a table, at the cost of the batch; a batch whose token is in changes nothing.
+
+        The first upsert of a table that was written whole takes it over as it is.
+        """
+        table, at = self.merge_table(name, keys, seq, rule)
+        if at is None and self.has(name):
+            table.upsert(self.read(name))
+        merged = table.upsert(batch, token)
+        known = self.versions()
+        if merged == at:
+            return known[-1]
+        version = (known or [0])[-1] + 1
+        self._complete(version, self.tables() | {name: f"{table.path.removeprefix(self.path + '/')}@{merged}"})
         return version
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v{self.tables(version)[name]}/{name}")
+        at = self.tables(version)[name]
+        folder, merged, of = at.rpartition("@")
+        if merged:
+            # Reading asks for keys and rule only to merge, and those are the table's own.
+            return MergeTable.open(self.spark, f"{self.path}/{folder}").read(int(of))
+        return self.spark.read.parquet(f"{self.path}/v{at}/{name}")
 
     def has(self, name: str) -> bool:
         return name in self.tables()
