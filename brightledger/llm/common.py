@@ -8,12 +8,11 @@ next join.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from brightledger.sources.scratch import fresh_path
+
 #: ASCII white space, as the contracts define it.
 WHITE = r"[\x20\x09-\x0D]"
 #: A-Z to a-z on UTF-8 bytes; every other byte stays.
@@ -24,24 +23,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder. One of our own only on a single machine where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not folder:
-        if not spark.sparkContext.master.partition("[")[0] == "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="brightledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def stored(df: DataFrame, *partition_by: str, within: list[str] | None = None) -> DataFrame:
     """The rows of ``df``, written once to the shared folder and read back from there.
 
     ``within`` collects the paths of what a stage writes, for ``dropped``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/brightledger-{uuid.uuid4().hex}"
+    path = fresh_path(spark)
     df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     if within is not None:
         within.append(path)
@@ -88,6 +76,8 @@ def numbered(df: DataFrame, *order: Column, only: Column, place: str = "place",
     row = F.monotonically_increasing_id()
     kept = F.coalesce(only, F.lit(False))
     keys = [F.col("__only").desc(), *order, F.col("__row")]
+    # Dealing by ranges looks at all rows twice, so what made them is not to be done again.
+    df = stored(df)
     placed = df.withColumn("__only", kept).withColumn("__row", row).repartitionByRange(*keys).sortWithinPartitions(*keys)
     placed = stored(placed.drop("__row").withColumns({"__part": F.spark_partition_id(), "__at": row.bitwiseAND(F.lit(2**33 - 1))}))
     sizes = placed.groupBy("__part").agg(F.count_if("__only").alias("__n"))

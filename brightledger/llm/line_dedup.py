@@ -21,7 +21,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import read, shared_folder, shuffle_parts, stored, texts
+from brightledger.llm.common import read, shuffle_parts, stored, texts
+from brightledger.sources.scratch import shared_folder
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

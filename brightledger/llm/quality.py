@@ -225,4 +225,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return found.select("doc_id", (~learnable()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    # A row without a doc_id has no such remainder.
+    return found.select("doc_id", F.coalesce(~learnable(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
