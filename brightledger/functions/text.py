@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from brightledger.functions.dictionary import first_of, found_words
+
 # --- fixed values: word lists and patterns of statement text
 
 TERMS = {
@@ -380,6 +382,11 @@ def intent(col: Column | str, rules: Sequence[tuple[str, Sequence[str]]] = INTEN
     return found.otherwise(default)
 
 
+def intents(col: Column | str, rules: Sequence[tuple[str, Sequence[str]]] = INTENTS, default: str = "company_info") -> Column:
+    """As ``intent``, but the question is read once for the words of all rules."""
+    return first_of(found_words(col, [w for _, words in rules for w in words]), rules, default)
+
+
 def writes(col: Column | str) -> Column:
     """Whether a query text has a clause that would change data."""
     return F.coalesce(_c(col).rlike(WRITES), F.lit(False))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brightledger.functions.dictionary import best_of, found_words
+from brightledger.functions.note_words import NO_SUBCATEGORY, NOTE_CATEGORIES, NOTE_SUBCATEGORIES
 
 def split_notes(df: DataFrame, key: str, content: str) -> DataFrame:
     """Numbered notes of a text: ``note_number, title, body``; a title ends at the first colon or semicolon, else with its line."""
@@ -110,3 +112,27 @@ def containing_names(items: DataFrame, names: DataFrame, item: str, name: str, b
         found = items.select(item).distinct().join(F.broadcast(part), F.col(name).contains(F.col(item)))
         met = found if met is None else met.unionByName(found)
     return met.groupBy(item).agg(F.min(name).alias(name))
+
+
+def classified(
+    df: DataFrame, title: str | None, content: str, categories: dict[str, Sequence[str]] = NOTE_CATEGORIES,
+    subcategories: dict[str, dict[str, Sequence[str]]] = NOTE_SUBCATEGORIES, default: str = NO_SUBCATEGORY,
+) -> DataFrame:
+    """Adds ``category, confidence, keywords, subcategory`` of notes by the words of their titles and contents, read once for all words.
+
+    A category's confidence is the share of its words that occur; ties, and notes with no word at all, go to the first
+    category. Of the category's own parts the one most of whose words occur is the subcategory, the first of equals; ``default``
+    where none does or the category has no parts. A null title or content counts as empty.
+    """
+    words = [w for ws in categories.values() for w in ws] + [w for parts in subcategories.values() for ws in parts.values() for w in ws]
+    # Missing texts are left out.
+    text = F.concat_ws(" ", *([title] if title else []), content)
+    found = df.withColumn("__found", found_words(text, words))
+    best = found.withColumn("__best", best_of("__found", categories))
+    part = F.when(F.lit(False), "")
+    for category, parts in subcategories.items():
+        own = best_of("__found", parts)
+        part = part.when(F.col("__best.name") == category, F.when(own["hits"] > 0, own["name"]).otherwise(default))
+    return best.withColumns({
+        "category": F.col("__best.name"), "confidence": F.col("__best.hits") / F.col("__best.of"), "keywords": F.col("__best.words"), "subcategory": part.otherwise(default),
+    }).drop("__found", "__best")

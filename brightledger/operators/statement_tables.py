@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from brightledger.functions.dictionary import best_of, found_words
+from brightledger.functions.note_words import STATEMENT_COLUMNS, STATEMENT_WORDS
 from brightledger.functions.text import any_of, financial_value, is_note_column, note_reference, period, trend_value
 
 ROW = ["table_id", "row_index"]
@@ -188,3 +190,29 @@ def looks_financial(cells: DataFrame, words: Sequence[str] = FINANCIAL_WORDS, ke
     named = F.bool_or(any_of(F.col("column_name"), words) | any_of(F.lower("text"), words))
     figures = F.avg(F.coalesce(F.col("text").rlike("[0-9,()]"), F.lit(False)).cast("int")) > 0.2
     return cells.groupBy(*key).agg((F.coalesce(named, F.lit(False)) | figures).alias("financial"))
+
+
+def statements_of_tables(
+    cells: DataFrame, words: dict[str, Sequence[str]] = STATEMENT_WORDS, columns: Sequence[tuple] = STATEMENT_COLUMNS, key: Sequence[str] = ("table_id",)
+) -> DataFrame:
+    """Per table of cells: ``section_code, score``: the statement most of whose words its texts contain, the first of equals.
+
+    Cells are put together in order of rows and columns, one blank between. Where no word occurs, the names of the columns
+    decide: the first statement each of whose groups of words has one there, score 0; else the code is empty.
+    """
+    at = F.struct("row_index", "col_index", "text")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), at))), lambda c: c["text"]), " ")
+    # Column names are few and repeat in each row, so they are a set.
+    names = F.array_join(F.array_sort(F.collect_set("column_name")), " ")
+    tables = cells.groupBy(*key).agg(text.alias("__text"), names.alias("__names"))
+    every = [w for ws in words.values() for w in ws]
+    read = tables.withColumns({"__found": found_words("__text", every), "__named": found_words("__names", [w for _, groups in columns for ws in groups for w in ws])})
+    best = best_of("__found", words)
+    by_name = F.when(F.lit(False), "")
+    for code, groups in columns:
+        has = F.lit(True)
+        for ws in groups:
+            has = has & F.arrays_overlap("__named", F.array(*map(F.lit, ws)))
+        by_name = by_name.when(has, code)
+    code = F.when(best["hits"] > 0, best["name"]).otherwise(by_name.otherwise(""))
+    return read.select(*key, code.alias("section_code"), best["hits"].alias("score"))

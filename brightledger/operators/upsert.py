@@ -5,7 +5,7 @@ A table cannot be overwritten while it is read, so callers write the result to a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +36,16 @@ def first_wins(target: DataFrame, batch: DataFrame, keys: Sequence[str], columns
     return joined.select(*keys, *[F.coalesce(f"__old_{c}", c).alias(c) for c in columns])
 
 
-def existing_edges(edges: DataFrame, sources: DataFrame, targets: DataFrame, src: str = "src_id", dst: str = "dst_id", kind: str = "rel_type") -> DataFrame:
+def existing_edges(
+    edges: DataFrame, sources: DataFrame, targets: DataFrame, src: str = "src_id", dst: str = "dst_id", kind: str = "rel_type",
+    attempted: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """One edge for each source, target and type, where both ends exist.
 
-    ``sources`` and ``targets`` have one column each, of distinct ids.
+    ``sources`` and ``targets`` have one column each, of distinct ids. ``attempted`` may observe the distinct edges before their ends
+    are looked up.
     """
-    distinct = edges.dropDuplicates([src, dst, kind])
+    distinct = attempted(edges.dropDuplicates([src, dst, kind]))
     from_ = sources.select(F.col(sources.columns[0]).alias(src))
     to = targets.select(F.col(targets.columns[0]).alias(dst))
     return distinct.join(from_, src, "left_semi").join(to, dst, "left_semi")

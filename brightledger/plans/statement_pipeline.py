@@ -1,6 +1,6 @@
 """The whole load in dependency order: nodes first, then the edges between those that exist.
 
-Tables are chained lazily and written once each; the statement values, which most others use, are cached.
+Tables are chained lazily and written once each, and measured as they are; the statement values, which most others use, are cached.
 """
 
 from __future__ import annotations
@@ -12,15 +12,14 @@ from pyspark.sql import functions as F
 
 from brightledger.functions import text as T
 from brightledger.functions.ids import node_id
+from brightledger.functions.note_words import NOTE_CATEGORIES, NOTE_SUBCATEGORIES
 from brightledger.operators import notes as N
 from brightledger.operators import relations, search, trends, upsert
+from brightledger.operators.metrics import RunMetrics
 from brightledger.sources import tables
 from brightledger.sources.store import Store
 
 COMPANY = "company"
-# --- fixed values: words of the note categories and of their parts, in the order in which ties are decided
-NOTE_CATEGORIES = {"회계정책": ("회계정책", "회계추정", "기준서"), "위험관리": ("위험", "파생상품"), "특수관계자": ("특수관계자", "종속기업"), "우발부채": ("우발", "보증", "소송")}
-NOTE_SUBCATEGORIES = {"위험관리": {"신용위험": ("신용",), "유동성위험": ("유동성",), "시장위험": ("환율", "이자율")}, "우발부채": {"소송": ("소송",), "보증": ("보증",)}}
 #: Least characters of a search document, and of an audit section that names nothing.
 LEAST_DOCUMENT, LEAST_AUDIT = 50, 500
 
@@ -33,8 +32,12 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def build(facts: DataFrame, company: str = COMPANY) -> dict[str, DataFrame]:
-    """Node and edge tables of statement values ``(item_name, section_code, year, value)``."""
+#: Types of the edges between companies, statements, years and data.
+EDGE_TYPES = ("contains_data", "has_year_data", "has_financial_statement", "precedes")
+
+
+def build(facts: DataFrame, company: str = COMPANY, metrics: RunMetrics | None = None) -> dict[str, DataFrame]:
+    """Node and edge tables of statement values ``(item_name, section_code, year, value)``; ``metrics`` counts the edges that are tried."""
     facts = facts.withColumn("company", F.lit(company))
     companies = facts.sparkSession.range(1).select(F.lit(company).alias("company")).withColumn("id", node_id("company"))
     sections = facts.select("company", "section_code").distinct().withColumn("id", node_id("fs_section"))
@@ -53,14 +56,15 @@ def build(facts: DataFrame, company: str = COMPANY) -> dict[str, DataFrame]:
     nxt = year_of.select("section_code", F.col("year").alias("next_year"), F.col("src_id").alias("dst_id"))
     follows = pairs.join(first, ["section_code", "year"]).join(nxt, ["section_code", "next_year"]).select("src_id", "dst_id", F.lit("precedes").alias("rel_type"))
     ids = _all([t.select("id") for t in (companies, sections, years, data)]).distinct()
-    edges = upsert.existing_edges(_all([holds, has_year, has_section, follows]), ids, ids)
+    tried = (lambda df: metrics.attempted("edges", df, "rel_type", EDGE_TYPES)) if metrics else (lambda df: df)
+    edges = upsert.existing_edges(_all([holds, has_year, has_section, follows]), ids, ids, attempted=tried)
     return {"companies": companies, "sections": sections, "years": years, "data": data, "trends": trend, "edges": edges}
 
 
 def note_tables(notes: DataFrame, categories: dict, subcategories: dict) -> dict[str, DataFrame]:
     """Merged notes of ``(company, year, note_number, seq, title, content)``, their categories, and the edges of both."""
     merged = N.merge_notes(notes, ["company", "year"], "note_number", "seq", "content").withColumn("id", node_id("note"))
-    nodes = N.subclassify(N.classify(merged, "text", categories), "text", subcategories)
+    nodes = N.classified(merged, None, "text", categories, subcategories)
     names = N.category_names(nodes).withColumn("id", node_id("note_category"))
     has_note = nodes.select(*edge(node_id("company"), "id", "has_note"))
     kinds = nodes.select("id", F.explode(F.array_distinct(F.array("category", "subcategory"))).alias("note_category"))
@@ -104,13 +108,15 @@ def search_tables(notes: DataFrame, nodes: DataFrame, least: int = LEAST_DOCUMEN
     return {"search_documents": docs, "search_edges": from_note.unionByName(from_company)}
 
 
-def load_tables(spark: SparkSession, source: str, facts: DataFrame, years: list[int] | None, categories: dict, subcategories: dict) -> dict[str, DataFrame]:
+def load_tables(
+    spark: SparkSession, source: str, facts: DataFrame, years: list[int] | None, categories: dict, subcategories: dict, metrics: RunMetrics | None = None
+) -> dict[str, DataFrame]:
     """All tables of a folder's load: statements, categories, notes, audits, companies, relations and search documents."""
-    made = build(facts)
+    made = build(facts, metrics=metrics)
     notes = tables.notes(spark, source)
-    links = tables.company_edges(spark, source)
+    links = tables.company_edges(spark, source, years)
     if years is not None:
-        notes, links = notes.where(F.col("year").isin(years)), links.where(F.col("year").isin(years))
+        notes = notes.where(F.col("year").isin(years))
     names = F.split("item_name", " ")
     paths = facts.select(
         F.lit(COMPANY).alias("company"), "section_code", F.array_join(names, ">").alias("category_path"), F.size(names).alias("level"), F.element_at(names, -1).alias("name"), "item_name"
@@ -136,15 +142,16 @@ def note_nodes(notes: DataFrame) -> DataFrame:
 def run_pipeline(
     spark: SparkSession, source: str, store_path: str, years: list[int] | None = None, categories: dict = NOTE_CATEGORIES, subcategories: dict = NOTE_SUBCATEGORIES
 ) -> DataFrame:
-    """Loads a folder's statements and notes into the next version of a store; returns the tables' sizes."""
-    facts = tables.statements(spark, source)
-    if years is not None:
-        facts = facts.where(F.col("year").isin(years))
-    facts = facts.cache()
+    """Loads a folder's statements and notes into the next version of a store; returns what each table's write did, edges by type.
+
+    ``years`` reaches the scan of what is dated, and the metrics are kept beside the store, in ``metrics`` by version.
+    """
+    facts = tables.statements(spark, source, years).cache()
+    metrics = RunMetrics(spark)
     try:
-        store = Store(spark, store_path)
-        made = load_tables(spark, source, facts, years, categories, subcategories)
-        version = store.write(made)
+        version = Store(spark, store_path).write(load_tables(spark, source, facts, years, categories, subcategories, metrics), metrics=metrics)
     finally:
         facts.unpersist()
-    return _all([store.read(name, version).agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("n")) for name in made])
+    metrics.save(f"{store_path}/metrics/{version}")
+    done = metrics.frame()
+    return done.select(F.col("operation").alias("table"), "kind", F.col("processed_items").alias("n"), *done.columns[2:])

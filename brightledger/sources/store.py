@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from brightledger.operators.graph import samples
+from brightledger.operators.metrics import RunMetrics
 from brightledger.sources.merge_table import MergeTable
 
 
@@ -92,15 +93,19 @@ class Store:
         rows = self.spark.read.text(f"{self.path}/v{version or known[-1]}/_COMPLETE/manifest").collect()
         return dict(r.value.rsplit(" ", 1) for r in rows)
 
-    def write(self, tables: dict[str, DataFrame], replace: bool = False, confirm: bool = False) -> int:
-        """Writes the next version, marked complete when all its tables are; starting over needs ``confirm``, and deletes all others."""
+    def write(self, tables: dict[str, DataFrame], replace: bool = False, confirm: bool = False, metrics: RunMetrics | None = None) -> int:
+        """Writes the next version, marked complete when all its tables are; starting over needs ``confirm``, and deletes all others.
+
+        ``metrics`` measures the writes.
+        """
         if replace and not confirm:
             raise ValueError("starting a store over needs confirm=True")
         fs, known = self._fs(), self.versions()
         version = (known or [0])[-1] + 1
         manifest = ({} if replace else self.tables()) | dict.fromkeys(tables, str(version))
+        metrics = metrics or RunMetrics(self.spark)
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.path}/v{version}/{name}")
+            metrics.measured(name, df, lambda rows, to=f"{self.path}/v{version}/{name}": rows.write.mode("overwrite").parquet(to))
         self._complete(version, manifest)
         for old in (*(f"v{v}" for v in known), "merge") if replace else ():
             fs.delete(self._path(old), True)

@@ -6,7 +6,10 @@ here is cached or collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -16,10 +19,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def statement_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per posting: ``company, item_name, section_code, year, amount`` and the order's keys."""
+def in_years(date: str, years: Sequence[int]) -> Column:
+    """Whether a time falls into one of some years, as ranges, which a scan can skip row groups by."""
+
+    def begins(year: int) -> Column:
+        return F.lit(f"{year:04d}-01-01").cast("timestamp")
+
+    ranges = ((F.col(date) >= begins(y)) & (F.col(date) < begins(y + 1)) for y in sorted(set(years)))
+    return reduce(Column.__or__, ranges, F.lit(False))
+
+
+def statement_rows(spark: SparkSession, folder: str, years: Sequence[int] | None = None) -> DataFrame:
+    """One row per posting: ``company, item_name, section_code, year, amount`` and the order's keys; of some years, or all."""
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
+    if years is not None:
+        orders = orders.where(in_years("o_orderdate", years))
     parts = table(spark, folder, "part")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, lines.l_partkey == parts.p_partkey)
     return joined.select(
@@ -36,15 +51,15 @@ def statement_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def statements(spark: SparkSession, folder: str) -> DataFrame:
+def statements(spark: SparkSession, folder: str, years: Sequence[int] | None = None) -> DataFrame:
     """Statement data: one value per item, section and year."""
-    rows = statement_rows(spark, folder)
+    rows = statement_rows(spark, folder, years)
     return rows.groupBy("item_name", "section_code", "year").agg(F.sum("amount").cast(MONEY).alias("value"))
 
 
-def company_edges(spark: SparkSession, folder: str) -> DataFrame:
+def company_edges(spark: SparkSession, folder: str, years: Sequence[int] | None = None) -> DataFrame:
     """Postings between a company and a partner, typed by their flag: trades, owes or invests."""
-    rows = statement_rows(spark, folder)
+    rows = statement_rows(spark, folder, years)
     kind = F.when(F.col("section_code") == "R", "trades").when(F.col("section_code") == "A", "owes").otherwise("invests")
     return rows.select(
         F.col("company").alias("src_id"), F.col("partner").alias("dst_id"), kind.alias("rel_type"), "priority", "year", "amount",
