@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -59,3 +59,46 @@ def samples(nodes: DataFrame, label: str, node_id: str, k: int = 3) -> DataFrame
     """The first ``k`` nodes of each label by id."""
     ranked = nodes.withColumn("rank", F.row_number().over(W.partitionBy(label).orderBy(node_id)))
     return ranked.where(F.col("rank") <= k)
+
+
+def chains(edges: DataFrame, steps: Sequence[str], src: str = "src_id", dst: str = "dst_id", kind: str = "rel_type") -> DataFrame:
+    """``n0, n1, ..., nk``: every chain of nodes that a pattern of typed edges allows.
+
+    A step is ``type>`` (from a node to the next) or ``<type`` (from the next node back), or several types with ``|`` between. The
+    joins begin with the step that fewest edges fit and go on to the smaller neighbour of what is joined, so the hubs of a
+    large type meet only nodes that are in a chain already. An edge is used once in a chain, as in a graph pattern.
+    """
+    parsed = []
+    for step in steps:
+        back, types = step.startswith("<"), step.strip("<>").split("|")
+        if step.endswith(">") == back or not all(types):
+            raise ValueError(f"a step is 'type>' or '<type', not {step!r}")
+        parsed.append((back, types))
+    edges = edges.select(src, dst, kind).distinct()
+    # A row for each type.
+    counts = {r[0]: r[1] for r in edges.groupBy(kind).count().collect()}
+
+    def fitting(i: int) -> DataFrame:
+        back, types = parsed[i]
+        one, two = (dst, src) if back else (src, dst)
+        return edges.where(F.col(kind).isin(types)).select(F.col(one).alias(f"n{i}"), F.col(two).alias(f"n{i + 1}"), F.col(kind).alias(f"__k{i}"))
+
+    size = [sum(counts.get(t, 0) for t in types) for _, types in parsed]
+    low = high = size.index(min(size))
+    found = fitting(low)
+    while high - low + 1 < len(parsed):
+        left = low > 0 and (high == len(parsed) - 1 or size[low - 1] <= size[high + 1])
+        low, high = (low - 1, high) if left else (low, high + 1)
+        at = low if left else high
+        found = found.join(fitting(at), f"n{low + 1}" if left else f"n{high}")
+        for other in range(low, high + 1):
+            if other != at and set(parsed[other][1]) & set(parsed[at][1]):
+                found = found.where(~_same_edge(parsed, at, other))
+    return found.select(*[f"n{i}" for i in range(len(parsed) + 1)])
+
+
+def _same_edge(steps: list, i: int, j: int) -> Column:
+    """Whether two steps of a chain are one edge."""
+    ends = [(f"n{k + 1}", f"n{k}") if steps[k][0] else (f"n{k}", f"n{k + 1}") for k in (i, j)]
+    (a, b), (c, d) = ends
+    return (F.col(a) == F.col(c)) & (F.col(b) == F.col(d)) & (F.col(f"__k{i}") == F.col(f"__k{j}"))
