@@ -55,6 +55,7 @@ OWNERSHIP_TYPES = {
 AUDIT_TYPES = (("내부회계", "내부회계관리제도"), ("검토", "검토의견"), ("독립.*감사|감사.*독립", "독립감사의견"), ("외부감사", "외부감사"))
 OPINIONS = ("무한정적정의견", "부적정의견", "한정의견", "의견거절", "적정의견")
 DATES = (r"(\d{4})년\s*(\d{1,2})월\s*(\d{1,2})일", r"(\d{4})\.\s*(\d{1,2})\.\s*(\d{1,2})", r"(\d{4})-(\d{1,2})-(\d{1,2})")
+#: Names stand before those that they contain, so that the longer one is found.
 AUDITORS = ("삼정회계법인", "삼일회계법인", "딜로이트안진회계법인", "안진회계법인", "EY한영회계법인", "한영회계법인", "삼정KPMG")
 AMOUNT_UNITS = "백만원|억원|조원|천원|만원"
 MONEY_UNITS = (("백만원", 1_000_000), ("천원", 1_000), ("억원", 100_000_000), ("원", 1))
@@ -357,10 +358,11 @@ def audit_type(title: Column | str) -> Column:
 
 
 def auditor(col: Column | str) -> Column:
-    bare = F.regexp_replace(_c(col), r"\s+", "")
+    """The first auditor that a text names, whatever its blanks and the case of its letters."""
+    bare = F.upper(F.regexp_replace(_c(col), r"\s+", ""))
     rules = F.when(F.lit(False), "")
     for name in AUDITORS:
-        rules = rules.when(bare.contains(name), name)
+        rules = rules.when(bare.contains(name.upper()), name)
     return rules
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from brightledger.functions.dictionary import best_of, found_words
 from brightledger.functions.note_words import NO_SUBCATEGORY, NOTE_CATEGORIES, NOTE_SUBCATEGORIES
 
+
 def split_notes(df: DataFrame, key: str, content: str) -> DataFrame:
     """Numbered notes of a text: ``note_number, title, body``; a title ends at the first colon or semicolon, else with its line."""
     parts = df.select(key, F.posexplode(F.split(content, r"(?m)(?=^\d+(?:\.\d+)*\.)")).alias("pos", "part"))

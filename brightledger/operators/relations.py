@@ -135,9 +135,8 @@ def guarantee_relations(df: DataFrame, parent: str, company: str, row_text: str,
 
 
 def companies(df: DataFrame, name: str, percent: str, kind: str, seq: str) -> DataFrame:
-    """Distinct companies: the first row of each name, with its class by share and type."""
-    rest = F.struct(F.col(percent).alias("p"), F.col(kind).alias("k"))
-    first = df.groupBy(name).agg(F.min_by(rest, F.col(seq)).alias("__r"))
+    """Distinct companies: the first row of each name, with its class by share and type; of rows at one place, the smaller share and type."""
+    first = df.groupBy(name).agg(F.min(F.struct(F.col(seq).alias("s"), F.col(percent).alias("p"), F.col(kind).alias("k"))).alias("__r"))
     return first.select(name, F.col("__r.p").alias("ownership_percentage"), F.col("__r.k").alias("relationship_type"), ownership_class(F.col("__r.p"), F.col("__r.k")).alias("company_type"))
 
 

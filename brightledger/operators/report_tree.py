@@ -65,7 +65,7 @@ def headings(blocks_: DataFrame) -> DataFrame:
 def section_tree(blocks_: DataFrame) -> DataFrame:
     """A row per section, part and notes of each page, in the order of ``pos``.
 
-    ``page_id, pos, section_id, section_type, title, hierarchy_level, parent_id, parent_title, section_number, content, n_tables``:
+    ``page_id, pos, section_id, section_type, title, hierarchy_level, parent_id, parent_title, section_number, content, n_tables, segment``:
     ``content`` is the text of the blocks up to the next heading, tables left out, a line for each; ``n_tables`` are the tables there.
     """
     body = F.when(~F.col("is_heading") & F.col("table_index").isNull(), F.struct("pos", "text"))
@@ -79,10 +79,24 @@ def section_tree(blocks_: DataFrame) -> DataFrame:
         F.when(kind == "main", MAIN).otherwise(PART).alias("section_type"), F.col("h.text").alias("title"),
         F.when(kind == "part", 2).otherwise(1).alias("hierarchy_level"), F.when(kind == "part", in_main).alias("parent_id"),
         F.when(kind == "part", F.col("h.main_title")).alias("parent_title"),
-        F.when(kind == "part", F.regexp_extract("h.text", r"^(\d+)\.", 1).try_cast("int")).alias("section_number"), "content", F.col("n_tables").cast("int").alias("n_tables"),
+        F.when(kind == "part", F.regexp_extract("h.text", r"^(\d+)\.", 1).try_cast("int")).alias("section_number"), "content", F.col("n_tables").cast("int").alias("n_tables"), "segment",
     )
 
 
+def section_cells(blocks_: DataFrame, tree: DataFrame) -> DataFrame:
+    """Cells of the tables in sections: ``page_id, section_id, title, section_pos, table, table_index, row_index, col_index, text``.
+
+    ``table`` is the number of the table in its section, from 0; ``table_index`` that on the page.
+    """
+    cells = headings(blocks_).where(F.col("table_index").isNotNull() & ~F.col("is_heading"))
+    # Cells of several blocks are one text, in order.
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda b: b["text"]), " ")
+    whole = cells.groupBy("page_id", "segment", "table_index", "row_index", "col_index").agg(text.alias("text"))
+    numbered = whole.withColumn("table", F.dense_rank().over(W.partitionBy("page_id", "segment").orderBy("table_index")) - 1)
+    named = tree.select("page_id", "segment", "section_id", "title", F.col("pos").alias("section_pos"))
+    return numbered.join(named, ["page_id", "segment"]).drop("segment")
+
+
 def all_text(blocks_: DataFrame) -> DataFrame:
     """``(page_id, all_text)``: the text of all blocks of a page, a line for each."""
     lines = F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda b: b["text"])
