@@ -341,6 +341,23 @@ def relationship_type(col: Column | str) -> Column:
     )
 
 
+#: Buckets of companies by their relationship, before ownership is looked at (fixed values).
+INITIAL_BUCKETS = (("subsidiaries", ("종속기업", "subsidiary")), ("affiliates", ("관계기업", "affiliate")), ("joint_ventures", ("공동기업", "joint_venture")))
+
+
+def initial_bucket(kind: Column | str) -> Column:
+    """The bucket that a relationship's name puts a company in; special relations for every other, and for none."""
+    rules = F.when(F.lit(False), "")
+    for bucket, names in INITIAL_BUCKETS:
+        rules = rules.when(_c(kind).isin(*names), bucket)
+    return rules.otherwise("special_relations")
+
+
+def loose_percentage(col: Column | str) -> Column:
+    """A percentage by the looser reading: percent signs and blanks left out; null where the rest is no number."""
+    return F.regexp_replace(_c(col).cast("string"), "[% ]", "").try_cast("double")
+
+
 def audit_opinion(col: Column | str) -> Column:
     """The opinion named in the text; where the words only occur apart, the clean one."""
     t = _c(col)

@@ -102,3 +102,60 @@ def _same_edge(steps: list, i: int, j: int) -> Column:
     ends = [(f"n{k + 1}", f"n{k}") if steps[k][0] else (f"n{k}", f"n{k + 1}") for k in (i, j)]
     (a, b), (c, d) = ends
     return (F.col(a) == F.col(c)) & (F.col(b) == F.col(d)) & (F.col(f"__k{i}") == F.col(f"__k{j}"))
+
+
+def graph_elements(records: DataFrame, company: str = "company", item: str = "item_name", year: str = "year", period: str = "period", value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Records as a drawing: distinct nodes ``(id, label)`` and labelled edges ``(source, target, label)``.
+
+    A record names what it has of a company, an item, a year, a period and a value; columns that are not there are none. A value is a node
+    of its company, item and year, and of several the smallest label stands. Blank names are none.
+    """
+
+    def text(c: str) -> Column:
+        if c not in records.columns:
+            return F.lit(None).cast("string")
+        t = F.col(c).cast("string")
+        return F.when(t != "", t)
+
+    parts = {"company": text(company), "item": text(item), "year": text(year), "period": text(period)}
+    ids = {k: F.concat(F.lit(f"{k}:"), v) for k, v in parts.items()}
+    held = F.concat(F.lit("value:"), *[x for k in ("company", "item", "year") for x in (F.coalesce(parts[k], F.lit("None")), F.lit(":"))][:-1])
+    ids["value"] = F.when(text(value).isNotNull(), held)
+    labels = parts | {"year": F.concat(F.lit("Y:"), parts["year"]), "period": F.concat(F.lit("P:"), parts["period"]), "value": F.concat(F.lit("V:"), text(value))}
+    made = F.array(*[F.struct(ids[k].alias("id"), labels[k].alias("label")) for k in ids])
+    nodes = records.select(F.explode(made).alias("n")).where("n.id is not null").groupBy("n.id").agg(F.min("n.label").alias("label"))
+    links = (("company", "item", "has_data"), ("item", "year", "in_year"), ("year", "period", "period"), ("item", "value", "value"))
+    drawn = F.array(*[F.struct(ids[a].alias("source"), ids[b].alias("target"), F.lit(name).alias("label")) for a, b, name in links])
+    edges = records.select(F.explode(drawn).alias("e")).select("e.*").where("source is not null and target is not null").distinct()
+    return nodes, edges
+
+
+def limited(df: DataFrame, group: str, order: Sequence[str], most: dict[str, int], default: int = 50) -> DataFrame:
+    """The first rows of each group in an order, as many as its name allows.
+
+    Rows beyond the largest limit are dropped before the groups are dealt out, so a large group costs no more than others.
+    """
+    ranked = df.withColumn("__rank", F.row_number().over(W.partitionBy(group).orderBy(*order)))
+    allowed = F.when(F.lit(False), 0)
+    for name, n in most.items():
+        allowed = allowed.when(F.col(group) == name, n)
+    return ranked.where(F.col("__rank") <= max([default, *most.values()])).where(F.col("__rank") <= allowed.otherwise(default)).drop("__rank")
+
+
+def sampled_properties(tables: dict[str, DataFrame]) -> DataFrame:
+    """What tables of nodes are made of: ``label, property, type, filled, smallest, largest``, a row for each column; one pass for each table."""
+    frames = []
+    for label, df in tables.items():
+        columns = df.columns
+        facts = [
+            F.struct(
+                F.lit(c).alias("property"), F.lit(df.schema[c].dataType.simpleString()).alias("type"), F.count(F.col(c)).alias("filled"),
+                F.min(F.col(c).cast("string")).alias("smallest"), F.max(F.col(c).cast("string")).alias("largest"),
+            )
+            for c in columns
+        ]
+        frames.append(df.agg(F.array(*facts).alias("f")).select(F.lit(label).alias("label"), F.explode("f").alias("f")).select("label", "f.*"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
