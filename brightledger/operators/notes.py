@@ -27,6 +27,23 @@ def last_blocks(notes: DataFrame, key: str) -> DataFrame:
     return notes.groupBy(key, "note_number").agg(F.max_by(F.struct("title", "body"), "pos").alias("n")).select(key, "note_number", "n.title", "n.body")
 
 
+#: A numbered block: number, title up to a colon, text without digits up to the next number (fixed value).
+BLOCK = r"(?s)(\d+)\.\s*([^:]+):\s*([^0-9]+?)(?=\d+\.|$)"
+
+
+def note_blocks(df: DataFrame, key: str, content: str) -> DataFrame:
+    """``(key, note_number, title, body)`` of the blocks ``n. title: text`` in a running text, one for each number.
+
+    The last title of a number stands, with the text of its first block, for number 1 of its last. Numbers beyond an int are none.
+    """
+    groups = [F.regexp_extract_all(content, F.lit(BLOCK), i).alias(f"g{i}") for i in (1, 2, 3)]
+    rows = df.select(key, *groups).select(key, F.posexplode(F.arrays_zip("g1", "g2", "g3")).alias("pos", "g"))
+    blocks = rows.select(key, "pos", F.col("g.g1").try_cast("int").alias("note_number"), F.trim("g.g2").alias("title"), F.regexp_replace("g.g3", r"^\s+|\s+$", "").alias("body")).where("note_number is not null")
+    texts = blocks.groupBy(key, "note_number", "title").agg(F.min_by("body", "pos").alias("first"), F.max_by("body", "pos").alias("last"), F.max("pos").alias("pos"))
+    best = texts.groupBy(key, "note_number").agg(F.max(F.struct("pos", "title", "first", "last")).alias("b"))
+    return best.select(key, "note_number", "b.title", F.when(F.col("note_number") > 1, F.col("b.first")).otherwise(F.col("b.last")).alias("body"))
+
+
 def merge_notes(df: DataFrame, keys: Sequence[str], number: str, seq: str, content: str, joined: Sequence[int] = (2,), least: int = 20) -> DataFrame:
     """One note per key: some numbers join their parts in order, others keep the longest (the first of equals)."""
     kept = df.where(F.length(F.trim(content)) >= least)

@@ -246,6 +246,43 @@ def validated_reports(records: DataFrame, tables: DataFrame, required: dict[str,
     return both.withColumn("overall_score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
 
 
+#: Fields that a parsed report must have, and the types that they may be of: VARIANT type names, or their beginnings (fixed values).
+FIELDS = {"version": None, "source_filename": None, "report_year": ("BIGINT", "VOID"), "sections": ("ARRAY",), "tables": ("ARRAY",)}
+
+
+def typed_structure(reports_: DataFrame, key: str, json: str, fields: dict = FIELDS) -> DataFrame:
+    """``(key, issue)`` of parsed reports as JSON: fields that are not there, or of a wrong type; ``corrupt`` for what is no JSON object.
+
+    A corrupt or missing report does not stop the others. A field that is null is there.
+    """
+    v = F.try_parse_json(F.col(json))
+    present = F.coalesce(F.json_object_keys(json), F.array().cast("array<string>"))
+    issues = []
+    for name, types in fields.items():
+        there = F.array_contains(present, name)
+        issues.append(F.when(~there, f"no_{name}"))
+        if types:
+            of = F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+            fits = F.lit(False)
+            for t in types:
+                fits = fits | of.startswith(t)
+            issues.append(F.when(there & ~F.coalesce(fits, F.lit("VOID" in types)), f"bad_{name}"))
+    whole = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return reports_.select(key, F.explode(F.when(whole, F.array_compact(F.array(*issues))).otherwise(F.array(F.lit("corrupt")))).alias("issue"))
+
+
+#: Nodes that a report is expected to make besides its notes: company, subsidiary, statements, years, categories, search documents (fixed values).
+PLANNED = {"company": 1, "subsidiary": 1, "fs_sections": 4, "year_nodes": 4, "categories": 20, "search_docs": 10}
+
+
+def planned_load(records: DataFrame) -> DataFrame:
+    """What a load of reports would make, by file and in all (``TOTAL``): sections, notes, and estimates of nodes and twice as many edges."""
+    notes = F.size(F.filter("sections", lambda s: s["title"].contains(NOTES)))
+    rows = records.select("metadata.source_file", F.size("sections").alias("sections"), notes.alias("notes")).withColumn("n", F.col("notes") + sum(PLANNED.values()))
+    sums = [F.sum(a).alias(b) for a, b in (("sections", "sections"), ("notes", "notes"), ("n", "estimated_nodes"))]
+    return rows.rollup("source_file").agg(*sums).withColumns({"source_file": F.coalesce("source_file", F.lit("TOTAL")), "estimated_edges": 2 * F.col("estimated_nodes")})
+
+
 def report_lines(validated: DataFrame) -> DataFrame:
     """The text report of a validation, a row per line: ``page_id, line, text``."""
     def line(label: str, value: Column) -> Column:

@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -129,18 +130,23 @@ class _Reader(HTMLParser):
 def blocks(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
     """A row per block of text: its tag, class, place, and its table, row and column where it is a cell."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for key, text in zip(frame["page_id"], frame["html"]):
+    names = ("pos", "tag", "class", "text", "table_index", "row_index", "col_index")
+    types = (pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, rows = [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 reader = _Reader()
-                reader.feed(text or "")
+                reader.feed(text.as_py() or "")
                 reader.close()
                 reader.flush()
-                out += [(key, *r) for r in reader.rows]
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in BLOCKS.split(", ")]).astype({"table_index": "Int32", "row_index": "Int32", "col_index": "Int32"})
+                rows += reader.rows
+                keys += [key] * len(reader.rows)
+            columns = zip(*rows) if rows else [()] * len(names)
+            yield pa.record_batch([pa.array(keys, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], ["page_id", *names])
 
-    return pages.select(F.col(page).cast("long").alias("page_id"), F.col(html).alias("html")).mapInPandas(run, BLOCKS)
+    return pages.select(F.col(page).cast("long").alias("page_id"), F.col(html).alias("html")).mapInArrow(run, BLOCKS)
 
 
 def sections(blocks_: DataFrame, heading: Column, name: str = "section_index") -> DataFrame:

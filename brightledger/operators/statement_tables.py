@@ -18,7 +18,8 @@ ROW = ["table_id", "row_index"]
 def period_values(cells: DataFrame) -> DataFrame:
     """One row per table row: its label, the last value of each period, its note numbers, and all values as a map."""
     key = period("column_name")
-    read = cells.select(*ROW, "col_index", "column_name", "text", key.alias("period"), financial_value("text").alias("v"))
+    # Numbers are read only where a column is a period's.
+    read = cells.select(*ROW, "col_index", "column_name", "text", key.alias("period")).withColumn("v", F.when(F.col("period").isNotNull(), financial_value("text")))
     # Ties, as of rows that repeat, go to the smaller text and the larger value.
     label = F.min(F.when(F.col("period").isNull() & ~is_note_column("column_name"), F.struct("col_index", "text")))["text"]
     out = [label.alias("item_name")]

@@ -7,7 +7,7 @@ import importlib
 #: Modules with queries; each uses ``query`` below.
 MODULES = (
     "trend_queries", "graph_queries", "hierarchy_queries", "relation_queries", "text_queries", "note_queries", "summary_queries", "report_queries", "coverage_queries",
-    "tree_queries", "dictionary_queries", "merge_queries", "load_queries", "mixed_queries", "report_load_queries", "detail_queries",
+    "tree_queries", "dictionary_queries", "merge_queries", "load_queries", "mixed_queries", "report_load_queries", "detail_queries", "store_queries",
 )
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
