@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from brightledger.functions.text import any_of
 
 ENCODINGS = ("euc-kr", "utf-8", "cp949")
-BLOCKS = "page_id long, pos int, tag string, class string, text string, table_index int, row_index int, col_index int"
+#: ``part`` is head or foot of a table for cells that stand there, body for others.
+BLOCKS = "page_id long, pos int, tag string, class string, text string, table_index int, row_index int, col_index int, part string"
 ENDS = frozenset("p div h1 h2 h3 h4 h5 h6 li td th tr table ul ol article section nav header footer body title caption".split())
 HIDDEN = frozenset("script style".split())
+PARTS = {"thead": "head", "tbody": "body", "tfoot": "foot"}
 
 
 def decoded(content: str, encodings: Sequence[str] = ENCODINGS) -> Column:
@@ -64,14 +66,14 @@ class _Reader(HTMLParser):
         self.rows, self.parts, self.skip, self.count = [], [], 0, 0
         #: Open tags: name, class, place of the cell that they are in.
         self.open = [("", "", None)]
-        #: Open tables: number, row, column, and the columns that cells from above still fill, by row.
+        #: Open tables: number, row, column, the columns that cells from above still fill, by row, and the part.
         self.tables = []
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
             tag, cls, place = self.open[-1]
-            self.rows.append((len(self.rows), tag, cls, text, *(place or (None,) * 3)))
+            self.rows.append((len(self.rows), tag, cls, text, *(place or (None,) * 4)))
         self.parts = []
 
     def _close(self, names, stop=()):
@@ -84,7 +86,7 @@ class _Reader(HTMLParser):
             if self.open[i][0] in stop:
                 return
 
-    def _next_cell(self, attrs):
+    def _next_cell(self, tag, attrs):
         table = self.tables[-1]
         taken = table[3].setdefault(table[1], set())
         col = table[2] + 1
@@ -94,7 +96,7 @@ class _Reader(HTMLParser):
         for below in range(1, high):
             table[3].setdefault(table[1] + below, set()).update(range(col, col + wide))
         table[2] = col + wide - 1
-        return table[0], table[1], col
+        return table[0], table[1], col, "head" if tag == "th" else table[4]
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
@@ -103,7 +105,7 @@ class _Reader(HTMLParser):
             self.flush()
             place = self.open[-1][2]
             if tag == "table":
-                self.tables.append([self.count, -1, -1, {}])
+                self.tables.append([self.count, -1, -1, {}, "body"])
                 self.count, place = self.count + 1, None
             elif tag == "tr" and self.tables:
                 self._close({"tr"}, {"table"})
@@ -111,8 +113,10 @@ class _Reader(HTMLParser):
                 place = None
             elif tag in ("td", "th") and self.tables:
                 self._close({"td", "th"}, {"table", "tr"})
-                place = self._next_cell(attrs)
+                place = self._next_cell(tag, attrs)
             self.open.append((tag, attrs.get("class") or "", place))
+        elif tag in PARTS and self.tables:
+            self.tables[-1][4] = PARTS[tag]
         elif tag == "br":
             self.parts.append("\n")
 
@@ -130,8 +134,8 @@ class _Reader(HTMLParser):
 def blocks(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
     """A row per block of text: its tag, class, place, and its table, row and column where it is a cell."""
 
-    names = ("pos", "tag", "class", "text", "table_index", "row_index", "col_index")
-    types = (pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32())
+    names = ("pos", "tag", "class", "text", "table_index", "row_index", "col_index", "part")
+    types = (pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,6 +222,13 @@ def report_validation(sections_: DataFrame, tables: DataFrame, required: int) ->
     return quality_score(sections_, section_issues(sections_), required, tables)
 
 
+def table_parts(blocks_: DataFrame, key: Sequence[str] = ("page_id", "table_index")) -> DataFrame:
+    """Whether each table has a head (a ``thead``, or cells that are headings) and a foot, and how many cells are in either."""
+    cells = blocks_.where(F.col("table_index").isNotNull()).select(*key, "row_index", "col_index", "part").distinct()
+    head, foot = F.count_if(F.col("part") == "head"), F.count_if(F.col("part") == "foot")
+    return cells.groupBy(*key).agg((head > 0).alias("has_header"), (foot > 0).alias("has_footer"), head.alias("head_cells"), foot.alias("foot_cells"))
+
+
 def table_status(cells: DataFrame, key: Sequence[str] = ("page_id", "table_index")) -> DataFrame:
     """``status`` of each table of cells: empty, mostly empty, or valid."""
     blank = F.count_if(F.trim("text") == "") / F.count(F.lit(1))

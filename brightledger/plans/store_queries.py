@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brightledger.functions import text as T
+from brightledger.functions.ids import ID_PARTS, node_id
 from brightledger.functions.note_words import NO_SUBCATEGORY, NOTE_CATEGORIES
 from brightledger.operators import graph, notes, report_tree, reports
 from brightledger.plans.dictionary_queries import NOTES_SQL, PARTS_SQL, _best, made_notes
 from brightledger.plans.registry import query
+from brightledger.plans.statement_pipeline import build
 from brightledger.plans.tree_queries import LINES_SQL, made_records
 from brightledger.sources import store as S
 from brightledger.sources.scratch import fresh_path
-from brightledger.sources.tables import EDGES_SQL, company_edges, table
+from brightledger.sources.tables import EDGES_SQL, STATEMENTS_SQL, company_edges, statements, table
 
 
 @query(
@@ -172,3 +174,59 @@ def typed_structure(spark, d):
     json = F.when(k < 6, F.element_at(F.array(*map(F.lit, STRUCTURES)), F.least(k, F.lit(5)) + 1))
     o = table(spark, d, "orders").select("o_orderkey", json.alias("json"))
     return report_tree.typed_structure(o, "o_orderkey", "json")
+
+
+@query(
+    "h14_heads_and_feet",
+    "SELECT c_custkey AS page_id, c_custkey % 3 <> 0 AS has_header, c_custkey % 2 = 0 AS has_footer, CAST(CASE c_custkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS head_cells, CAST(CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS foot_cells FROM customer",
+)
+def heads_and_feet(spark, d):
+    """Tables with heads of either kind, and with feet."""
+    k = F.col("c_custkey")
+    head = F.when(k % 3 == 1, "<thead><tr><td>항목</td><td><p>당기</p></td></tr></thead><tbody>").when(k % 3 == 2, "<tr><th><div>항목</div></th></tr>").otherwise("")
+    foot = F.when(k % 2 == 0, "<tfoot><tr><td>합계</td></tr></tfoot>").otherwise("")
+    html = F.concat(F.lit("<table>"), head, F.lit("<tr><td>"), F.col("c_name"), F.lit("</td><td>5</td></tr>"), foot, F.lit("</table>"))
+    blocks = reports.blocks(table(spark, d, "customer").select(k.alias("page_id"), html.alias("html")))
+    return reports.table_parts(blocks).drop("table_index")
+
+
+# --- nodes of the load
+
+
+@query("u2_category_names", f"""WITH {NOTES_SQL}, scored AS (SELECT note, t, {_best(NOTE_CATEGORIES, 't')} AS best FROM made), c AS (SELECT best.name AS category, CASE best.name {PARTS_SQL} ELSE '{NO_SUBCATEGORY}' END AS subcategory FROM scored)
+SELECT category AS note_category FROM c UNION SELECT subcategory FROM c""")
+def category_names(spark, d):
+    """All categories and subcategories that notes fall into, each once."""
+    return notes.category_names(notes.classified(made_notes(spark, d), "title", "content"))
+
+
+@query(
+    "d14_statement_nodes",
+    f"""WITH {STATEMENTS_SQL} SELECT 'companies' AS label, sha1('company') AS id, NULL AS section_code, NULL AS year, NULL AS value UNION ALL SELECT DISTINCT 'sections', sha1('company|' || lower(section_code)), section_code, NULL, NULL FROM statements
+UNION ALL SELECT DISTINCT 'years', sha1('company|' || lower(section_code) || '|' || year), section_code, year, NULL FROM statements
+UNION ALL SELECT 'data', sha1('company|' || year || '|' || lower(item_name) || '|' || lower(section_code)), section_code, year, CAST(value AS DOUBLE) FROM statements""",
+)
+def statement_nodes(spark, d):
+    """Companies, statements, years and data of a load, with their ids."""
+    made = build(statements(spark, d))
+    frames = []
+    for label in ("companies", "sections", "years", "data"):
+        t = made[label]
+        own = [F.col(c).cast(k).alias(c) if c in t.columns else F.lit(None).cast(k).alias(c) for c, k in (("section_code", "string"), ("year", "int"), ("value", "double"))]
+        frames.append(t.select(F.lit(label).alias("label"), "id", *own))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+
+
+def _id_sql(parts) -> str:
+    return "sha1(" + " || '|' || ".join(f"'{p.strip(chr(39))}'" if p.startswith("'") else f"lower('{p} ' || c_custkey)" for p in parts) + ")"
+
+
+@query("f2_all_node_ids", " UNION ALL ".join(f"SELECT '{label}' AS label, c_custkey, {_id_sql(parts)} AS id FROM customer" for label, parts in ID_PARTS.items()))
+def all_node_ids(spark, d):
+    """The ids of all kinds of nodes, from parts that need trimming and lower case."""
+    c = table(spark, d, "customer")
+    made = []
+    for label, parts in ID_PARTS.items():
+        columns = {p: F.concat(F.lit(f"  {p.upper()} "), F.col("c_custkey").cast("string"), F.lit("\t")) for p in parts if not p.startswith("'")}
+        made.append(F.struct(F.lit(label).alias("label"), node_id(label, **columns).alias("id")))
+    return c.select("c_custkey", F.explode(F.array(*made)).alias("n")).select("n.label", "c_custkey", "n.id")
