@@ -13,8 +13,9 @@ similarity of 0.8 or more, and groups are the connected components of these pair
    leave then, and the others get fingerprints of 16 words, which tell near copies from mere relatives better. Next the
    ``PARTNERS`` closest of those that are not of its group yet. Pairs beyond that are between nodes that both have more, the
    dense ones: their sets go with the tiles, and a task verifies all that is left of their pairs, closest ones first and none
-   within a group that has grown so far, and returns only the links that join two groups. So what moves is linear in the
-   nodes, and no pair of different groups is left untried.
+   within a group that has grown so far, and returns only the links that join two groups. What moves is so many links
+   for each node and pair of tiles that its tile is in, and the dense nodes' sets once for each of their pairs of tiles; no pair of
+   different groups is left untried.
 
 Defined cases: null and empty texts and texts without words are near copies of none; texts of fewer words than a shingle are
 one shingle; rows without a doc_id are left out (the stage numbers its rows where there are any); rows that repeat a
