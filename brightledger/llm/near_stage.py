@@ -9,12 +9,12 @@ similarity of 0.8 or more, and groups are the connected components of these pair
    the SimHash operator: all their pairs are compared by exclusive-or and bit counts. The radius of 52 bits is so far that
    a pair at 0.8 is beyond it about once in 100,000 (by the binomial odds of a bit that differs, 0.152; once in 1,000 for
    texts of 8 or 9 words); pairs that are more alike are missed more rarely still.
-3. Links are verified on the sets. First each node's closest partner in each pair of tiles; nodes without any candidate
-   leave then, and the others get fingerprints of 16 words, which tell near copies from mere relatives better. Next the
-   ``PARTNERS`` closest of those that are not of its group yet. Pairs beyond that are between nodes that both have more, the
-   dense ones: their sets go with the tiles, and a task verifies all that is left of their pairs, closest ones first and none
-   within a group that has grown so far, and returns only the links that join two groups. What moves is so many links
-   for each node and pair of tiles that its tile is in, and the dense nodes' sets once for each of their pairs of tiles; no pair of
+3. Links are verified on the sets. Tiles return each node's closest partners, which are combined to its closest of all, one at
+   first; nodes without any candidate leave then, and the others get fingerprints of 16 words, which tell near copies from mere
+   relatives better. Next the ``PARTNERS`` closest of those that are not of its group yet. Pairs beyond that are between nodes that
+   both have more, the dense ones: their sets go with the tiles, and a task verifies all that is left of their pairs, closest ones
+   first and none within a group that has grown so far, and returns only the links that join two groups. So the sets that are
+   joined are linear in the nodes (a row of three numbers for each node and pair of tiles comes before that), and no pair of
    different groups is left untried.
 
 Defined cases: null and empty texts and texts without words are near copies of none; texts of fewer words than a shingle are
@@ -113,7 +113,7 @@ def candidate_strips(a: dict, b: dict, same: bool, similarity: float, words: int
 
 
 def closest_links(a: dict, b: dict, same: bool, similarity: float, words: int, most: int) -> tuple[np.ndarray, ...]:
-    """The ``most`` closest candidates of each point, as pairs of nodes, and the nodes that have more."""
+    """``(node, far, partner)`` of the ``most`` closest candidates of each point of two tiles; nodes that have more have a row with themselves."""
     counts = np.zeros(len(a["n"]), np.int64), np.zeros(len(b["n"]), np.int64)
     found = [(np.zeros(0, np.int64),) * 3]
     for strip in candidate_strips(a, b, same, similarity, words):
@@ -122,9 +122,11 @@ def closest_links(a: dict, b: dict, same: bool, similarity: float, words: int, m
         found.append(strip)
         if len(found) > 16:
             found = [_kept(found, most)]
-    p, q, _ = _kept(found, most)
-    more = np.concatenate([a["node"][counts[0] > most], b["node"][counts[1] > most]])
-    return a["node"][p], b["node"][q], np.unique(more)
+    p, q, far = _kept(found, most)
+    mine, theirs = _closest(p, far, most), _closest(q, far, most)
+    more = np.unique(np.concatenate([a["node"][counts[0] > most], b["node"][counts[1] > most]]))
+    u, v = a["node"][p], b["node"][q]
+    return np.concatenate([u[mine], v[theirs], more]), np.concatenate([far[mine], far[theirs], np.zeros_like(more)]), np.concatenate([v[mine], u[theirs], more])
 
 
 def _kept(found: list, most: int) -> tuple:
@@ -176,27 +178,49 @@ def _tile(rows: pa.StructArray, words: int) -> dict:
     return found | {w: found[w].view(np.uint64) for w in print_names(words)}
 
 
-def band_links(points: DataFrame, similarity: float, words: int, most: int | None, tile: int = TILE, within: list[str] | None = None) -> DataFrame:
-    """``(u, v)`` of points ``(node, n, w0, ..., component)``: candidates, and ``(u, u)`` for nodes that have more than ``most``.
+def band_pairs(points: DataFrame, similarity: float, tile: int, within: list[str] | None = None, weight=None) -> DataFrame:
+    """The pairs of tiles, along bands of set sizes, whose sizes can agree."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(similarity)) + F.lit(ROUNDING)).cast("long")
+    return tile_pairs(points.withColumn("cell", band), [0, 1], tile, within, weight)
+
+
+def band_candidates(points: DataFrame, similarity: float, words: int, most: int, tile: int = TILE, within: list[str] | None = None) -> DataFrame:
+    """``(node, far, partner)`` of points ``(node, n, w0, ..., component)``: a node's ``most`` closest candidates in each pair of tiles, itself where it has more."""
+
+    def run(batches):
+        for batch in slices(batches, 1):
+            a, b = (_tile(batch.column(i)[0].values, words) for i in (0, 1))
+            found = closest_links(a, b, batch.column(2)[0].as_py(), similarity, words, most)
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in found], ["node", "far", "partner"])
 
-    Without ``most``, points bring their ``shingles``, and the links are verified.
+    return band_pairs(points, similarity, tile, within).mapInArrow(run, "node long, far long, partner long")
+
+
+def closest_over_all(candidates: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """``(u, v)`` of each node's ``most`` closest candidates over all pairs of tiles, and the ``node``s that have more.
+
+    A pair that is left out is one of two nodes that both have more. What tiles found is a few numbers for each row, combined by node before
+    any set is looked up, so the sets that are joined grow with the nodes alone.
     """
+    kept, left = None, candidates.where("partner <> node")
+    for _ in range(most):
+        best = left.groupBy("node").agg(F.min(F.struct("far", "partner")).alias("b")).select("node", F.col("b.partner").alias("partner"))
+        kept = best if kept is None else kept.unionByName(best)
+        left = left.join(best, ["node", "partner"], "left_anti")
+    links = kept.select(F.least("node", "partner").alias("u"), F.greatest("node", "partner").alias("v")).distinct()
+    return links, candidates.where("partner = node").select("node").unionByName(left.select("node")).distinct()
+
+
+def band_links(points: DataFrame, similarity: float, words: int, tile: int = DENSE_TILE, within: list[str] | None = None) -> DataFrame:
+    """Verified links ``(u, v)`` between points that bring their ``shingles``, as many as join groups."""
 
     def run(batches):
         for batch in slices(batches, 1):
             a, b = (_tile(batch.column(i)[0].values, words) for i in (0, 1))
-            if most is None:
-                us, vs = joining_links(a, b, batch.column(2)[0].as_py(), similarity, words)
-            else:
-                u, v, more = closest_links(a, b, batch.column(2)[0].as_py(), similarity, words, most)
-                us, vs = np.concatenate([u, more]), np.concatenate([v, more])
-            us, vs = pa.array(us, pa.int64()), pa.array(vs, pa.int64())
+            us, vs = (pa.array(x, pa.int64()) for x in joining_links(a, b, batch.column(2)[0].as_py(), similarity, words))
             yield pa.record_batch([pc.min_element_wise(us, vs), pc.max_element_wise(us, vs)], ["u", "v"])
 
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(similarity)) + F.lit(ROUNDING)).cast("long")
-    points = points.withColumn("cell", band)
-    pairs = tile_pairs(points, [0, 1], tile, within) if most else tile_pairs(points, [0, 1], tile, within, F.col("n"))
-    return pairs.mapInArrow(run, "u long, v long")
+    return band_pairs(points, similarity, tile, within, F.col("n")).mapInArrow(run, "u long, v long")
 
 
 def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -229,19 +253,20 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILA
         stars = groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
         return connected_components(stars.unionByName(more))
 
-    first = stored(band_links(labelled(nodes.drop("digest", "copies")), similarity, words, 1, within=within).distinct(), within=within)
-    if not first.isEmpty():
+    seen = stored(band_candidates(labelled(nodes.drop("digest", "copies")), similarity, words, 1, within=within), within=within)
+    if not seen.isEmpty():
         # Nodes with a candidate: pairs of others are none.
-        ends = first.select(F.col("u").alias("doc_id")).unionByName(first.select(F.col("v").alias("doc_id"))).distinct()
-        ends = stored(ends, within=within)
+        ends = stored(seen.select(F.col("node").alias("doc_id")).distinct(), within=within)
         sets = stored(shingle_sets(by_id(rows, ends, "left_semi"), size, fine, keep=True), within=within)
-        groups = grown(stored(verified(first.where("u <> v"), sets, similarity), within=within))
+        first = stored(closest_over_all(seen, 1)[0], within=within)
+        groups = grown(stored(verified(first, sets, similarity), within=within))
         points = sets.drop("digest").withColumnRenamed("doc_id", "node")
-        next_ = stored(band_links(labelled(points.drop("shingles")), similarity, fine, PARTNERS, within=within).distinct(), within=within)
-        tried = next_.where("u <> v").join(first, ["u", "v"], "left_anti")
+        seen = stored(band_candidates(labelled(points.drop("shingles")), similarity, fine, PARTNERS, within=within), within=within)
+        next_, dense = closest_over_all(seen, PARTNERS)
+        tried = next_.join(first, ["u", "v"], "left_anti")
         groups = grown(stored(verified(tried, sets, similarity), within=within))
-        dense = stored(next_.where("u = v").select(F.col("u").alias("node")), within=within)
+        dense = stored(dense, within=within)
         if not dense.isEmpty():
             left = labelled(points.join(dense, "node", "left_semi"))
-            groups = grown(stored(band_links(left, similarity, fine, None, DENSE_TILE, within=within), within=within))
+            groups = grown(stored(band_links(left, similarity, fine, within=within), within=within))
     return groups.select(F.col("node").alias("doc_id"), "component")

@@ -112,3 +112,28 @@ def test_dense_groups(spark, monkeypatch):
 def test_no_texts(spark):
     assert found(spark, [(1, None), (2, ""), (3, " \n"), (4, "a b c d e f")]) == {}
     assert near_stage.near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_candidates_are_as_many_as_nodes(spark):
+    """Of documents that share most of their text each keeps its closest one over all tiles, however many tiles there are."""
+    r = random.Random(11)
+    template, rows = words(r, 160), []
+    for i in range(300):
+        rows.append((i, " ".join(template + words(r, 40))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = near_stage.shingle_sets(docs, 5, 3, keep=False).drop("shingles", "digest").withColumnRenamed("doc_id", "node").selectExpr("*", "node AS component").cache()
+    want = None
+    for tile in (1000, 60, 20):
+        seen = near_stage.band_candidates(prints, 0.8, 3, 1, tile=tile).cache()
+        links, more = near_stage.closest_over_all(seen, 1)
+        got = sorted(map(tuple, links.collect())), sorted(x.node for x in more.collect())
+        assert want in (None, got) and 100 < len(got[0]) <= 300
+        want = got
+    assert seen.count() > 2 * len(want[0])  # tiles found more than that
+    w = {x.node: [x.w0, x.w1, x.w2] for x in prints.collect()}
+
+    def far(a, b):
+        return sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(w[a], w[b]))
+
+    closest = {a: min((far(a, b), b) for b in w if b != a) for a in w}
+    assert {(min(a, b), max(a, b)) for a, (n, b) in closest.items() if n <= 52} >= set(want[0])
