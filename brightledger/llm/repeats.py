@@ -18,7 +18,7 @@ numbers of parts and shards follow ``spark.sql.shuffle.partitions``, which is ho
 of its work. Copies are merged in each task before anything is dealt, and grams with very many phrases
 are not dealt but only witnessed, so a task's share of a hot passage does not grow with its copies.
 
-Phrases are told apart by 64-bit hashes among those of one gram (of 64 bits too): chance equals one out of some 2 ** 64 pairs
+Phrases are told apart by 64-bit hashes among those of one gram (of whose hash 32 bits are kept): chance equals one out of some 2 ** 64 pairs
 of different phrases with the same gram. A null id is larger than any other.
 """
 
