@@ -1,6 +1,6 @@
 """The load of reports: from pages to audits, notes, search documents and the edges of all of them.
 
-Pages are tokenised once; their blocks are written, since sections, tables and notes all come of them. Everything after that is by
+Pages are tokenised once; their blocks are written, since sections, tables and notes all come of them, and so are nodes, which edges come of. Everything after that is by
 section, so a report's size bounds what one key holds.
 """
 
@@ -77,11 +77,12 @@ def report_tables(pages: DataFrame, company: str = "company", year: str = "year"
     said = parts.select("key.company", "key.year", "note_number", F.struct("key.page_id", "key.section_pos", "pos").alias("seq"), "title", F.col("body").alias("content"))
     longest = said.where(F.length(F.trim("content")) >= LEAST_NOTE).groupBy("company", "year", "note_number").agg(F.max(F.struct(F.length("content").alias("n"), "content", "title")).alias("b"))
     notes = longest.select("company", "year", "note_number", "b.title", "b.content").withColumn("id", node_id("note"))
-    notes = N.classified(notes, "title", "content")
+    notes = written(N.classified(notes, "title", "content"))
     kinds = notes.select("id", F.explode(F.array_distinct(F.array("category", "subcategory"))).alias("note_category"))
     categories = kinds.select("note_category").distinct().withColumn("id", node_id("note_category"))
     # --- audits
     audits = upsert.first_filled(audit_facts(tree, cells), ["company", "year", "audit_type"], ["auditor", "opinion", "audit_date"]).withColumn("id", node_id("audit_info"))
+    audits = written(audits)
     by = audits.where(F.col("auditor").isNotNull())
     auditors = by.select("auditor").distinct().withColumn("id", node_id("auditor"))
     # --- search documents
@@ -92,6 +93,7 @@ def report_tables(pages: DataFrame, company: str = "company", year: str = "year"
     every = of_sections.unionByName(of_notes, allowMissingColumns=True).unionByName(table_documents(cells), allowMissingColumns=True)
     # A report that says a thing twice has it once.
     documents = every.withColumn("id", node_id("search_doc")).groupBy("id").agg(F.max(F.struct(*every.columns)).alias("d")).select("id", "d.*")
+    documents = written(documents)
     companies = named.select("company").distinct().withColumn("id", node_id("company"))
     edges = [
         notes.select(*edge(node_id("company"), "id", "has_note")), kinds.select(*edge("id", node_id("note_category"), "has_note_category")), audits.select(*edge(node_id("company"), "id", "has_audit_info")),
