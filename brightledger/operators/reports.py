@@ -5,7 +5,9 @@ A page is tokenised once, in a map over partitions; everything after that is Dat
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -22,6 +24,17 @@ BLOCKS = "page_id long, pos int, tag string, class string, text string, table_in
 ENDS = frozenset("p div h1 h2 h3 h4 h5 h6 li td th tr table ul ol article section nav header footer body title caption".split())
 HIDDEN = frozenset("script style".split())
 PARTS = {"thead": "head", "tbody": "body", "tfoot": "foot"}
+#: Plain tags: names of letters and digits, attributes with quoted values and without references.
+_SPACE = "[ \\t\\n\\r\\f]"
+_ATTRIBUTE = rf"""{_SPACE}+[a-zA-Z][a-zA-Z0-9_:-]*=(?:"[^"<>&]*"|'[^'<>&]*')"""
+TAG = re.compile(rf"<(?:/([a-zA-Z][a-zA-Z0-9]*){_SPACE}*|([a-zA-Z][a-zA-Z0-9]*)((?:{_ATTRIBUTE})*){_SPACE}*(/?))>")
+ATTRIBUTE = re.compile(r"""([a-zA-Z][a-zA-Z0-9_:-]*)=(?:"([^"]*)"|'([^']*)')""")
+#: What pages of plain tags do not have: comments, declarations, instructions, and texts that are no text.
+ODD = ("<!", "<?", "<script", "<style")
+#: Tags that are more than markup inside of a block.
+TOLD = ENDS | PARTS.keys() | {"br"}
+#: Blocks in one batch of what is read.
+BATCH = 20_000
 
 
 def decoded(content: str, encodings: Sequence[str] = ENCODINGS) -> Column:
@@ -69,8 +82,37 @@ class _Reader(HTMLParser):
         #: Open tables: number, row, column, the columns that cells from above still fill, by row, and the part.
         self.tables = []
 
+    def read(self, html: str) -> list[tuple]:
+        """The rows of a page. A page of plain tags is cut at them at once; any other one is parsed by the rules of HTML."""
+        low = html.lower()
+        cut = [] if any(o in low for o in ODD) else TAG.split(html)
+        if not cut or any("<" in text for text in cut[::5]):
+            self.feed(html)
+            self.close()
+        else:
+            self._cut(cut)
+        self.flush()
+        return self.rows
+
+    def _cut(self, cut: list[str]):
+        """Goes through a page that is cut into texts and their tags: what ends, or begins, with its attributes and whether it is closed at once."""
+        parts = self.parts
+        parts.append(unescape(cut[0]))
+        for ended, begun, attrs, closed, text in zip(cut[1::5], cut[2::5], cut[3::5], cut[4::5], cut[5::5]):
+            if ended:
+                if ended in ENDS or (ended := ended.lower()) in ENDS:
+                    self.handle_endtag(ended)
+                    parts = self.parts
+            elif begun in TOLD or (begun := begun.lower()) in TOLD:
+                self.handle_starttag(begun, [(k.lower(), a or b) for k, a, b in ATTRIBUTE.findall(attrs)] if attrs else ())
+                if closed:
+                    self.handle_endtag(begun)
+                parts = self.parts
+            if text:
+                parts.append(unescape(text) if "&" in text else text)
+
     def flush(self):
-        text = " ".join("".join(self.parts).split())
+        text = " ".join((self.parts[0] if len(self.parts) == 1 else "".join(self.parts)).split())
         if text:
             tag, cls, place = self.open[-1]
             self.rows.append((len(self.rows), tag, cls, text, *(place or (None,) * 4)))
@@ -78,12 +120,18 @@ class _Reader(HTMLParser):
 
     def _close(self, names, stop=()):
         """Closes the innermost open tag of a name, and what is in it; not beyond a tag of ``stop``."""
+        if len(self.open) > 1 and self.open[-1][0] in names:
+            if self.open.pop()[0] == "table":
+                self.tables.pop()
+            return
         for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] in names:
-                del self.tables[sum(o[0] == "table" for o in self.open[:i]) :]
+            name = self.open[i][0]
+            if name in names:
+                if inner := sum(o[0] == "table" for o in self.open[i:]):
+                    del self.tables[-inner:]
                 del self.open[i:]
                 return
-            if self.open[i][0] in stop:
+            if name in stop:
                 return
 
     def _next_cell(self, tag, attrs):
@@ -102,7 +150,8 @@ class _Reader(HTMLParser):
         attrs = dict(attrs)
         self.skip += tag in HIDDEN
         if tag in ENDS:
-            self.flush()
+            if self.parts:
+                self.flush()
             place = self.open[-1][2]
             if tag == "table":
                 self.tables.append([self.count, -1, -1, {}, "body"])
@@ -123,8 +172,9 @@ class _Reader(HTMLParser):
     def handle_endtag(self, tag):
         self.skip -= tag in HIDDEN and self.skip > 0
         if tag in ENDS:
-            self.flush()
-            self._close({tag})
+            if self.parts:
+                self.flush()
+            self._close((tag,))
 
     def handle_data(self, data):
         if not self.skip:
@@ -137,18 +187,23 @@ def blocks(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataF
     names = ("pos", "tag", "class", "text", "table_index", "row_index", "col_index", "part")
     types = (pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string())
 
+    def made(keys: list, rows: list) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [()] * len(names)
+        return pa.record_batch([pa.array(keys, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], ["page_id", *names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, rows = [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                reader = _Reader()
-                reader.feed(text.as_py() or "")
-                reader.close()
-                reader.flush()
-                rows += reader.rows
-                keys += [key] * len(reader.rows)
-            columns = zip(*rows) if rows else [()] * len(names)
-            yield pa.record_batch([pa.array(keys, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], ["page_id", *names])
+                found = _Reader().read(text.as_py() or "")
+                rows += found
+                keys += [key] * len(found)
+                # What a worker holds does not grow with the pages of a batch.
+                if len(rows) >= BATCH:
+                    yield made(keys, rows)
+                    keys, rows = [], []
+            if rows:
+                yield made(keys, rows)
 
     return pages.select(F.col(page).cast("long").alias("page_id"), F.col(html).alias("html")).mapInArrow(run, BLOCKS)
 
