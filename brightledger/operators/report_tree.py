@@ -54,35 +54,48 @@ def headings(blocks_: DataFrame) -> DataFrame:
     audit = F.coalesce(F.col("main_title").contains(AUDIT), F.lit(False))
     small = (F.col("tag") == "p") & css.contains(PART)
     counted = inside & F.when(audit, small).otherwise(numbered | named)
-    section = W.partitionBy("page_id", "main_index").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     part = inside & numbered & F.when(audit, small).otherwise(F.lit(True))
     first = alone & (F.col("__alone") == 1)
     notes = (inside & ~audit & named & ~numbered) | first
     kind = F.when(main, "main").when(notes, "notes").when(part, "part")
-    return seen.withColumns({"part_index": F.sum(counted.cast("int")).over(section), "is_heading": mark, "kind": kind}).drop("__alone")
+    # Counted along the page, less what was counted where the main section began: the same order of rows serves all windows.
+    seen = seen.withColumns({"__counted": F.sum(counted.cast("int")).over(page), "is_heading": mark, "kind": kind})
+    before = F.coalesce(F.last(F.when(main, F.col("__counted")), ignorenulls=True).over(page), F.lit(0))
+    return seen.withColumn("part_index", F.col("__counted") - before).drop("__alone", "__counted")
 
 
-def section_tree(blocks_: DataFrame) -> DataFrame:
-    """A row per section, part and notes of each page, in the order of ``pos``.
-
-    ``page_id, pos, section_id, section_type, title, hierarchy_level, parent_id, parent_title, section_number, content, n_tables, segment``:
-    ``content`` is the text of the blocks up to the next heading, tables left out, a line for each; ``n_tables`` are the tables there.
-    """
-    body = F.when(~F.col("is_heading") & F.col("table_index").isNull(), F.struct("pos", "text"))
+def _segments(blocks_: DataFrame) -> DataFrame:
+    """A row per heading with what is below it, and per page for what is before the first: the columns of ``section_tree``, ``kind``, and all lines."""
+    heading = F.col("is_heading")
+    body = F.when(~heading & F.col("table_index").isNull(), F.struct("pos", "text"))
     lines = F.transform(F.array_sort(F.collect_list(body)), lambda b: b["text"])
-    top = F.first(F.when(F.col("is_heading"), F.struct("pos", "kind", "text", "main_index", "part_index", "main_title")), ignorenulls=True)
-    out = headings(blocks_).groupBy("page_id", "segment").agg(top.alias("h"), F.array_join(lines, "\n").alias("content"), F.count_distinct("table_index").alias("n_tables"))
+    told = F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda b: b["text"])
+    top = F.first(F.when(heading, F.struct("pos", "kind", "text", "main_index", "part_index", "main_title")), ignorenulls=True)
+    out = headings(blocks_).groupBy("page_id", "segment").agg(
+        top.alias("h"), F.array_join(lines, "\n").alias("content"), F.size(F.collect_set("table_index")).alias("n_tables"), told.alias("told"),
+        F.min(F.when(F.col("tag") == "title", F.struct("pos", "text"))).alias("page_title"),
+    )
     kind, in_main = F.col("h.kind"), F.concat(F.lit(f"{MAIN}-"), F.col("h.main_index").cast("string"))
     part = F.concat(in_main, F.lit("-"), F.col("h.part_index").cast("string"))
-    return out.where(kind.isNotNull()).select(
+    return out.select(
         "page_id", "h.pos", F.when(kind == "main", in_main).when(kind == "part", part).otherwise(NOTES_ID).alias("section_id"),
         F.when(kind == "main", MAIN).otherwise(PART).alias("section_type"), F.col("h.text").alias("title"),
         F.when(kind == "part", 2).otherwise(1).alias("hierarchy_level"), F.when(kind == "part", in_main).alias("parent_id"),
         F.when(kind == "part", F.col("h.main_title")).alias("parent_title"),
-        F.when(kind == "part", F.regexp_extract("h.text", r"^(\d+)\.", 1).try_cast("int")).alias("section_number"), "content", F.col("n_tables").cast("int").alias("n_tables"), "segment",
+        F.when(kind == "part", F.regexp_extract("h.text", r"^(\d+)\.", 1).try_cast("int")).alias("section_number"), "content", "n_tables", "segment",
+        kind.alias("kind"), "told", "page_title",
     )
 
 
+def section_tree(blocks_: DataFrame) -> DataFrame:
+    """A row per section, part and notes of each page, in the order of ``pos``.
+
+    ``page_id, pos, section_id, section_type, title, hierarchy_level, parent_id, parent_title, section_number, content, n_tables, segment``:
+    ``content`` is the text of the blocks up to the next heading, tables left out, a line for each; ``n_tables`` are the tables there.
+    """
+    return _segments(blocks_).where("kind is not null").drop("kind", "told", "page_title")
+
+
 def section_cells(blocks_: DataFrame, tree: DataFrame) -> DataFrame:
     """Cells of the tables in sections: ``page_id, section_id, title, section_pos, table, table_index, row_index, col_index, text``.
 
@@ -103,18 +116,39 @@ def all_text(blocks_: DataFrame) -> DataFrame:
     return blocks_.groupBy("page_id").agg(F.array_join(lines, "\n").alias("all_text"), F.count(F.lit(1)).cast("int").alias("total_elements_parsed"))
 
 
-def reports(pages: DataFrame, tree: DataFrame, blocks_: DataFrame, key: str = "page_id", name: str = "source_file", html: str = "html", title: str = "감사보고서") -> DataFrame:
-    """A record per page: ``page_id, title, metadata, sections, all_text``, sections holding their parts.
+def _listed(tree: DataFrame, kept: Column) -> Column:
+    """The sections or parts of a page that are ``kept``, in order."""
+    return F.array_sort(F.collect_list(F.when(kept, F.struct(*[c for c in tree.columns if c != "page_id"]))))
+
+
+def records(pages: DataFrame, blocks_: DataFrame, **named) -> DataFrame:
+    """The records of ``reports`` from pages and their blocks alone: sections, parts, text and title are read in one pass over the blocks."""
+    every = _segments(blocks_)
+    tree = every.drop("kind", "told", "page_title")
+    there, low = F.col("kind").isNotNull(), F.col("hierarchy_level") == 2
+    told = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("segment", "told"))), lambda s: s["told"]))
+    read = every.groupBy("page_id").agg(
+        _listed(tree, there & ~low).alias("tops"), _listed(tree, there & low).alias("parts"), F.array_join(told, "\n").alias("all_text"),
+        F.sum(F.size("told")).cast("int").alias("total_elements_parsed"), F.min("page_title")["text"].alias("found"),
+    )
+    return _records(pages, tree, read, **named)
+
+
+def reports(pages: DataFrame, tree: DataFrame, blocks_: DataFrame, **named) -> DataFrame:
+    """A record per page: ``page_id, title, metadata, sections, all_text``, sections holding their parts; of a tree that is there already.
 
     ``metadata`` counts main sections (the notes are one), parts, blocks and characters; the year is the first of the file's name.
     """
-    fields = [c for c in tree.columns if c != "page_id"]
     low = F.col("hierarchy_level") == 2
-    top = tree.where(~low).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("tops"))
-    parts = tree.where(low).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("parts"))
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(name).alias("source_file"), F.octet_length(F.coalesce(html, F.lit(""))).alias("bytes"))
+    top = tree.groupBy("page_id").agg(_listed(tree, ~low).alias("tops"), _listed(tree, low).alias("parts"))
     first = blocks_.where("tag = 'title'").groupBy("page_id").agg(F.min_by("text", "pos").alias("found"))
-    joined = rows.join(top, "page_id", "left").join(parts, "page_id", "left").join(all_text(blocks_), "page_id", "left").join(first, "page_id", "left")
+    return _records(pages, tree, all_text(blocks_).join(top, "page_id", "full").join(first, "page_id", "left"), **named)
+
+
+def _records(pages: DataFrame, tree: DataFrame, read: DataFrame, key: str = "page_id", name: str = "source_file", html: str = "html", title: str = "감사보고서") -> DataFrame:
+    fields = [c for c in tree.columns if c != "page_id"]
+    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(name).alias("source_file"), F.octet_length(F.coalesce(html, F.lit(""))).alias("bytes"))
+    joined = rows.join(read, "page_id", "left")
     none = F.array().cast(tree.select(F.array(F.struct(*fields))).schema[0].dataType)
     joined = joined.withColumns({"tops": F.coalesce("tops", none), "parts": F.coalesce("parts", none), "all_text": F.coalesce("all_text", F.lit(""))})
 
@@ -143,8 +177,8 @@ def section_field_issues(s: Column) -> Column:
     ))
 
 
-def validated_sections(records: DataFrame, required: dict[str, Sequence[str]] = REQUIRED_TITLES) -> DataFrame:
-    """Per report: its sections and those without a missing field, the required ones that no title names, all issues, and the score.
+def validated_sections(records: DataFrame, required: dict[str, Sequence[str]] = REQUIRED_TITLES, more: Sequence[Column] = ()) -> DataFrame:
+    """Per report: its sections and those without a missing field, the required ones that no title names, all issues, ``more`` columns, and the score.
 
     An issue is ``at:what``: of section ``i``, or of its part ``i-j``. The score is the required sections found and one point for any
     part, of all points.
@@ -166,7 +200,7 @@ def validated_sections(records: DataFrame, required: dict[str, Sequence[str]] =
     kinds = F.array_sort(F.array_distinct(F.transform("sections", lambda s: s["section_type"])))
     out = records.select(
         "page_id", F.size("sections").alias("total_sections"), valid.alias("valid_sections"), kinds.alias("section_types"), missing.alias("missing_sections"), n_parts.alias("total_subsections"),
-        F.concat(F.transform(missing, lambda m: F.concat(F.lit("missing:"), m)), own, parts).alias("issues"),
+        F.concat(F.transform(missing, lambda m: F.concat(F.lit("missing:"), m)), own, parts).alias("issues"), *more,
     )
     points = F.lit(len(required)) - F.size("missing_sections") + F.when(F.col("total_subsections") > 0, 1).otherwise(0)
     return out.withColumn("score", points / (len(required) + 1))
@@ -238,8 +272,7 @@ def validated_reports(records: DataFrame, tables: DataFrame, required: dict[str,
     basic = F.array_compact(F.array(
         F.when(F.col("metadata.report_year").isNull(), "no_report_year"), F.when(year != F.col("metadata.report_year"), "other_year"), F.when(F.size("sections") == 0, "no_sections"),
     ))
-    structure = records.select("page_id", basic.alias("structure_issues"))
-    both = validated_sections(records, required).join(structure, "page_id").join(counted, "page_id", "left")
+    both = validated_sections(records, required, [basic.alias("structure_issues")]).join(counted, "page_id", "left")
     both = both.na.fill(0, ["total_tables", "valid_tables", "financial_tables", "empty_tables"])
     share = F.when(F.col("total_tables") > 0, F.col("valid_tables") / F.col("total_tables")).otherwise(1.0)
     score = 0.6 * F.col("score") + 0.3 * share + 0.1 * (1 - 0.05 * F.size("structure_issues"))

@@ -8,6 +8,7 @@ from brightledger.operators import report_tree as R
 from brightledger.operators import reports as B
 from brightledger.operators.statement_tables import looks_financial
 from brightledger.plans.registry import query
+from brightledger.sources.scratch import written
 from brightledger.sources.tables import CELLS_SQL, cells, table
 
 # A report per order: an opinion, statements with a numbered part and a table for each line, notes, and for most an external audit.
@@ -29,7 +30,8 @@ def made_reports(spark, d):
     """``(page_id, source_file, html)`` of all orders."""
     row = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
     lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    o = table(spark, d, "orders").join(lines, "o_orderkey", "left")
+    # Both sides are dealt by the key, small or not: pages are made and read by as many tasks as there are parts, not by those of a small file.
+    o = table(spark, d, "orders").join(lines.hint("merge"), "o_orderkey", "left")
 
     def part(x, i):
         return F.concat(
@@ -64,8 +66,7 @@ def numbered_parts(spark, d):
 
 def made_records(spark, d):
     pages = made_reports(spark, d)
-    blocks = B.blocks(pages)
-    return R.reports(pages, R.section_tree(blocks), blocks)
+    return R.records(pages, B.blocks(pages))
 
 
 RECORDS_SQL = f"""{LINES_SQL}, counted AS (SELECT page_id, count(*) FILTER (WHERE hierarchy_level = 1) AS tops, count(*) FILTER (WHERE hierarchy_level = 2) AS parts FROM tree GROUP BY 1),
@@ -166,8 +167,9 @@ def bracketed_amounts(spark, d):
 
 def _validated(spark, d):
     pages = made_reports(spark, d)
-    blocks = B.blocks(pages)
-    records = R.reports(pages, R.section_tree(blocks), blocks)
+    # Read once, as sections and tables both come of them.
+    blocks = written(B.blocks(pages))
+    records = R.records(pages, blocks)
     # Some records have lost their year, some have that of the file before.
     year = F.when(F.col("page_id") % 7 == 0, None).when(F.col("page_id") % 11 == 0, F.col("metadata.report_year") - 1).otherwise(F.col("metadata.report_year"))
     records = records.withColumn("metadata", F.col("metadata").withField("report_year", year))
