@@ -58,13 +58,17 @@ def resolved_units(cells: DataFrame, fragment: str = "fragment", index: str = "t
     whole = W.partitionBy(*table)
     carried = F.when(body, main_unit(F.col("text"), "row"))
     first_carried = F.min(F.when(carried.isNotNull(), F.struct("col_index", carried.alias("u")))).over(W.partitionBy(*row))["u"]
+    in_row = F.when(body & F.col("row_index").isNotNull(), F.lit(1))
+    # One deal and one sort of the bare cells serve all windows: rows come first, as their order is that of tables and fragments too, and
+    # what is put together of a table's texts passes through and is never sorted.
+    read = cells.repartition(fragment).withColumns({"__row": first_carried, "__share": in_row / F.count(in_row).over(W.partitionBy(*row))})
     numbers = F.avg(F.when(body, is_figure(F.col("text")).cast("int"))).over(whole)
-    rows = F.size(F.collect_set(F.when(body, F.col("row_index"))).over(whole))
+    rows = F.round(F.sum("__share").over(whole))
     columns = F.size(F.collect_set(F.when(body, F.col("col_index"))).over(whole))
-    small = (rows <= ANCHOR_ROWS) & (columns <= ANCHOR_COLUMNS) & (numbers < ANCHOR_NUMBERS)
-    # One deal of the cells serves all windows, as each is within a fragment.
-    dealt = cells.repartition(fragment)
-    read = dealt.withColumns({"__row": first_carried, "__head": main_unit(joined(F.col(head), whole), "table"), "__body": joined(body, whole), "__small": small, "needs_unit": F.coalesce(numbers > NEEDS_UNIT, F.lit(False))})
+    small = (F.coalesce(rows, F.lit(0)) <= ANCHOR_ROWS) & (columns <= ANCHOR_COLUMNS) & (numbers < ANCHOR_NUMBERS)
+    read = read.withColumns({"__small": small, "needs_unit": F.coalesce(numbers > NEEDS_UNIT, F.lit(False))})
+    # Bodies are put together for small tables alone.
+    read = read.withColumns({"__head": main_unit(joined(F.col(head), whole), "table"), "__body": joined(body & F.col("__small"), whole)})
     own = F.coalesce("__head", F.when(F.col("__small"), main_unit(F.col("__body"), "table")))
     read = read.withColumn("__own", own)
     # The table before is the last other one in the fragment's order, whose own unit comes with each of its cells.
@@ -73,7 +77,7 @@ def resolved_units(cells: DataFrame, fragment: str = "fragment", index: str = "t
     table_unit = F.coalesce("__own", F.when(F.col("__before").isNotNull(), F.col("__before").withField("source", F.lit("inherited"))))
     inherited = F.col("__own").isNull() & F.col("__before").isNotNull()
     unit = F.coalesce("__row", column_unit(F.col("column_name")), table_unit)
-    return read.withColumns({"table_unit": table_unit, "unit": unit, "unit_inherited": inherited}).drop("__row", "__head", "__body", "__small", "__own", "__before")
+    return read.withColumns({"table_unit": table_unit, "unit": unit, "unit_inherited": inherited}).drop("__row", "__share", "__head", "__body", "__small", "__own", "__before")
 
 
 def in_whole_units(value: Column, unit: Column) -> Column:
