@@ -62,11 +62,16 @@ def numbered_columns(columns: DataFrame) -> DataFrame:
     return out.withColumn("column_name", F.when(F.col("__again") > 0, F.concat_ws("_", "__clean", F.col("__again").cast("string"))).otherwise(F.col("__clean"))).drop("__clean", "__again")
 
 
+def _distinct(column: str) -> Column:
+    """How many values a column has in a table: a set for each table, where several distinct counts would copy every cell for each of them."""
+    return F.size(F.collect_set(column)).cast("long")
+
+
 def table_metadata(cells: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """Per table: rows, columns, empty cells, share of numbers, whether a keyword occurs, and validity."""
     empty = F.col("text").isNull() | (F.trim("text") == "")
     out = cells.groupBy("table_id").agg(
-        F.count_distinct("row_index").alias("row_count"), F.count_distinct("col_index").alias("column_count"), F.count_if(empty).alias("empty_cells"),
+        _distinct("row_index").alias("row_count"), _distinct("col_index").alias("column_count"), F.count_if(empty).alias("empty_cells"),
         F.count(F.lit(1)).alias("n_cells"), F.avg(financial_value("text").isNotNull().cast("int")).alias("numeric_ratio"),
         F.bool_or(F.coalesce(any_of(F.col("text"), keywords), F.lit(False))).alias("is_financial"),
     )
@@ -133,7 +138,7 @@ def table_units(cells: DataFrame, most_rows: int = 6, most_columns: int = 4, mos
     has = F.col("__unit").isNotNull()
     out = marked.groupBy("table_id").agg(
         F.min_by("__unit", F.when(has & (F.col("row_index") == 0), at)).alias("head"), F.min_by("__unit", F.when(has, at)).alias("body"),
-        F.count_distinct("row_index").alias("rows"), F.count_distinct("col_index").alias("columns"), F.avg(financial_value("text").isNotNull().cast("int")).alias("numbers"),
+        _distinct("row_index").alias("rows"), _distinct("col_index").alias("columns"), F.avg(financial_value("text").isNotNull().cast("int")).alias("numbers"),
     )
     anchor = (F.col("rows") <= most_rows) & (F.col("columns") <= most_columns) & (F.col("numbers") < most_numbers)
     return out.select("table_id", F.coalesce("head", F.when(anchor, F.col("body"))).alias("unit"))
