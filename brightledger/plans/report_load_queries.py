@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brightledger.plans.registry import query
 from brightledger.plans.report_load import report_tables
-from brightledger.sources.tables import table
+from brightledger.sources.tables import dealt, table
 
 FILLER = "이 문단은 보고서의 길이를 채우기 위한 설명이며 특별한 내용은 없다. " * 3
 
@@ -26,7 +26,7 @@ def made_reports(spark, d):
     )
     notes = F.concat(F.lit('<h3 class="SECTION-2">주석</h3><p>1. 일반사항: 회사는 '), segment, F.lit(f" 부문의 회계정책과 회계기준을 따르며 소송은 없다 {FILLER.strip()}</p><p>2. 우발부채: 보증 및 담보 "), key, F.lit("건과 소송 및 분쟁이 있다고 한다</p><p>3. 짧다: x</p>"))
     html = F.concat(audit, F.when(k % 2 == 0, review).otherwise(""), statement, notes)
-    return table(spark, d, "customer").select(k.alias("page_id"), (k % 50).alias("company"), (F.lit(2000) + F.floor(k / 50)).cast("int").alias("year"), html.alias("html"))
+    return dealt(table(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_custkey").select(k.alias("page_id"), (k % 50).alias("company"), (F.lit(2000) + F.floor(k / 50)).cast("int").alias("year"), html.alias("html"))
 
 
 _FILL = FILLER.strip()

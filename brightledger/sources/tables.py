@@ -19,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt to all parts by their keys, however small the file: for tables whose rows make much work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def in_years(date: str, years: Sequence[int]) -> Column:
     """Whether a time falls into one of some years, as ranges, which a scan can skip row groups by."""
 
