@@ -109,9 +109,16 @@ def note_links(rows: DataFrame, notes: DataFrame, numbers: str, keys: Sequence[s
 
 
 def matched_names(refs: DataFrame, targets: DataFrame, key: str, clean: str, raw: str, target_id: str, name: str, original: str) -> DataFrame:
-    """Each reference's target by clean or by raw name, the lowest id where several match: two equi joins, no OR."""
-    a = refs.join(targets.select(key, F.col(name).alias(clean), target_id), [key, clean])
-    b = refs.join(targets.select(key, F.col(original).alias(raw), target_id), [key, raw])
+    """Each reference's target by clean or by raw name, the lowest id where several match: two equi joins, no OR.
+
+    Targets of one name are one row, with their lowest id, before references meet them: a name that many references and many targets
+    share makes a row for each reference, not one for each pair.
+    """
+    def lowest(column: str, as_: str) -> DataFrame:
+        return targets.groupBy(key, F.col(column).alias(as_)).agg(F.min(target_id).alias(target_id))
+
+    a = refs.join(lowest(name, clean), [key, clean])
+    b = refs.join(lowest(original, raw), [key, raw])
     both = a.select(*refs.columns, target_id).unionByName(b.select(*refs.columns, target_id))
     return both.groupBy(*refs.columns).agg(F.min(target_id).alias(target_id))
 
