@@ -141,12 +141,12 @@ def financial_value(col: Column | str) -> Column:
 
 
 def loose_amount(col: Column | str) -> Column:
-    return F.regexp_replace(_c(col), "[, ]", "").try_cast("double")
+    return F.translate(_c(col), ", ", "").try_cast("double")
 
 
 def is_amount(col: Column | str) -> Column:
     """A number of at least three characters."""
-    bare = F.regexp_replace(_c(col), "[, ]", "")
+    bare = F.translate(_c(col), ", ", "")
     return F.coalesce(bare.try_cast("double").isNotNull() & (F.length(bare) >= 3), F.lit(False))
 
 
