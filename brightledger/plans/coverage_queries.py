@@ -287,9 +287,10 @@ def year_mismatch(spark, d):
 def load_counts(spark, d):
     """Sizes of the node tables that the whole load makes."""
     from brightledger.plans.statement_pipeline import build
+    from brightledger.sources.scratch import written
     from brightledger.sources.tables import statements
 
-    made = build(statements(spark, d))
+    made = build(written(statements(spark, d)))
     frames = [made[t].agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("n")) for t in ("data", "years", "sections")]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 

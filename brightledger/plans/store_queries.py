@@ -13,7 +13,7 @@ from brightledger.plans.registry import query
 from brightledger.plans.statement_pipeline import build
 from brightledger.plans.tree_queries import LINES_SQL, made_records
 from brightledger.sources import store as S
-from brightledger.sources.scratch import fresh_path
+from brightledger.sources.scratch import fresh_path, written
 from brightledger.sources.tables import EDGES_SQL, STATEMENTS_SQL, company_edges, statements, table
 
 
@@ -208,7 +208,7 @@ UNION ALL SELECT 'data', sha1('company|' || year || '|' || lower(item_name) || '
 )
 def statement_nodes(spark, d):
     """Companies, statements, years and data of a load, with their ids."""
-    made = build(statements(spark, d))
+    made = build(written(statements(spark, d)))
     frames = []
     for label in ("companies", "sections", "years", "data"):
         t = made[label]
