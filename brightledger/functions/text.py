@@ -1,15 +1,15 @@
 """Column functions over statement text: normalising, numbers, labels, units, dates, intents.
 
 All are compositions of built-in functions, so they stay in the JVM and inside generated code; only positions of matches,
-which no built-in function tells, come from a Pandas UDF.
+which no built-in function tells, come from an Arrow UDF.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -166,19 +166,31 @@ def ownership_percentage(col: Column | str) -> Column:
     return F.when(p.between(0, 100), p)
 
 
+#: Values of a batch that are Python objects at a time.
+SLICE = 100
+
+
+def by_slices(values: pa.Array, f: Callable, of: pa.DataType) -> pa.Array:
+    """``f`` of each value; of a batch, whatever its size, only a slice at a time is held as Python objects, the rest as Arrow has it."""
+    parts = [pa.array([f(v.as_py()) for v in values.slice(i, SLICE)], of) for i in range(0, len(values), SLICE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], of)
+
+
 def matches(col: Column | str, patterns: Sequence[tuple[str, str]]) -> Column:
     """``array<struct<label, original, position, length>>`` of all matches of labelled patterns, by position; case does not count."""
     compiled = [(label, re.compile(pattern, re.IGNORECASE)) for label, pattern in patterns]
 
-    @F.pandas_udf("array<struct<label:string,original:string,position:int,length:int>>")
-    def found(texts: pd.Series) -> pd.Series:
-        def one(text):
-            if text is None:
-                return None
-            hits = [(label, m.group(), m.start(), m.end() - m.start()) for label, p in compiled for m in p.finditer(text)]
-            return sorted(hits, key=lambda h: h[2])
+    of = pa.list_(pa.struct([("label", pa.string()), ("original", pa.string()), ("position", pa.int32()), ("length", pa.int32())]))
+
+    def one(text):
+        if text is None:
+            return None
+        hits = [{"label": label, "original": m.group(), "position": m.start(), "length": m.end() - m.start()} for label, p in compiled for m in p.finditer(text)]
+        return sorted(hits, key=lambda h: h["position"])
 
-        return texts.map(one)
+    @F.arrow_udf("array<struct<label:string,original:string,position:int,length:int>>")
+    def found(texts: pa.Array) -> pa.Array:
+        return by_slices(texts, one, of)
 
     return found(_c(col))
 

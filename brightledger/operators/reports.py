@@ -10,13 +10,12 @@ from collections.abc import Iterator, Sequence
 from html import unescape
 from html.parser import HTMLParser
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brightledger.functions.text import any_of
+from brightledger.functions.text import any_of, by_slices
 
 ENCODINGS = ("euc-kr", "utf-8", "cp949")
 #: ``part`` is head or foot of a table for cells that stand there, body for others.
@@ -40,17 +39,17 @@ BATCH = 20_000
 def decoded(content: str, encodings: Sequence[str] = ENCODINGS) -> Column:
     """Bytes as text by the first encoding that fits; null if none does."""
 
-    @F.pandas_udf("string")
-    def decode(parts: pd.Series) -> pd.Series:
-        def one(data):
-            for name in encodings:
-                try:
-                    return bytes(data).decode(name)
-                except (UnicodeDecodeError, TypeError):
-                    continue
-            return None
-
-        return parts.map(one)
+    def one(data):
+        for name in encodings:
+            try:
+                return bytes(data).decode(name)
+            except (UnicodeDecodeError, TypeError):
+                continue
+        return None
+
+    @F.arrow_udf("string")
+    def decode(parts: pa.Array) -> pa.Array:
+        return by_slices(parts, one, pa.string())
 
     return decode(F.col(content))
 
