@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brightledger.plans.registry import query
 from brightledger.sources.merge_table import MergeTable
-from brightledger.sources.scratch import fresh_path
+from brightledger.sources.scratch import fresh_path, written
 from brightledger.sources.tables import EDGES_SQL, company_edges, table
 
 #: Batches that the rows arrive in, and that after which the table is compacted.
@@ -16,6 +16,9 @@ BATCHES, COMPACTED = 4, 1
 def _arrived(spark, rows, number, keys, rule):
     """A table that has taken all rows in batches of their numbers."""
     made = MergeTable(spark, fresh_path(spark), keys=keys, rule=rule, buckets=8, fanout=2)
+    # Rows that come of joins are made once for all batches.
+    rows = written(rows.withColumn("batch", number))
+    number = F.col("batch")
     for i in range(BATCHES):
         made.upsert(rows.where(number == i).drop("batch"))
         if i == COMPACTED:

@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: Keys of runs that readers send to every task: beyond so many, both sides are shuffled.
+#: Keys of runs that readers send to every task: beyond so many, base and runs are shuffled once and combined by key.
 BROADCAST_ROWS = 1_000_000
 BUCKET, BATCH = "__bucket", "__batch"
 
@@ -196,10 +196,12 @@ class MergeTable:
         if runs is None:
             return base
         if base is None:
-            return self._merged(runs)
-        ids = runs.select(*self.keys)
-        if sum(r["rows"] for r in manifest["runs"]) <= BROADCAST_ROWS:
-            ids = F.broadcast(ids)
+            # A run that is merged of others has a key once.
+            return runs if len(manifest["runs"]) == 1 and manifest["runs"][0]["level"] > 0 else self._merged(runs)
+        if sum(r["rows"] for r in manifest["runs"]) > BROADCAST_ROWS:
+            # The base would be shuffled to be told apart, and again to be merged: it is merged at once, each row a single time.
+            return self._merged(base.unionByName(runs, allowMissingColumns=True))
+        ids = F.broadcast(runs.select(*self.keys))
         newer = base.join(ids, self.keys, "left_semi").unionByName(runs, allowMissingColumns=True)
         return base.join(ids, self.keys, "left_anti").unionByName(self._merged(newer), allowMissingColumns=True)
 
