@@ -110,9 +110,8 @@ def notes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def cells(spark: SparkSession, folder: str) -> DataFrame:
-    """Statement tables in long form: a table per order, a row per line, a cell per column, as printed text."""
-    l = table(spark, folder, "lineitem")
+def cell_columns() -> tuple[tuple[str, Column], ...]:
+    """The columns of statement tables, of postings: names and printed texts."""
     whole = F.floor("l_extendedprice").cast("long").cast("string")
     printed = (
         F.when(F.col("l_linenumber") % 5 == 0, F.lit("-"))
@@ -124,8 +123,13 @@ def cells(spark: SparkSession, folder: str) -> DataFrame:
     label = F.concat(F.col("l_linenumber").cast("string"), F.lit(". "), F.col("l_returnflag"), F.lit("항목"))
     notes_ = F.concat((F.col("l_partkey") % 30).cast("string"), F.lit(", "), (F.col("l_suppkey") % 30).cast("string"))
     before = F.floor("l_quantity").cast("long").cast("string")
-    columns = (("과 목", label), ("주석", notes_), ("제 56 (당) 기", printed), ("제 55 (전) 기.1", before))
-    made = [F.struct(F.lit(i).alias("col_index"), F.lit(name).alias("column_name"), text.alias("text")) for i, (name, text) in enumerate(columns)]
+    return (("과 목", label), ("주석", notes_), ("제 56 (당) 기", printed), ("제 55 (전) 기.1", before))
+
+
+def cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Statement tables in long form: a table per order, a row per line, a cell per column, as printed text."""
+    l = table(spark, folder, "lineitem")
+    made = [F.struct(F.lit(i).alias("col_index"), F.lit(name).alias("column_name"), text.alias("text")) for i, (name, text) in enumerate(cell_columns())]
     row = l.select(F.col("l_orderkey").alias("table_id"), F.col("l_linenumber").alias("row_index"), F.explode(F.array(*made)).alias("c"))
     return row.select("table_id", "row_index", "c.col_index", "c.column_name", "c.text")
 
