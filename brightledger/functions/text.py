@@ -170,10 +170,19 @@ def ownership_percentage(col: Column | str) -> Column:
 SLICE = 100
 
 
+def sliced(f: Callable, of: pa.DataType) -> Callable:
+    """``f`` of each value of a batch; whatever its size, only a slice at a time is held as Python objects, the rest as Arrow has it."""
+
+    def taken(values: pa.Array) -> pa.Array:
+        parts = [pa.array([f(v.as_py()) for v in values.slice(i, SLICE)], of) for i in range(0, len(values), SLICE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], of)
+
+    # A function of its own, which goes to the workers whole, wherever this module is.
+    return taken
+
+
 def by_slices(values: pa.Array, f: Callable, of: pa.DataType) -> pa.Array:
-    """``f`` of each value; of a batch, whatever its size, only a slice at a time is held as Python objects, the rest as Arrow has it."""
-    parts = [pa.array([f(v.as_py()) for v in values.slice(i, SLICE)], of) for i in range(0, len(values), SLICE)]
-    return pa.concat_arrays(parts) if parts else pa.array([], of)
+    return sliced(f, of)(values)
 
 
 def matches(col: Column | str, patterns: Sequence[tuple[str, str]]) -> Column:
@@ -188,9 +197,11 @@ def matches(col: Column | str, patterns: Sequence[tuple[str, str]]) -> Column:
         hits = [{"label": label, "original": m.group(), "position": m.start(), "length": m.end() - m.start()} for label, p in compiled for m in p.finditer(text)]
         return sorted(hits, key=lambda h: h["position"])
 
+    take = sliced(one, of)
+
     @F.arrow_udf("array<struct<label:string,original:string,position:int,length:int>>")
     def found(texts: pa.Array) -> pa.Array:
-        return by_slices(texts, one, of)
+        return take(texts)
 
     return found(_c(col))
 

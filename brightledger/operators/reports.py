@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brightledger.functions.text import any_of, by_slices
+from brightledger.functions.text import any_of, sliced
 
 ENCODINGS = ("euc-kr", "utf-8", "cp949")
 #: ``part`` is head or foot of a table for cells that stand there, body for others.
@@ -47,9 +47,11 @@ def decoded(content: str, encodings: Sequence[str] = ENCODINGS) -> Column:
                 continue
         return None
 
+    take = sliced(one, pa.string())
+
     @F.arrow_udf("string")
     def decode(parts: pa.Array) -> pa.Array:
-        return by_slices(parts, one, pa.string())
+        return take(parts)
 
     return decode(F.col(content))
 
