@@ -2,8 +2,9 @@
 
 Blocks of a page, in order, are folded into sections by a grammar of headings. A heading is a block whose class names a section.
 What it is depends on its tag and text and on the main section that it stands in, so the state that is carried along a page is
-the last main section and the numbers given so far: windows over a page's blocks, all dealt by the page, so that a whole
-report takes one shuffle. A page is read by one task, as it is one document.
+the last main section and the numbers given so far. A page is read by one task, as it is one document, so ``page_sections`` and
+``records`` carry that state along while they read and shuffle nothing; of blocks that are there already, ``section_tree`` makes
+the same by windows, all dealt by the page.
 
 * ``h2`` of class ``SECTION-1``: a main section, ``SECTION-1-i``;
 * in a main section, a heading whose text begins with a number: a part of it, ``SECTION-1-i-j``;
@@ -18,22 +19,34 @@ have no rows here and a record of nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brightledger.functions.text import any_of
+from brightledger.operators.reports import BATCH, Shapes
 
 # --- fixed values: classes and words of headings, and what validation looks for
 ANY, MAIN, PART = "SECTION", "SECTION-1", "SECTION-2"
 NOTES_ID, NOTES, AUDIT = "SECTION-2-INDEPENDENT", "주석", "외부감사 실시내용"
 NUMBER = r"^\d+\.\s*"
+NUMBERED, GREATEST = re.compile(r"([0-9]+)\."), 2**31 - 1
 REQUIRED_TITLES = {"재무제표": ("재무제표", "(첨부)재무제표", "재 무 제 표"), "주석": ("주석", "주석사항"), "감사의견": ("감사의견", "독립된 감사인의 감사보고서", "감사보고서")}
 REQUIRED_TYPES = ("SECTION-1", "SECTION-2")
 FINANCIAL_KEYWORDS = ("매출액", "매출원가", "영업이익", "당기순이익", "자산", "부채", "자본", "현금", "투자")
 
+#: A section's fields, after its page.
+SECTION = {
+    "pos": "int", "section_id": "string", "section_type": "string", "title": "string", "hierarchy_level": "int", "parent_id": "string", "parent_title": "string", "section_number": "int",
+    "content": "string", "n_tables": "int", "segment": "long",
+}
+SECTION_SCHEMA = ", ".join(f"{name}: {kind}" for name, kind in SECTION.items())
+TYPES = [{"int": pa.int32(), "long": pa.int64(), "string": pa.string()}[kind] for kind in SECTION.values()]
+
 
 def headings(blocks_: DataFrame) -> DataFrame:
     """The blocks with ``segment`` (headings before it on its page, itself included) and, where one is a heading, what it begins.
@@ -64,36 +77,90 @@ def headings(blocks_: DataFrame) -> DataFrame:
     return seen.withColumn("part_index", F.col("__counted") - before).drop("__alone", "__counted")
 
 
-def _segments(blocks_: DataFrame) -> DataFrame:
-    """A row per heading with what is below it, and per page for what is before the first: the columns of ``section_tree``, ``kind``, and all lines."""
+def section_tree(blocks_: DataFrame) -> DataFrame:
+    """A row per section, part and notes of each page, in the order of ``pos``.
+
+    ``page_id, pos, section_id, section_type, title, hierarchy_level, parent_id, parent_title, section_number, content, n_tables, segment``:
+    ``content`` is the text of the blocks up to the next heading, tables left out, a line for each; ``n_tables`` are the tables there.
+    """
     heading = F.col("is_heading")
     body = F.when(~heading & F.col("table_index").isNull(), F.struct("pos", "text"))
     lines = F.transform(F.array_sort(F.collect_list(body)), lambda b: b["text"])
-    told = F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda b: b["text"])
     top = F.first(F.when(heading, F.struct("pos", "kind", "text", "main_index", "part_index", "main_title")), ignorenulls=True)
-    out = headings(blocks_).groupBy("page_id", "segment").agg(
-        top.alias("h"), F.array_join(lines, "\n").alias("content"), F.size(F.collect_set("table_index")).alias("n_tables"), told.alias("told"),
-        F.min(F.when(F.col("tag") == "title", F.struct("pos", "text"))).alias("page_title"),
-    )
+    out = headings(blocks_).groupBy("page_id", "segment").agg(top.alias("h"), F.array_join(lines, "\n").alias("content"), F.size(F.collect_set("table_index")).alias("n_tables"))
     kind, in_main = F.col("h.kind"), F.concat(F.lit(f"{MAIN}-"), F.col("h.main_index").cast("string"))
     part = F.concat(in_main, F.lit("-"), F.col("h.part_index").cast("string"))
-    return out.select(
+    return out.where(kind.isNotNull()).select(
         "page_id", "h.pos", F.when(kind == "main", in_main).when(kind == "part", part).otherwise(NOTES_ID).alias("section_id"),
         F.when(kind == "main", MAIN).otherwise(PART).alias("section_type"), F.col("h.text").alias("title"),
         F.when(kind == "part", 2).otherwise(1).alias("hierarchy_level"), F.when(kind == "part", in_main).alias("parent_id"),
         F.when(kind == "part", F.col("h.main_title")).alias("parent_title"),
         F.when(kind == "part", F.regexp_extract("h.text", r"^(\d+)\.", 1).try_cast("int")).alias("section_number"), "content", "n_tables", "segment",
-        kind.alias("kind"), "told", "page_title",
     )
 
 
-def section_tree(blocks_: DataFrame) -> DataFrame:
-    """A row per section, part and notes of each page, in the order of ``pos``.
-
-    ``page_id, pos, section_id, section_type, title, hierarchy_level, parent_id, parent_title, section_number, content, n_tables, segment``:
-    ``content`` is the text of the blocks up to the next heading, tables left out, a line for each; ``n_tables`` are the tables there.
-    """
-    return _segments(blocks_).where("kind is not null").drop("kind", "told", "page_title")
+def _told(rows: list[tuple]) -> list[tuple]:
+    """The sections of one page's blocks, in order, by the rules of ``headings``: the fields of ``section_tree`` after the page."""
+    out, lines, tables = [], None, None
+    segment = mains = counted = 0
+    title, audit, alone = None, False, False
+    for pos, tag, css, text, table, _, _, _ in rows:
+        if ANY not in css:
+            if lines is not None:
+                if table is None:
+                    lines.append(text)
+                else:
+                    tables.add(table)
+            continue
+        segment += 1
+        lines, tables = [], set() if table is None else {table}
+        if tag == "h2" and MAIN in css:
+            mains, counted, title, audit = mains + 1, 0, text, AUDIT in text
+            out.append((pos, f"{MAIN}-{mains}", MAIN, text, 1, None, None, None, lines, tables, segment))
+            continue
+        number, named, small = NUMBERED.match(text), NOTES in text, tag == "p" and PART in css
+        first = named and not alone and tag == "h3" and PART in css
+        alone = alone or first
+        inside = mains > 0 and (small if audit else bool(number or named))
+        counted += inside
+        if first or inside and not audit and named and not number:
+            out.append((pos, NOTES_ID, PART, text, 1, None, None, None, lines, tables, segment))
+        elif inside and number:
+            digits = number[1].lstrip("0") or "0"
+            short = int(digits) if len(digits) <= 10 else GREATEST + 1
+            out.append((pos, f"{MAIN}-{mains}-{counted}", PART, text, 2, f"{MAIN}-{mains}", title, short if short <= GREATEST else None, lines, tables, segment))
+        else:
+            lines = None
+    return [(*s[:8], "\n".join(s[8]), len(s[9]), s[10]) for s in out]
+
+
+def _arrays(rows: list[tuple], types: Sequence[pa.DataType]) -> list[pa.Array]:
+    return [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(types), types)]
+
+
+def _lists(ends: pa.Array, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), values)
+
+
+def page_sections(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
+    """The rows of ``section_tree``, made where a page is read: no block leaves its task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = Shapes()
+        for batch in batches:
+            rows, n = [], 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                blocks_ = shapes.read(text.as_py() or "")
+                rows += [(key, *s) for s in _told(blocks_)]
+                n += len(blocks_)
+                # What a worker holds does not grow with the pages of a batch.
+                if n >= BATCH:
+                    yield pa.record_batch(_arrays(rows, [pa.int64(), *TYPES]), ["page_id", *SECTION])
+                    rows, n = [], 0
+            if rows:
+                yield pa.record_batch(_arrays(rows, [pa.int64(), *TYPES]), ["page_id", *SECTION])
+
+    return pages.select(F.col(page).cast("long").alias("page_id"), F.col(html).alias("html")).mapInArrow(run, f"page_id long, {SECTION_SCHEMA}")
 
 
 def section_cells(blocks_: DataFrame, tree: DataFrame) -> DataFrame:
@@ -116,39 +183,69 @@ def all_text(blocks_: DataFrame) -> DataFrame:
     return blocks_.groupBy("page_id").agg(F.array_join(lines, "\n").alias("all_text"), F.count(F.lit(1)).cast("int").alias("total_elements_parsed"))
 
 
-def _listed(tree: DataFrame, kept: Column) -> Column:
-    """The sections or parts of a page that are ``kept``, in order."""
-    return F.array_sort(F.collect_list(F.when(kept, F.struct(*[c for c in tree.columns if c != "page_id"]))))
-
-
-def records(pages: DataFrame, blocks_: DataFrame, **named) -> DataFrame:
-    """The records of ``reports`` from pages and their blocks alone: sections, parts, text and title are read in one pass over the blocks."""
-    every = _segments(blocks_)
-    tree = every.drop("kind", "told", "page_title")
-    there, low = F.col("kind").isNotNull(), F.col("hierarchy_level") == 2
-    told = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("segment", "told"))), lambda s: s["told"]))
-    read = every.groupBy("page_id").agg(
-        _listed(tree, there & ~low).alias("tops"), _listed(tree, there & low).alias("parts"), F.array_join(told, "\n").alias("all_text"),
-        F.sum(F.size("told")).cast("int").alias("total_elements_parsed"), F.min("page_title")["text"].alias("found"),
-    )
-    return _records(pages, tree, read, **named)
+def records(pages: DataFrame, key: str = "page_id", name: str = "source_file", html: str = "html", title: str = "감사보고서", tables: bool = False) -> DataFrame:
+    """The records of ``reports``, made where a page is read; with ``tables``, also the texts of each table's blocks."""
+    named = {"page_id": pa.int64(), "source_file": pa.string(), "bytes": pa.int64(), "found": pa.string(), "all_text": pa.string(), "elements": pa.int32()} | ({"tables": pa.list_(pa.list_(pa.string()))} if tables else {})
+
+    def made(rows: list, tops: list, parts: list) -> pa.RecordBatch:
+        *own, low = _arrays(tops, [*TYPES, pa.int32()])
+        own.append(_lists(low, pa.StructArray.from_arrays(_arrays(parts, TYPES), list(SECTION))))
+        *columns, ends = _arrays(rows, [*named.values(), pa.int32()])
+        return pa.record_batch([*columns, _lists(ends, pa.StructArray.from_arrays(own, [*SECTION, "subsections"]))], [*named, "sections"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = Shapes()
+        for batch in batches:
+            rows, tops, parts, n = [], [], [], 0
+            for first, text in zip(zip(*(batch.column(i).to_pylist() for i in range(3))), batch.column(3)):
+                blocks_ = shapes.read(text.as_py() or "")
+                low = {}
+                for s in (sections := _told(blocks_)):
+                    if s[4] == 2:
+                        low.setdefault(s[5], []).append(s)
+                for s in sections:
+                    if s[4] == 1:
+                        parts += low.get(s[1], ())
+                        tops.append((*s, len(parts)))
+                row = (*first, next((b[3] for b in blocks_ if b[1] == "title"), None), "\n".join([b[3] for b in blocks_]), len(blocks_))
+                if tables:
+                    cells = {}
+                    for b in blocks_:
+                        if b[4] is not None:
+                            cells.setdefault(b[4], []).append(b[3])
+                    row = (*row, list(cells.values()))
+                rows.append((*row, len(tops)))
+                n += len(blocks_) + 1
+                # What a worker holds does not grow with the pages of a batch.
+                if n >= BATCH:
+                    yield made(rows, tops, parts)
+                    rows, tops, parts, n = [], [], [], 0
+            if rows:
+                yield made(rows, tops, parts)
+
+    schema = "page_id long, source_file string, bytes long, found string, all_text string, elements int" + (", tables array<array<string>>" if tables else "")
+    told = pages.select(F.col(key).cast("long").alias("page_id"), F.col(name).alias("source_file"), F.octet_length(F.coalesce(html, F.lit(""))).cast("long").alias("bytes"), F.col(html).alias("html"))
+    read = told.mapInArrow(run, f"{schema}, sections array<struct<{SECTION_SCHEMA}, subsections: array<struct<{SECTION_SCHEMA}>>>>")
+    n_parts = F.aggregate("sections", F.lit(0), lambda n, s: n + F.size(s["subsections"]))
+    metadata = _metadata(F.size("sections"), n_parts, F.col("bytes"), F.col("elements"))
+    return read.select("page_id", F.coalesce("found", F.lit(title)).alias("title"), metadata, "sections", "all_text", *(["tables"] if tables else []))
 
 
-def reports(pages: DataFrame, tree: DataFrame, blocks_: DataFrame, **named) -> DataFrame:
+def reports(pages: DataFrame, tree: DataFrame, blocks_: DataFrame, key: str = "page_id", name: str = "source_file", html: str = "html", title: str = "감사보고서") -> DataFrame:
     """A record per page: ``page_id, title, metadata, sections, all_text``, sections holding their parts; of a tree that is there already.
 
     ``metadata`` counts main sections (the notes are one), parts, blocks and characters; the year is the first of the file's name.
     """
+    fields = [c for c in tree.columns if c != "page_id"]
     low = F.col("hierarchy_level") == 2
-    top = tree.groupBy("page_id").agg(_listed(tree, ~low).alias("tops"), _listed(tree, low).alias("parts"))
-    first = blocks_.where("tag = 'title'").groupBy("page_id").agg(F.min_by("text", "pos").alias("found"))
-    return _records(pages, tree, all_text(blocks_).join(top, "page_id", "full").join(first, "page_id", "left"), **named)
 
+    def listed(kept: Column) -> Column:
+        return F.array_sort(F.collect_list(F.when(kept, F.struct(*fields))))
 
-def _records(pages: DataFrame, tree: DataFrame, read: DataFrame, key: str = "page_id", name: str = "source_file", html: str = "html", title: str = "감사보고서") -> DataFrame:
-    fields = [c for c in tree.columns if c != "page_id"]
+    top = tree.groupBy("page_id").agg(listed(~low).alias("tops"), listed(low).alias("parts"))
+    first = blocks_.where("tag = 'title'").groupBy("page_id").agg(F.min_by("text", "pos").alias("found"))
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(name).alias("source_file"), F.octet_length(F.coalesce(html, F.lit(""))).alias("bytes"))
-    joined = rows.join(read, "page_id", "left")
+    joined = rows.join(all_text(blocks_), "page_id", "left").join(top, "page_id", "left").join(first, "page_id", "left")
     none = F.array().cast(tree.select(F.array(F.struct(*fields))).schema[0].dataType)
     joined = joined.withColumns({"tops": F.coalesce("tops", none), "parts": F.coalesce("parts", none), "all_text": F.coalesce("all_text", F.lit(""))})
 
@@ -156,12 +253,16 @@ def _records(pages: DataFrame, tree: DataFrame, read: DataFrame, key: str = "pag
         own = F.filter("parts", lambda p: p["parent_id"] == s["section_id"])
         return F.struct(*[s[f].alias(f) for f in fields], own.alias("subsections"))
 
-    metadata = F.struct(
+    metadata = _metadata(F.size("tops"), F.size("parts"), F.col("bytes"), F.coalesce("total_elements_parsed", F.lit(0)))
+    return joined.select("page_id", F.coalesce("found", F.lit(title)).alias("title"), metadata, F.transform("tops", with_parts).alias("sections"), "all_text")
+
+
+def _metadata(tops: Column, parts: Column, size: Column, elements: Column) -> Column:
+    return F.struct(
         F.lit("3.0").alias("version"), "source_file", F.regexp_extract("source_file", r"(\d{4})", 1).try_cast("int").alias("report_year"),
-        F.size("tops").alias("total_sections"), F.size("parts").alias("total_subsections"), F.col("bytes").cast("long").alias("file_size_bytes"),
-        F.coalesce("total_elements_parsed", F.lit(0)).alias("total_elements_parsed"), F.length("all_text").alias("total_content_length"),
-    )
-    return joined.select("page_id", F.coalesce("found", F.lit(title)).alias("title"), metadata.alias("metadata"), F.transform("tops", with_parts).alias("sections"), "all_text")
+        tops.alias("total_sections"), parts.alias("total_subsections"), size.cast("long").alias("file_size_bytes"),
+        elements.alias("total_elements_parsed"), F.length("all_text").alias("total_content_length"),
+    ).alias("metadata")
 
 
 # --- validation
@@ -258,22 +359,24 @@ def bracketed_amounts(cells: DataFrame, key: Sequence[str] = ("table_id",)) -> D
     return cells.groupBy(*key).agg(F.count_if(figure).alias("bracketed"))
 
 
-def validated_reports(records: DataFrame, tables: DataFrame, required: dict[str, Sequence[str]] = REQUIRED_TITLES) -> DataFrame:
+def validated_reports(records: DataFrame, tables: DataFrame | None = None, required: dict[str, Sequence[str]] = REQUIRED_TITLES) -> DataFrame:
     """Per report: the validation of its sections and of its ``tables(page_id, status, is_financial)``, the year's agreement, and the overall score.
 
-    The score weighs the sections' with 0.6, the share of valid tables (1 without any) with 0.3 and 1 less 0.05 for each issue of the
-    record's structure with 0.1. An issue of the structure is a year that the name has and the record has not, or a different one.
+    Without them, tables are an array of such structs in the records. The score weighs the sections' with 0.6, the share of valid tables (1 without any)
+    with 0.3 and 1 less 0.05 for each issue of the record's structure with 0.1. An issue of the structure is a year that the name has and the record has not,
+    or a different one.
     """
-    counted = tables.groupBy("page_id").agg(
-        F.count(F.lit(1)).alias("total_tables"), F.count_if(F.col("status") == "valid").alias("valid_tables"), F.count_if("is_financial").alias("financial_tables"),
-        F.count_if(F.col("status") == "empty").alias("empty_tables"),
-    )
+    kinds = {"total_tables": lambda t: F.lit(True), "valid_tables": lambda t: t["status"] == "valid", "financial_tables": lambda t: t["is_financial"], "empty_tables": lambda t: t["status"] == "empty"}
     year = F.regexp_extract("metadata.source_file", r"(\d{4})", 1).try_cast("int")
     basic = F.array_compact(F.array(
         F.when(F.col("metadata.report_year").isNull(), "no_report_year"), F.when(year != F.col("metadata.report_year"), "other_year"), F.when(F.size("sections") == 0, "no_sections"),
     ))
-    both = validated_sections(records, required, [basic.alias("structure_issues")]).join(counted, "page_id", "left")
-    both = both.na.fill(0, ["total_tables", "valid_tables", "financial_tables", "empty_tables"])
+    issues = basic.alias("structure_issues")
+    if tables is None:
+        both = validated_sections(records, required, [issues, *[F.size(F.filter("tables", of)).cast("long").alias(name) for name, of in kinds.items()]])
+    else:
+        counted = tables.groupBy("page_id").agg(*[F.count_if(of({c: F.col(c) for c in ("status", "is_financial")})).alias(name) for name, of in kinds.items()])
+        both = validated_sections(records, required, [issues]).join(counted, "page_id", "left").na.fill(0, list(kinds))
     share = F.when(F.col("total_tables") > 0, F.col("valid_tables") / F.col("total_tables")).otherwise(1.0)
     score = 0.6 * F.col("score") + 0.3 * share + 0.1 * (1 - 0.05 * F.size("structure_issues"))
     return both.withColumn("overall_score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))

@@ -32,8 +32,8 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z][a-zA-Z0-9_:-]*)=(?:"([^"]*)"|'([^']*)')""")
 ODD = ("<!", "<?", "<script", "<style")
 #: Tags that are more than markup inside of a block.
 TOLD = ENDS | PARTS.keys() | {"br"}
-#: Blocks in one batch of what is read.
-BATCH = 20_000
+#: Blocks in one batch of what is read, and characters of tags whose shapes a worker remembers.
+BATCH, SHAPES = 20_000, 1_000_000
 
 
 def decoded(content: str, encodings: Sequence[str] = ENCODINGS) -> Column:
@@ -182,6 +182,61 @@ class _Reader(HTMLParser):
             self.parts.append(data)
 
 
+class Shapes:
+    """Reads pages as ``_Reader`` does. Plain tags alone decide which texts are a block and where it is, so for tags that come again this is worked out once."""
+
+    def __init__(self):
+        #: By the tags of a page: false if they came once, null if they are not plain, or texts, tag, class and place of each block.
+        self.known, self.size = {}, 0
+
+    def read(self, html: str) -> list[tuple]:
+        first, *rest = html.split("<")
+        tags, closed, texts = zip(*[t.partition(">") for t in rest]) if rest else ((), (), ())
+        key = "<".join(tags)
+        shape = self.known.get(key)
+        if shape is None and key not in self.known:
+            self._note(key)
+        elif shape is False:
+            shape = self.known[key] = self._shape(tags)
+        # A "<" that begins no tag is for the parser.
+        if not shape or "" in closed:
+            return _Reader().read(html)
+        rows, texts = [], (first, *texts)
+        for at, lines, tag, cls, table, row, col, part in shape:
+            if lines is None:
+                text = texts[at]
+                if not text:
+                    continue
+                if "&" in text:
+                    text = unescape(text)
+            else:
+                text = " ".join(["".join([unescape(texts[i]) for i in line]) for line in lines])
+            text = " ".join(text.split())
+            if text:
+                rows.append((len(rows), tag, cls, text, table, row, col, part))
+        return rows
+
+    def _note(self, tags: str):
+        self.size += len(tags)
+        if self.size > SHAPES:
+            self.known, self.size = {}, len(tags)
+        if self.size <= SHAPES:
+            self.known[tags] = False
+
+    def _shape(self, tags: Sequence[str]) -> list[tuple] | None:
+        """Reads the tags with the numbers of the texts in their places."""
+        whole = [f"<{t}>" for t in tags]
+        low = "".join(whole).lower()
+        if any(o in low for o in ODD) or not all(TAG.fullmatch(t) for t in whole):
+            return None
+        found = []
+        for _, tag, cls, text, *place in _Reader().read("".join(f"{t}{i};" for i, t in enumerate(["", *whole]))):
+            lines = [[int(i) for i in line.split(";")[:-1]] for line in text.split()]
+            single = len(lines) == 1 and len(lines[0]) == 1
+            found.append((lines[0][0] if single else None, None if single else lines, tag, cls, *place))
+        return found
+
+
 def blocks(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
     """A row per block of text: its tag, class, place, and its table, row and column where it is a cell."""
 
@@ -193,10 +248,11 @@ def blocks(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataF
         return pa.record_batch([pa.array(keys, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], ["page_id", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = Shapes()
         for batch in batches:
             keys, rows = [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = _Reader().read(text.as_py() or "")
+                found = shapes.read(text.as_py() or "")
                 rows += found
                 keys += [key] * len(found)
                 # What a worker holds does not grow with the pages of a batch.
@@ -290,3 +346,9 @@ def table_status(cells: DataFrame, key: Sequence[str] = ("page_id", "table_index
     blank = F.count_if(F.trim("text") == "") / F.count(F.lit(1))
     status = F.when(F.max(F.trim("text")) == "", "empty").when(blank > 0.5, "mostly_empty").otherwise("valid")
     return cells.groupBy(*key).agg(status.alias("status"))
+
+
+def texts_status(texts: Column) -> Column:
+    """The status that ``table_status`` gives to a table whose texts are one array."""
+    blank, told = (F.size(F.filter(texts, f)) for f in (lambda t: F.trim(t) == "", lambda t: F.trim(t) != ""))
+    return F.when((told == 0) & (blank > 0), "empty").when(F.try_divide(blank, F.size(texts)) > 0.5, "mostly_empty").otherwise("valid")

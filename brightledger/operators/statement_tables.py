@@ -198,6 +198,13 @@ def looks_financial(cells: DataFrame, words: Sequence[str] = FINANCIAL_WORDS, ke
     return cells.groupBy(*key).agg((F.coalesce(named, F.lit(False)) | figures).alias("financial"))
 
 
+def texts_financial(texts: Column, words: Sequence[str] = FINANCIAL_WORDS) -> Column:
+    """What ``looks_financial`` says of a table without names of columns whose texts are one array."""
+    named = F.exists(texts, lambda t: any_of(F.lower(t), words))
+    figures = F.try_divide(F.size(F.filter(texts, lambda t: t.rlike("[0-9,()]"))), F.size(texts)) > 0.2
+    return F.coalesce(named, F.lit(False)) | F.coalesce(figures, F.lit(False))
+
+
 def statements_of_tables(
     cells: DataFrame, words: dict[str, Sequence[str]] = STATEMENT_WORDS, columns: Sequence[tuple] = STATEMENT_COLUMNS, key: Sequence[str] = ("table_id",)
 ) -> DataFrame:

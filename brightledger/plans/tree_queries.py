@@ -65,8 +65,7 @@ def numbered_parts(spark, d):
 
 
 def made_records(spark, d):
-    pages = made_reports(spark, d)
-    return R.records(pages, B.blocks(pages))
+    return R.records(made_reports(spark, d))
 
 
 RECORDS_SQL = f"""{LINES_SQL}, counted AS (SELECT page_id, count(*) FILTER (WHERE hierarchy_level = 1) AS tops, count(*) FILTER (WHERE hierarchy_level = 2) AS parts FROM tree GROUP BY 1),
@@ -169,7 +168,7 @@ def _validated(spark, d):
     pages = made_reports(spark, d)
     # Read once, as sections and tables both come of them.
     blocks = written(B.blocks(pages))
-    records = R.records(pages, blocks)
+    records = R.reports(pages, R.section_tree(blocks), blocks)
     # Some records have lost their year, some have that of the file before.
     year = F.when(F.col("page_id") % 7 == 0, None).when(F.col("page_id") % 11 == 0, F.col("metadata.report_year") - 1).otherwise(F.col("metadata.report_year"))
     records = records.withColumn("metadata", F.col("metadata").withField("report_year", year))
