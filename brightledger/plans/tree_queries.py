@@ -61,7 +61,7 @@ def main_sections(spark, d):
 @query("h7_numbered_parts", f"WITH {LINES_SQL} SELECT * FROM tree WHERE hierarchy_level = 2")
 def numbered_parts(spark, d):
     """Numbered parts of main sections, with the section that each is in."""
-    return R.section_tree(B.blocks(made_reports(spark, d))).where("hierarchy_level = 2").select(*TREE)
+    return R.page_sections(made_reports(spark, d)).where("hierarchy_level = 2").select(*TREE)
 
 
 def made_records(spark, d):
