@@ -55,7 +55,7 @@ def made_reports(spark, d):
 @query("h6_main_sections", f"WITH {LINES_SQL} SELECT * FROM tree WHERE hierarchy_level = 1")
 def main_sections(spark, d):
     """Main sections and notes of reports, with their contents."""
-    return R.section_tree(B.blocks(made_reports(spark, d))).where("hierarchy_level = 1").select(*TREE)
+    return R.page_sections(made_reports(spark, d)).where("hierarchy_level = 1").select(*TREE)
 
 
 @query("h7_numbered_parts", f"WITH {LINES_SQL} SELECT * FROM tree WHERE hierarchy_level = 2")

@@ -102,7 +102,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("query", [Q.report_records, Q.section_validation, Q.numbered_parts, S.planned_load, Q.nested_sections])
+@pytest.mark.parametrize("query", [Q.report_records, Q.section_validation, Q.main_sections, Q.numbered_parts, S.planned_load, Q.nested_sections])
 def test_blocks_do_not_leave_their_task(spark, tmp_path, query):
     d = small(spark, tmp_path)
     made, got = plan(Q.made_reports(spark, d)), plan(query(spark, d))
