@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brightledger.operators import report_tree as R
 from brightledger.operators import reports as B
-from brightledger.operators.statement_tables import looks_financial
+from brightledger.operators.statement_tables import texts_financial
 from brightledger.plans.registry import query
 from brightledger.sources.scratch import written
 from brightledger.sources.tables import CELLS_SQL, cells, table
@@ -165,17 +165,13 @@ def bracketed_amounts(spark, d):
 
 
 def _validated(spark, d):
-    pages = made_reports(spark, d)
-    # Read once, as sections and tables both come of them.
-    blocks = written(B.blocks(pages))
-    records = R.reports(pages, R.section_tree(blocks), blocks)
+    records = R.records(made_reports(spark, d), tables=True)
     # Some records have lost their year, some have that of the file before.
     year = F.when(F.col("page_id") % 7 == 0, None).when(F.col("page_id") % 11 == 0, F.col("metadata.report_year") - 1).otherwise(F.col("metadata.report_year"))
     records = records.withColumn("metadata", F.col("metadata").withField("report_year", year))
-    shown = blocks.where("table_index is not null")
-    key = ["page_id", "table_index"]
-    tables = B.table_status(shown, key).join(looks_financial(shown.withColumn("column_name", F.lit("")), ("part",), key), key).withColumnRenamed("financial", "is_financial")
-    return R.validated_reports(records, tables)
+    tables = F.transform("tables", lambda t: F.struct(B.texts_status(t).alias("status"), texts_financial(t, ("part",)).alias("is_financial")))
+    # Pages are read once, as reports are both scored and printed; what is written is their validation alone.
+    return written(R.validated_reports(records.withColumn("tables", tables)))
 
 
 TABLES_SQL = f"""{VALID_SQL}, tabled AS (SELECT page_id, count(*) AS n FROM l GROUP BY 1), whole AS (

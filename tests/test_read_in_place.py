@@ -108,3 +108,13 @@ def test_blocks_do_not_leave_their_task(spark, tmp_path, query):
     made, got = plan(Q.made_reports(spark, d)), plan(query(spark, d))
     assert "Window" not in got and got.count("Exchange hashpartitioning(page_id") == 0
     assert got.count("Exchange") == made.count("Exchange") + (query is S.planned_load)
+
+
+@pytest.mark.parametrize("query", [Q.validated_reports, Q.report_lines])
+def test_only_validations_are_written(spark, tmp_path, monkeypatch, query):
+    d, kept = small(spark, tmp_path), []
+    real = Q.written
+    monkeypatch.setattr(Q, "written", lambda df: kept.append(df) or real(df))
+    query(spark, d).collect()
+    assert len(kept) == 1 and kept[0].count() == 40 and not {"text", "sections", "all_text", "tables"} & set(kept[0].columns)
+    assert plan(kept[0]).count("Exchange") == plan(Q.made_reports(spark, d)).count("Exchange")
