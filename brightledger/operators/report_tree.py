@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,13 +29,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brightledger.functions.text import any_of
-from brightledger.operators.reports import BATCH, Shapes
+from brightledger.operators.reports import BATCH, Frame, Shapes
 
 # --- fixed values: classes and words of headings, and what validation looks for
 ANY, MAIN, PART = "SECTION", "SECTION-1", "SECTION-2"
 NOTES_ID, NOTES, AUDIT = "SECTION-2-INDEPENDENT", "주석", "외부감사 실시내용"
 NUMBER = r"^\d+\.\s*"
 NUMBERED, GREATEST = re.compile(r"([0-9]+)\."), 2**31 - 1
+#: Kinds of headings that are remembered of one frame of blocks.
+PLANS = 20
 REQUIRED_TITLES = {"재무제표": ("재무제표", "(첨부)재무제표", "재 무 제 표"), "주석": ("주석", "주석사항"), "감사의견": ("감사의견", "독립된 감사인의 감사보고서", "감사보고서")}
 REQUIRED_TYPES = ("SECTION-1", "SECTION-2")
 FINANCIAL_KEYWORDS = ("매출액", "매출원가", "영업이익", "당기순이익", "자산", "부채", "자본", "현금", "투자")
@@ -99,6 +102,11 @@ def section_tree(blocks_: DataFrame) -> DataFrame:
     )
 
 
+def _number(text: str) -> int | None:
+    digits = NUMBERED.match(text)[1].lstrip("0") or "0"
+    return int(digits) if len(digits) <= 10 and int(digits) <= GREATEST else None
+
+
 def _told(rows: list[tuple]) -> list[tuple]:
     """The sections of one page's blocks, in order, by the rules of ``headings``: the fields of ``section_tree`` after the page."""
     out, lines, tables = [], None, None
@@ -126,39 +134,90 @@ def _told(rows: list[tuple]) -> list[tuple]:
         if first or inside and not audit and named and not number:
             out.append((pos, NOTES_ID, PART, text, 1, None, None, None, lines, tables, segment))
         elif inside and number:
-            digits = number[1].lstrip("0") or "0"
-            short = int(digits) if len(digits) <= 10 else GREATEST + 1
-            out.append((pos, f"{MAIN}-{mains}-{counted}", PART, text, 2, f"{MAIN}-{mains}", title, short if short <= GREATEST else None, lines, tables, segment))
+            out.append((pos, f"{MAIN}-{mains}-{counted}", PART, text, 2, f"{MAIN}-{mains}", title, _number(text), lines, tables, segment))
         else:
             lines = None
     return [(*s[:8], "\n".join(s[8]), len(s[9]), s[10]) for s in out]
 
 
-def _arrays(rows: list[tuple], types: Sequence[pa.DataType]) -> list[pa.Array]:
-    return [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(types), types)]
+class _Sections:
+    """Sections of pages with one frame and headings of one kind: fields that are the same, and which blocks make the others."""
+
+    def __init__(self, told: list[tuple]):
+        columns = [list(c) for c in zip(*told)] or [[] for _ in SECTION]
+        at = [None if t is None else int(t.rpartition("#")[2]) for t in columns[3]]
+        self.n, self.same = len(told), [(i, columns[i]) for i in (0, 1, 2, 4, 5, 9, 10)]
+        self.titles, self.above = at, [None if t is None else int(t.rpartition("#")[2]) for t in columns[6]]
+        self.numbered, self.contents = [i if n is not None else None for i, n in zip(at, columns[7])], [[int(i) for i in c.split()] for c in columns[8]]
+
+    def add(self, columns: list[list], texts: list[str]):
+        for i, values in self.same:
+            columns[i] += values
+        columns[3] += [texts[i] for i in self.titles]
+        columns[6] += [None if i is None else texts[i] for i in self.above]
+        columns[7] += [None if i is None else _number(texts[i]) for i in self.numbered]
+        columns[8] += ["\n".join([texts[i] for i in c]) for c in self.contents]
+
+
+class _Plan:
+    """What is made of pages with one frame and headings of one kind: their sections; those of level 1, their parts, and where each one's parts end; tables; the title."""
+
+    def __init__(self, frame: Frame, kinds: dict[int, tuple]):
+        # The rules see texts that say which block they are, and of headings what matters.
+        said = [f"{'1.' * kinds[i][0]}{NOTES * kinds[i][1]}{AUDIT * kinds[i][2]}#{i}" if i in kinds else str(i) for i in range(frame.n)]
+        tags, classes, tables, *_ = frame.columns
+        told = _told([(i, tags[i], classes[i], said[i], tables[i], None, None, None) for i in range(frame.n)])
+        tops = [s for s in told if s[4] == 1]
+        low = [[s for s in told if s[4] == 2 and s[5] == t[1]] for t in tops]
+        self.every, self.tops, self.parts = _Sections(told), _Sections(tops), _Sections([s for own in low for s in own])
+        self.ends = list(accumulate(map(len, low)))
+        self.title = tags.index("title") if "title" in tags else None
+        self.tables = [[i for i in range(frame.n) if tables[i] == t] for t in dict.fromkeys(tables) if t is not None]
 
 
-def _lists(ends: pa.Array, values: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), values)
+def _plan(frame: Frame, texts: list[str]) -> _Plan:
+    marks = frame.plans.get("marks")
+    if marks is None:
+        marks = frame.plans["marks"] = [i for i, css in enumerate(frame.columns[1]) if ANY in css]
+    kinds = tuple([(NUMBERED.match(t) is not None, NOTES in t, AUDIT in t) for t in [texts[i] for i in marks]])
+    plan = frame.plans.get(kinds)
+    if plan is None:
+        if len(frame.plans) > PLANS:
+            frame.plans = {"marks": marks}
+        plan = frame.plans[kinds] = _Plan(frame, dict(zip(marks, kinds)))
+    return plan
+
+
+def _arrays(columns: list[list], types: Sequence[pa.DataType] = ()) -> list[pa.Array]:
+    return [pa.array(c, t) for c, t in zip(columns, types or TYPES)]
+
+
+def _lists(ends: list[int], values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), values)
 
 
 def page_sections(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
     """The rows of ``section_tree``, made where a page is read: no block leaves its task."""
 
+    def made(keys: list, columns: list[list]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(keys, pa.int64()), *_arrays(columns)], ["page_id", *SECTION])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = Shapes()
         for batch in batches:
-            rows, n = [], 0
+            keys, columns, n = [], [[] for _ in SECTION], 0
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                blocks_ = shapes.read(text.as_py() or "")
-                rows += [(key, *s) for s in _told(blocks_)]
-                n += len(blocks_)
+                frame, texts = shapes.read(text.as_py() or "")
+                sections = _plan(frame, texts).every
+                sections.add(columns, texts)
+                keys += [key] * sections.n
+                n += frame.n
                 # What a worker holds does not grow with the pages of a batch.
                 if n >= BATCH:
-                    yield pa.record_batch(_arrays(rows, [pa.int64(), *TYPES]), ["page_id", *SECTION])
-                    rows, n = [], 0
-            if rows:
-                yield pa.record_batch(_arrays(rows, [pa.int64(), *TYPES]), ["page_id", *SECTION])
+                    yield made(keys, columns)
+                    keys, columns, n = [], [[] for _ in SECTION], 0
+            if keys:
+                yield made(keys, columns)
 
     return pages.select(F.col(page).cast("long").alias("page_id"), F.col(html).alias("html")).mapInArrow(run, f"page_id long, {SECTION_SCHEMA}")
 
@@ -185,43 +244,35 @@ def all_text(blocks_: DataFrame) -> DataFrame:
 
 def records(pages: DataFrame, key: str = "page_id", name: str = "source_file", html: str = "html", title: str = "감사보고서", tables: bool = False) -> DataFrame:
     """The records of ``reports``, made where a page is read; with ``tables``, also the texts of each table's blocks."""
-    named = {"page_id": pa.int64(), "source_file": pa.string(), "bytes": pa.int64(), "found": pa.string(), "all_text": pa.string(), "elements": pa.int32()} | ({"tables": pa.list_(pa.list_(pa.string()))} if tables else {})
+    named = {"page_id": pa.int64(), "source_file": pa.string(), "bytes": pa.int64(), "found": pa.string(), "all_text": pa.string(), "elements": pa.int32(), "tables": pa.list_(pa.list_(pa.string()))}
+    named = {name: of for name, of in named.items() if tables or name != "tables"}
 
-    def made(rows: list, tops: list, parts: list) -> pa.RecordBatch:
-        *own, low = _arrays(tops, [*TYPES, pa.int32()])
-        own.append(_lists(low, pa.StructArray.from_arrays(_arrays(parts, TYPES), list(SECTION))))
-        *columns, ends = _arrays(rows, [*named.values(), pa.int32()])
-        return pa.record_batch([*columns, _lists(ends, pa.StructArray.from_arrays(own, [*SECTION, "subsections"]))], [*named, "sections"])
+    def made(rows: list[tuple], tops: list[list], parts: list[list], ends: list[int]) -> pa.RecordBatch:
+        *columns, of_page = zip(*rows)
+        low = _lists(ends, pa.StructArray.from_arrays(_arrays(parts), list(SECTION)))
+        sections = _lists(of_page, pa.StructArray.from_arrays([*_arrays(tops), low], [*SECTION, "subsections"]))
+        return pa.record_batch([*_arrays(columns, list(named.values())), sections], [*named, "sections"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = Shapes()
         for batch in batches:
-            rows, tops, parts, n = [], [], [], 0
+            rows, tops, parts, ends, n = [], [[] for _ in SECTION], [[] for _ in SECTION], [], 0
             for first, text in zip(zip(*(batch.column(i).to_pylist() for i in range(3))), batch.column(3)):
-                blocks_ = shapes.read(text.as_py() or "")
-                low = {}
-                for s in (sections := _told(blocks_)):
-                    if s[4] == 2:
-                        low.setdefault(s[5], []).append(s)
-                for s in sections:
-                    if s[4] == 1:
-                        parts += low.get(s[1], ())
-                        tops.append((*s, len(parts)))
-                row = (*first, next((b[3] for b in blocks_ if b[1] == "title"), None), "\n".join([b[3] for b in blocks_]), len(blocks_))
-                if tables:
-                    cells = {}
-                    for b in blocks_:
-                        if b[4] is not None:
-                            cells.setdefault(b[4], []).append(b[3])
-                    row = (*row, list(cells.values()))
-                rows.append((*row, len(tops)))
-                n += len(blocks_) + 1
+                frame, texts = shapes.read(text.as_py() or "")
+                plan = _plan(frame, texts)
+                before = len(parts[0])
+                ends += [before + e for e in plan.ends]
+                plan.tops.add(tops, texts)
+                plan.parts.add(parts, texts)
+                more = ([[texts[i] for i in t] for t in plan.tables],) if tables else ()
+                rows.append((*first, None if plan.title is None else texts[plan.title], "\n".join(texts), frame.n, *more, len(tops[0])))
+                n += frame.n + 1
                 # What a worker holds does not grow with the pages of a batch.
                 if n >= BATCH:
-                    yield made(rows, tops, parts)
-                    rows, tops, parts, n = [], [], [], 0
+                    yield made(rows, tops, parts, ends)
+                    rows, tops, parts, ends, n = [], [[] for _ in SECTION], [[] for _ in SECTION], [], 0
             if rows:
-                yield made(rows, tops, parts)
+                yield made(rows, tops, parts, ends)
 
     schema = "page_id long, source_file string, bytes long, found string, all_text string, elements int" + (", tables array<array<string>>" if tables else "")
     told = pages.select(F.col(key).cast("long").alias("page_id"), F.col(name).alias("source_file"), F.octet_length(F.coalesce(html, F.lit(""))).cast("long").alias("bytes"), F.col(html).alias("html"))

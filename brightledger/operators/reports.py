@@ -182,85 +182,92 @@ class _Reader(HTMLParser):
             self.parts.append(data)
 
 
+class Frame:
+    """What pages have that are alike but for their texts: the tag, class and place of each block, by columns; and what others work out of these."""
+
+    def __init__(self, found: Sequence[tuple]):
+        self.n, self.columns, self.plans = len(found), [list(c) for c in zip(*found)] or [[] for _ in range(6)], {}
+
+
 class Shapes:
     """Reads pages as ``_Reader`` does. Plain tags alone decide which texts are a block and where it is, so for tags that come again this is worked out once."""
 
     def __init__(self):
-        #: By the tags of a page: false if they came once, null if they are not plain, or texts, tag, class and place of each block.
+        #: By the tags of a page: false if they came once, null if they are not plain, or the number of texts, the page without them, what each block is made of, and frames.
         self.known, self.size = {}, 0
 
-    def read(self, html: str) -> list[tuple]:
-        first, *rest = html.split("<")
-        tags, closed, texts = zip(*[t.partition(">") for t in rest]) if rest else ((), (), ())
-        key = "<".join(tags)
-        shape = self.known.get(key)
-        if shape is None and key not in self.known:
-            self._note(key)
+    def read(self, html: str) -> tuple[Frame, list[str]]:
+        """The frame of a page and the texts of its blocks."""
+        pieces = html.replace(">", "<").split("<")
+        tags, texts = "<".join(pieces[1::2]), tuple(pieces[::2])
+        shape = self.known.get(tags)
+        if shape is None and tags not in self.known:
+            self._note(tags, False)
         elif shape is False:
-            shape = self.known[key] = self._shape(tags)
-        # A "<" that begins no tag is for the parser.
-        if not shape or "" in closed:
-            return _Reader().read(html)
-        rows, texts = [], (first, *texts)
-        for at, lines, tag, cls, table, row, col, part in shape:
-            if lines is None:
-                text = texts[at]
-                if not text:
-                    continue
-                if "&" in text:
-                    text = unescape(text)
-            else:
-                text = " ".join(["".join([unescape(texts[i]) for i in line]) for line in lines])
-            text = " ".join(text.split())
-            if text:
-                rows.append((len(rows), tag, cls, text, table, row, col, part))
-        return rows
-
-    def _note(self, tags: str):
+            shape = self.known[tags] = self._shape(pieces[1::2])
+        # Brackets that are no tag's are for the parser.
+        if not shape or len(texts) != shape[0] or shape[1] % texts != html:
+            rows = _Reader().read(html)
+            return Frame([r[1:3] + r[4:] for r in rows]), [r[3] for r in rows]
+        _, _, made, found, frames = shape
+        if "&" in html:
+            texts = [unescape(t) if "&" in t else t for t in texts]
+        if made:
+            texts = [" ".join(["".join([texts[i] for i in line]) for line in lines]) for lines in made]
+        texts = [t if not t or t.isalnum() else " ".join(t.split()) for t in texts]
+        there = tuple(map(bool, texts))
+        frame = frames.get(there)
+        if frame is None:
+            frame = Frame([f for f, t in zip(found, there) if t])
+            self._note(tags, shape)
+            frames[there] = frame
+        return frame, [t for t in texts if t]
+
+    def _note(self, tags: str, shape):
         self.size += len(tags)
         if self.size > SHAPES:
             self.known, self.size = {}, len(tags)
+            if shape:
+                shape[-1].clear()
         if self.size <= SHAPES:
-            self.known[tags] = False
+            self.known[tags] = shape
 
-    def _shape(self, tags: Sequence[str]) -> list[tuple] | None:
+    def _shape(self, tags: Sequence[str]) -> tuple | None:
         """Reads the tags with the numbers of the texts in their places."""
         whole = [f"<{t}>" for t in tags]
         low = "".join(whole).lower()
         if any(o in low for o in ODD) or not all(TAG.fullmatch(t) for t in whole):
             return None
-        found = []
-        for _, tag, cls, text, *place in _Reader().read("".join(f"{t}{i};" for i, t in enumerate(["", *whole]))):
-            lines = [[int(i) for i in line.split(";")[:-1]] for line in text.split()]
-            single = len(lines) == 1 and len(lines[0]) == 1
-            found.append((lines[0][0] if single else None, None if single else lines, tag, cls, *place))
-        return found
+        rows = _Reader().read("".join(f"{t}{i};" for i, t in enumerate(["", *whole])))
+        made = [[[int(i) for i in line.split(";")[:-1]] for line in r[3].split()] for r in rows]
+        single = made == [[[i]] for i in range(len(whole) + 1)]
+        return len(whole) + 1, "%s".join(["", *[t.replace("%", "%%") for t in whole], ""]), None if single else made, [r[1:3] + r[4:] for r in rows], {}
 
 
 def blocks(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
     """A row per block of text: its tag, class, place, and its table, row and column where it is a cell."""
 
-    names = ("pos", "tag", "class", "text", "table_index", "row_index", "col_index", "part")
-    types = (pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+    names = ("page_id", "pos", "text", "tag", "class", "table_index", "row_index", "col_index", "part")
+    types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+    order = [names.index(c.split()[0]) for c in BLOCKS.split(", ")]
 
-    def made(keys: list, rows: list) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else [()] * len(names)
-        return pa.record_batch([pa.array(keys, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], ["page_id", *names])
+    def made(columns: list[list]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(columns[i], types[i]) for i in order], [names[i] for i in order])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = Shapes()
         for batch in batches:
-            keys, rows = [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = shapes.read(text.as_py() or "")
-                rows += found
-                keys += [key] * len(found)
+            columns = [[] for _ in names]
+            for key, html in zip(batch.column(0).to_pylist(), batch.column(1)):
+                frame, texts = shapes.read(html.as_py() or "")
+                for column, values in zip(columns, ([key] * frame.n, range(frame.n), texts, *frame.columns)):
+                    column += values
                 # What a worker holds does not grow with the pages of a batch.
-                if len(rows) >= BATCH:
-                    yield made(keys, rows)
-                    keys, rows = [], []
-            if rows:
-                yield made(keys, rows)
+                if len(columns[0]) >= BATCH:
+                    yield made(columns)
+                    columns = [[] for _ in names]
+            if columns[0]:
+                yield made(columns)
 
     return pages.select(F.col(page).cast("long").alias("page_id"), F.col(html).alias("html")).mapInArrow(run, BLOCKS)
 
